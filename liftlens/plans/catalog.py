@@ -155,3 +155,127 @@ def q_channel_daily_rate(spark, sf):
 def q_channel_detail(spark, sf):
     from liftlens.operators.reports import channel_detail
     return channel_detail(M.channel(spark, sf))
+
+
+# --- causal: encoding, cells, estimators (K2 C1-C3 C5-C7 C10-C12) -----------
+
+def _sub(sql: str) -> str:
+    return f"SELECT * FROM ({sql})"
+
+
+def _r9(df: DataFrame, *cols: str) -> DataFrame:
+    """ATE-like outputs at 9 decimals (1e-7 percentage points), both engines."""
+    return df.select(*[F.round(c, 9).alias(c) if c in cols else c for c in df.columns])
+
+
+@register("top_countries", O.with_(*O.SESS, body=(
+    "SELECT geo_country, count(*) AS sessions FROM sessions WHERE geo_country IS NOT NULL "
+    "GROUP BY geo_country ORDER BY sessions DESC, geo_country ASC LIMIT 10")))
+def q_top_countries(spark, sf):
+    from liftlens.operators.causal.encode import top_levels
+    return top_levels(M.sessions(spark, sf), "geo_country", 10)
+
+
+@register("encoded_confounders", O.with_(*O.FRAMED, body=(
+    "SELECT 'device_' || device AS confounder, count(*) AS n_ones, CAST(sum(treatment) AS BIGINT) AS n_treated "
+    "FROM frame GROUP BY ALL UNION ALL "
+    "SELECT regexp_replace(replace('geo_' || geo, ' ', '_'), '[<>]', '', 'g') AS confounder, count(*), "
+    "CAST(sum(treatment) AS BIGINT) FROM frame GROUP BY ALL UNION ALL "
+    "SELECT 'is_new_user', count(*), CAST(sum(treatment) AS BIGINT) FROM frame WHERE is_new_user = 1")))
+def q_encoded_confounders(spark, sf):
+    from liftlens.operators.causal.encode import confounder_columns
+    return confounder_columns(M.frame(spark, sf))
+
+
+@register("confounder_cells", O.with_(*O.CELLED, body="SELECT * FROM cells"))
+def q_confounder_cells(spark, sf):
+    return M.cells(spark, sf)
+
+
+@register("naive_difference", O.with_(*O.CELLED, body=(
+    "SELECT round(CAST(sum(y1) AS DOUBLE) / sum(n1) - CAST(sum(y) - sum(y1) AS DOUBLE) / (sum(n) - sum(n1)), 9) "
+    "AS ate FROM cells")))
+def q_naive_difference(spark, sf):
+    from liftlens.operators.causal.estimators import naive_difference
+    return _r9(naive_difference(M.cells(spark, sf)), "ate")
+
+
+@register("ipw_ate_saturated", O.with_(*O.SCORED_CHAIN, body=O.ipw_sql()))
+def q_ipw_ate_saturated(spark, sf):
+    from liftlens.operators.causal.estimators import ipw_ate
+    return _r9(ipw_ate(M.scored(spark, sf)), "ate")
+
+
+@register("ipw_ate_row_level", O.with_(*O.SCORED_CHAIN, body=(
+    "SELECT round(sum(treatment * outcome / p) / sum(treatment / p) - "
+    "sum((1 - treatment) * outcome / (1 - p)) / sum((1 - treatment) / (1 - p)), 9) AS ate "
+    "FROM (SELECT f.treatment, f.outcome, least(greatest(s.ps, CAST(0.001 AS DOUBLE)), CAST(0.999 AS DOUBLE)) AS p "
+    "FROM frame f JOIN scored s USING (is_new_user, device, geo))")))
+def q_ipw_ate_row_level(spark, sf):
+    from liftlens.operators.causal.encode import CONFOUNDERS
+    from liftlens.operators.causal.estimators import row_level_ipw
+    return _r9(row_level_ipw(M.frame(spark, sf), M.scored(spark, sf), CONFOUNDERS), "ate")
+
+
+@register("matching_ate_mean", O.with_(*O.SCORED_CHAIN, body=_sub(O.matching_sql())))
+def q_matching_ate_mean(spark, sf):
+    from liftlens.operators.causal.estimators import matching_ate
+    return _r9(matching_ate(M.scored(spark, sf)), "ate", "att", "atc")
+
+
+@register("stratified_ate", O.with_(*O.SCORED_CHAIN, body=_sub(O.stratified_sql(candidates=(12,)))))
+def q_stratified_ate(spark, sf):
+    from liftlens.operators.causal.estimators import stratified_ate
+    return _r9(stratified_ate(M.scored(spark, sf), num_strata=12), "ate")
+
+
+@register("stratified_ate_auto", O.with_(*O.SCORED_CHAIN, body=_sub(
+    O.stratified_sql(candidates=(50, 25, 12, 6, 3, 1), auto=True))))
+def q_stratified_ate_auto(spark, sf):
+    from liftlens.operators.causal.estimators import stratified_ate
+    return _r9(stratified_ate(M.scored(spark, sf), num_strata="auto"), "ate")
+
+
+@register("propensity_summary", O.with_(*O.SCORED_CHAIN, body=(
+    "SELECT min(ps) AS ps_min, max(ps) AS ps_max, count(DISTINCT ps) AS n_distinct_scores, count(*) AS n_cells, "
+    "CAST(sum(CASE WHEN ps < 0.05 THEN n ELSE 0 END) AS DOUBLE) / sum(n) AS share_below_floor, "
+    "CAST(sum(n1) AS DOUBLE) / sum(n) AS treated_share, count(*) FILTER (WHERE n1 = 0) AS cells_without_treated "
+    "FROM scored")))
+def q_propensity_summary(spark, sf):
+    from liftlens.operators.causal.propensity import propensity_summary
+    return propensity_summary(M.scored(spark, sf))
+
+
+CLIP_GRID = ((0.001, 0.999), (0.01, 0.99), (0.05, 0.95), (0.1, 0.9), (0.5, 0.5))
+
+
+@register("clip_sensitivity", O.with_(*O.SCORED_CHAIN, body=" UNION ALL ".join(
+    f"SELECT CAST({lo} AS DOUBLE) AS clip_lo, CAST({hi} AS DOUBLE) AS clip_hi, * FROM ({O.ipw_sql(lo=str(lo), hi=str(hi))})"
+    for lo, hi in CLIP_GRID)))
+def q_clip_sensitivity(spark, sf):
+    from liftlens.operators.causal.estimators import clip_sensitivity
+    return _r9(clip_sensitivity(M.scored(spark, sf), CLIP_GRID), "ate")
+
+
+@register("ipw_ate_logit")
+def q_ipw_ate_logit(spark, sf):
+    from liftlens.operators.causal.estimators import ipw_ate
+    return ipw_ate(M.scored(spark, sf, model="logit"))
+
+
+@register("matching_ate_logit")
+def q_matching_ate_logit(spark, sf):
+    from liftlens.operators.causal.estimators import matching_ate
+    return matching_ate(M.scored(spark, sf, model="logit"))
+
+
+@register("stratified_ate_logit")
+def q_stratified_ate_logit(spark, sf):
+    from liftlens.operators.causal.estimators import stratified_ate
+    return stratified_ate(M.scored(spark, sf, model="logit"), num_strata="auto")
+
+
+@register("propensity_summary_logit")
+def q_propensity_summary_logit(spark, sf):
+    from liftlens.operators.causal.propensity import propensity_summary
+    return propensity_summary(M.scored(spark, sf, model="logit"))

@@ -37,3 +37,23 @@ def sessions(spark: SparkSession, sf: str) -> DataFrame:
 
 def channel(spark: SparkSession, sf: str) -> DataFrame:
     return channel_performance(sessions(spark, sf))
+
+
+# --- causal chain: model frame -> confounder cells -> scores ---------------
+
+NULL_TREATMENT = "control"   # testdata has NULL is_paid sessions (T1)
+
+
+def frame(spark: SparkSession, sf: str, null_treatment: str = NULL_TREATMENT) -> DataFrame:
+    from liftlens.operators.causal.encode import model_frame
+    return model_frame(sessions(spark, sf), null_treatment=null_treatment)
+
+
+def cells(spark: SparkSession, sf: str, keys=(), null_treatment: str = NULL_TREATMENT) -> DataFrame:
+    from liftlens.operators.causal.cells import build_cells
+    return build_cells(frame(spark, sf, null_treatment), keys=keys)
+
+
+def scored(spark: SparkSession, sf: str, model: str = "saturated") -> DataFrame:
+    from liftlens.operators.causal.propensity import score_cells
+    return score_cells(cells(spark, sf), model=model)

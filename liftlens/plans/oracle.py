@@ -121,3 +121,102 @@ STG_COLS = ("event_date_key, event_date, event_at, event_name, user_pseudo_id, g
 
 def stg_query() -> str:
     return with_(*BASE, body=f"SELECT {STG_COLS} FROM stg")
+
+
+# --- causal chain -----------------------------------------------------------
+
+TOP = """
+top AS (
+  SELECT geo_country FROM sessions WHERE geo_country IS NOT NULL
+  GROUP BY geo_country ORDER BY count(*) DESC, geo_country ASC LIMIT 10
+)"""
+
+FRAME = """
+frame AS (
+  SELECT s.session_key, s.session_date,
+    CAST(coalesce(s.is_paid, false) AS INTEGER) AS treatment,
+    CAST(s.converted AS INTEGER) AS outcome,
+    CAST(s.is_new_user AS INTEGER) AS is_new_user,
+    coalesce(s.device_category, 'unknown') AS device,
+    CASE WHEN t.geo_country IS NOT NULL THEN s.geo_country ELSE 'other_country' END AS geo
+  FROM sessions s LEFT JOIN top t ON s.geo_country = t.geo_country
+)"""
+
+CELLS = """
+cells AS (
+  SELECT is_new_user, device, geo, count(*) AS n, CAST(sum(treatment) AS BIGINT) AS n1,
+    CAST(sum(outcome) AS BIGINT) AS y, CAST(sum(treatment * outcome) AS BIGINT) AS y1
+  FROM frame GROUP BY ALL
+)"""
+
+SCORED = """
+scored AS (SELECT *, CAST(n1 AS DOUBLE) / n AS ps FROM cells)"""
+
+FRAMED = SESS + (TOP, FRAME)
+CELLED = FRAMED + (CELLS,)
+SCORED_CHAIN = CELLED + (SCORED,)
+
+
+def ipw_sql(src: str = "scored", lo: str = "0.001", hi: str = "0.999", keys: str = "") -> str:
+    k = f"{keys}, " if keys else ""
+    grp = f" GROUP BY {keys}" if keys else ""
+    return (f"SELECT {k}round(sum(y1 / p) / sum(n1 / p) - sum((y - y1) / (1 - p)) / sum((n - n1) / (1 - p)), 9) AS ate "
+            f"FROM (SELECT *, least(greatest(ps, CAST({lo} AS DOUBLE)), CAST({hi} AS DOUBLE)) AS p FROM {src}){grp}")
+
+
+def matching_sql(src: str = "scored", keys: str = "") -> str:
+    k = f"{keys}, " if keys else ""
+    part = f"PARTITION BY {keys} " if keys else ""
+    grp = f" GROUP BY {keys}" if keys else ""
+    before = f"OVER ({part}ORDER BY ps ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    after = f"OVER ({part}ORDER BY ps ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+
+    def nb(arm, cnt, tot):
+        s = f"CASE WHEN {cnt} > 0 THEN ps END"
+        m = f"CASE WHEN {cnt} > 0 THEN {tot} / {cnt} END"
+        return (f"last_value({s} IGNORE NULLS) {before} AS {arm}_ps_prev, "
+                f"last_value({m} IGNORE NULLS) {before} AS {arm}_m_prev, "
+                f"first_value({s} IGNORE NULLS) {after} AS {arm}_ps_next, "
+                f"first_value({m} IGNORE NULLS) {after} AS {arm}_m_next")
+
+    def pick(arm):
+        return (f"(CASE WHEN {arm}_ps_prev IS NULL THEN {arm}_m_next WHEN {arm}_ps_next IS NULL THEN {arm}_m_prev "
+                f"WHEN ps - {arm}_ps_prev <= {arm}_ps_next - ps THEN {arm}_m_prev ELSE {arm}_m_next END)")
+    return (
+        f"WITH st AS (SELECT {k}ps, sum(n1) AS n1, sum(n - n1) AS n0, sum(y1) AS y1, sum(y - y1) AS y0 "
+        f"FROM {src} GROUP BY {k}ps), "
+        f"nb AS (SELECT *, {nb('c', 'n0', 'y0')}, {nb('t', 'n1', 'y1')} FROM st), "
+        f"m AS (SELECT {k}n1, n0, CASE WHEN n1 > 0 THEN y1 - n1 * {pick('c')} END AS att_part, "
+        f"CASE WHEN n0 > 0 THEN n0 * {pick('t')} - y0 END AS atc_part FROM nb) "
+        f"SELECT {k}"
+        f"CASE WHEN sum(n1) > 0 AND sum(n0) > 0 THEN round((sum(att_part) + sum(atc_part)) / (sum(n1) + sum(n0)), 9) END AS ate, "
+        f"CASE WHEN sum(n1) > 0 AND sum(n0) > 0 THEN round(sum(att_part) / sum(n1), 9) END AS att, "
+        f"CASE WHEN sum(n1) > 0 AND sum(n0) > 0 THEN round(sum(atc_part) / sum(n0), 9) END AS atc "
+        f"FROM m{grp}")
+
+
+def stratified_sql(src: str = "scored", candidates=(12,), auto: bool = False, min_per_arm: int = 10,
+                   keys: str = "") -> str:
+    k = f"{keys}, " if keys else ""
+    part = f"PARTITION BY {keys} " if keys else ""
+    cands = ", ".join(str(c) for c in candidates)
+    kept = f"least(T, C) > {min_per_arm}"
+    body = (
+        f"WITH st AS (SELECT {k}ps, sum(n) AS n, sum(n1) AS n1, sum(y1) AS y1, sum(y - y1) AS y0 "
+        f"FROM {src} GROUP BY {k}ps), "
+        f"rk AS (SELECT *, coalesce(sum(n) OVER ({part}ORDER BY ps ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+        f" + (n + 1) / 2.0 AS rnk, sum(n) OVER ({part.strip()}) AS NN FROM st), "
+        f"sx AS (SELECT rk.*, c.S, round_even(rnk / NN * c.S, 0) AS stratum FROM rk, "
+        f"(SELECT unnest([{cands}]) AS S) c), "
+        f"strata AS (SELECT {k}S, stratum, sum(n1) AS T, sum(n - n1) AS C, sum(y1) AS Y1, sum(y0) AS Y0 "
+        f"FROM sx GROUP BY ALL), "
+        f"per_s AS (SELECT {k}S, count(*) FILTER (WHERE {kept}) AS kept_strata, "
+        f"sum(CASE WHEN {kept} THEN (Y1 / T - Y0 / C) * (T + C) END) / "
+        f"sum(CASE WHEN {kept} THEN T + C END) AS ate FROM strata GROUP BY ALL) ")
+    if not auto:
+        return body + f"SELECT {k}round(ate, 9) AS ate, S AS num_strata, kept_strata FROM per_s"
+    grp = f" GROUP BY {keys}" if keys else ""
+    choose = ("coalesce(arg_max({'ate': ate, 'S': S, 'kept': kept_strata}, S) FILTER (WHERE kept_strata >= 0.5 * S), "
+              "arg_min({'ate': ate, 'S': S, 'kept': kept_strata}, S))")
+    return body + (f"SELECT {k}round(c.ate, 9) AS ate, c.S AS num_strata, c.kept AS kept_strata "
+                   f"FROM (SELECT {k}{choose} AS c FROM per_s{grp})")
