@@ -279,3 +279,45 @@ def q_stratified_ate_logit(spark, sf):
 def q_propensity_summary_logit(spark, sf):
     from liftlens.operators.causal.propensity import propensity_summary
     return propensity_summary(M.scored(spark, sf, model="logit"))
+
+
+# --- estimates table and report views (C13 W1 F9-F11 U1 A12 R1-R4) ----------
+
+@register("estimates_history", O.with_(*O.history_chain(), body="SELECT * FROM history"))
+def q_estimates_history(spark, sf):
+    return M.history(spark, sf)
+
+
+@register("estimates_latest", O.with_(*O.latest_chain(), body="SELECT * FROM latest"))
+def q_estimates_latest(spark, sf):
+    return M.latest(spark, sf)
+
+
+@register("causal_summary", O.with_(*O.summary_chain(), body="SELECT * FROM summary"))
+def q_causal_summary(spark, sf):
+    return M.summary(spark, sf)
+
+
+@register("scorecards", O.with_(*O.summary_chain(), body=(
+    "SELECT max(CASE WHEN estimate = 'naive_correlation' THEN conversion_lift END) AS naive_lift, "
+    "max(CASE WHEN estimate = 'propensity_score_weighting' THEN conversion_lift END) AS causal_lift, "
+    "max(CASE WHEN estimate = 'propensity_score_weighting' THEN n_sessions END) AS n_sessions FROM summary")))
+def q_scorecards(spark, sf):
+    from liftlens.operators.reports import scorecards
+    return scorecards(M.summary(spark, sf))
+
+
+@register("estimator_comparison", O.with_(*O.summary_chain(), body=(
+    "SELECT estimate, conversion_lift * 100 AS lift_pp, estimate_kind, is_outlier, method_caveat FROM summary")))
+def q_estimator_comparison(spark, sf):
+    from liftlens.operators.reports import estimator_comparison
+    return estimator_comparison(M.summary(spark, sf))
+
+
+@register("causal_estimates")
+def q_causal_estimates(spark, sf):
+    """One run of the causal step with the logit score (the reference's model)."""
+    from liftlens.operators.causal.results import ALL_METHODS, causal_estimates
+    fr = M.frame(spark, sf)
+    run_at = F.timestamp_add("DAY", F.lit(1), F.col("data_end").cast("timestamp_ntz"))
+    return causal_estimates(fr, run_at, methods=ALL_METHODS, model="logit")

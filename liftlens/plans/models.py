@@ -57,3 +57,18 @@ def cells(spark: SparkSession, sf: str, keys=(), null_treatment: str = NULL_TREA
 def scored(spark: SparkSession, sf: str, model: str = "saturated") -> DataFrame:
     from liftlens.operators.causal.propensity import score_cells
     return score_cells(cells(spark, sf), model=model)
+
+
+def history(spark: SparkSession, sf: str, model: str = "saturated") -> DataFrame:
+    from liftlens.operators.causal.results import ALL_METHODS, estimate_history
+    return estimate_history(frame(spark, sf), methods=ALL_METHODS, model=model)
+
+
+def latest(spark: SparkSession, sf: str) -> DataFrame:
+    from liftlens.operators.reports import latest_estimates
+    return latest_estimates(history(spark, sf))
+
+
+def summary(spark: SparkSession, sf: str) -> DataFrame:
+    from liftlens.operators.reports import causal_summary
+    return causal_summary(latest(spark, sf))

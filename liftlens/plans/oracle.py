@@ -220,3 +220,94 @@ def stratified_sql(src: str = "scored", candidates=(12,), auto: bool = False, mi
               "arg_min({'ate': ate, 'S': S, 'kept': kept_strata}, S))")
     return body + (f"SELECT {k}round(c.ate, 9) AS ate, c.S AS num_strata, c.kept AS kept_strata "
                    f"FROM (SELECT {k}{choose} AS c FROM per_s{grp})")
+
+
+# --- estimate history and the report views over it -------------------------
+
+RUNS = """
+runs AS (
+  SELECT CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS run_date
+  FROM (SELECT min(session_date) AS a, max(session_date) AS b FROM frame)
+)"""
+
+RCELLS = """
+rcells AS (
+  SELECT r.run_date, f.is_new_user, f.device, f.geo, count(*) AS n, CAST(sum(f.treatment) AS BIGINT) AS n1,
+    CAST(sum(f.outcome) AS BIGINT) AS y, CAST(sum(f.treatment * f.outcome) AS BIGINT) AS y1
+  FROM runs r JOIN frame f ON f.session_date <= r.run_date GROUP BY ALL
+)"""
+
+RSCORED = """
+rscored AS (SELECT *, CAST(n1 AS DOUBLE) / n AS ps FROM rcells)"""
+
+RSTATS = """
+rstats AS (
+  SELECT r.run_date, count(*) AS n_sessions, CAST(sum(f.treatment) AS BIGINT) AS n_paid,
+    CAST(sum(f.outcome) AS BIGINT) AS n_converted,
+    round(CAST(sum(f.treatment * f.outcome) AS DOUBLE) / sum(f.treatment)
+      - CAST(sum(f.outcome) - sum(f.treatment * f.outcome) AS DOUBLE) / (count(*) - sum(f.treatment)), 9)
+      AS naive_difference,
+    min(f.session_date) AS data_start, max(f.session_date) AS data_end
+  FROM runs r JOIN frame f ON f.session_date <= r.run_date GROUP BY r.run_date
+)"""
+
+
+def _ests_sql() -> str:
+    return (
+        "ests AS ("
+        f"SELECT run_date, 'propensity_score_matching' AS method, ate FROM ({matching_sql('rscored', 'run_date')}) "
+        f"UNION ALL SELECT run_date, 'propensity_score_weighting', ate FROM ({ipw_sql('rscored', keys='run_date')}) "
+        "UNION ALL SELECT run_date, 'propensity_score_stratification', ate FROM ("
+        + stratified_sql('rscored', candidates=(50, 25, 12, 6, 3, 1), auto=True, keys='run_date') + "))")
+
+
+HISTORY = """
+history AS (
+  SELECT e.method, e.ate, CAST(e.run_date + INTERVAL 1 DAY AS TIMESTAMP) AS run_at, s.naive_difference,
+    s.n_sessions, s.n_paid, s.n_converted, s.data_start, s.data_end
+  FROM ests e JOIN rstats s USING (run_date)
+)"""
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def latest_sql() -> str:
+    from liftlens.operators.reports import MATCHING, MATCHING_CAVEAT
+    return f"""
+latest AS (
+  SELECT method, ate, naive_difference, naive_difference - ate AS implied_selection_bias,
+    method = '{MATCHING}' AS is_outlier,
+    CASE WHEN method = '{MATCHING}' THEN {_q(MATCHING_CAVEAT)} END AS method_caveat,
+    n_sessions, n_paid, n_converted, data_start, data_end, run_at, CAST(run_at AS DATE) AS run_date
+  FROM history QUALIFY row_number() OVER (PARTITION BY method ORDER BY run_at DESC) = 1
+)"""
+
+
+def summary_sql() -> str:
+    from liftlens.operators.reports import KIND_GOVERNED, KIND_NAIVE, KIND_OUTLIER, NAIVE
+    return f"""
+summary AS (
+  SELECT method AS estimate, ate AS conversion_lift,
+    CASE WHEN is_outlier THEN {_q(KIND_OUTLIER)} ELSE {_q(KIND_GOVERNED)} END AS estimate_kind,
+    is_outlier, method_caveat, n_sessions, data_start, data_end, run_at
+  FROM latest
+  UNION ALL
+  SELECT '{NAIVE}', p.naive_difference, {_q(KIND_NAIVE)}, false, CAST(NULL AS VARCHAR),
+    p.n_sessions, p.data_start, p.data_end, p.run_at
+  FROM (SELECT arg_max({{'naive_difference': naive_difference, 'n_sessions': n_sessions,
+          'data_start': data_start, 'data_end': data_end, 'run_at': run_at}}, (run_at, method)) AS p FROM latest)
+)"""
+
+
+def history_chain() -> tuple:
+    return FRAMED + (RUNS, RCELLS, RSCORED, RSTATS, _ests_sql(), HISTORY)
+
+
+def latest_chain() -> tuple:
+    return history_chain() + (latest_sql(),)
+
+
+def summary_chain() -> tuple:
+    return latest_chain() + (summary_sql(),)
