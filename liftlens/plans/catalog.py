@@ -321,3 +321,164 @@ def q_causal_estimates(spark, sf):
     fr = M.frame(spark, sf)
     run_at = F.timestamp_add("DAY", F.lit(1), F.col("data_end").cast("timestamp_ntz"))
     return causal_estimates(fr, run_at, methods=ALL_METHODS, model="logit")
+
+
+# --- quality (Q1-Q4) ---------------------------------------------------------
+
+def _quality_models(spark, sf):
+    from liftlens.operators.metrics import spine_from
+    stg = M.staging(spark, sf)
+    return {"stg_ga4__events": stg, "fct_sessions": M.sessions(spark, sf),
+            "fct_causal_estimates": M.latest(spark, sf), "rpt_channel_performance": M.channel(spark, sf),
+            "rpt_causal_summary": M.summary(spark, sf),
+            "metricflow_time_spine": spine_from(stg, "event_date")}
+
+
+@register("quality_report", O.with_(*O.quality_chain(), body=O.quality_sql()))
+def q_quality_report(spark, sf):
+    from liftlens.operators.quality import run_tests
+    return run_tests(_quality_models(spark, sf))
+
+
+@register("quality_relationships", O.with_(*O.SESS, body=(
+    "SELECT 'fct_sessions' AS child, 'session_key' AS child_column, 'stg_ga4__events' AS parent, "
+    "'session_key' AS parent_column, (SELECT count(*) FROM (SELECT DISTINCT session_key FROM sessions "
+    "WHERE session_key IS NOT NULL) c WHERE NOT EXISTS (SELECT 1 FROM stg p WHERE p.session_key = c.session_key)) "
+    "AS failures UNION ALL "
+    "SELECT 'stg_ga4__events', 'session_key', 'fct_sessions', 'session_key', (SELECT count(*) FROM "
+    "(SELECT DISTINCT session_key FROM stg WHERE session_key IS NOT NULL) c WHERE NOT EXISTS "
+    "(SELECT 1 FROM sessions p WHERE p.session_key = c.session_key))")))
+def q_quality_relationships(spark, sf):
+    from liftlens.operators.quality import relationships
+    stg, ses = M.staging(spark, sf), M.sessions(spark, sf)
+    return relationships(ses, "session_key", stg, "session_key", "fct_sessions", "stg_ga4__events").unionByName(
+        relationships(stg, "session_key", ses, "session_key", "stg_ga4__events", "fct_sessions"))
+
+
+# --- time spine and governed metrics (M1-M9) ---------------------------------
+
+@register("time_spine", O.with_(*O.BASE, O.SPINE, body="SELECT date_day FROM spine"))
+def q_time_spine(spark, sf):
+    from liftlens.operators.metrics import spine_from
+    return spine_from(M.staging(spark, sf), "event_date")
+
+
+def _metric_tables(spark, sf, estimates: bool = False):
+    t = {"sessions": M.sessions(spark, sf)}
+    if estimates:
+        t["causal_estimates"] = M.latest(spark, sf)
+    return t
+
+
+def _metric(spark, sf, metrics, group_by, estimates=False, **kw):
+    from liftlens.operators.metrics import query_metrics
+    return query_metrics(_metric_tables(spark, sf, estimates), metrics, group_by, **kw)
+
+
+@register("metric_sessions_by_day", O.with_(*O.SESS, body=(
+    "SELECT session_date AS metric_time__day, count(session_key) AS sessions FROM sessions GROUP BY 1")))
+def q_metric_sessions_by_day(spark, sf):
+    return _metric(spark, sf, ["sessions"], ["metric_time__day"])
+
+
+@register("metric_conversion_rate_by_day", O.with_(*O.SESS, body=(
+    "SELECT session_date AS metric_time__day, CAST(sum(CAST(converted AS BIGINT)) AS DOUBLE) / "
+    "count(session_key) AS conversion_rate FROM sessions GROUP BY 1")))
+def q_metric_conversion_rate_by_day(spark, sf):
+    return _metric(spark, sf, ["conversion_rate"], ["metric_time__day"])
+
+
+@register("metric_conversion_rate_by_device", O.with_(*O.SESS, body=(
+    "SELECT device_category AS session__device_category, count(session_key) AS sessions, "
+    "CAST(sum(CAST(converted AS BIGINT)) AS BIGINT) AS conversions, "
+    "CAST(sum(CAST(converted AS BIGINT)) AS DOUBLE) / count(session_key) AS conversion_rate "
+    "FROM sessions GROUP BY 1")))
+def q_metric_conversion_rate_by_device(spark, sf):
+    return _metric(spark, sf, ["sessions", "conversions", "conversion_rate"], ["session__device_category"])
+
+
+@register("metric_revenue_by_medium", O.with_(*O.SESS, body=(
+    "SELECT first_touch_medium AS session__first_touch_medium, is_paid AS session__is_paid, "
+    "CAST(sum(CAST(session_revenue_usd AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM sessions GROUP BY 1, 2")))
+def q_metric_revenue_by_medium(spark, sf):
+    return _metric(spark, sf, ["revenue"], ["session__first_touch_medium", "session__is_paid"])
+
+
+LIFT = ("SELECT CAST(run_date AS DATE) AS metric_time__day, "
+        "avg(CASE WHEN method = 'propensity_score_weighting' THEN {col} END) AS {name} FROM latest GROUP BY 1")
+
+
+@register("metric_causal_lift", O.with_(*O.latest_chain(), body=LIFT.format(col="ate", name="causal_lift_estimate")))
+def q_metric_causal_lift(spark, sf):
+    from liftlens.operators.metrics import query_metrics
+    return query_metrics({"causal_estimates": M.latest(spark, sf)}, ["causal_lift_estimate"], ["metric_time__day"])
+
+
+@register("metric_naive_lift", O.with_(*O.latest_chain(), body=LIFT.format(col="naive_difference",
+                                                                           name="naive_conversion_lift")))
+def q_metric_naive_lift(spark, sf):
+    from liftlens.operators.metrics import query_metrics
+    return query_metrics({"causal_estimates": M.latest(spark, sf)}, ["naive_conversion_lift"], ["metric_time__day"])
+
+
+@register("metric_mixed_models", O.with_(*O.latest_chain(), body=(
+    "SELECT coalesce(a.d, b.d) AS metric_time__day, a.sessions, b.causal_lift_estimate FROM "
+    "(SELECT session_date AS d, count(session_key) AS sessions FROM sessions GROUP BY 1) a FULL OUTER JOIN "
+    f"({LIFT.format(col='ate', name='causal_lift_estimate').replace('AS metric_time__day', 'AS d')}) b "
+    "ON a.d = b.d")))
+def q_metric_mixed_models(spark, sf):
+    return _metric(spark, sf, ["sessions", "causal_lift_estimate"], ["metric_time__day"], estimates=True)
+
+
+@register("metric_sessions_spine", O.with_(*O.SESS, O.SPINE, body=(
+    "SELECT s.date_day AS metric_time__day, coalesce(m.sessions, 0) AS sessions, "
+    "coalesce(m.conversions, 0) AS conversions FROM spine s LEFT JOIN "
+    "(SELECT session_date AS d, count(session_key) AS sessions, CAST(sum(CAST(converted AS BIGINT)) AS BIGINT) "
+    "AS conversions FROM sessions GROUP BY 1) m ON s.date_day = m.d")))
+def q_metric_sessions_spine(spark, sf):
+    from liftlens.operators.metrics import spine_from
+    spine = spine_from(M.staging(spark, sf), "event_date")
+    return _metric(spark, sf, ["sessions", "conversions"], ["metric_time__day"], spine=spine, fill_nulls_with=0)
+
+
+# --- exploration (E1-E4, A13-A15, K4) ----------------------------------------
+
+@register("table_shape", O.with_(*O.SESS, body=(
+    "SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_columns, min(session_date) AS date_start, "
+    "max(session_date) AS date_end FROM sessions")))
+def q_table_shape(spark, sf):
+    from liftlens.operators.reports import table_shape
+    return table_shape(M.sessions(spark, sf))
+
+
+@register("null_profile", O.with_(*O.SESS, body=" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM sessions"
+    for c in ("is_paid", "converted", "device_category", "geo_country", "is_new_user", "session_date"))))
+def q_null_profile(spark, sf):
+    from liftlens.operators.reports import null_profile
+    return null_profile(M.sessions(spark, sf))
+
+
+@register("treatment_distribution", O.with_(*O.SESS, body=(
+    "SELECT count(*) AS n_sessions, CAST(count_if(NOT is_paid) AS BIGINT) AS n_control, "
+    "CAST(count_if(is_paid) AS BIGINT) AS n_paid, CAST(count_if(is_paid) AS DOUBLE) / count(*) AS share_paid, "
+    "CAST(count_if(NOT is_paid) AS DOUBLE) / count_if(is_paid) AS imbalance_ratio, "
+    "CAST(count_if(converted) AS BIGINT) AS n_converted, "
+    "CAST(count_if(converted) AS DOUBLE) / count(*) AS share_converted FROM sessions")))
+def q_treatment_distribution(spark, sf):
+    from liftlens.operators.reports import treatment_distribution
+    return treatment_distribution(M.sessions(spark, sf))
+
+
+@register("arm_rates", O.with_(*O.FRAMED, body=(
+    "SELECT treatment, count(*) AS sessions, CAST(sum(outcome) AS BIGINT) AS conversions, "
+    "avg(outcome) AS conversion_rate FROM frame GROUP BY 1")))
+def q_arm_rates(spark, sf):
+    from liftlens.operators.reports import arm_rates
+    return arm_rates(M.frame(spark, sf))
+
+
+@register("sessions_preview", O.with_(*O.FRAMED, body="SELECT * FROM frame ORDER BY session_key LIMIT 5"))
+def q_sessions_preview(spark, sf):
+    from liftlens.operators.reports import preview
+    return preview(M.frame(spark, sf))

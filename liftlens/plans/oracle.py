@@ -311,3 +311,38 @@ def latest_chain() -> tuple:
 
 def summary_chain() -> tuple:
     return latest_chain() + (summary_sql(),)
+
+
+# --- quality, metrics, spine --------------------------------------------------
+
+SPINE = """
+spine AS (
+  SELECT CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date_day
+  FROM (SELECT min(event_date) AS a, max(event_date) AS b FROM stg)
+)"""
+
+MODEL_CTE = {"stg_ga4__events": "stg", "fct_sessions": "sessions", "fct_causal_estimates": "latest",
+             "rpt_channel_performance": "channel", "rpt_causal_summary": "summary",
+             "metricflow_time_spine": "spine"}
+
+
+def quality_sql() -> str:
+    from liftlens.operators.quality import DECLARED_TESTS
+    parts = []
+    for t in DECLARED_TESTS:
+        src, c = MODEL_CTE[t.model], t.column
+        if t.test == "not_null":
+            f = f"(SELECT count(*) FROM {src} WHERE {c} IS NULL)"
+        elif t.test == "unique":
+            f = (f"(SELECT count(*) FROM (SELECT {c} FROM {src} WHERE {c} IS NOT NULL "
+                 f"GROUP BY {c} HAVING count(*) > 1))")
+        else:
+            vals = ", ".join(_q(v) for v in t.values)
+            f = f"(SELECT count(DISTINCT {c}) FROM {src} WHERE {c} NOT IN ({vals}))"
+        parts.append(f"SELECT '{t.model}' AS model, '{c}' AS column_name, '{t.test}' AS test, "
+                     f"CAST({f} AS BIGINT) AS failures")
+    return " UNION ALL ".join(parts)
+
+
+def quality_chain() -> tuple:
+    return summary_chain() + (CHANNEL, SPINE)
