@@ -482,3 +482,58 @@ def q_arm_rates(spark, sf):
 def q_sessions_preview(spark, sf):
     from liftlens.operators.reports import preview
     return preview(M.frame(spark, sf))
+
+
+# --- bootstrap and placebo (C8 C9 A16) ---------------------------------------
+
+@register("ipw_bootstrap_replicates", O.with_(*O.boot_chain(), body="SELECT * FROM reps"))
+def q_ipw_bootstrap_replicates(spark, sf):
+    from liftlens.operators.causal.bootstrap import replicate_estimates
+    return _r9(replicate_estimates(M.frame(spark, sf)), "ate")
+
+
+@register("ipw_bootstrap_ci", O.with_(*O.boot_chain(), O.CELLS, O.SCORED, body=O.bootstrap_ci_sql()))
+def q_ipw_bootstrap_ci(spark, sf):
+    from liftlens.operators.causal.bootstrap import bootstrap_ci, replicate_estimates
+    from liftlens.operators.causal.estimators import ipw_ate
+    reps = _r9(replicate_estimates(M.frame(spark, sf)), "ate")
+    point = _r9(ipw_ate(M.scored(spark, sf)), "ate")
+    return _r9(bootstrap_ci(reps, point), "ci_low", "ci_high", "sd")
+
+
+@register("bootstrap_logit")
+def q_bootstrap_logit(spark, sf):
+    """The reference's setting: logit score refitted in each of 200 replicates."""
+    from liftlens.operators.causal.bootstrap import bootstrap_ci, replicate_estimates
+    from liftlens.operators.causal.estimators import ipw_ate
+    reps = replicate_estimates(M.frame(spark, sf), model="logit")
+    return bootstrap_ci(reps, ipw_ate(M.scored(spark, sf, model="logit")))
+
+
+@register("bootstrap_grouped_ci")
+def q_bootstrap_grouped_ci(spark, sf):
+    """Poisson bootstrap drawn per (cell, treatment, outcome): cost independent of sessions."""
+    from liftlens.operators.causal.bootstrap import bootstrap_ci, replicate_estimates
+    from liftlens.operators.causal.estimators import ipw_ate
+    reps = replicate_estimates(M.frame(spark, sf), method="grouped")
+    return bootstrap_ci(reps, ipw_ate(M.scored(spark, sf)))
+
+
+@register("placebo_replicates", O.with_(*O.placebo_chain(), body=O.ipw_sql("pscored", keys="sim")))
+def q_placebo_replicates(spark, sf):
+    from liftlens.operators.causal.refute import placebo_estimates
+    return _r9(placebo_estimates(M.frame(spark, sf)), "ate")
+
+
+@register("placebo_effect", O.with_(*O.placebo_chain(), body=(
+    "SELECT round(avg(ate), 9) AS placebo_effect, round(stddev_samp(ate), 9) AS placebo_sd, "
+    f"count(*) AS simulations FROM ({O.ipw_sql('pscored', keys='sim')})")))
+def q_placebo_effect(spark, sf):
+    from liftlens.operators.causal.refute import placebo_effect, placebo_estimates
+    return _r9(placebo_effect(_r9(placebo_estimates(M.frame(spark, sf)), "ate")), "placebo_effect", "placebo_sd")
+
+
+@register("placebo_effect_logit")
+def q_placebo_effect_logit(spark, sf):
+    from liftlens.operators.causal.refute import placebo_effect, placebo_estimates
+    return placebo_effect(placebo_estimates(M.frame(spark, sf), model="logit"))

@@ -346,3 +346,54 @@ def quality_sql() -> str:
 
 def quality_chain() -> tuple:
     return summary_chain() + (CHANNEL, SPINE)
+
+
+# --- bootstrap and placebo ----------------------------------------------------
+
+def boot_chain(replicates: int = 200, seed: int = 42) -> tuple:
+    from liftlens.functions.hashing import sql_poisson1, sql_uniform
+    u = sql_uniform(f"f.session_key || '|boot|' || CAST(r.replicate AS VARCHAR) || '|{seed}'")
+    boot = f"""
+bw AS (
+  SELECT f.*, r.replicate, {sql_poisson1(u)} AS w
+  FROM frame f, (SELECT unnest(range({replicates})) AS replicate) r
+)"""
+    bcells = """
+bcells AS (
+  SELECT replicate, is_new_user, device, geo, CAST(sum(w) AS BIGINT) AS n, CAST(sum(w * treatment) AS BIGINT) AS n1,
+    CAST(sum(w * outcome) AS BIGINT) AS y, CAST(sum(w * treatment * outcome) AS BIGINT) AS y1
+  FROM bw WHERE w > 0 GROUP BY ALL
+)"""
+    bscored = """
+bscored AS (SELECT *, CAST(n1 AS DOUBLE) / n AS ps FROM bcells)"""
+    reps = f"""
+reps AS ({ipw_sql('bscored', keys='replicate')})"""
+    return FRAMED + (boot, bcells, bscored, reps)
+
+
+def bootstrap_ci_sql() -> str:
+    point = ipw_sql("scored")
+    return (f"SELECT p.ate, round(q[1], 9) AS ci_low, round(q[2], 9) AS ci_high, round(sd, 9) AS sd, "
+            f"share_positive, replicates FROM ({point}) p, "
+            f"(SELECT quantile_cont(ate, [0.025, 0.975]) AS q, stddev_samp(ate) AS sd, "
+            f"avg(CAST(ate > 0 AS DOUBLE)) AS share_positive, count(*) AS replicates FROM reps) s")
+
+
+def placebo_chain(simulations: int = 10, seed: int = 42) -> tuple:
+    from liftlens.functions.hashing import sql_uniform
+    u = sql_uniform(f"f.session_key || '|placebo|' || CAST(s.sim AS VARCHAR) || '|{seed}'")
+    perm = f"""
+perm AS (
+  SELECT f.*, s.sim, row_number() OVER (PARTITION BY s.sim ORDER BY {u}, f.session_key) AS rn,
+    (SELECT sum(treatment) FROM frame) AS n1tot
+  FROM frame f, (SELECT unnest(range({simulations})) AS sim) s
+)"""
+    pcells = """
+pcells AS (
+  SELECT sim, is_new_user, device, geo, count(*) AS n, CAST(sum(CASE WHEN rn <= n1tot THEN 1 ELSE 0 END) AS BIGINT) AS n1,
+    CAST(sum(outcome) AS BIGINT) AS y, CAST(sum(CASE WHEN rn <= n1tot THEN outcome ELSE 0 END) AS BIGINT) AS y1
+  FROM perm GROUP BY ALL
+)"""
+    pscored = """
+pscored AS (SELECT *, CAST(n1 AS DOUBLE) / n AS ps FROM pcells)"""
+    return FRAMED + (perm, pcells, pscored)
