@@ -537,3 +537,106 @@ def q_placebo_effect(spark, sf):
 def q_placebo_effect_logit(spark, sf):
     from liftlens.operators.causal.refute import placebo_effect, placebo_estimates
     return placebo_effect(placebo_estimates(M.frame(spark, sf), model="logit"))
+
+
+# --- incremental loads and streaming (S3 S5 S7 S12 S13 X1) -------------------
+
+def _land_all(spark, sf):
+    from liftlens.session import fresh_dir
+    from liftlens.sources.shards import land_shards
+    root = fresh_dir(spark, "shards")
+    raw_root = f"{root}/raw"
+    land_shards(M.raw_events(spark, sf), raw_root)
+    return root, raw_root
+
+
+def _days(spark, raw_root):
+    from liftlens.sources.shards import read_shards, shard_row_counts
+    # one row per landed day: bounded by the calendar, not by the data
+    return sorted(r["shard"] for r in shard_row_counts(read_shards(spark, raw_root)).select("shard").collect())
+
+
+@register("incremental_reload", O.stg_query())
+def q_incremental_reload(spark, sf):
+    """Land shards, backfill part of the range, re-load an overlapping range and
+    re-run one day (idempotent), then read staging back."""
+    from liftlens.sources.shards import backfill, land_shards, load_staging, read_staging
+    root, raw_root = _land_all(spark, sf)
+    stg_root = f"{root}/stg"
+    days = _days(spark, raw_root)
+    half = len(days) // 2
+    backfill(spark, raw_root, stg_root, days[: half + 3])                # S13, one job
+    load_staging(spark, raw_root, stg_root, days=days[half:])            # S5: overlap replaced
+    land_shards(M.raw_events(spark, sf), raw_root, days=days[:1])        # S3: re-land one day
+    load_staging(spark, raw_root, stg_root, days=days[:1])               # idempotent re-run
+    return read_staging(spark, stg_root)
+
+
+@register("full_refresh_one_day", O.with_(*O.BASE, body=(
+    f"SELECT {O.STG_COLS} FROM stg WHERE event_date_key = (SELECT max(event_date_key) FROM stg)")))
+def q_full_refresh_one_day(spark, sf):
+    """A static overwrite replaces the whole staging table, here with the last day only."""
+    from liftlens.sources.shards import load_staging, read_staging
+    root, raw_root = _land_all(spark, sf)
+    stg_root = f"{root}/stg"
+    days = _days(spark, raw_root)
+    load_staging(spark, raw_root, stg_root)                              # all days
+    load_staging(spark, raw_root, stg_root, days=days[-1:], full_refresh=True)
+    return read_staging(spark, stg_root)
+
+
+@register("stream_sessions_equals_batch", SESSION_SQL)
+def q_stream_sessions_equals_batch(spark, sf):
+    """Shards streamed in several micro-batches into staging, then sessionized."""
+    from liftlens.operators.sessions import sessionize
+    from liftlens.sources.shards import read_staging
+    from liftlens.streaming.shard_stream import stream_shards_to_staging
+    root, raw_root = _land_all(spark, sf)
+    stg_root = f"{root}/stg"
+    stream_shards_to_staging(spark, raw_root, stg_root, f"{root}/stream-checkpoint", max_files_per_trigger=7)
+    return sessionize(read_staging(spark, stg_root))
+
+
+# --- the same estimators on the order star schema ----------------------------
+
+@register("orders_urgency_cells", O.with_(*O.ORDER_CHAIN, body="SELECT * FROM ocells"))
+def q_orders_urgency_cells(spark, sf):
+    return M.order_cells(spark, sf)
+
+
+@register("orders_urgency_naive", O.with_(*O.ORDER_CHAIN, body=(
+    "SELECT round(CAST(sum(y1) AS DOUBLE) / sum(n1) - CAST(sum(y) - sum(y1) AS DOUBLE) / (sum(n) - sum(n1)), 9) "
+    "AS ate FROM ocells")))
+def q_orders_urgency_naive(spark, sf):
+    from liftlens.operators.causal.estimators import naive_difference
+    return _r9(naive_difference(M.order_cells(spark, sf)), "ate")
+
+
+@register("orders_urgency_ipw", O.with_(*O.ORDER_CHAIN, body=O.ipw_sql("oscored")))
+def q_orders_urgency_ipw(spark, sf):
+    from liftlens.operators.causal.estimators import ipw_ate
+    from liftlens.operators.causal.propensity import saturated_scores
+    return _r9(ipw_ate(saturated_scores(M.order_cells(spark, sf))), "ate")
+
+
+@register("orders_urgency_matching", O.with_(*O.ORDER_CHAIN, body=_sub(O.matching_sql("oscored"))))
+def q_orders_urgency_matching(spark, sf):
+    from liftlens.operators.causal.estimators import matching_ate
+    from liftlens.operators.causal.propensity import saturated_scores
+    return _r9(matching_ate(saturated_scores(M.order_cells(spark, sf))), "ate", "att", "atc")
+
+
+@register("orders_urgency_stratified", O.with_(*O.ORDER_CHAIN, body=_sub(
+    O.stratified_sql("oscored", candidates=(50, 25, 12, 6, 3, 1), auto=True))))
+def q_orders_urgency_stratified(spark, sf):
+    from liftlens.operators.causal.estimators import stratified_ate
+    from liftlens.operators.causal.propensity import saturated_scores
+    return _r9(stratified_ate(saturated_scores(M.order_cells(spark, sf))), "ate")
+
+
+@register("orders_urgency_logit")
+def q_orders_urgency_logit(spark, sf):
+    from liftlens.operators.causal.star import ORDER_CONFOUNDERS
+    from liftlens.operators.causal.estimators import ipw_ate
+    from liftlens.operators.causal.propensity import logit_scores
+    return ipw_ate(logit_scores(M.order_cells(spark, sf), ORDER_CONFOUNDERS))

@@ -72,3 +72,8 @@ def latest(spark: SparkSession, sf: str) -> DataFrame:
 def summary(spark: SparkSession, sf: str) -> DataFrame:
     from liftlens.operators.reports import causal_summary
     return causal_summary(latest(spark, sf))
+
+
+def order_cells(spark: SparkSession, sf: str) -> DataFrame:
+    from liftlens.operators.causal.star import order_cells as build
+    return build(*(table(spark, sf, t) for t in ("orders", "customer", "nation", "lineitem")))

@@ -397,3 +397,21 @@ pcells AS (
     pscored = """
 pscored AS (SELECT *, CAST(n1 AS DOUBLE) / n AS ps FROM pcells)"""
     return FRAMED + (perm, pcells, pscored)
+
+
+# --- orders domain -----------------------------------------------------------
+
+ORDER_CHAIN = ("""
+ret AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""", """
+oframe AS (
+  SELECT c.c_mktsegment, CAST(n.n_regionkey AS VARCHAR) AS n_regionkey, o.o_orderstatus,
+    CAST(o.o_orderpriority = '1-URGENT' AS INTEGER) AS treatment, CAST(r.l_orderkey IS NOT NULL AS INTEGER) AS outcome
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN ret r ON o.o_orderkey = r.l_orderkey
+)""", """
+ocells AS (
+  SELECT c_mktsegment, n_regionkey, o_orderstatus, count(*) AS n, CAST(sum(treatment) AS BIGINT) AS n1,
+    CAST(sum(outcome) AS BIGINT) AS y, CAST(sum(treatment * outcome) AS BIGINT) AS y1
+  FROM oframe GROUP BY ALL
+)""", """
+oscored AS (SELECT *, CAST(n1 AS DOUBLE) / n AS ps FROM ocells)""")
