@@ -45,9 +45,13 @@ def replicate_ids(replicates: int):
 def bootstrap_cells(frame: DataFrame, replicates: int = REPLICATES, seed: int = SEED,
                     confounders: Sequence[str] = CONFOUNDERS, key: str = "session_key") -> DataFrame:
     rows = frame.select(key, "treatment", "outcome", *confounders, replicate_ids(replicates))
-    w = poisson1(uniform(F.col(key), F.lit("boot"), F.col("replicate"), F.lit(seed)))
-    rows = rows.withColumn("_w", w).where(F.col("_w") > 0)
-    return build_cells(rows, confounders, keys=["replicate"], weight="_w")
+    # the hash is its own projection: the Poisson CASE chain reads it 13 times,
+    # so Catalyst keeps it materialised instead of inlining the md5.  Zero
+    # weights are dropped after aggregation (a row filter on the weight would
+    # be pushed below the projection and evaluate the hash twice).
+    rows = rows.withColumn("_u", uniform(F.col(key), F.lit("boot"), F.col("replicate"), F.lit(seed)))
+    rows = rows.withColumn("_w", poisson1(F.col("_u")))
+    return build_cells(rows, confounders, keys=["replicate"], weight="_w").where(F.col("n") > 0)
 
 
 def grouped_bootstrap_cells(cells_ty: DataFrame, replicates: int = REPLICATES, seed: int = SEED,
@@ -81,7 +85,7 @@ def treatment_outcome_groups(frame: DataFrame, confounders: Sequence[str] = CONF
 
 
 def replicate_estimates(frame: DataFrame, replicates: int = REPLICATES, seed: int = SEED,
-                        model: str = "saturated", clip=DEFAULT_CLIP, method: str = "rows",
+                        model: str = "saturated", clip=DEFAULT_CLIP, method: str = "grouped",
                         confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
     """(replicate, ate) with the propensity refitted in every replicate."""
     if method == "rows":

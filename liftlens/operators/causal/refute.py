@@ -11,14 +11,24 @@ aggregation) locates the bucket where the running count crosses N1; units in
 lower buckets are treated, in higher buckets not, and only the boundary
 bucket (about N/buckets units per simulation) is ranked.  Same result as the
 plain ``row_number`` version, which serves as the SQL oracle.
+
+``method='grouped'`` draws the same permutation distribution from the cell
+table alone: under a random permutation the placebo-treated counts per cell
+are multivariate hypergeometric (N1 labels over the cells' sizes), and the
+placebo-treated outcomes of a cell are hypergeometric given that count.  One
+``applyInPandas`` group per simulation holds one cell table (bounded by the
+encoding), so the cost does not grow with the number of sessions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from liftlens.functions.hashing import uniform
 from liftlens.operators.causal.cells import build_cells
@@ -59,12 +69,44 @@ def placebo_frame(frame: DataFrame, simulations: int = SIMULATIONS, seed: int =
     return plain.unionByName(edge)
 
 
+def grouped_placebo_cells(cells: DataFrame, simulations: int = SIMULATIONS, seed: int = SEED,
+                          confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
+    """Placebo cell tables (keys ``sim``) drawn from the observed cells."""
+    conf = list(confounders)
+    reps = cells.select(*conf, "n", "n1", "y", F.explode(F.sequence(F.lit(0), F.lit(simulations - 1))).alias("sim"))
+    schema = T.StructType([reps.schema["sim"], *[reps.schema[c] for c in conf],
+                           T.StructField("n", T.LongType()), T.StructField("n1", T.LongType()),
+                           T.StructField("y", T.LongType()), T.StructField("y1", T.LongType())])
+
+    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(conf, kind="mergesort").reset_index(drop=True)   # order-free draws
+        rng = np.random.default_rng([seed, int(pdf["sim"].iloc[0])])
+        n = pdf["n"].to_numpy(dtype=np.int64)
+        n1 = rng.multivariate_hypergeometric(n, int(pdf["n1"].sum()))
+        y = pdf["y"].to_numpy(dtype=np.int64)
+        y1 = np.array([rng.hypergeometric(int(g), int(t - g), int(k)) if k > 0 else 0
+                       for g, t, k in zip(y, n, n1)], dtype=np.int64)
+        out = pdf[["sim", *conf]].copy()
+        out["n"], out["n1"], out["y"], out["y1"] = n, n1, y, y1
+        return out
+    return reps.groupBy("sim").applyInPandas(draw, schema)
+
+
 def placebo_estimates(frame: DataFrame, simulations: int = SIMULATIONS, seed: int = SEED,
                       model: str = "saturated", clip=DEFAULT_CLIP, buckets: int = BUCKETS,
-                      confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
-    """(sim, ate) under permuted treatment, propensity refitted per simulation."""
-    pf = placebo_frame(frame, simulations, seed, buckets, confounders)
-    cells = build_cells(pf, confounders, keys=["sim"])
+                      confounders: Sequence[str] = CONFOUNDERS, method: str = "rows") -> DataFrame:
+    """(sim, ate) under permuted treatment, propensity refitted per simulation.
+
+    ``rows`` permutes unit by unit (hash order, SQL-checkable); ``grouped``
+    draws the permuted cell tables directly (cost independent of units).
+    """
+    if method == "grouped":
+        cells = grouped_placebo_cells(build_cells(frame, confounders), simulations, seed, confounders)
+    elif method == "rows":
+        pf = placebo_frame(frame, simulations, seed, buckets, confounders)
+        cells = build_cells(pf, confounders, keys=["sim"])
+    else:
+        raise ValueError("method must be 'rows' or 'grouped'")
     scored = score_cells(cells, model=model, confounders=confounders, keys=["sim"])
     return ipw_ate(scored, keys=["sim"], clip=clip)
 

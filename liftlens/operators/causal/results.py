@@ -15,12 +15,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from liftlens.operators.causal.cells import build_cells, merge_cells, run_stats
+from liftlens.operators.causal.cells import build_cells, run_stats
 from liftlens.operators.causal.encode import CONFOUNDERS
 from liftlens.operators.causal.estimators import (DEFAULT_CLIP, ipw_ate, matching_ate,
                                                   stratified_ate)
 from liftlens.operators.causal.propensity import score_cells
 from liftlens.operators.reports import MATCHING, STRATIFICATION, WEIGHTING
+from liftlens.session import materialize
 
 REFERENCE_METHODS = (MATCHING, WEIGHTING)
 ALL_METHODS = (MATCHING, WEIGHTING, STRATIFICATION)
@@ -60,14 +61,25 @@ def causal_estimates(frame: DataFrame, run_at, methods: Sequence[str] = REFERENC
                      confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
     """Rows of the estimates table for one run (``run_at``: a timestamp literal/column)."""
     keyed = frame.withColumn("_run", F.lit(0))
-    cells = build_cells(keyed, confounders, keys=["_run"])
-    scored = score_cells(cells, model=model, confounders=confounders, keys=["_run"])
+    cells = _cells_with_dates(keyed, confounders, ["_run"])
+    # scored cells feed every estimator and the run statistics: write them once
+    scored = materialize(score_cells(cells, model=model, confounders=confounders, keys=["_run"]))
     est = method_estimates(scored, ["_run"], methods, clip)
-    stats = run_stats(cells, ["_run"]).join(
-        keyed.groupBy("_run").agg(F.min("session_date").alias("data_start"),
-                                  F.max("session_date").alias("data_end")), "_run")
     run_at = run_at if isinstance(run_at, Column) else F.lit(run_at)
-    return _assemble(est, stats, ["_run"], run_at.cast("timestamp_ntz"))
+    return _assemble(est, _stats_with_dates(scored, ["_run"]), ["_run"], run_at.cast("timestamp_ntz"))
+
+
+def _cells_with_dates(frame: DataFrame, confounders: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    return frame.groupBy(*keys, *confounders).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("treatment").cast("bigint").alias("n1"),
+        F.sum("outcome").cast("bigint").alias("y"),
+        F.sum(F.col("treatment") * F.col("outcome")).cast("bigint").alias("y1"),
+        F.min("session_date").alias("d_min"), F.max("session_date").alias("d_max"))
+
+
+def _stats_with_dates(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    dates = cells.groupBy(*keys).agg(F.min("d_min").alias("data_start"), F.max("d_max").alias("data_end"))
+    return run_stats(cells, keys).join(dates, list(keys))
 
 
 def estimate_history(frame: DataFrame, methods: Sequence[str] = ALL_METHODS, model: str = "saturated",
@@ -81,11 +93,11 @@ def estimate_history(frame: DataFrame, methods: Sequence[str] = ALL_METHODS, mod
     last = daily.withColumn("_last", F.max("session_date").over(Window.partitionBy()))
     expanded = last.withColumn(
         "run_date", F.explode(F.sequence(F.col("session_date"), F.col("_last"), F.expr("INTERVAL 1 DAY"))))
-    cells = merge_cells(expanded, confounders, keys=["run_date"])
-    scored = score_cells(cells, model=model, confounders=confounders, keys=["run_date"])
+    cells = expanded.groupBy("run_date", *confounders).agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("n", "n1", "y", "y1")],
+        F.min("session_date").alias("d_min"), F.max("session_date").alias("d_max"))
+    scored = materialize(score_cells(cells, model=model, confounders=confounders, keys=["run_date"]))
     est = method_estimates(scored, ["run_date"], methods, clip)
-    dates = expanded.groupBy("run_date").agg(F.min("session_date").alias("data_start"),
-                                             F.max("session_date").alias("data_end"))
-    stats = run_stats(cells, ["run_date"]).join(dates, "run_date")
     run_at = F.timestamp_add("DAY", F.lit(1), F.col("run_date").cast("timestamp_ntz"))
-    return _assemble(est, stats, ["run_date"], run_at)
+    # runs x methods rows: written once, read by every report view
+    return materialize(_assemble(est, _stats_with_dates(scored, ["run_date"]), ["run_date"], run_at))

@@ -326,11 +326,20 @@ def q_causal_estimates(spark, sf):
 # --- quality (Q1-Q4) ---------------------------------------------------------
 
 def _quality_models(spark, sf):
+    from liftlens.operators.causal.encode import model_frame
+    from liftlens.operators.causal.results import ALL_METHODS, estimate_history
     from liftlens.operators.metrics import spine_from
+    from liftlens.operators.reports import causal_summary, channel_performance, latest_estimates
+    from liftlens.operators.sessions import sessionize
+    from liftlens.session import materialize
     stg = M.staging(spark, sf)
-    return {"stg_ga4__events": stg, "fct_sessions": M.sessions(spark, sf),
-            "fct_causal_estimates": M.latest(spark, sf), "rpt_channel_performance": M.channel(spark, sf),
-            "rpt_causal_summary": M.summary(spark, sf),
+    # the mart is read by four tests and three downstream models: write it once
+    sessions = materialize(sessionize(stg))
+    latest = latest_estimates(estimate_history(model_frame(sessions, null_treatment=M.NULL_TREATMENT),
+                                               methods=ALL_METHODS))
+    return {"stg_ga4__events": stg, "fct_sessions": sessions,
+            "fct_causal_estimates": latest, "rpt_channel_performance": channel_performance(sessions),
+            "rpt_causal_summary": causal_summary(latest),
             "metricflow_time_spine": spine_from(stg, "event_date")}
 
 
@@ -489,24 +498,25 @@ def q_sessions_preview(spark, sf):
 @register("ipw_bootstrap_replicates", O.with_(*O.boot_chain(), body="SELECT * FROM reps"))
 def q_ipw_bootstrap_replicates(spark, sf):
     from liftlens.operators.causal.bootstrap import replicate_estimates
-    return _r9(replicate_estimates(M.frame(spark, sf)), "ate")
+    return _r9(replicate_estimates(M.frame(spark, sf), method="rows"), "ate")
 
 
 @register("ipw_bootstrap_ci", O.with_(*O.boot_chain(), O.CELLS, O.SCORED, body=O.bootstrap_ci_sql()))
 def q_ipw_bootstrap_ci(spark, sf):
     from liftlens.operators.causal.bootstrap import bootstrap_ci, replicate_estimates
     from liftlens.operators.causal.estimators import ipw_ate
-    reps = _r9(replicate_estimates(M.frame(spark, sf)), "ate")
+    reps = _r9(replicate_estimates(M.frame(spark, sf), method="rows"), "ate")
     point = _r9(ipw_ate(M.scored(spark, sf)), "ate")
     return _r9(bootstrap_ci(reps, point), "ci_low", "ci_high", "sd")
 
 
 @register("bootstrap_logit")
 def q_bootstrap_logit(spark, sf):
-    """The reference's setting: logit score refitted in each of 200 replicates."""
+    """The reference's setting: logit score refitted in each of 200 replicates
+    (grouped Poisson draws, cost independent of the number of sessions)."""
     from liftlens.operators.causal.bootstrap import bootstrap_ci, replicate_estimates
     from liftlens.operators.causal.estimators import ipw_ate
-    reps = replicate_estimates(M.frame(spark, sf), model="logit")
+    reps = replicate_estimates(M.frame(spark, sf), model="logit", method="grouped")
     return bootstrap_ci(reps, ipw_ate(M.scored(spark, sf, model="logit")))
 
 
@@ -640,3 +650,10 @@ def q_orders_urgency_logit(spark, sf):
     from liftlens.operators.causal.estimators import ipw_ate
     from liftlens.operators.causal.propensity import logit_scores
     return ipw_ate(logit_scores(M.order_cells(spark, sf), ORDER_CONFOUNDERS))
+
+
+@register("placebo_effect_grouped")
+def q_placebo_effect_grouped(spark, sf):
+    """Placebo permutations drawn per cell (exact permutation distribution, cost independent of sessions)."""
+    from liftlens.operators.causal.refute import placebo_effect, placebo_estimates
+    return placebo_effect(placebo_estimates(M.frame(spark, sf), method="grouped"))

@@ -71,3 +71,18 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder (never reused, never cleared)."""
     return shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "stage"):
+    """Compute ``df`` once, write it below the shared folder, continue from the copy.
+
+    Used for intermediates read by several branches (scored cells feeding
+    three estimators, the session mart feeding the data tests): the lineage is
+    cut, so branches and retries after a lost executor start from the written
+    table instead of recomputing from the raw events.  A written Parquet table
+    costs one pass; ``checkpoint()`` would compute the lineage twice.
+    """
+    spark = df.sparkSession
+    path = fresh_dir(spark, f"mat-{name}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

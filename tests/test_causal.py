@@ -135,3 +135,14 @@ def test_placebo_bucketed_rank_equals_plain_rank(spark):
         want = {(r.session_key, r.sim): int(r.rn <= n1) for r in x.withColumn("rn", rn).collect()}
         assert got == want
         assert sum(got.values()) == 3 * n1
+
+
+def test_grouped_placebo_keeps_margins_and_centres(spark, mid_cells):
+    from liftlens.operators.causal.refute import grouped_placebo_cells
+    sims = grouped_placebo_cells(mid_cells, simulations=40)
+    tot = mid_cells.agg(F.sum("n1"), F.sum("n"), F.sum("y")).first()
+    per = sims.groupBy("sim").agg(F.sum("n1").alias("n1"), F.sum("n").alias("n"), F.sum("y").alias("y")).collect()
+    assert len(per) == 40 and all((r.n1, r.n, r.y) == tuple(tot) for r in per)
+    assert sims.where((F.col("y1") > F.col("n1")) | (F.col("y1") > F.col("y"))).count() == 0
+    ate = ipw_ate(saturated_scores(sims), keys=["sim"]).agg(F.avg("ate")).first()[0]
+    assert abs(ate) < 0.03          # placebo effects centre on zero
