@@ -16,10 +16,21 @@ from pyspark.sql import functions as F
 TWO_32 = 4294967296.0
 
 
-def uniform(*parts: Column | str) -> Column:
+def hash_key(*parts: Column | str) -> Column:
     cols = [F.col(p) if isinstance(p, str) else p for p in parts]
-    key = F.concat_ws("|", *[c.cast("string") for c in cols])
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") / F.lit(TWO_32)
+    return F.concat_ws("|", *[c.cast("string") for c in cols])
+
+
+def hex32_uniform(hex8: Column) -> Column:
+    """8 hex digits (32 bits) -> uniform multiple of 2^-32 in [0, 1)."""
+    return F.conv(hex8, 16, 10).cast("bigint") / F.lit(TWO_32)
+
+
+def uniform(*parts: Column | str) -> Column:
+    return hex32_uniform(F.substring(F.md5(hash_key(*parts)), 1, 8))
+
+
+DRAWS_PER_MD5 = 4   # 128 bits = four 32-bit uniforms
 
 
 def poisson1_thresholds() -> list[float]:
@@ -44,9 +55,9 @@ def poisson1(u: Column) -> Column:
     return expr.otherwise(F.lit(len(th)))
 
 
-def sql_uniform(parts_sql: str) -> str:
-    """DuckDB text of ``uniform`` for a '|'-joined SQL string expression."""
-    return (f"(CAST(CAST('0x' || substr(md5({parts_sql}), 1, 8) AS BIGINT) AS DOUBLE) "
+def sql_uniform(parts_sql: str, slot_sql: str = "0") -> str:
+    """DuckDB text of ``uniform`` (32-bit slot ``slot_sql`` of the md5) for a '|'-joined string."""
+    return (f"(CAST(CAST('0x' || substr(md5({parts_sql}), 8 * ({slot_sql}) + 1, 8) AS BIGINT) AS DOUBLE) "
             f"/ CAST({TWO_32!r} AS DOUBLE))")
 
 

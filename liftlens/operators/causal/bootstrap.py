@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from liftlens.functions.hashing import poisson1, uniform
+from liftlens.functions.hashing import DRAWS_PER_MD5, hash_key, hex32_uniform, poisson1
 from liftlens.operators.causal.cells import build_cells
 from liftlens.operators.causal.encode import CONFOUNDERS
 from liftlens.operators.causal.estimators import DEFAULT_CLIP, ipw_ate
@@ -44,12 +44,22 @@ def replicate_ids(replicates: int):
 
 def bootstrap_cells(frame: DataFrame, replicates: int = REPLICATES, seed: int = SEED,
                     confounders: Sequence[str] = CONFOUNDERS, key: str = "session_key") -> DataFrame:
-    rows = frame.select(key, "treatment", "outcome", *confounders, replicate_ids(replicates))
-    # the hash is its own projection: the Poisson CASE chain reads it 13 times,
-    # so Catalyst keeps it materialised instead of inlining the md5.  Zero
-    # weights are dropped after aggregation (a row filter on the weight would
-    # be pushed below the projection and evaluate the hash twice).
-    rows = rows.withColumn("_u", uniform(F.col(key), F.lit("boot"), F.col("replicate"), F.lit(seed)))
+    """Weighted cells per replicate; weight of (unit, replicate b) is Poisson(1) of
+    32-bit slot b % 4 of md5('key|boot|b div 4|seed'): one hash serves four replicates."""
+    blocks = -(-replicates // DRAWS_PER_MD5)
+    rows = frame.select(key, "treatment", "outcome", *confounders,
+                        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_blk"))
+    # the digest is its own projection (read four times, so never inlined)
+    rows = rows.withColumn("_md5", F.md5(hash_key(F.col(key), F.lit("boot"), F.col("_blk"), F.lit(seed))))
+    slots = F.array(*[F.substring("_md5", 8 * i + 1, 8) for i in range(DRAWS_PER_MD5)])
+    rows = rows.select(key, "treatment", "outcome", *confounders, "_blk",
+                       F.posexplode(slots).alias("_slot", "_hex"))
+    rows = rows.withColumn("replicate", F.col("_blk") * DRAWS_PER_MD5 + F.col("_slot"))
+    rows = rows.where(F.col("replicate") < replicates)
+    # the Poisson CASE chain reads the uniform 13 times: keep it materialised.
+    # Zero weights are dropped after aggregation (a filter on the weight would
+    # be pushed below the projection and evaluate the chain twice).
+    rows = rows.withColumn("_u", hex32_uniform(F.col("_hex")))
     rows = rows.withColumn("_w", poisson1(F.col("_u")))
     return build_cells(rows, confounders, keys=["replicate"], weight="_w").where(F.col("n") > 0)
 

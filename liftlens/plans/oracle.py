@@ -352,7 +352,8 @@ def quality_chain() -> tuple:
 
 def boot_chain(replicates: int = 200, seed: int = 42) -> tuple:
     from liftlens.functions.hashing import sql_poisson1, sql_uniform
-    u = sql_uniform(f"f.session_key || '|boot|' || CAST(r.replicate AS VARCHAR) || '|{seed}'")
+    u = sql_uniform(f"f.session_key || '|boot|' || CAST(r.replicate // 4 AS VARCHAR) || '|{seed}'",
+                    "r.replicate % 4")
     boot = f"""
 bw AS (
   SELECT f.*, r.replicate, {sql_poisson1(u)} AS w
