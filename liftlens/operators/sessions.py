@@ -82,7 +82,7 @@ def session_partials(stg: DataFrame) -> DataFrame:
 def merge_partials(partials: DataFrame) -> DataFrame:
     """Merge per-day partials into sessions; equals ``sessionize`` of all days."""
     merged = partials.groupBy(*SESSION_KEYS).agg(
-        F.min("event_date_key").alias("session_date_key"),
+        F.min("event_date_key").cast("bigint").alias("session_date_key"),
         F.min("p_date").alias("session_date"),
         F.min("p_start").alias("session_start_at"),
         F.bool_or("p_paid").alias("is_paid"),

@@ -657,3 +657,10 @@ def q_placebo_effect_grouped(spark, sf):
     """Placebo permutations drawn per cell (exact permutation distribution, cost independent of sessions)."""
     from liftlens.operators.causal.refute import placebo_effect, placebo_estimates
     return placebo_effect(placebo_estimates(M.frame(spark, sf), method="grouped"))
+
+
+@register("window_sensitivity", O.window_sensitivity_sql())
+def q_window_sensitivity(spark, sf):
+    """Each estimator on each calendar week of sessions."""
+    from liftlens.operators.causal.results import window_sensitivity
+    return window_sensitivity(M.frame(spark, sf))

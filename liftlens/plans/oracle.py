@@ -416,3 +416,24 @@ ocells AS (
   FROM oframe GROUP BY ALL
 )""", """
 oscored AS (SELECT *, CAST(n1 AS DOUBLE) / n AS ps FROM ocells)""")
+
+
+def window_sensitivity_sql() -> str:
+    wcells = """
+wcells AS (
+  SELECT CAST(date_trunc('week', session_date) AS DATE) AS window_start, is_new_user, device, geo,
+    count(*) AS n, CAST(sum(treatment) AS BIGINT) AS n1, CAST(sum(outcome) AS BIGINT) AS y,
+    CAST(sum(treatment * outcome) AS BIGINT) AS y1
+  FROM frame GROUP BY ALL
+)"""
+    wscored = """
+wscored AS (SELECT *, CAST(n1 AS DOUBLE) / n AS ps FROM wcells)"""
+    ests = (
+        f"SELECT window_start, 'propensity_score_matching' AS method, ate FROM ({matching_sql('wscored', 'window_start')}) "
+        f"UNION ALL SELECT window_start, 'propensity_score_weighting', ate FROM ({ipw_sql('wscored', keys='window_start')}) "
+        "UNION ALL SELECT window_start, 'propensity_score_stratification', ate FROM ("
+        + stratified_sql('wscored', candidates=(50, 25, 12, 6, 3, 1), auto=True, keys='window_start') + ")")
+    body = (f"SELECT e.window_start, e.method, e.ate, s.n_sessions, s.n_paid FROM ({ests}) e JOIN "
+            "(SELECT window_start, sum(n) AS n_sessions, sum(n1) AS n_paid FROM wscored GROUP BY 1) s "
+            "USING (window_start)")
+    return with_(*FRAMED, wcells, wscored, body=body)

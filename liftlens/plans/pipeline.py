@@ -24,8 +24,9 @@ from liftlens.operators.causal.results import REFERENCE_METHODS, causal_estimate
 from liftlens.operators.metrics import spine_from
 from liftlens.operators.quality import DECLARED_TESTS, gate, run_tests
 from liftlens.operators.reports import causal_summary, channel_performance, latest_estimates
-from liftlens.operators.sessions import sessionize
-from liftlens.sources.shards import land_shards, load_staging, read_staging, write_table
+from liftlens.operators.sessions import merge_partials, session_partials, sessionize
+from liftlens.sources.shards import (land_shards, load_staging, read_staging, replace_partitions,
+                                     write_table)
 from liftlens.sources.sinks import read_estimates, write_estimates
 
 PRE_CAUSAL = ("stg_ga4__events", "fct_sessions", "rpt_channel_performance", "metricflow_time_spine")
@@ -42,6 +43,7 @@ class PipelineConfig:
     estimates_mode: str = "truncate"
     enforce_tests: bool = True
     skip_tests: tuple[str, ...] = field(default_factory=tuple)   # e.g. ("fct_sessions.is_paid",)
+    incremental_sessions: bool = False          # X2: keep per-day partials, merge them
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
@@ -52,10 +54,22 @@ def _tests_for(models: tuple[str, ...], skip: tuple[str, ...]):
                  if t.model in models and f"{t.model}.{t.column}" not in skip)
 
 
-def rebuild_marts(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
-    """Full rebuild of the session mart from staging (sessions span midnight)."""
+def rebuild_marts(spark: SparkSession, cfg: PipelineConfig, days: list[str] | None = None) -> dict[str, DataFrame]:
+    """Rebuild the session mart (sessions span midnight, so never append).
+
+    Full rebuild re-aggregates all staged events.  With
+    ``incremental_sessions`` only the loaded days' per-day partials are
+    recomputed (their partitions replaced); the mart is then the merge of all
+    partials, one row per (day, session) instead of one per event.
+    """
     stg = read_staging(spark, cfg.path("stg"))
-    write_table(sessionize(stg), cfg.path("fct_sessions"))
+    if cfg.incremental_sessions:
+        todo = stg if days is None else stg.where(F.col("event_date_key").isin([int(d) for d in days]))
+        replace_partitions(session_partials(todo), cfg.path("session_partials"), "event_date_key")
+        mart = merge_partials(spark.read.parquet(cfg.path("session_partials")))
+    else:
+        mart = sessionize(stg)
+    write_table(mart, cfg.path("fct_sessions"))
     sessions = spark.read.parquet(cfg.path("fct_sessions"))
     return {"stg_ga4__events": stg, "fct_sessions": sessions,
             "rpt_channel_performance": channel_performance(sessions),
@@ -80,7 +94,7 @@ def backfill(spark: SparkSession, raw_events: DataFrame, days: list[str], cfg: P
              run_at=None) -> dict[str, DataFrame]:
     land_shards(raw_events, cfg.path("raw"), days=list(days))
     load_staging(spark, cfg.path("raw"), cfg.path("stg"), days=list(days), key_range=cfg.key_range)
-    models = rebuild_marts(spark, cfg)
+    models = rebuild_marts(spark, cfg, list(days))
     report = run_tests({k: models[k] for k in PRE_CAUSAL}, _tests_for(PRE_CAUSAL, cfg.skip_tests))
     if cfg.enforce_tests:
         gate(report)

@@ -20,6 +20,12 @@ from liftlens.schema import RAW_EVENT, RAW_SHARDS, STAGING, check_schema
 REFERENCE_RANGE = (20201101, 20210201)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_col: str, dynamic: bool = True) -> None:
+    """Write ``df`` partitioned by ``partition_col``; with ``dynamic`` only the
+    partitions present in ``df`` are replaced."""
+    _overwrite(df, path, partition_col, dynamic)
+
+
 def _overwrite(df: DataFrame, path: str, partition_col: str, dynamic: bool = True) -> None:
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
