@@ -154,12 +154,14 @@ def row_level_ipw(frame: DataFrame, scored: DataFrame, confounders: Sequence[str
                   clip=DEFAULT_CLIP, treatment: str = "treatment", outcome: str = "outcome") -> DataFrame:
     """The same Hajek estimator computed unit by unit.
 
-    Each session picks up its cell's score through a broadcast join – the
-    cell table has at most prod(levels) rows, a size fixed by the encoding.
+    Each session picks up its cell's score through a join with the cell table
+    (at most prod(levels) rows); it is broadcast after a size check, and
+    joined with a shuffle if the levels ever make it large.
     """
+    from liftlens.session import broadcast_if_small
     p = clipped(F.col("ps"), *clip)
     t, y = F.col(treatment), F.col(outcome)
-    rows = frame.join(F.broadcast(scored.select(*confounders, "ps")), list(confounders))
+    rows = frame.join(broadcast_if_small(scored.select(*confounders, "ps")), list(confounders))
     agg = rows.agg(F.sum(t * y / p).alias("_a"), F.sum(t / p).alias("_b"),
                    F.sum((1 - t) * y / (1 - p)).alias("_c"), F.sum((1 - t) / (1 - p)).alias("_d"))
     return agg.select((F.try_divide(F.col("_a"), F.col("_b"))

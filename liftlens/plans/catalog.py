@@ -664,3 +664,12 @@ def q_window_sensitivity(spark, sf):
     """Each estimator on each calendar week of sessions."""
     from liftlens.operators.causal.results import window_sensitivity
     return window_sensitivity(M.frame(spark, sf))
+
+
+@register("causal_estimates_saturated", O.single_run_sql())
+def q_causal_estimates_saturated(spark, sf):
+    """C13 for one run with the saturated score: the estimate rows the causal step writes."""
+    from liftlens.operators.causal.results import ALL_METHODS, causal_estimates
+    fr = M.frame(spark, sf)
+    run_at = F.timestamp_add("DAY", F.lit(1), F.col("data_end").cast("timestamp_ntz"))
+    return causal_estimates(fr, run_at, methods=ALL_METHODS, model="saturated")

@@ -437,3 +437,20 @@ wscored AS (SELECT *, CAST(n1 AS DOUBLE) / n AS ps FROM wcells)"""
             "(SELECT window_start, sum(n) AS n_sessions, sum(n1) AS n_paid FROM wscored GROUP BY 1) s "
             "USING (window_start)")
     return with_(*FRAMED, wcells, wscored, body=body)
+
+
+def single_run_sql() -> str:
+    ests = (
+        f"SELECT 'propensity_score_matching' AS method, ate FROM ({matching_sql('scored')}) "
+        f"UNION ALL SELECT 'propensity_score_weighting', ate FROM ({ipw_sql('scored')}) "
+        "UNION ALL SELECT 'propensity_score_stratification', ate FROM ("
+        + stratified_sql('scored', candidates=(50, 25, 12, 6, 3, 1), auto=True) + ")")
+    stats = ("SELECT count(*) AS n_sessions, CAST(sum(treatment) AS BIGINT) AS n_paid, "
+             "CAST(sum(outcome) AS BIGINT) AS n_converted, "
+             "round(CAST(sum(treatment * outcome) AS DOUBLE) / sum(treatment) - "
+             "CAST(sum(outcome) - sum(treatment * outcome) AS DOUBLE) / (count(*) - sum(treatment)), 9) "
+             "AS naive_difference, min(session_date) AS data_start, max(session_date) AS data_end FROM frame")
+    body = (f"SELECT e.method, e.ate, CAST(s.data_end + INTERVAL 1 DAY AS TIMESTAMP) AS run_at, "
+            f"s.naive_difference, s.n_sessions, s.n_paid, s.n_converted, s.data_start, s.data_end "
+            f"FROM ({ests}) e, ({stats}) s")
+    return with_(*SCORED_CHAIN, body=body)

@@ -90,3 +90,15 @@ def materialize(df, name: str = "stage"):
     path = fresh_dir(spark, f"mat-{name}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+BROADCAST_MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast hint only after checking the side's size; a plain (shuffle)
+    join otherwise.  For sides whose size depends on data (cell tables, small
+    dimensions); the check is one count over an already aggregated table."""
+    from pyspark.sql import functions as F
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
