@@ -357,7 +357,7 @@ def boot_chain(replicates: int = 200, seed: int = 42) -> tuple:
     boot = f"""
 bw AS (
   SELECT f.*, r.replicate, {sql_poisson1(u)} AS w
-  FROM frame f, (SELECT unnest(range({replicates})) AS replicate) r
+  FROM frame f, (SELECT CAST(unnest(range({replicates})) AS INTEGER) AS replicate) r
 )"""
     bcells = """
 bcells AS (
@@ -387,7 +387,7 @@ def placebo_chain(simulations: int = 10, seed: int = 42) -> tuple:
 perm AS (
   SELECT f.*, s.sim, row_number() OVER (PARTITION BY s.sim ORDER BY {u}, f.session_key) AS rn,
     (SELECT sum(treatment) FROM frame) AS n1tot
-  FROM frame f, (SELECT unnest(range({simulations})) AS sim) s
+  FROM frame f, (SELECT CAST(unnest(range({simulations})) AS INTEGER) AS sim) s
 )"""
     pcells = """
 pcells AS (
@@ -434,7 +434,8 @@ wscored AS (SELECT *, CAST(n1 AS DOUBLE) / n AS ps FROM wcells)"""
         "UNION ALL SELECT window_start, 'propensity_score_stratification', ate FROM ("
         + stratified_sql('wscored', candidates=(50, 25, 12, 6, 3, 1), auto=True, keys='window_start') + ")")
     body = (f"SELECT e.window_start, e.method, e.ate, s.n_sessions, s.n_paid FROM ({ests}) e JOIN "
-            "(SELECT window_start, sum(n) AS n_sessions, sum(n1) AS n_paid FROM wscored GROUP BY 1) s "
+            "(SELECT window_start, CAST(sum(n) AS BIGINT) AS n_sessions, CAST(sum(n1) AS BIGINT) AS n_paid "
+            "FROM wscored GROUP BY 1) s "
             "USING (window_start)")
     return with_(*FRAMED, wcells, wscored, body=body)
 

@@ -56,6 +56,21 @@ def _rows(rows, cols, digits):
     return sorted(out, key=repr)
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz"}
+
+
+def type_mismatches(df, con, sql):
+    """Columns whose DuckDB type does not map to the Spark type (e.g. HUGEINT vs bigint)."""
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = []
+    for f in df.schema.fields:
+        d = duck_types.get(f.name)
+        if d is not None and DUCK_TO_SPARK.get(d) != f.dataType.simpleString():
+            out.append((f.name, f.dataType.simpleString(), d))
+    return out
+
+
 def compare(spark, sf_dir, name, fn, sql, con=None):
     t0 = time.time()
     df = fn(spark, sf_dir)
@@ -80,6 +95,9 @@ def compare(spark, sf_dir, name, fn, sql, con=None):
     exact = _rows(s_rows, s_cols, None) == _rows(d_rows, d_cols, None)
     approx = _rows(s_rows, s_cols, 9) == _rows(d_rows, d_cols, 9)
     res["status"] = "exact" if exact else ("approx9" if approx else "VALUES differ")
+    bad_types = type_mismatches(df, con, sql)
+    if bad_types:
+        res["status"] = f"TYPES differ {bad_types}"
     if not approx:
         a, b = _rows(s_rows, s_cols, 9), _rows(d_rows, d_cols, 9)
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
