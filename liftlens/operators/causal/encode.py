@@ -113,3 +113,36 @@ def confounder_columns(frame: DataFrame) -> DataFrame:
     new = frame.where(F.col("is_new_user") == 1).agg(*aggs).select(
         F.lit("is_new_user").alias("confounder"), "n_ones", "n_treated")
     return dev.agg(*aggs).unionByName(geo.agg(*aggs)).unionByName(new)
+
+
+def encoded_cells(sessions: DataFrame, keys=(), top_n: int = TOP_N_COUNTRIES,
+                  null_treatment: str = "error", treatment: str = "is_paid",
+                  outcome: str = "converted") -> DataFrame:
+    """Confounder cells straight from sessions in one pass over them.
+
+    Equal to ``build_cells(model_frame(sessions))`` (with ``keys``), but the
+    top-N countries are taken from raw (new user, device, country) cells
+    instead of a second pass over the sessions: the raw cells are written once
+    (at most 2 x devices x countries rows per key), the top-N list is ranked
+    from them, and the raw cells are re-aggregated to top-N + other.
+    """
+    from liftlens.operators.causal.cells import build_cells, merge_cells
+    from liftlens.session import materialize
+    if null_treatment == "drop":
+        sessions = sessions.where(F.col(treatment).isNotNull())
+    raw = sessions.select(
+        *keys,
+        as_int(treatment, "control" if null_treatment == "control" else "error").alias("treatment"),
+        as_int(outcome).alias("outcome"),
+        as_int("is_new_user").alias("is_new_user"),
+        F.coalesce(F.col("device_category"), F.lit(UNKNOWN_DEVICE)).alias("device"),
+        F.col("geo_country").alias("_country"))
+    raw_cells = materialize(build_cells(raw, ("is_new_user", "device", "_country"), keys=keys), "raw-cells")
+    top = (raw_cells.where(F.col("_country").isNotNull())
+           .groupBy("_country").agg(F.sum("n").alias("_sessions"))
+           .orderBy(F.desc("_sessions"), F.asc("_country")).limit(top_n)
+           .select(F.col("_country").alias("_top")))
+    mapped = (raw_cells.join(F.broadcast(top), F.col("_country") == F.col("_top"), "left")
+              .withColumn("geo", F.when(F.col("_top").isNotNull(), F.col("_country"))
+                          .otherwise(F.lit(OTHER_COUNTRY))))
+    return merge_cells(mapped, CONFOUNDERS, keys)

@@ -94,7 +94,10 @@ def relationships(child: DataFrame, child_col: str, parent: DataFrame, parent_co
                   child_name: str, parent_name: str) -> DataFrame:
     """Q4: distinct non-NULL child keys without a parent row (left anti join)."""
     keys = child.select(F.col(child_col).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    orphans = keys.join(parent.select(F.col(parent_col).alias("_k")), "_k", "left_anti")
+    # distinct parent keys: partial aggregation shrinks e.g. events to sessions
+    # per map task before the join shuffle
+    parents = parent.select(F.col(parent_col).alias("_k")).where(F.col("_k").isNotNull()).distinct()
+    orphans = keys.join(parents, "_k", "left_anti")
     return orphans.agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit(child_name).alias("child"), F.lit(child_col).alias("child_column"),
         F.lit(parent_name).alias("parent"), F.lit(parent_col).alias("parent_column"), "failures")

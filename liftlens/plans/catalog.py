@@ -212,9 +212,12 @@ def q_ipw_ate_saturated(spark, sf):
     "FROM (SELECT f.treatment, f.outcome, least(greatest(s.ps, CAST(0.001 AS DOUBLE)), CAST(0.999 AS DOUBLE)) AS p "
     "FROM frame f JOIN scored s USING (is_new_user, device, geo))")))
 def q_ipw_ate_row_level(spark, sf):
+    from liftlens.operators.causal.cells import build_cells
     from liftlens.operators.causal.encode import CONFOUNDERS
     from liftlens.operators.causal.estimators import row_level_ipw
-    return _r9(row_level_ipw(M.frame(spark, sf), M.scored(spark, sf), CONFOUNDERS), "ate")
+    from liftlens.operators.causal.propensity import saturated_scores
+    fr = M.frame(spark, sf)
+    return _r9(row_level_ipw(fr, saturated_scores(build_cells(fr)), CONFOUNDERS), "ate")
 
 
 @register("matching_ate_mean", O.with_(*O.SCORED_CHAIN, body=_sub(O.matching_sql())))
@@ -505,19 +508,29 @@ def q_ipw_bootstrap_replicates(spark, sf):
 def q_ipw_bootstrap_ci(spark, sf):
     from liftlens.operators.causal.bootstrap import bootstrap_ci, replicate_estimates
     from liftlens.operators.causal.estimators import ipw_ate
-    reps = _r9(replicate_estimates(M.frame(spark, sf), method="rows"), "ate")
-    point = _r9(ipw_ate(M.scored(spark, sf)), "ate")
+    fr = M.frame(spark, sf)
+    reps = _r9(replicate_estimates(fr, method="rows"), "ate")
+    point = _r9(_point(fr), "ate")
     return _r9(bootstrap_ci(reps, point), "ci_low", "ci_high", "sd")
 
 
+def _point(fr, model="saturated"):
+    """Full-data IPW estimate from the same frame the replicates use."""
+    from liftlens.operators.causal.cells import build_cells
+    from liftlens.operators.causal.estimators import ipw_ate
+    from liftlens.operators.causal.propensity import score_cells
+    return ipw_ate(score_cells(build_cells(fr), model=model))
+
+
 @register("bootstrap_logit")
 def q_bootstrap_logit(spark, sf):
     """The reference's setting: logit score refitted in each of 200 replicates
     (grouped Poisson draws, cost independent of the number of sessions)."""
     from liftlens.operators.causal.bootstrap import bootstrap_ci, replicate_estimates
     from liftlens.operators.causal.estimators import ipw_ate
-    reps = replicate_estimates(M.frame(spark, sf), model="logit", method="grouped")
-    return bootstrap_ci(reps, ipw_ate(M.scored(spark, sf, model="logit")))
+    fr = M.frame(spark, sf)
+    reps = replicate_estimates(fr, model="logit", method="grouped")
+    return bootstrap_ci(reps, _point(fr, "logit"))
 
 
 @register("bootstrap_grouped_ci")
@@ -525,8 +538,9 @@ def q_bootstrap_grouped_ci(spark, sf):
     """Poisson bootstrap drawn per (cell, treatment, outcome): cost independent of sessions."""
     from liftlens.operators.causal.bootstrap import bootstrap_ci, replicate_estimates
     from liftlens.operators.causal.estimators import ipw_ate
-    reps = replicate_estimates(M.frame(spark, sf), method="grouped")
-    return bootstrap_ci(reps, ipw_ate(M.scored(spark, sf)))
+    fr = M.frame(spark, sf)
+    reps = replicate_estimates(fr, method="grouped")
+    return bootstrap_ci(reps, _point(fr))
 
 
 @register("placebo_replicates", O.with_(*O.placebo_chain(), body=O.ipw_sql("pscored", keys="sim")))

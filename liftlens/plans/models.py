@@ -45,13 +45,21 @@ NULL_TREATMENT = "control"   # testdata has NULL is_paid sessions (T1)
 
 
 def frame(spark: SparkSession, sf: str, null_treatment: str = NULL_TREATMENT) -> DataFrame:
+    """Per-session model frame over the *written* session mart.
+
+    ``model_frame`` reads sessions twice (top-N countries, then the frame);
+    over a lazy plan each read would redo the event aggregation, so the mart
+    is written once (as the pipeline does) and both reads scan it.
+    """
     from liftlens.operators.causal.encode import model_frame
-    return model_frame(sessions(spark, sf), null_treatment=null_treatment)
+    from liftlens.session import materialize
+    return model_frame(materialize(sessions(spark, sf), "sessions"), null_treatment=null_treatment)
 
 
 def cells(spark: SparkSession, sf: str, keys=(), null_treatment: str = NULL_TREATMENT) -> DataFrame:
-    from liftlens.operators.causal.cells import build_cells
-    return build_cells(frame(spark, sf, null_treatment), keys=keys)
+    """Confounder cells in one pass over the events (no per-session frame)."""
+    from liftlens.operators.causal.encode import encoded_cells
+    return encoded_cells(sessions(spark, sf), keys=keys, null_treatment=null_treatment)
 
 
 def scored(spark: SparkSession, sf: str, model: str = "saturated") -> DataFrame:
