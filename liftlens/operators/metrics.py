@@ -193,3 +193,12 @@ def spine_from(df: DataFrame, date_col: str) -> DataFrame:
     """Day spine over the date range that ``df`` actually covers."""
     bounds = df.agg(F.min(date_col).alias("_a"), F.max(date_col).alias("_b"))
     return bounds.select(time_spine(F.col("_a"), F.col("_b")).alias("date_day"))
+
+
+# The day window of the reference's time spine.
+REFERENCE_SPINE = ("2020-11-01", "2021-01-31")
+
+
+def date_spine(spark, start: str = REFERENCE_SPINE[0], end: str = REFERENCE_SPINE[1]) -> DataFrame:
+    """M8: one row per day of a fixed window (inclusive), e.g. the reference's 92 days."""
+    return spark.range(1).select(time_spine(F.to_date(F.lit(start)), F.to_date(F.lit(end))).alias("date_day"))
