@@ -110,14 +110,20 @@ def replicate_estimates(frame: DataFrame, replicates: int = REPLICATES, seed: in
 
 
 def bootstrap_ci(replicate_ates: DataFrame, point: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    """Percentile CI, SD and positive share over replicates, next to the point estimate."""
+    """Percentile CI, SD and positive share over replicates, next to the point estimate.
+
+    The point-estimate row is stacked under replicate -1 and everything is one
+    aggregate (no join between the two single-row results).
+    """
     lo, hi = alpha / 2, 1 - alpha / 2
-    stats = replicate_ates.agg(
-        F.percentile(F.col("ate"), F.array(F.lit(lo), F.lit(hi))).alias("_q"),
-        F.stddev_samp("ate").alias("sd"),
-        F.avg((F.col("ate") > 0).cast("double")).alias("share_positive"),
-        F.count(F.lit(1)).alias("replicates"))
-    return (point.select(F.col("ate"), F.lit(0).alias("_k"))
-            .join(stats.withColumn("_k", F.lit(0)), "_k")
-            .select("ate", F.col("_q")[0].alias("ci_low"), F.col("_q")[1].alias("ci_high"),
-                    "sd", "share_positive", "replicates"))
+    stacked = replicate_ates.select(F.col("replicate").cast("int").alias("_r"), "ate").unionByName(
+        point.select(F.lit(-1).alias("_r"), "ate"))
+    rep = F.when(F.col("_r") >= 0, F.col("ate"))
+    out = stacked.agg(
+        F.max(F.when(F.col("_r") < 0, F.col("ate"))).alias("ate"),
+        F.percentile(rep, F.array(F.lit(lo), F.lit(hi))).alias("_q"),
+        F.stddev_samp(rep).alias("sd"),
+        F.avg((rep > 0).cast("double")).alias("share_positive"),
+        F.count(rep).alias("replicates"))
+    return out.select("ate", F.col("_q")[0].alias("ci_low"), F.col("_q")[1].alias("ci_high"),
+                      "sd", "share_positive", "replicates")
