@@ -51,3 +51,13 @@ def test_one_shard_read_prunes_by_timestamp_range(spark):
     p = plan(QUERIES["flatten_one_shard"](spark, SF_SMALL))
     scan = [l for l in p.splitlines() if "events.parquet" in l][0]
     assert "GreaterThanOrEqual(ts," in scan and "LessThan(ts," in scan
+
+
+def test_no_registered_query_plans_a_cross_join(spark):
+    bad = {}
+    for name, fn in QUERIES.items():
+        p = plan(fn(spark, SF_SMALL))
+        hits = [k for k in ("CartesianProduct", "BroadcastNestedLoopJoin") if k in p]
+        if hits:
+            bad[name] = hits
+    assert not bad, bad
