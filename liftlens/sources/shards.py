@@ -33,16 +33,23 @@ def _overwrite(df: DataFrame, path: str, partition_col: str, dynamic: bool = Tru
        .parquet(path))
 
 
-def land_shards(raw: DataFrame, root: str, days: list[str] | None = None) -> None:
+def land_shards(raw: DataFrame, root: str, days: list[str] | None = None,
+                files_per_day: int | None = None) -> None:
     """S3: land raw events as daily shards; re-landing a day replaces only that day.
 
     ``raw`` must have the declared raw-event columns; ``shard`` is derived
-    from ``event_date``.
+    from ``event_date``.  When the source is not already clustered by day
+    (every task holding rows of every day would write a file per day),
+    ``files_per_day`` hash-partitions on (day, salt): each day is written by
+    at most that many tasks, and a hot day is still spread over that many.
     """
     check_schema(raw.select(*RAW_EVENT.fieldNames()), RAW_EVENT)
     df = raw.select(*RAW_EVENT.fieldNames(), F.col("event_date").alias("shard"))
     if days is not None:
         df = df.where(F.col("shard").isin(list(days)))
+    if files_per_day:
+        salt = F.pmod(F.xxhash64("event_id", "event_timestamp", "user_pseudo_id"), F.lit(files_per_day))
+        df = df.repartition(F.col("shard"), salt)
     _overwrite(df, root, "shard")
 
 

@@ -147,3 +147,14 @@ def test_reference_date_spine(spark):
     from liftlens.operators.metrics import date_spine
     s = date_spine(spark)
     assert s.count() == 92 and s.agg(F.countDistinct("date_day")).first()[0] == 92
+
+
+def test_land_with_files_per_day_bounds_files(spark, workdir):
+    raw = M.raw_events(spark, SF_SMALL)
+    land_shards(raw, f"{workdir}/raw", files_per_day=2)
+    day_dirs = [d for d in os.listdir(f"{workdir}/raw") if d.startswith("shard=")]
+    assert day_dirs
+    for d in day_dirs:
+        files = [f for f in os.listdir(f"{workdir}/raw/{d}") if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 2
+    assert _rows(read_shards(spark, f"{workdir}/raw").drop("shard")) == _rows(raw)
