@@ -65,7 +65,10 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        # unset: local run or test, so a local folder is the shared one
+        if not sc.master.startswith("local"):
+            # a machine-local folder is invisible to executors on a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        # unset in a local run or test: the local folder is the shared one
         root = tempfile.mkdtemp(prefix="liftlens-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
