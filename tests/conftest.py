@@ -21,8 +21,9 @@ def spark():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    # tests own their shared folder (unset otherwise)
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="liftlens-test-ckpt-"))
+    # use the configured shared folder; only when none is configured do tests make one
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="liftlens-test-ckpt-"))
     yield s
     s.stop()
 
