@@ -146,3 +146,29 @@ def test_grouped_placebo_keeps_margins_and_centres(spark, mid_cells):
     assert sims.where((F.col("y1") > F.col("n1")) | (F.col("y1") > F.col("y"))).count() == 0
     ate = ipw_ate(saturated_scores(sims), keys=["sim"]).agg(F.avg("ate")).first()[0]
     assert abs(ate) < 0.03          # placebo effects centre on zero
+
+
+def test_randomised_treatment_ipw_close_to_naive(spark):
+    u = lambda tag: uniform(F.col("id"), F.lit(tag))
+    frame = (spark.range(200_000).select("id", F.floor(u("c") * 6).cast("int").alias("cell"))
+             .withColumn("treatment", (u("t") < 0.3).cast("int"))            # independent of cell
+             .withColumn("outcome", (u("y") < 0.1 + F.col("cell") * 0.1).cast("int"))
+             .withColumn("is_new_user", (F.col("cell") % 2).cast("int"))
+             .withColumn("device", (F.col("cell") / 2).cast("int").cast("string"))
+             .withColumn("geo", F.lit("g")))
+    cells = build_cells(frame)
+    assert _one(ipw_ate(saturated_scores(cells))) == pytest.approx(_one(naive_difference(cells)), abs=0.005)
+
+
+def test_horvitz_thompson_equals_hajek_on_saturated_scores(mid_cells):
+    both = mid_cells.where((F.col("n1") > 0) & (F.col("n1") < F.col("n")))
+    pdf = saturated_scores(both).toPandas()
+    N = pdf.n.sum()
+    ht = ((pdf.y1 / pdf.ps).sum() - ((pdf.y - pdf.y1) / (1 - pdf.ps)).sum()) / N
+    assert _one(ipw_ate(saturated_scores(both), clip=(0.0, 1.0))) == pytest.approx(ht, abs=1e-12)
+
+
+def test_channel_sessions_sum_to_session_count(spark):
+    ch = M.channel(spark, SF_MID)
+    assert ch.agg(F.sum("sessions")).first()[0] == M.sessions(spark, SF_MID).count()
+    assert ch.agg(F.sum("conversions")).first()[0] == M.sessions(spark, SF_MID).where("converted").count()
