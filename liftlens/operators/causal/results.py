@@ -88,7 +88,15 @@ def estimate_history(frame: DataFrame, methods: Sequence[str] = ALL_METHODS, mod
 
     ``run_at`` of the run for day d is midnight after d (UTC wall clock).
     """
-    daily = build_cells(frame, confounders, keys=["session_date"])
+    return history_from_daily_cells(build_cells(frame, confounders, keys=["session_date"]),
+                                    methods, model, clip, confounders)
+
+
+def history_from_daily_cells(daily: DataFrame, methods: Sequence[str] = ALL_METHODS,
+                             model: str = "saturated", clip=DEFAULT_CLIP,
+                             confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
+    """``estimate_history`` from cells keyed by ``session_date`` (e.g. ``encoded_cells``),
+    so no per-session frame is needed at all."""
     # global window over days x cells rows only (never sessions)
     last = daily.withColumn("_last", F.max("session_date").over(Window.partitionBy()))
     expanded = last.withColumn(
@@ -112,7 +120,14 @@ def window_sensitivity(frame: DataFrame, unit: str = "week", methods: Sequence[s
     pass over the sessions.
     """
     keyed = frame.withColumn("window_start", F.trunc("session_date", unit))
-    cells = build_cells(keyed, confounders, keys=["window_start"])
+    return sensitivity_from_window_cells(build_cells(keyed, confounders, keys=["window_start"]),
+                                         methods, model, clip, confounders)
+
+
+def sensitivity_from_window_cells(cells: DataFrame, methods: Sequence[str] = ALL_METHODS,
+                                  model: str = "saturated", clip=DEFAULT_CLIP,
+                                  confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
+    """``window_sensitivity`` from cells keyed by ``window_start`` (e.g. ``encoded_cells``)."""
     scored = materialize(score_cells(cells, model=model, confounders=confounders, keys=["window_start"]))
     est = method_estimates(scored, ["window_start"], methods, clip)
     sizes = scored.groupBy("window_start").agg(F.sum("n").alias("n_sessions"), F.sum("n1").alias("n_paid"))

@@ -329,8 +329,8 @@ def q_causal_estimates(spark, sf):
 # --- quality (Q1-Q4) ---------------------------------------------------------
 
 def _quality_models(spark, sf):
-    from liftlens.operators.causal.encode import model_frame
-    from liftlens.operators.causal.results import ALL_METHODS, estimate_history
+    from liftlens.operators.causal.encode import encoded_cells
+    from liftlens.operators.causal.results import ALL_METHODS, history_from_daily_cells
     from liftlens.operators.metrics import spine_from
     from liftlens.operators.reports import causal_summary, channel_performance, latest_estimates
     from liftlens.operators.sessions import sessionize
@@ -338,8 +338,8 @@ def _quality_models(spark, sf):
     stg = M.staging(spark, sf)
     # the mart is read by four tests and three downstream models: write it once
     sessions = materialize(sessionize(stg))
-    latest = latest_estimates(estimate_history(model_frame(sessions, null_treatment=M.NULL_TREATMENT),
-                                               methods=ALL_METHODS))
+    daily = encoded_cells(sessions, keys=["session_date"], null_treatment=M.NULL_TREATMENT)
+    latest = latest_estimates(history_from_daily_cells(daily, methods=ALL_METHODS))
     return {"stg_ga4__events": stg, "fct_sessions": sessions,
             "fct_causal_estimates": latest, "rpt_channel_performance": channel_performance(sessions),
             "rpt_causal_summary": causal_summary(latest),
@@ -676,8 +676,11 @@ def q_placebo_effect_grouped(spark, sf):
 @register("window_sensitivity", O.window_sensitivity_sql())
 def q_window_sensitivity(spark, sf):
     """Each estimator on each calendar week of sessions."""
-    from liftlens.operators.causal.results import window_sensitivity
-    return window_sensitivity(M.frame(spark, sf))
+    from liftlens.operators.causal.encode import encoded_cells
+    from liftlens.operators.causal.results import sensitivity_from_window_cells
+    weekly = M.sessions(spark, sf).withColumn("window_start", F.trunc("session_date", "week"))
+    return sensitivity_from_window_cells(
+        encoded_cells(weekly, keys=["window_start"], null_treatment=M.NULL_TREATMENT))
 
 
 @register("causal_estimates_saturated", O.single_run_sql())

@@ -68,8 +68,9 @@ def scored(spark: SparkSession, sf: str, model: str = "saturated") -> DataFrame:
 
 
 def history(spark: SparkSession, sf: str, model: str = "saturated") -> DataFrame:
-    from liftlens.operators.causal.results import ALL_METHODS, estimate_history
-    return estimate_history(frame(spark, sf), methods=ALL_METHODS, model=model)
+    """Daily run history from per-day cells (one pass over the events, no mart write)."""
+    from liftlens.operators.causal.results import ALL_METHODS, history_from_daily_cells
+    return history_from_daily_cells(cells(spark, sf, keys=["session_date"]), methods=ALL_METHODS, model=model)
 
 
 def latest(spark: SparkSession, sf: str) -> DataFrame:
