@@ -69,21 +69,38 @@ def _nearest(prev: Column, nxt: Column) -> Column:
             .when(ps - prev["s"] <= nxt["s"] - ps, prev).otherwise(nxt))
 
 
-def matching_ate(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def matching_ate(scored: DataFrame, keys: Sequence[str] = (), tie_policy: str = "mean",
+                 seed: int = 42) -> DataFrame:
     """1-nearest-neighbour matching on the score in both directions.
 
     ATT matches each treated unit to the nearest control score, ATC each
-    control to the nearest treated score; ATE = (ATT*N1 + ATC*N0) / N.  Units
-    tied at the matched score contribute their mean outcome (deterministic
-    version of an arbitrary pick among ties); equal distance picks the lower
-    score.  Returns ``ate``, ``att``, ``atc``.
+    control to the nearest treated score; ATE = (ATT*N1 + ATC*N0) / N; equal
+    distance picks the lower score.  Units tied at the matched score:
+
+    * ``mean`` – contribute their mean outcome (deterministic, stable);
+    * ``seeded`` – one unit of the tied group is picked (by a hash of the
+      score's rank, arm and ``seed``) and every unit matched to that score gets
+      its outcome, as a nearest-neighbour search that resolves ties the same
+      way for identical queries does.  Varying ``seed`` shows how unstable
+      matching is when scores have few distinct values.
+
+    Returns ``ate``, ``att``, ``atc``.
     """
+    if tie_policy not in ("mean", "seeded"):
+        raise ValueError("tie_policy must be 'mean' or 'seeded'")
     st = _score_table(scored, keys).withColumn("n0", F.col("n") - F.col("n1"))
     order = Window.partitionBy(*keys).orderBy("ps")
     before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    ctrl = F.when(F.col("n0") > 0, F.struct(F.col("ps").alias("s"), (F.col("y0") / F.col("n0")).alias("m")))
-    trt = F.when(F.col("n1") > 0, F.struct(F.col("ps").alias("s"), (F.col("y1") / F.col("n1")).alias("m")))
+    m0, m1 = F.col("y0") / F.col("n0"), F.col("y1") / F.col("n1")
+    if tie_policy == "seeded":
+        from liftlens.functions.hashing import uniform
+        st = st.withColumn("_rk", F.row_number().over(order))
+        # the picked unit has outcome 1 with probability (tied positives / tied units)
+        m0 = (uniform(F.lit("match"), F.lit("c"), F.col("_rk"), F.lit(seed)) < m0).cast("double")
+        m1 = (uniform(F.lit("match"), F.lit("t"), F.col("_rk"), F.lit(seed)) < m1).cast("double")
+    ctrl = F.when(F.col("n0") > 0, F.struct(F.col("ps").alias("s"), m0.alias("m")))
+    trt = F.when(F.col("n1") > 0, F.struct(F.col("ps").alias("s"), m1.alias("m")))
     nn0 = _nearest(F.last(ctrl, ignorenulls=True).over(before), F.first(ctrl, ignorenulls=True).over(after))
     nn1 = _nearest(F.last(trt, ignorenulls=True).over(before), F.first(trt, ignorenulls=True).over(after))
     matched = st.select(*keys, "n1", "n0",

@@ -690,3 +690,10 @@ def q_causal_estimates_saturated(spark, sf):
     fr = M.frame(spark, sf)
     run_at = F.timestamp_add("DAY", F.lit(1), F.col("data_end").cast("timestamp_ntz"))
     return causal_estimates(fr, run_at, methods=ALL_METHODS, model="saturated")
+
+
+@register("matching_ate_seeded", O.with_(*O.SCORED_CHAIN, body=_sub(O.matching_sql(seed=42))))
+def q_matching_ate_seeded(spark, sf):
+    """C6 with the seeded tie policy: one arbitrary unit per tied score group (instability on show)."""
+    from liftlens.operators.causal.estimators import matching_ate
+    return _r9(matching_ate(M.scored(spark, sf), tie_policy="seeded", seed=42), "ate", "att", "atc")

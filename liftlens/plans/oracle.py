@@ -164,7 +164,7 @@ def ipw_sql(src: str = "scored", lo: str = "0.001", hi: str = "0.999", keys: str
             f"FROM (SELECT *, least(greatest(ps, CAST({lo} AS DOUBLE)), CAST({hi} AS DOUBLE)) AS p FROM {src}){grp}")
 
 
-def matching_sql(src: str = "scored", keys: str = "") -> str:
+def matching_sql(src: str = "scored", keys: str = "", seed: int | None = None) -> str:
     k = f"{keys}, " if keys else ""
     part = f"PARTITION BY {keys} " if keys else ""
     grp = f" GROUP BY {keys}" if keys else ""
@@ -173,7 +173,12 @@ def matching_sql(src: str = "scored", keys: str = "") -> str:
 
     def nb(arm, cnt, tot):
         s = f"CASE WHEN {cnt} > 0 THEN ps END"
-        m = f"CASE WHEN {cnt} > 0 THEN {tot} / {cnt} END"
+        mean = f"CAST({tot} AS DOUBLE) / {cnt}"
+        if seed is not None:    # one picked unit per tied score group
+            from liftlens.functions.hashing import sql_uniform
+            u = sql_uniform(f"'match|{arm[0]}|' || CAST(rk AS VARCHAR) || '|{seed}'")
+            mean = f"CAST({u} < {mean} AS DOUBLE)"
+        m = f"CASE WHEN {cnt} > 0 THEN {mean} END"
         return (f"last_value({s} IGNORE NULLS) {before} AS {arm}_ps_prev, "
                 f"last_value({m} IGNORE NULLS) {before} AS {arm}_m_prev, "
                 f"first_value({s} IGNORE NULLS) {after} AS {arm}_ps_next, "
@@ -185,7 +190,8 @@ def matching_sql(src: str = "scored", keys: str = "") -> str:
     return (
         f"WITH st AS (SELECT {k}ps, sum(n1) AS n1, sum(n - n1) AS n0, sum(y1) AS y1, sum(y - y1) AS y0 "
         f"FROM {src} GROUP BY {k}ps), "
-        f"nb AS (SELECT *, {nb('c', 'n0', 'y0')}, {nb('t', 'n1', 'y1')} FROM st), "
+        f"nb AS (SELECT *, {nb('c', 'n0', 'y0')}, {nb('t', 'n1', 'y1')} FROM "
+        f"(SELECT *, row_number() OVER ({part}ORDER BY ps) AS rk FROM st)), "
         f"m AS (SELECT {k}n1, n0, CASE WHEN n1 > 0 THEN y1 - n1 * {pick('c')} END AS att_part, "
         f"CASE WHEN n0 > 0 THEN n0 * {pick('t')} - y0 END AS atc_part FROM nb) "
         f"SELECT {k}"

@@ -172,3 +172,12 @@ def test_channel_sessions_sum_to_session_count(spark):
     ch = M.channel(spark, SF_MID)
     assert ch.agg(F.sum("sessions")).first()[0] == M.sessions(spark, SF_MID).count()
     assert ch.agg(F.sum("conversions")).first()[0] == M.sessions(spark, SF_MID).where("converted").count()
+
+
+def test_seeded_matching_is_unstable_mean_is_not(mid_cells):
+    sat = saturated_scores(mid_cells)
+    seeded = [_one(matching_ate(sat, tie_policy="seeded", seed=s)) for s in range(6)]
+    assert len({round(v, 9) for v in seeded}) > 1            # ties resolved differently per seed
+    mean = _one(matching_ate(sat))
+    assert min(seeded) - 1e-12 <= max(seeded) and abs(sum(seeded) / len(seeded) - mean) < 0.2
+    assert _one(matching_ate(sat, tie_policy="seeded", seed=3)) == seeded[3]   # reproducible
