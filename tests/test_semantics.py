@@ -101,3 +101,24 @@ def test_partition_range_rejects(spark):
     inside, rejects = split_partition_range(flatten_events(raw(spark, rows)), 20240101, 20240201)
     assert [r.event_id for r in inside.collect()] == [1]
     assert [r.event_id for r in rejects.collect()] == [2]
+
+
+def test_summary_of_empty_estimates_has_one_naive_row(spark):
+    from liftlens.operators.reports import causal_summary, latest_estimates
+    from liftlens.schema import ESTIMATES
+    empty = spark.createDataFrame([], ESTIMATES)
+    rows = causal_summary(latest_estimates(empty)).collect()
+    assert len(rows) == 1 and rows[0].estimate == "naive_correlation" and rows[0].conversion_lift is None
+
+
+def test_country_name_collision_detected():
+    from liftlens.operators.causal.encode import confounder_names
+    with pytest.raises(ValueError, match="collide"):
+        confounder_names({"device": ["desktop"], "geo": ["<Other>", "Other"]})
+    assert confounder_names({"device": ["desktop"], "geo": ["New Zealand"]})[-1] == "geo_New_Zealand"
+
+
+def test_top_levels_ties_broken_by_name(spark):
+    from liftlens.operators.causal.encode import top_levels
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,), (None,), (None,)], "g string")
+    assert [r.g for r in top_levels(df, "g", 2).collect()] == ["c", "a"]
