@@ -71,6 +71,8 @@ def grouped_bootstrap_cells(cells_ty: DataFrame, replicates: int = REPLICATES, s
     One ``mapInPandas`` over the small group table; each output row is one
     Poisson(m) draw seeded by (seed, replicate, md5 of the group values).
     """
+    from liftlens.session import ship_package
+    ship_package(cells_ty.sparkSession)
     conf = list(confounders)
     keyed = cells_ty.withColumn("replicate", replicate_ids(replicates))
     keyed = keyed.withColumn("_rowkey", F.concat_ws("|", *[F.col(c).cast("string") for c in conf],

@@ -87,6 +87,8 @@ def fit_logit(X: np.ndarray, w1: np.ndarray, w0: np.ndarray, C: float = 1.0,
 def logit_scores(cells: DataFrame, confounders: Sequence[str] = CONFOUNDERS,
                  keys: Sequence[str] = (), C: float = 1.0) -> DataFrame:
     """Logistic propensity per key group, fitted on the group's cells."""
+    from liftlens.session import ship_package
+    ship_package(cells.sparkSession)
     confounders = list(confounders)
     out_schema = T.StructType(cells.schema.fields + [T.StructField("ps", T.DoubleType())])
 

@@ -72,6 +72,8 @@ def placebo_frame(frame: DataFrame, simulations: int = SIMULATIONS, seed: int =
 def grouped_placebo_cells(cells: DataFrame, simulations: int = SIMULATIONS, seed: int = SEED,
                           confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
     """Placebo cell tables (keys ``sim``) drawn from the observed cells."""
+    from liftlens.session import ship_package
+    ship_package(cells.sparkSession)
     conf = list(confounders)
     reps = cells.select(*conf, "n", "n1", "y", F.explode(F.sequence(F.lit(0), F.lit(simulations - 1))).alias("sim"))
     schema = T.StructType([reps.schema["sim"], *[reps.schema[c] for c in conf],

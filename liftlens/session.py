@@ -105,3 +105,34 @@ def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
     from pyspark.sql import functions as F
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``liftlens`` importable in Python workers (``--py-files`` at runtime).
+
+    Pandas UDFs (logit fits, grouped draws) refer to functions of this package;
+    executors started from another working directory would not find it.  The
+    zip goes below the shared folder when that is a local path, otherwise to a
+    driver-side file that Spark's file server hands to every executor.
+    """
+    import zipfile
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = shared_dir(spark)
+    base = root if "://" not in root or root.startswith("file:") else tempfile.mkdtemp(prefix="liftlens-py-")
+    base = base.replace("file:", "", 1) if base.startswith("file:") else base
+    os.makedirs(base, exist_ok=True)
+    out = os.path.join(base, f"liftlens-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
