@@ -62,19 +62,27 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     unset (local runs, tests).  Each call with ``parts`` returns a path below
     it; callers that need a fresh location pass a unique part.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    sc = _context(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
-        if not sc.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             # a machine-local folder is invisible to executors on a cluster
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         # unset in a local run or test: the local folder is the shared one
         root = tempfile.mkdtemp(prefix="liftlens-")
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return os.path.join(root, *parts) if parts else root
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder (never reused, never cleared)."""
     return shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
@@ -119,8 +127,9 @@ def ship_package(spark: SparkSession) -> None:
     driver-side file that Spark's file server hands to every executor.
     """
     import zipfile
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    sc = _context(spark)
+    app = sc.applicationId if sc is not None else f"connect-{spark.conf.get('spark.app.name', '')}-{id(spark)}"
+    if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = shared_dir(spark)
@@ -134,5 +143,8 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(out)
-    _SHIPPED.add(sc.applicationId)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:                                   # Spark Connect: ship as a session artifact
+        spark.addArtifacts(out, pyfile=True)
+    _SHIPPED.add(app)
