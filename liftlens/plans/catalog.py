@@ -73,8 +73,10 @@ def q_param_lookup_multi(spark, sf):
 @register("shard_counts", O.with_(O.RAW_EVENTS, body=(
     "SELECT event_date AS shard, count(*) AS num_rows FROM raw_events GROUP BY event_date")))
 def q_shard_counts(spark, sf):
-    from liftlens.sources.shards import shard_row_counts
-    return shard_row_counts(M.raw_events(spark, sf).withColumn("shard", F.col("event_date")))
+    """S3 + S4: land every day's shard, then report rows per landed shard."""
+    from liftlens.sources.shards import read_shards, shard_row_counts
+    _, raw_root = _land_all(spark, sf)
+    return shard_row_counts(read_shards(spark, raw_root))
 
 
 DECLARED_RANGE = (20240101, 20240129)

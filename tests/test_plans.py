@@ -19,7 +19,8 @@ def test_lineitem_predicate_and_columns_reach_parquet(spark):
 
 
 def test_adapter_prunes_unused_event_columns(spark):
-    p = plan(QUERIES["shard_counts"](spark, SF_SMALL))
+    from liftlens.sources.shards import shard_row_counts
+    p = plan(shard_row_counts(M.raw_events(spark, SF_SMALL).withColumn("shard", M.F.col("event_date"))))
     scan = [l for l in p.splitlines() if "events.parquet" in l][0]
     assert "ReadSchema: struct<ts:timestamp_ntz>" in scan
 
