@@ -1,6 +1,7 @@
 """Estimator invariants, regression anchors and a known-effect fixture."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -242,3 +243,22 @@ def test_matching_against_row_level_brute_force(spark):
     got = matching_ate(saturated_scores(build_cells(M.frame(spark, SF_MID)))).first()
     assert got.ate == pytest.approx(want, abs=1e-12)
     assert got.att == pytest.approx(att, abs=1e-12) and got.atc == pytest.approx(atc, abs=1e-12)
+
+
+def test_stratification_against_row_level_brute_force(spark):
+    fr = M.frame(spark, SF_MID).toPandas()
+    key = ["is_new_user", "device", "geo"]
+    cell = fr.groupby(key).agg(n=("treatment", "size"), n1=("treatment", "sum")).reset_index()
+    fr = fr.merge(cell, on=key)
+    fr["ps"] = fr.n1 / fr.n
+    for S in (12, 25):
+        fr["stratum"] = np.round(fr.ps.rank(method="average") / len(fr) * S)   # half to even
+        g = fr.groupby("stratum")
+        st = pd.DataFrame({"T": g.treatment.sum(), "C": g.treatment.size() - g.treatment.sum(),
+                           "Y1": g.apply(lambda d: (d.treatment * d.outcome).sum(), include_groups=False),
+                           "Y0": g.apply(lambda d: ((1 - d.treatment) * d.outcome).sum(), include_groups=False)})
+        kept = st[np.minimum(st["T"], st["C"]) > 10]
+        eff = kept.Y1 / kept["T"] - kept.Y0 / kept["C"]
+        want = (eff * (kept["T"] + kept["C"])).sum() / (kept["T"] + kept["C"]).sum()
+        got = stratified_ate(saturated_scores(build_cells(M.frame(spark, SF_MID))), num_strata=S).first()
+        assert got.ate == pytest.approx(want, abs=1e-12) and got.kept_strata == len(kept)
