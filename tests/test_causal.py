@@ -262,3 +262,12 @@ def test_stratification_against_row_level_brute_force(spark):
         want = (eff * (kept["T"] + kept["C"])).sum() / (kept["T"] + kept["C"]).sum()
         got = stratified_ate(saturated_scores(build_cells(M.frame(spark, SF_MID))), num_strata=S).first()
         assert got.ate == pytest.approx(want, abs=1e-12) and got.kept_strata == len(kept)
+
+
+def test_grouped_bootstrap_matches_row_bootstrap_in_distribution(spark):
+    from liftlens.operators.causal.bootstrap import replicate_estimates
+    fr = M.frame(spark, SF_MID)
+    sd = {m: replicate_estimates(fr, replicates=200, method=m).agg(F.stddev_samp("ate"), F.avg("ate")).first()
+          for m in ("rows", "grouped")}
+    assert sd["grouped"][0] == pytest.approx(sd["rows"][0], rel=0.25)     # same spread
+    assert abs(sd["grouped"][1] - sd["rows"][1]) < 2 * sd["rows"][0] / np.sqrt(200) + 0.01
