@@ -8,7 +8,7 @@
   so groups are small and spread over executors when there are many
   (bootstrap replicates, placebo simulations, run dates).
 * ``spark_ml`` – the same model through ``pyspark.ml`` (one fit, no keys);
-  agrees with ``logit`` to ~1e-9 and is kept as the library-native path.
+  agrees with ``logit`` to 1e-6 or better (tested) and is kept as the library-native path.
 """
 
 from __future__ import annotations
