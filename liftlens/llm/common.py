@@ -31,17 +31,17 @@ def scan(values: Column, combine: Callable[[Column, Column], Column], neutral: C
 
 
 def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
-             make: Callable[[], Callable[[list[bytes | str]], Sequence[pa.Array]]],
-             keep: Iterable[str] | None = None) -> DataFrame:
+             make: Callable[[], Callable[..., Sequence[pa.Array]]],
+             keep: Iterable[str] | None = None, extra: Sequence[str] = ()) -> DataFrame:
     """Append columns computed from one text column, one Arrow batch at a time.
 
-    ``make`` runs once per task and returns ``texts -> arrays`` (one array per
-    field).  ``keep`` names the input columns to carry along (default all); an
+    ``make`` runs once per task and returns ``texts, *extra -> arrays`` (one array per
+    field).  ``extra`` names further input columns; ``keep`` names the input columns to carry along (default all); an
     input column named like a new field is replaced.
     """
     new = {f.name for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c not in new]
-    cols = kept if text_col in kept else [*kept, text_col]
+    cols = list(dict.fromkeys([*kept, text_col, *extra]))
     schema = T.StructType([df.schema[c] for c in kept] + list(fields))
     names = [f.name for f in schema.fields]
 
@@ -50,7 +50,7 @@ def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
         for batch in batches:
             for part in by_bytes(batch, text_col):
                 arrays = [part.column(c) for c in kept]
-                arrays += list(fn(part.column(text_col).to_pylist()))
+                arrays += list(fn(*(part.column(c).to_pylist() for c in (text_col, *extra))))
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return df.select(*cols).mapInArrow(run, schema)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.testdata import table
+from .decontaminate import contamination_report
+from .pii import pii_report
 from .secrets import secret_report
 
 
@@ -13,5 +15,15 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scan,)}
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document."""
+    return pii_report(table(spark, sf_dir, "documents"))
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op3_secret_scan, op6_pii, op9_decontaminate)}
 ORACLE: dict[str, str] = {}
