@@ -8,6 +8,7 @@ from ..sources.testdata import table
 from .decontaminate import contamination_report
 from .pii import pii_report
 from .secrets import secret_report
+from .simhash import near_duplicate_report
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,10 +21,15 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return near_duplicate_report(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scan, op6_pii, op9_decontaminate)}
+QUERIES = {f.__name__: f for f in (op3_secret_scan, op6_pii, op7_simhash, op9_decontaminate)}
 ORACLE: dict[str, str] = {}
