@@ -6,9 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.testdata import table
 from .decontaminate import contamination_report
+from .mixing import mix_report
 from .pii import pii_report
 from .secrets import secret_report
 from .simhash import near_duplicate_report
+from .topk import top_k_report
+
+
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best candidates of every 50th vector."""
+    return top_k_report(table(spark, sf_dir, "embeddings"))
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +23,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all documents to target weights takes from each."""
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document."""
     return pii_report(table(spark, sf_dir, "documents"))
@@ -31,5 +43,5 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scan, op6_pii, op7_simhash, op9_decontaminate)}
+QUERIES = {f.__name__: f for f in (op2_topk, op3_secret_scan, op5_mix, op6_pii, op7_simhash, op9_decontaminate)}
 ORACLE: dict[str, str] = {}
