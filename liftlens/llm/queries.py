@@ -11,6 +11,7 @@ from .pii import pii_report
 from .secrets import secret_report
 from .simhash import near_duplicate_report
 from .topk import top_k_report
+from .warc import archive_report
 
 
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    return archive_report(table(spark, sf_dir, "pages"))
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all documents to target weights takes from each."""
     return mix_report(table(spark, sf_dir, "documents"))
@@ -43,5 +49,5 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_topk, op3_secret_scan, op5_mix, op6_pii, op7_simhash, op9_decontaminate)}
+QUERIES = {f.__name__: f for f in (op2_topk, op3_secret_scan, op4_warc, op5_mix, op6_pii, op7_simhash, op9_decontaminate)}
 ORACLE: dict[str, str] = {}
