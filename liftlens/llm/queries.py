@@ -8,6 +8,7 @@ from ..sources.testdata import table
 from .decontaminate import contamination_report
 from .mixing import mix_report
 from .pii import pii_report
+from .repeats import repeat_report
 from .secrets import secret_report
 from .simhash import near_duplicate_report
 from .topk import top_k_report
@@ -49,5 +50,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_topk, op3_secret_scan, op4_warc, op5_mix, op6_pii, op7_simhash, op9_decontaminate)}
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that a repeated 20-word window covers."""
+    return repeat_report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_topk, op3_secret_scan, op4_warc, op5_mix, op6_pii, op7_simhash, op9_decontaminate, op10_repeats)}
 ORACLE: dict[str, str] = {}
