@@ -8,6 +8,7 @@ from ..sources.testdata import table
 from .decontaminate import contamination_report
 from .mixing import mix_report
 from .pii import pii_report
+from .quality import quality_report
 from .repeats import repeat_report
 from .secrets import secret_report
 from .simhash import near_duplicate_report
@@ -15,6 +16,11 @@ from .topk import top_k_report
 from .warc import archive_report
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned outside the held-out fold."""
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best candidates of every 50th vector."""
     return top_k_report(table(spark, sf_dir, "embeddings"))
@@ -55,5 +61,6 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_topk, op3_secret_scan, op4_warc, op5_mix, op6_pii, op7_simhash, op9_decontaminate, op10_repeats)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality, op2_topk, op3_secret_scan, op4_warc, op5_mix, op6_pii, op7_simhash, op9_decontaminate, op10_repeats)}
 ORACLE: dict[str, str] = {}
