@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.testdata import table
 from .decontaminate import contamination_report
+from .html_text import main_text_report
 from .mixing import mix_report
 from .pii import pii_report
 from .quality import quality_report
@@ -51,6 +52,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text_report(table(spark, sf_dir, "pages"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -62,5 +68,6 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality, op2_topk, op3_secret_scan, op4_warc, op5_mix, op6_pii, op7_simhash, op9_decontaminate, op10_repeats)}
+    op1_quality, op2_topk, op3_secret_scan, op4_warc, op5_mix, op6_pii, op7_simhash, op8_html_text,
+    op9_decontaminate, op10_repeats)}
 ORACLE: dict[str, str] = {}
