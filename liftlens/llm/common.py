@@ -30,6 +30,18 @@ def scan(values: Column, combine: Callable[[Column, Column], Column], neutral: C
     return F.aggregate(strides, values, step)
 
 
+def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` without columns called ``names`` (whatever their case), and a function that
+    selects the columns of ``df`` from a result, with their own names and order."""
+    taken = {n.lower() for n in names}
+    moved = {c: f"__aside_{i}" for i, c in enumerate(df.columns) if c.lower() in taken}
+
+    def restore(out: DataFrame) -> DataFrame:
+        return out.select(*[F.col(f"`{moved[c]}`").alias(c) if c in moved else F.col(f"`{c}`") for c in df.columns])
+
+    return df.withColumnsRenamed(moved), restore
+
+
 def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
              make: Callable[[], Callable[..., Sequence[pa.Array]]],
              keep: Iterable[str] | None = None, extra: Sequence[str] = ()) -> DataFrame:
@@ -39,8 +51,8 @@ def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
     field).  ``extra`` names further input columns; ``keep`` names the input columns to carry along (default all); an
     input column named like a new field is replaced.
     """
-    new = {f.name for f in fields}
-    kept = [c for c in (df.columns if keep is None else keep) if c not in new]
+    new = {f.name.lower() for f in fields}
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
     cols = list(dict.fromkeys([*kept, text_col, *extra]))
     schema = T.StructType([df.schema[c] for c in kept] + list(fields))
     names = [f.name for f in schema.fields]

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import map_text
+from .common import map_text, set_aside
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -152,15 +152,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     ``remove="document"`` drops every document with a hit; ``remove="span"`` cuts the
     hit words (with what stands between them) out of the text and keeps the document.
     """
-    found = find_hits(docs, benchmark, text_col, window, block_words)
-    if remove == "document":
-        return found.where(F.size("hit_ranges") == 0).select(*docs.columns)
-    if remove != "span":
+    if remove not in ("document", "span"):
         raise ValueError("remove: document or span")
+    plain, restore = set_aside(docs, (*HIT_COLUMNS, "__cut"))
+    found = find_hits(plain, benchmark, text_col, window, block_words)
+    if remove == "document":
+        return restore(found.where(F.size("hit_ranges") == 0))
     def make():
         return lambda texts, ranges: [pa.array([_cut(x, r) for x, r in zip(texts, ranges)], type=pa.string())]
     cut = map_text(found, text_col, [T.StructField("__cut", T.StringType())], make, extra=["hit_ranges"])
-    return cut.withColumn(text_col, F.col("__cut")).select(*docs.columns)
+    return restore(cut.withColumn(text_col, F.col("__cut")))
 
 
 def _cut(text, ranges):

@@ -65,19 +65,19 @@ def mix_sources(sized: DataFrame, id_col: str = "doc_id", source_col: str = "sou
                 weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = SEED) -> DataFrame:
     """``sized`` with source_size, target, copies and taken (= copies * size) for every row."""
     added = ("source_size", "target", "copies", "taken")
-    kept = [c for c in sized.columns if c not in added]
+    kept = [c for c in sized.columns if c.lower() not in added]
     draw = hex32_uniform(F.substring(F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")),
                                                        F.lit(seed))), 1, 8))
     rows = materialize(sized.select(*kept, draw.alias("__u")), "mix-rows")
     copies = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))
                     ).otherwise(0.0)
-    sources = source_targets(rows, source_col, size_col, weights, share, most).withColumn("whole", F.floor(copies))
-    sources = sources.withColumns({"part": copies - F.col("whole"),
-                                   "missing": F.col("target") - F.col("whole") * F.col("source_size")})
+    sources = source_targets(rows, source_col, size_col, weights, share, most).withColumn("__whole", F.floor(copies))
+    sources = sources.withColumns({"__part": copies - F.col("__whole"),
+                                   "__missing": F.col("target") - F.col("__whole") * F.col("source_size")})
     sources = materialize(sources, "mix-sources")
 
-    odds = F.col("__u") / (1 - F.col("__u")) * (1 - F.col("part")) / F.col("part")
-    key = F.when(F.col("part") > 0, odds / (1 + odds))
+    odds = F.try_divide(F.col("__u") * (1 - F.col("__part")), (1 - F.col("__u")) * F.col("__part"))
+    key = F.when(F.col("__part") > 0, odds / (1 + odds))
     ranked = _meet(rows, sources, source_col).withColumns({
         "__key": key, "__bucket": F.floor(key * BUCKETS),
         "__large": F.col(size_col) * LARGE > F.col("source_size")})
@@ -85,7 +85,7 @@ def mix_sources(sized: DataFrame, id_col: str = "doc_id", source_col: str = "sou
     run = Window.partitionBy(source_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     large = ranked.where("__large").withColumn(
-        "__need", F.col("part") * F.sum(size_col).over(Window.partitionBy(source_col)))
+        "__need", F.col("__part") * F.sum(size_col).over(Window.partitionBy(source_col)))
     large = large.withColumn("__in", _reached(F.sum(size_col).over(run), F.col(size_col), F.col("__need")))
     small = ranked.where("not __large")
     words = large.where("__in").groupBy(F.col(source_col).alias("__source")).agg(F.sum(size_col).alias("in_large"))
@@ -94,7 +94,7 @@ def mix_sources(sized: DataFrame, id_col: str = "doc_id", source_col: str = "sou
     bars = bars.withColumn("upto", F.sum("bar").over(Window.partitionBy("__source").orderBy("__bucket").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)))
     needs = _meet(sources, words, "__source", "left").select(
-        "__source", (F.col("missing") - F.coalesce("in_large", F.lit(0))).alias("need"))
+        "__source", (F.col("__missing") - F.coalesce("in_large", F.lit(0))).alias("need"))
     end = _meet(bars, needs, "__source").where(
         (F.col("upto") - F.col("bar") < F.col("need")) & (F.col("upto") >= F.col("need")))
     end = end.select("__source", F.col("__bucket").alias("last"), (F.col("upto") - F.col("bar")).alias("before"))
@@ -109,10 +109,10 @@ def mix_sources(sized: DataFrame, id_col: str = "doc_id", source_col: str = "sou
     ends = ends.withColumn("__in", _reached(F.sum(size_col).over(run), F.col(size_col), F.col("__need")))
     rest = small.where("__bucket is null or __bucket <> __last").withColumn(
         "__in", F.coalesce(F.col("__bucket") < F.col("__last"), F.lit(False)))
-    cols = [*kept, "source_size", "target", "whole", "__in"]
+    cols = [*kept, "source_size", "target", "__whole", "__in"]
     out = rest.select(*cols).unionByName(ends.select(*cols)).unionByName(
         large.withColumn("__in", F.coalesce("__in", F.lit(False))).select(*cols))
-    out = out.withColumn("copies", (F.col("whole") + F.col("__in").cast("int")).cast("bigint"))
+    out = out.withColumn("copies", (F.col("__whole") + F.col("__in").cast("int")).cast("bigint"))
     return out.select(*kept, "source_size", "target", "copies", (F.col("copies") * F.col(size_col)).alias("taken"))
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import map_text
+from .common import map_text, set_aside
 from .tokens import range_hash
 
 BITS = 18
@@ -189,5 +189,5 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without those that score below ``threshold``."""
-    scored = score_quality(docs, fit(docs, labels))
-    return scored.where(F.col("score") >= threshold).select(*docs.columns)
+    plain, restore = set_aside(docs, ("score",))
+    return restore(score_quality(plain, fit(docs, labels)).where(F.col("score") >= threshold))

@@ -42,15 +42,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_bytes
+from .common import by_bytes, set_aside
 from .tokens import Words, mix, range_hash, sliding
 
 WINDOW = 20
 GRAM = 8
 SLOT_BITS = 28
 BLOCK_BITS = 16
-SLICE_BYTES = 8 << 20
-FLUSH = 4 << 20
+SLICE_BYTES = 4 << 20
+FLUSH = 2 << 20
 LAST = np.iinfo(np.int64).max
 
 
@@ -234,7 +234,7 @@ def with_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                              window, gram, slot_bits)
     ranges = found.groupBy(F.col("doc").alias("__doc"), F.col("tag").alias("__tag")).agg(
         F.collect_list(F.struct("start", "end")).alias("repeat_starts"))
-    keyed = df.withColumns({"__d": doc, "__t": tag})
+    keyed = df.drop("repeat_starts").withColumns({"__d": doc, "__t": tag})
     joined = keyed.join(ranges, (F.col("__d") == F.col("__doc")) & (F.col("__t") == F.col("__tag")), "left")
     return joined.drop("__d", "__t", "__doc", "__tag")
 
@@ -255,8 +255,9 @@ def _kept(part: pa.RecordBatch, text_col: str, window: int) -> tuple[Words, np.n
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``df`` with repeated passages cut out of ``text_col``; what stays is joined by one space where a text was cut."""
-    found = with_repeats(df, id_col, text_col, window)
-    columns, schema = df.columns, df.schema
+    plain, restore = set_aside(df, ("repeat_starts",))
+    found = with_repeats(plain, id_col, text_col, window)
+    columns, schema = plain.columns, plain.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,7 +269,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 text = pa.array([b if c else a for a, b, c in zip(old, new, cut)], type=pa.string())
                 yield pa.RecordBatch.from_arrays([text if c == text_col else part.column(c) for c in columns],
                                                  names=columns)
-    return found.mapInArrow(run, schema)
+    return restore(found.mapInArrow(run, schema))
 
 
 def repeat_report(df: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scan
+from .common import scan, set_aside
 
 # Fixed values (contract of the base scan), in the order in which kinds are listed.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -154,7 +154,8 @@ def redact_secrets(df: DataFrame, text_col: str = "text", scope: int = SCOPE, ma
 
     Rows without spans keep their text, null included.
     """
-    found = scan_secrets(df, text_col, scope)
+    plain, restore = set_aside(df, ("secret_spans",))
+    found = scan_secrets(plain, text_col, scope)
     spans = F.col("secret_spans")
     reach = scan(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b), F.lit(0).cast("bigint"))
     before = F.slice(F.concat(F.array(F.lit(-1).cast("bigint")), F.col("__secret_reach")), 1, F.size(spans))
@@ -171,4 +172,4 @@ def redact_secrets(df: DataFrame, text_col: str = "text", scope: int = SCOPE, ma
                       F.concat(F.col("__secret_starts"), F.array(F.length(text).cast("bigint"))),
                       lambda a, b: F.substring(text, (a + one).cast("int"), (b - a).cast("int")))
     clean = F.when(F.size(spans) > 0, F.array_join(gaps, mask)).otherwise(text)
-    return found.withColumn(text_col, clean).drop("secret_spans", "__secret_reach", "__secret_starts", "__secret_ends")
+    return restore(found.withColumn(text_col, clean))

@@ -23,7 +23,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-@lru_cache(maxsize=8)
+@lru_cache(maxsize=4)
 def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """base^i and base^-i modulo 2^64 for i < 2^bits."""
     out = []
@@ -34,12 +34,31 @@ def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int) -> np.ndarray:
-    """Hash of values[start:end] for every range, from prefix sums of values[i] * base^i."""
-    up, down = _powers(BASES[lane], max(10, int(len(values)).bit_length()))
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:len(values)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+CHUNK_BITS = 19
+
+
+def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int,
+               table: np.ndarray | None = None) -> np.ndarray:
+    """Hash of values[start:end] (of table[values] if given) for sorted ranges.
+
+    Prefix sums of values[i] * base^i give every range's polynomial; they are taken over
+    pieces of 2^CHUNK_BITS values, so memory follows the piece and not the text.
+    """
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        low = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, low + (1 << CHUNK_BITS), "right")))
+        high = int(ends[j - 1])
+        piece = values[low:high] if table is None else table[values[low:high]]
+        # only a range longer than a piece needs more powers than a piece has
+        up, down = _powers(BASES[lane], max(CHUNK_BITS, (high - low).bit_length()))
+        total = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(piece * up[:high - low], out=total[1:])
+        s, e = starts[i:j] - low, ends[i:j] - low
+        out[i:j] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        i = j
+    return out
 
 
 class Words:
@@ -66,7 +85,7 @@ class Words:
         self.first = np.searchsorted(self.start, self.bounds)
 
     def hashes(self) -> np.ndarray:
-        return range_hash(_BYTE[self.data], self.start, self.end, 0)
+        return range_hash(self.data, self.start, self.end, 0, _BYTE)
 
     def texts(self, keep: np.ndarray) -> list[bytes]:
         """Of every text, its words where ``keep`` holds, joined by one space."""
