@@ -15,7 +15,7 @@ The index is built in two steps, in blocks:
    a reducer group.  The result is a filter of ``SLOTS`` bits: 32 MB, whatever the input.
    A slot may be shared, which costs work and never a result.
 2. Reference blocks.  Windows whose anchor occurs more than once are sent to the block of
-   their 128-bit hash and sorted there with their place; the first of a hash is the
+   their 96-bit hash and sorted there with their place; the first of a hash is the
    reference, the others are repeats of it.  Occurrences after the first within one slice
    of a task are known repeats already: they travel as ranges and not under their hash, so
    a passage that every document shares reaches its block once per slice, not once per
@@ -85,7 +85,7 @@ class _Windows:
     def keys(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = self.at[chosen]
         return (range_hash(self.hash, at, at + self.window, 2).view(np.int64),
-                range_hash(mix(self.hash), at, at + self.window, 3).view(np.int64))
+                (range_hash(mix(self.hash), at, at + self.window, 3) >> np.uint64(32)).astype(np.int64))
 
 
 def _slot(anchor: np.ndarray, bits: int) -> np.ndarray:
