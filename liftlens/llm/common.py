@@ -68,7 +68,7 @@ def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
     return df.select(*cols).mapInArrow(run, schema)
 
 
-def by_bytes(batch: pa.RecordBatch, col: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def by_bytes(batch: pa.RecordBatch, col: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch holding about ``limit`` bytes of ``col`` (one row at least),
     so that what Python makes of long texts stays bounded."""
     n = batch.num_rows

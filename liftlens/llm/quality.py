@@ -68,7 +68,7 @@ def features(texts: list[str | None]) -> tuple[list[tuple[np.ndarray, np.ndarray
     out = []
     edge = np.diff(space.astype(np.int8))
     start, end = np.flatnonzero(edge == -1) + 1, np.flatnonzero(edge == 1) + 1
-    word = (range_hash(flat.astype(np.uint64), start, end, 0) >> np.uint64(32)).astype(np.uint32)
+    word = (range_hash(flat, start, end, 0) >> np.uint64(32)).astype(np.uint32)
     first = np.searchsorted(start, begin)
     out.append((_rows(word, 1), first))
     pattern = np.zeros(len(word), np.uint32)
