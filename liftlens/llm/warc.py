@@ -3,10 +3,10 @@
 Writing, as Spark jobs:
 
 1. Payload digests are computed in SQL.  Of records with equal payloads of ``MIN_REVISIT``
-   bytes or more, that with the largest id becomes the response and the others revisit it;
-   only digests that occur twice or more meet the records again (a join that Spark
-   broadcasts by its size, or splits where one payload is hot).
-2. Records are range-partitioned and sorted by (id, digest, url).  Every task writes its
+   bytes or more, that with the largest id becomes the response and the others revisit it.
+   Only ids and digests are joined (Spark splits that join where one payload is hot).
+2. Records, and before each revisit its mark, are range-partitioned by (id, digest) and
+   sorted, so payloads are shuffled once.  Every task writes its
    range, one gzip member per record, and starts a new file once the compressed size
    passes ``ROLL_BYTES``.  Headers, digests and record ids are regenerated from the record
    alone and gzip members carry no time stamp, so a rerun writes the same bytes.
@@ -48,7 +48,7 @@ from ..session import fresh_dir
 
 MIN_REVISIT = 1000
 ROLL_BYTES = 16 << 20
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 32 << 20
 STEP = 16 << 10
 CRAWL_DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -161,16 +161,19 @@ _MANIFEST_NAMES = [x.split()[0] for x in MANIFEST.split(", ")]
 _MANIFEST_TYPES = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
 
 
-def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """(page_id, url, html, digest, refers_to): ``refers_to`` is set where a record revisits another."""
+def _keyed(pages: DataFrame) -> DataFrame:
     html = F.coalesce(F.col("html"), F.lit(""))
-    keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"),
-                         F.sha1(html).alias("digest"), F.octet_length(html).alias("size"))
-    copies = keyed.where(F.col("size") >= min_bytes).groupBy(F.col("digest").alias("of")).agg(
-        F.max("page_id").alias("original"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    met = keyed.join(copies, F.col("digest") == F.col("of"), "left")
-    refers = F.when(F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original")), F.col("original"))
-    return met.select("page_id", "url", "html", "digest", refers.alias("refers_to"))
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"),
+                        F.sha1(html).alias("digest"), F.octet_length(html).alias("size"))
+
+
+def revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
+    """(page_id, digest, refers_to) of the records that revisit another."""
+    keyed = _keyed(pages).where(F.col("size") >= min_bytes).select("page_id", "digest")
+    copies = keyed.groupBy(F.col("digest").alias("of")).agg(
+        F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1 and refers_to is not null").drop("n")
+    met = keyed.join(copies, F.col("digest") == F.col("of"))
+    return met.where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "digest", "refers_to").distinct()
 
 
 def write_archive(pages: DataFrame, root: str, min_bytes: int = MIN_REVISIT, roll_bytes: int = ROLL_BYTES,
@@ -181,16 +184,27 @@ def write_archive(pages: DataFrame, root: str, min_bytes: int = MIN_REVISIT, rol
     fs, base = _fs(root)
     fs.create_dir(base, recursive=True)
     shards = int(total // shard_bytes) + 1
-    ranged = with_revisits(pages, min_bytes).repartitionByRange(
-        shards, "page_id", "digest", "url").sortWithinPartitions("page_id", "digest", "url")
+    # a mark travels with its page and sorts before it, so payloads are moved once
+    marks = revisits(pages, min_bytes).select(
+        "page_id", "digest", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"),
+        F.lit(None).cast("string").alias("html"), "refers_to")
+    records = _keyed(pages).select("page_id", "digest", F.lit(1).alias("kind"), "url", "html",
+                                   F.lit(None).cast("long").alias("refers_to"))
+    ranged = records.unionByName(marks).repartitionByRange(shards, "page_id", "digest").sortWithinPartitions(
+        "page_id", "digest", "kind", "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         out = _Roller(root, task.partitionId(), f"{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}", roll_bytes)
+        mark = None
         for batch in batches:
             rows = []
-            for page_id, url, html, digest, refers in zip(*(c.to_pylist() for c in batch.columns)):
-                rows += out.add(encode(page_id, url, html.encode(), digest, refers))
+            for page_id, digest, kind, url, html, refers in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind == 0:
+                    mark = (page_id, digest, refers)
+                else:
+                    original = mark[2] if mark is not None and mark[:2] == (page_id, digest) else None
+                    rows += out.add(encode(page_id, url, html.encode(), digest, original))
             yield _batch(rows, _MANIFEST_NAMES, _MANIFEST_TYPES)
         yield _batch(out.close(), _MANIFEST_NAMES, _MANIFEST_TYPES)
 
