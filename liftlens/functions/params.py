@@ -17,12 +17,12 @@ VALUE_FIELDS = ("string_value", "int_value", "float_value", "double_value")
 
 
 def param_value(params: Column | str, key: str, field: str = "int_value",
-                strict: bool = False) -> Column:
-    """Value ``field`` of the first entry whose ``key`` matches.
+                strict: bool = True) -> Column:
+    """Value ``field`` of the entry whose ``key`` matches.
 
-    No entry gives NULL.  Several entries with the same key: the first one
-    wins, unless ``strict`` – then the task fails like a scalar subquery that
-    returns more than one row.
+    No entry gives NULL.  Several entries with the same key fail the task, like
+    a scalar subquery that returns more than one row; without ``strict`` the
+    first one wins.
     """
     if field not in VALUE_FIELDS:
         raise ValueError(f"unknown value field {field!r}")
@@ -37,9 +37,3 @@ def param_value(params: Column | str, key: str, field: str = "int_value",
                   F.raise_error(F.lit(f"more than one event_params entry with key '{key}'"))
                   ).otherwise(value)
 
-
-def param_values(params: Column | str, keys: dict[str, tuple[str, str]],
-                 strict: bool = False) -> list[Column]:
-    """Several lookups at once: ``{alias: (key, field)}`` -> aliased columns."""
-    return [param_value(params, key, field, strict).alias(alias)
-            for alias, (key, field) in keys.items()]

@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from liftlens.operators.causal.cells import n0, y0
 
-# The reference's clip and DoWhy's stratification defaults.
+# The clip of the governed estimate, the library's own clip, units an arm needs in a stratum.
 DEFAULT_CLIP = (0.001, 0.999)
 LIBRARY_DEFAULT_CLIP = (0.05, 0.95)
-STRATA_START = 50
 MIN_PER_ARM = 10
+# Parameter: with num_strata="auto" the search for a number of strata starts here.
+STRATA_START = 50
 
 
 def clipped(ps: Column, lo: float | Column, hi: float | Column) -> Column:
@@ -44,14 +45,15 @@ def ipw_ate(scored: DataFrame, keys: Sequence[str] = (), clip=DEFAULT_CLIP,
     """Normalised (Hajek) inverse-propensity weighting with clipped scores.
 
     ATE = sum(y1/p)/sum(n1/p) - sum(y0/(1-p))/sum(n0/(1-p)) over cells.
+    Without a clip (0, 1) a cell's missing arm has weight 0/0 and adds nothing.
     ``lo_col``/``hi_col`` take the clip from columns (clip grids, C12).
     """
     lo = F.col(lo_col) if lo_col else clip[0]
     hi = F.col(hi_col) if hi_col else clip[1]
     p = clipped(F.col("ps"), lo, hi)
     agg = scored.groupBy(*keys).agg(
-        F.sum(F.col("y1") / p).alias("_a"), F.sum(F.col("n1") / p).alias("_b"),
-        F.sum(y0() / (1 - p)).alias("_c"), F.sum(n0() / (1 - p)).alias("_d"))
+        F.sum(F.try_divide(F.col("y1"), p)).alias("_a"), F.sum(F.try_divide(F.col("n1"), p)).alias("_b"),
+        F.sum(F.try_divide(y0(), 1 - p)).alias("_c"), F.sum(F.try_divide(n0(), 1 - p)).alias("_d"))
     return agg.select(*keys, (F.try_divide(F.col("_a"), F.col("_b"))
                               - F.try_divide(F.col("_c"), F.col("_d"))).alias("ate"))
 
@@ -172,15 +174,13 @@ def row_level_ipw(frame: DataFrame, scored: DataFrame, confounders: Sequence[str
     """The same Hajek estimator computed unit by unit.
 
     Each session picks up its cell's score through a join with the cell table
-    (at most prod(levels) rows); it is broadcast after a size check, and
-    joined with a shuffle if the levels ever make it large.
+    (at most prod(levels) rows); Spark broadcasts it by its size in bytes.
     """
-    from liftlens.session import broadcast_if_small
     p = clipped(F.col("ps"), *clip)
     t, y = F.col(treatment), F.col(outcome)
-    rows = frame.join(broadcast_if_small(scored.select(*confounders, "ps")), list(confounders))
-    agg = rows.agg(F.sum(t * y / p).alias("_a"), F.sum(t / p).alias("_b"),
-                   F.sum((1 - t) * y / (1 - p)).alias("_c"), F.sum((1 - t) / (1 - p)).alias("_d"))
+    rows = frame.join(scored.select(*confounders, "ps"), list(confounders))
+    agg = rows.agg(F.sum(F.try_divide(t * y, p)).alias("_a"), F.sum(F.try_divide(t, p)).alias("_b"),
+                   F.sum(F.try_divide((1 - t) * y, 1 - p)).alias("_c"), F.sum(F.try_divide(1 - t, 1 - p)).alias("_d"))
     return agg.select((F.try_divide(F.col("_a"), F.col("_b"))
                        - F.try_divide(F.col("_c"), F.col("_d"))).alias("ate"))
 

@@ -9,7 +9,7 @@ Plan: returned order keys come from a filtered, two-column lineitem scan
 are flagged by a left join on the order key, then pre-aggregated to
 (customer, status, treatment, outcome) counts *before* the customer join, so a
 customer holding a third of all orders contributes a dozen rows to that join.
-The nation dimension (25 rows in this schema) is broadcast after a size check.
+Spark picks the joins with the dimensions by their size.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftlens.operators.causal.cells import build_cells
-from liftlens.session import broadcast_if_small
 
 # Fixed values of this domain.
 URGENT = "1-URGENT"
@@ -39,7 +38,7 @@ def order_groups(orders: DataFrame, customer: DataFrame, nation: DataFrame,
     per_customer = flagged.groupBy("o_custkey", "o_orderstatus", "treatment", "outcome").agg(
         F.count(F.lit(1)).alias("m"))
     cust = customer.select("c_custkey", "c_mktsegment", "c_nationkey")
-    nat = broadcast_if_small(nation.select("n_nationkey", F.col("n_regionkey").cast("string").alias("n_regionkey")))
+    nat = nation.select("n_nationkey", F.col("n_regionkey").cast("string").alias("n_regionkey"))
     return (per_customer.join(cust, F.col("o_custkey") == F.col("c_custkey"))
             .join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(*ORDER_CONFOUNDERS, "treatment", "outcome", "m"))

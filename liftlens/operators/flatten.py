@@ -41,7 +41,7 @@ def _typed(raw: DataFrame, strict: bool) -> DataFrame:
     )
 
 
-def flatten_events(raw: DataFrame, strict: bool = False) -> DataFrame:
+def flatten_events(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Staging events: typed, flattened, with ``session_key``; sessionless rows dropped.
 
     ``session_key`` uses ``concat`` (NULL in, NULL out), so a NULL user gives a
@@ -53,13 +53,13 @@ def flatten_events(raw: DataFrame, strict: bool = False) -> DataFrame:
     return typed.select(*[c for c in STG_COLUMNS if c != "session_key"], key.alias("session_key"))
 
 
-def events_without_session(raw: DataFrame) -> DataFrame:
+def events_without_session(raw: DataFrame, strict: bool = True) -> DataFrame:
     """The rows ``flatten_events`` drops (no ``ga_session_id`` parameter)."""
-    return _typed(raw, strict=False).where(F.col("ga_session_id").isNull())
+    return _typed(raw, strict).where(F.col("ga_session_id").isNull())
 
 
 def lookup_params(raw: DataFrame, keys: dict[str, tuple[str, str]],
-                  strict: bool = False) -> DataFrame:
+                  strict: bool = True) -> DataFrame:
     """Several ``event_params`` lookups in one pass (``{alias: (key, field)}``)."""
     cols = [param_value("event_params", key, field, strict).alias(alias)
             for alias, (key, field) in keys.items()]

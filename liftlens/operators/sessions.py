@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from liftlens.functions.channels import is_paid_medium
-from liftlens.functions.money import money
+from liftlens.functions.money import money_sum
 
 SESSION_COLUMNS = (
     "session_key", "user_pseudo_id", "session_date_key", "session_date", "session_start_at",
@@ -46,8 +46,7 @@ def sessionize(stg: DataFrame) -> DataFrame:
         F.bool_or(is_paid_medium("traffic_medium")).alias("is_paid"),
         *[first_non_null(src).alias(dst) for dst, src in TOUCH_COLUMNS.items()],
         F.bool_or(F.col("event_name") == "purchase").alias("converted"),
-        F.sum(money(F.coalesce(F.col("purchase_revenue_usd"), F.lit(0.0))))
-         .cast("double").alias("session_revenue_usd"),
+        money_sum("purchase_revenue_usd").cast("double").alias("session_revenue_usd"),
         F.min("device_category").alias("device_category"),
         F.min("geo_country").alias("geo_country"),
         F.bool_or(F.col("event_name") == "first_visit").alias("is_new_user"),
@@ -72,7 +71,7 @@ def session_partials(stg: DataFrame) -> DataFrame:
         F.bool_or(is_paid_medium("traffic_medium")).alias("p_paid"),
         *[touch(src).alias(f"p_{dst}") for dst, src in TOUCH_COLUMNS.items()],
         F.bool_or(F.col("event_name") == "purchase").alias("p_converted"),
-        F.sum(money(F.coalesce(F.col("purchase_revenue_usd"), F.lit(0.0)))).alias("p_revenue"),
+        money_sum("purchase_revenue_usd").alias("p_revenue"),
         F.min("device_category").alias("p_device"),
         F.min("geo_country").alias("p_geo"),
         F.bool_or(F.col("event_name") == "first_visit").alias("p_new_user"),

@@ -152,7 +152,7 @@ def q_channel_daily_rate(spark, sf):
     "SELECT channel, first_touch_medium, CAST(sum(sessions) AS BIGINT) AS sessions, "
     "CAST(sum(conversions) AS BIGINT) AS conversions, "
     "CAST(sum(conversions) AS DOUBLE) / sum(sessions) AS conversion_rate, "
-    "CAST(round(sum(CAST(revenue_usd AS DECIMAL(18,2))), 2) AS DOUBLE) AS revenue_usd "
+    "CAST(round(sum(CAST(revenue_usd AS DECIMAL(38,12))), 2) AS DOUBLE) AS revenue_usd "
     "FROM channel GROUP BY ALL ORDER BY sessions DESC")))
 def q_channel_detail(spark, sf):
     from liftlens.operators.reports import channel_detail
@@ -413,7 +413,7 @@ def q_metric_conversion_rate_by_device(spark, sf):
 
 @register("metric_revenue_by_medium", O.with_(*O.SESS, body=(
     "SELECT first_touch_medium AS session__first_touch_medium, is_paid AS session__is_paid, "
-    "CAST(sum(CAST(session_revenue_usd AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM sessions GROUP BY 1, 2")))
+    "CAST(sum(CAST(session_revenue_usd AS DECIMAL(38,12))) AS DOUBLE) AS revenue FROM sessions GROUP BY 1, 2")))
 def q_metric_revenue_by_medium(spark, sf):
     return _metric(spark, sf, ["revenue"], ["session__first_touch_medium", "session__is_paid"])
 
@@ -572,7 +572,8 @@ def _land_all(spark, sf):
     from liftlens.sources.shards import land_shards
     root = fresh_dir(spark, "shards")
     raw_root = f"{root}/raw"
-    land_shards(M.raw_events(spark, sf), raw_root)
+    # testdata days are small: one file each
+    land_shards(M.raw_events(spark, sf), raw_root, files_per_day=1)
     return root, raw_root
 
 
@@ -593,7 +594,7 @@ def q_incremental_reload(spark, sf):
     half = len(days) // 2
     backfill(spark, raw_root, stg_root, days[: half + 3])                # S13, one job
     load_staging(spark, raw_root, stg_root, days=days[half:])            # S5: overlap replaced
-    land_shards(M.raw_events(spark, sf), raw_root, days=days[:1])        # S3: re-land one day
+    land_shards(M.raw_events(spark, sf), raw_root, days=days[:1], files_per_day=1)   # S3: re-land one day
     load_staging(spark, raw_root, stg_root, days=days[:1])               # idempotent re-run
     return read_staging(spark, stg_root)
 

@@ -80,7 +80,7 @@ sessions AS (
     {_first_touch('traffic_source')} AS first_touch_source,
     {_first_touch('traffic_campaign')} AS first_touch_campaign,
     bool_or(event_name = 'purchase') AS converted,
-    CAST(sum(CAST(coalesce(purchase_revenue_usd, 0) AS DECIMAL(18,2))) AS DOUBLE) AS session_revenue_usd,
+    CAST(sum(CAST(coalesce(purchase_revenue_usd, 0) AS DECIMAL(38,12))) AS DOUBLE) AS session_revenue_usd,
     min(device_category) AS device_category,
     min(geo_country) AS geo_country,
     bool_or(event_name = 'first_visit') AS is_new_user
@@ -101,7 +101,7 @@ channel AS (
     count(*) AS sessions,
     CAST(count_if(converted) AS BIGINT) AS conversions,
     CAST(count_if(converted) AS DOUBLE) / count(*) AS conversion_rate,
-    CAST(round(sum(CAST(session_revenue_usd AS DECIMAL(18,2))), 2) AS DOUBLE) AS revenue_usd
+    CAST(round(sum(CAST(session_revenue_usd AS DECIMAL(38,12))), 2) AS DOUBLE) AS revenue_usd
   FROM sessions GROUP BY ALL
 )"""
 

@@ -81,9 +81,21 @@ def check_schema(df: DataFrame, declared: T.StructType) -> DataFrame:
     Nullability is not compared (Parquet round trips make everything
     nullable).  Returns ``df`` so it can sit inside a chain.
     """
-    got, want = _shape(df.schema), _shape(declared)
-    if got != want:
-        extra = [c for c in got if c not in want]
-        missing = [c for c in want if c not in got]
-        raise SchemaDriftError(f"schema drift: extra={extra} missing={missing}")
+    if _shape(df.schema) != _shape(declared):
+        _drift(df.schema, declared, "")
+        raise SchemaDriftError("schema drift: the order of the columns differs")
     return df
+
+
+def check_columns(found: T.StructType, declared: T.StructType, what: str = "") -> None:
+    """Raise if two schemas differ in names or types of columns, whatever their order."""
+    if sorted(_shape(found)) != sorted(_shape(declared)):
+        _drift(found, declared, what)
+
+
+def _drift(found: T.StructType, declared: T.StructType, what: str) -> None:
+    got, want = _shape(found), _shape(declared)
+    extra = [c for c in got if c not in want]
+    missing = [c for c in want if c not in got]
+    if extra or missing:
+        raise SchemaDriftError(f"schema drift{what and ' in ' + what}: extra={extra} missing={missing}")

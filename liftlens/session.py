@@ -1,7 +1,7 @@
 """Session construction and the shared working folder.
 
 On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names
-(HDFS / object store).  Only when it is unset – local runs and tests – do we
+(HDFS / object store).  Only where it is unset in a run on one machine do we
 create one of our own.
 """
 
@@ -17,33 +17,36 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # parallelism-first coalescing targets shuffle bytes / cores; the floor only
-    # matters for small shuffles (e.g. the session frame before a 200x replicate
-    # expansion), which would otherwise collapse into one task
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
+# Only for a run on one machine: small shuffles would otherwise collapse into one task.
+LOCAL_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB"}
 
 
-def build_session(master: str | None = None, cpus: int | None = None,
+def build_session(cpus: int | None = None, master: str | None = None,
                   shuffle_partitions: int | None = None, app: str = "liftlens",
                   extra: dict | None = None) -> SparkSession:
     """Create (or fetch) a session with the settings the library relies on.
 
-    ``spark.sql.shuffle.partitions`` defaults to 2x cores locally; on a
-    cluster leave it to the deployment (AQE coalesces small partitions).
+    Master and shuffle partitions belong to the deployment: they are set only if
+    asked for.  ``cpus`` asks for a run on this machine, ``local[cpus]`` with two
+    shuffle partitions a core; ``master`` names any other.
     """
-    cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
     builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or f"local[{cpus}]")
-        builder = builder.config("spark.driver.memory", os.environ.get("LIFTLENS_DRIVER_MEM", "8g"))
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 2 * cpus)
+    if cpus:
+        master = master or f"local[{cpus}]"
+        conf.update(LOCAL_CONF)
+        conf["spark.driver.memory"] = os.environ.get("LIFTLENS_DRIVER_MEM", "8g")
+        shuffle_partitions = shuffle_partitions or 2 * cpus
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -55,23 +58,25 @@ def build_session(master: str | None = None, cpus: int | None = None,
     return spark
 
 
+_LOCAL_ROOT: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach, below ``spark.checkpoint.dir``.
 
-    Reads the setting from the session; sets one of our own only when it is
-    unset (local runs, tests).  Each call with ``parts`` returns a path below
-    it; callers that need a fresh location pass a unique part.
+    Reads the setting from the session.  Where it is unset in a local run, one
+    folder is made for the application and stays its root; on a cluster an unset
+    setting is an error, never a machine-local folder.
     """
     sc = _context(spark)
-    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if sc is None or not sc.master.startswith("local"):
-            # a machine-local folder is invisible to executors on a cluster
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        # unset in a local run or test: the local folder is the shared one
-        root = tempfile.mkdtemp(prefix="liftlens-")
-    if sc is not None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
+        app = sc.applicationId
+        if app not in _LOCAL_ROOT:
+            _LOCAL_ROOT[app] = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="liftlens-")
+        root = _LOCAL_ROOT[app]
     return os.path.join(root, *parts) if parts else root
 
 
@@ -103,18 +108,6 @@ def materialize(df, name: str = "stage"):
     return spark.read.parquet(path)
 
 
-BROADCAST_MAX_ROWS = 100_000
-
-
-def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
-    """Broadcast hint only after checking the side's size; a plain (shuffle)
-    join otherwise.  For sides whose size depends on data (cell tables, small
-    dimensions); the check is one count over an already aggregated table."""
-    from pyspark.sql import functions as F
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -2,55 +2,75 @@
 
 Layout: raw shards are a Parquet dataset partitioned by ``shard=YYYYMMDD``;
 staging is a Parquet dataset partitioned by ``event_date_key``.  Re-landing or
-re-loading a day uses dynamic partition overwrite, so only the partitions
-present in the new data are replaced and every other day stays untouched –
-the Spark form of ``insert_overwrite`` / copy-job partition swaps.
+re-loading a day uses dynamic partition overwrite, so only the named days are
+replaced, days that have become empty included, and every other day stays
+untouched – the Spark form of ``insert_overwrite`` / copy-job partition swaps.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from liftlens.operators.flatten import STG_COLUMNS, flatten_events
-from liftlens.schema import RAW_EVENT, RAW_SHARDS, STAGING, check_schema
+from liftlens.schema import RAW_EVENT, RAW_SHARDS, STAGING, check_columns, check_schema
 
 # The declared integer partition range of the reference window
 # (start inclusive, end exclusive, step 1).
 REFERENCE_RANGE = (20201101, 20210201)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_col: str, dynamic: bool = True) -> None:
-    """Write ``df`` partitioned by ``partition_col``; with ``dynamic`` only the
-    partitions present in ``df`` are replaced."""
-    _overwrite(df, path, partition_col, dynamic)
+FILES_PER_DAY = 8
 
 
-def _overwrite(df: DataFrame, path: str, partition_col: str, dynamic: bool = True) -> None:
+def replace_partitions(df: DataFrame, path: str, partition_col: str, values=None, dynamic: bool = True) -> None:
+    """Write ``df`` partitioned by ``partition_col``; with ``dynamic`` other partitions stay as they are.
+
+    ``values`` names the partitions that are replaced.  Those without a row in
+    ``df`` become empty, so a day that has lost its rows loses them here too.
+    """
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
        .partitionBy(partition_col)
        .parquet(path))
+    if values is None or not dynamic:
+        return
+    # one value per named partition at most
+    present = {str(r[0]) for r in df.select(partition_col).distinct().collect()}
+    nothing = df.sparkSession.createDataFrame([], T.StructType([f for f in df.schema.fields if f.name != partition_col]))
+    for value in values:
+        if str(value) not in present and _exists(df.sparkSession, part := f"{path}/{partition_col}={value}"):
+            nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(part)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("parquet").load(path).schema
+    except AnalysisException:
+        return False
+    return True
 
 
 def land_shards(raw: DataFrame, root: str, days: list[str] | None = None,
-                files_per_day: int | None = None) -> None:
-    """S3: land raw events as daily shards; re-landing a day replaces only that day.
-
-    ``raw`` must have the declared raw-event columns; ``shard`` is derived
-    from ``event_date``.  When the source is not already clustered by day
-    (every task holding rows of every day would write a file per day),
-    ``files_per_day`` hash-partitions on (day, salt): each day is written by
-    at most that many tasks, and a hot day is still spread over that many.
+                files_per_day: int | None = FILES_PER_DAY) -> None:
+    """S3: land raw events as daily shards; re-landing a day replaces that day, an empty one included.
+
+    ``raw`` must have the declared raw-event columns, no more and no fewer (S7);
+    ``shard`` is derived from ``event_date``.  ``files_per_day`` hash-partitions on
+    (day, salt): a day is written by at most that many tasks whatever the layout of
+    the source, and a hot day is spread over that many.  None writes the source's
+    own partitions, for sources that are clustered by day.
     """
-    check_schema(raw.select(*RAW_EVENT.fieldNames()), RAW_EVENT)
+    check_columns(raw.schema, RAW_EVENT, "the raw events")
     df = raw.select(*RAW_EVENT.fieldNames(), F.col("event_date").alias("shard"))
     if days is not None:
         df = df.where(F.col("shard").isin(list(days)))
     if files_per_day:
         salt = F.pmod(F.xxhash64("event_id", "event_timestamp", "user_pseudo_id"), F.lit(files_per_day))
         df = df.repartition(F.col("shard"), salt)
-    _overwrite(df, root, "shard")
+    replace_partitions(df, root, "shard", days)
 
 
 def read_shards(spark: SparkSession, root: str, ds: str | list[str] | None = None) -> DataFrame:
@@ -79,27 +99,57 @@ def split_partition_range(stg: DataFrame, start: int, end: int) -> tuple[DataFra
     return stg.where(inside), stg.where(~inside | key.isNull())
 
 
+def shard_days(spark: SparkSession, root: str) -> list[str]:
+    """Days that are landed below ``root`` (one row per day)."""
+    return sorted(r[0] for r in read_shards(spark, root).select("shard").distinct().collect())
+
+
+def check_shards(spark: SparkSession, root: str, days: list[str] | None = None) -> None:
+    """The files of every day hold the declared raw columns, no more and no fewer."""
+    for day in shard_days(spark, root) if days is None else days:
+        if _exists(spark, part := f"{root}/shard={day}"):
+            check_columns(spark.read.parquet(part).schema, RAW_EVENT, f"shard {day}")
+
+
 def load_staging(spark: SparkSession, raw_root: str, stg_root: str,
                  days: list[str] | None = None, key_range: tuple[int, int] | None = None,
-                 full_refresh: bool = False, strict: bool = False) -> DataFrame:
-    """Flatten the given shards and replace their staging partitions.
+                 full_refresh: bool = False, strict: bool = True, rejects_root: str | None = None) -> DataFrame:
+    """Flatten the given shards and replace their staging partitions.
 
     * ``days`` – shards to (re)load; None = all shards.  Several days go in one
       write (a backfill is one job, same result as a day-by-day loop).
-    * ``key_range`` – declared partition range; rows outside are not written
-      and are returned as the rejects DataFrame.
+    * ``key_range`` – declared partition range; rows outside go to ``rejects_root``
+      (default: beside the staging table), replaced by day like staging itself, and
+      are returned.
     * ``full_refresh`` – static overwrite: the whole staging table is replaced.
-    * schema drift against the declared staging schema raises before writing.
+    * shards that differ from the declared columns, and a staging table that was
+      written with other columns, raise before anything is written.
     """
+    check_shards(spark, raw_root, days)
     stg = flatten_events(read_shards(spark, raw_root, days), strict=strict)
     check_schema(stg, STAGING)
+    if not full_refresh and _exists(spark, stg_root):
+        check_columns(spark.read.parquet(stg_root).drop("event_date_key").schema, stg.drop("event_date_key").schema,
+                      "the written staging table")
+    keys = None if days is None else [int(d) for d in days]
     rejects = stg.limit(0)
     if key_range is not None:
-        stg, rejects = split_partition_range(stg, *key_range)
-    _overwrite(stg, stg_root, "event_date_key", dynamic=not full_refresh)
+        stg, out = split_partition_range(stg, *key_range)
+        rejects_root = rejects_root or f"{stg_root}_rejects"
+        replace_partitions(out, rejects_root, "event_date_key", keys, dynamic=not full_refresh)
+        rejects = read_rejects(spark, rejects_root, keys)
+    replace_partitions(stg, stg_root, "event_date_key", keys, dynamic=not full_refresh)
     return rejects
 
 
+def read_rejects(spark: SparkSession, rejects_root: str, keys: list[int] | None = None) -> DataFrame:
+    """Rows outside the declared range, of the given days or of all."""
+    if not _exists(spark, rejects_root):
+        return spark.createDataFrame([], STAGING)
+    df = spark.read.schema(STAGING).parquet(rejects_root).select(*STG_COLUMNS)
+    return df if keys is None else df.where(F.col("event_date_key").isin(keys) | F.col("event_date_key").isNull())
+
+
 def read_staging(spark: SparkSession, stg_root: str) -> DataFrame:
     """Staging table as declared (partition column typed bigint, declared order)."""
     return spark.read.schema(STAGING).parquet(stg_root).select(*STG_COLUMNS)

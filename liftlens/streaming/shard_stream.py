@@ -13,7 +13,6 @@ resumes where it stopped; ``availableNow`` processes what is there and stops.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from liftlens.schema import RAW_SHARDS
 from liftlens.sources.shards import load_staging
@@ -21,8 +20,12 @@ from liftlens.sources.shards import load_staging
 
 def stream_shards_to_staging(spark: SparkSession, raw_root: str, stg_root: str, checkpoint: str,
                              max_files_per_trigger: int | None = None,
-                             key_range: tuple[int, int] | None = None) -> int:
-    """Run the shard stream until all present files are processed; returns micro-batches run."""
+                             key_range: tuple[int, int] | None = None,
+                             rejects_root: str | None = None) -> int:
+    """Run the shard stream until all present files are processed; returns micro-batches run.
+
+    Rows outside ``key_range`` are written to ``rejects_root`` (default: beside staging).
+    """
     reader = spark.readStream.schema(RAW_SHARDS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -33,7 +36,8 @@ def stream_shards_to_staging(spark: SparkSession, raw_root: str, stg_root: str,
         # distinct shard values of the batch: at most one row per day
         days = [r[0] for r in batch.select("shard").distinct().collect()]
         if days:
-            load_staging(batch.sparkSession, raw_root, stg_root, days=sorted(days), key_range=key_range)
+            load_staging(batch.sparkSession, raw_root, stg_root, days=sorted(days), key_range=key_range,
+                         rejects_root=rejects_root)
         batches.append(epoch_id)
 
     query = (source.select("shard").writeStream
@@ -43,8 +47,3 @@ def stream_shards_to_staging(spark: SparkSession, raw_root: str, stg_root: str,
              .start())
     query.awaitTermination()
     return len(batches)
-
-
-def shard_file_counts(spark: SparkSession, raw_root: str) -> DataFrame:
-    """Rows per shard as the stream sees them (input check for tests)."""
-    return spark.read.schema(RAW_SHARDS).parquet(raw_root).groupBy("shard").agg(F.count(F.lit(1)).alias("n"))

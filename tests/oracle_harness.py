@@ -111,7 +111,7 @@ def main(argv):
     from liftlens.session import build_session
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(QUERIES)
-    spark = build_session(shuffle_partitions=8)
+    spark = build_session(cpus=8, shuffle_partitions=8)
     con = duck(sf_dir)
     bad = 0
     for n in names:

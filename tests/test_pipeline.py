@@ -11,8 +11,11 @@ from liftlens.operators.quality import QualityGateError, gate, run_tests
 from liftlens.operators.sessions import sessionize
 from liftlens.plans import models as M
 from liftlens.plans.pipeline import PipelineConfig, backfill, run_day
-from liftlens.sources.shards import (backfill as load_backfill, land_shards, load_staging, read_shards,
-                                     read_staging)
+from liftlens.operators.flatten import flatten_events
+from liftlens.schema import SchemaDriftError
+from liftlens.session import shared_dir
+from liftlens.sources.shards import (backfill as load_backfill, land_shards, load_staging, read_rejects, read_shards,
+                                     read_staging, shard_days)
 from liftlens.streaming.shard_stream import stream_shards_to_staging
 
 
@@ -24,7 +27,7 @@ def _rows(df):
 def landed(spark):
     from liftlens.session import fresh_dir
     root = fresh_dir(spark, "landed")
-    land_shards(M.raw_events(spark, SF_SMALL), f"{root}/raw")
+    land_shards(M.raw_events(spark, SF_SMALL), f"{root}/raw", files_per_day=1)
     days = sorted(r[0] for r in read_shards(spark, f"{root}/raw").select("shard").distinct().collect())
     return root, f"{root}/raw", days
 
@@ -35,7 +38,7 @@ def test_shard_pruning_and_relanding(spark, landed):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and days[3] in plan
     before = _rows(read_shards(spark, raw_root))
-    land_shards(M.raw_events(spark, SF_SMALL), raw_root, days=[days[3]])   # re-land one day
+    land_shards(M.raw_events(spark, SF_SMALL), raw_root, days=[days[3]], files_per_day=1)   # re-land one day
     assert _rows(read_shards(spark, raw_root)) == before
 
 
@@ -158,3 +161,57 @@ def test_land_with_files_per_day_bounds_files(spark, workdir):
         files = [f for f in os.listdir(f"{workdir}/raw/{d}") if f.endswith(".parquet")]
         assert 1 <= len(files) <= 2
     assert _rows(read_shards(spark, f"{workdir}/raw").drop("shard")) == _rows(raw)
+
+
+def test_relanded_day_that_became_empty_is_empty(spark, workdir):
+    raw = M.raw_events(spark, SF_SMALL)
+    land_shards(raw, f"{workdir}/raw", files_per_day=1)
+    load_staging(spark, f"{workdir}/raw", f"{workdir}/stg")
+    days = shard_days(spark, f"{workdir}/raw")
+    before = read_staging(spark, f"{workdir}/stg").count()
+    gone = read_staging(spark, f"{workdir}/stg").where(F.col("event_date_key") == int(days[2])).count()
+    land_shards(raw.where(F.col("event_date") != days[2]), f"{workdir}/raw", days=[days[2]])
+    load_staging(spark, f"{workdir}/raw", f"{workdir}/stg", days=[days[2]])
+    assert gone > 0 and read_staging(spark, f"{workdir}/stg").count() == before - gone
+    assert read_shards(spark, f"{workdir}/raw", days[2]).count() == 0
+
+
+def test_rejects_are_written_and_returned(spark, workdir):
+    raw = M.raw_events(spark, SF_SMALL)
+    land_shards(raw, f"{workdir}/raw", files_per_day=1)
+    days = shard_days(spark, f"{workdir}/raw")
+    span = (int(days[0]), int(days[5]))
+    out = load_staging(spark, f"{workdir}/raw", f"{workdir}/stg", days=days[:8], key_range=span)
+    inside = read_staging(spark, f"{workdir}/stg").count()
+    assert out.count() == read_rejects(spark, f"{workdir}/stg_rejects").count() > 0
+    assert inside + out.count() == flatten_events(read_shards(spark, f"{workdir}/raw", days[:8])).count()
+
+
+def test_schema_drift_of_shards_and_written_table(spark, workdir):
+    raw = M.raw_events(spark, SF_SMALL)
+    with pytest.raises(SchemaDriftError, match="extra"):
+        land_shards(raw.withColumn("surprise", F.lit(1)), f"{workdir}/raw")
+    with pytest.raises(SchemaDriftError, match="missing"):
+        land_shards(raw.drop("geo"), f"{workdir}/raw")
+    land_shards(raw, f"{workdir}/raw", files_per_day=1)
+    day = shard_days(spark, f"{workdir}/raw")[0]
+    one = raw.where(F.col("event_date") == day)
+    one.drop("geo").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{workdir}/raw/shard={day}")
+    with pytest.raises(SchemaDriftError, match=f"shard {day}.*missing"):
+        load_staging(spark, f"{workdir}/raw", f"{workdir}/stg", days=[day])
+    stg = flatten_events(raw).withColumn("old_column", F.lit("x"))
+    stg.write.partitionBy("event_date_key").parquet(f"{workdir}/old")
+    other = shard_days(spark, f"{workdir}/raw")[1]
+    with pytest.raises(SchemaDriftError, match="written staging table"):
+        load_staging(spark, f"{workdir}/raw", f"{workdir}/old", days=[other])
+
+
+def test_subcent_revenue_is_kept(spark):
+    rows = M.staging(spark, SF_SMALL).limit(1000).withColumn("purchase_revenue_usd", F.lit(0.004)).withColumn(
+        "session_key", F.lit("one")).withColumn("user_pseudo_id", F.lit("u"))
+    n = rows.count()
+    assert sessionize(rows).first().session_revenue_usd == pytest.approx(0.004 * n, abs=1e-12)
+
+
+def test_shared_root_is_stable(spark):
+    assert shared_dir(spark, "x") == shared_dir(spark, "x")

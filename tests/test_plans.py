@@ -62,11 +62,3 @@ def test_no_registered_query_plans_a_cross_join(spark):
         if hits:
             bad[name] = hits
     assert not bad, bad
-
-
-def test_broadcast_only_after_size_check(spark):
-    from liftlens.session import broadcast_if_small
-    df = spark.range(5)
-    assert broadcast_if_small(df, max_rows=2) is df              # too big: plain join
-    hinted = broadcast_if_small(df, max_rows=10)
-    assert hinted is not df and "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()

@@ -34,7 +34,7 @@ def test_param_lookup_missing_null_and_first_wins(spark):
     rows = [_ev(1, T0, params=[]),
             _ev(2, T0 + 1, params=[_p("other", 1), _p("ga_session_id", None)]),
             _ev(3, T0 + 2, params=[_p("ga_session_id", 5), _p("ga_session_id", 6)])]
-    stg = flatten_events(raw(spark, rows))
+    stg = flatten_events(raw(spark, rows), strict=False)
     got = {r.event_id: r.ga_session_id for r in stg.collect()}
     assert got == {3: 5}   # no key and NULL value are dropped; first duplicate wins
 
@@ -42,7 +42,7 @@ def test_param_lookup_missing_null_and_first_wins(spark):
 def test_param_lookup_strict_raises_on_duplicate(spark):
     rows = [_ev(3, T0, params=[_p("ga_session_id", 5), _p("ga_session_id", 6)])]
     with pytest.raises(Exception, match="more than one"):
-        flatten_events(raw(spark, rows), strict=True).collect()
+        flatten_events(raw(spark, rows)).collect()
 
 
 def test_null_user_gives_null_session_key(spark):

@@ -16,7 +16,7 @@ def main(argv: list[str]) -> None:
     from liftlens.session import build_session
     sf = argv[0] if argv and argv[0].startswith("/") else "/root/testdata/sf0.1"
     names = [a for a in argv if not a.startswith("/")]
-    spark = build_session()
+    spark = build_session(cpus=8)
     print(f"# Final physical plans ({os.path.basename(sf)}, local[8], after execution)\n")
     for n in names:
         df = QUERIES[n](spark, sf)
