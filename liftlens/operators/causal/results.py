@@ -1,10 +1,7 @@
-"""Estimate rows (C13) for one run or for the daily run history.
+"""Estimate rows (C13) for one run; ``history`` has those of every daily run.
 
 One run = every requested method on the same cells, with shared run
-statistics (A15).  The history replays the daily pipeline: the run of day d
-estimates on all sessions dated <= d.  It is computed from per-day cells
-(days x cells rows) expanded to the run dates they belong to, so the cost does
-not depend on the number of sessions beyond the single cell aggregation.
+statistics (A15).  Estimates are stored as computed; rounding is for reports.
 """
 
 from __future__ import annotations
@@ -12,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from liftlens.operators.causal.cells import build_cells, run_stats
@@ -25,7 +22,6 @@ from liftlens.session import materialize
 
 REFERENCE_METHODS = (MATCHING, WEIGHTING)
 ALL_METHODS = (MATCHING, WEIGHTING, STRATIFICATION)
-ESTIMATE_DIGITS = 9   # stored precision of ate / naive_difference
 ESTIMATE_COLUMNS = ("method", "ate", "run_at", "naive_difference", "n_sessions", "n_paid",
                     "n_converted", "data_start", "data_end")
 
@@ -47,11 +43,11 @@ def method_estimates(scored: DataFrame, keys: Sequence[str], methods: Sequence[s
     return reduce(DataFrame.unionByName, parts)
 
 
-def _assemble(est: DataFrame, stats: DataFrame, keys: Sequence[str], run_at) -> DataFrame:
+def assemble(est: DataFrame, stats: DataFrame, keys: Sequence[str], run_at) -> DataFrame:
     rows = est.join(stats, list(keys))
     return rows.select(
-        "method", F.round("ate", ESTIMATE_DIGITS).alias("ate"), run_at.alias("run_at"),
-        F.round("naive_difference", ESTIMATE_DIGITS).alias("naive_difference"),
+        "method", "ate", run_at.alias("run_at"),
+        "naive_difference",
         F.col("n_sessions").cast("bigint"), F.col("n_paid").cast("bigint"),
         F.col("n_converted").cast("bigint"), "data_start", "data_end")
 
@@ -66,7 +62,7 @@ def causal_estimates(frame: DataFrame, run_at, methods: Sequence[str] = REFERENC
     scored = materialize(score_cells(cells, model=model, confounders=confounders, keys=["_run"]))
     est = method_estimates(scored, ["_run"], methods, clip)
     run_at = run_at if isinstance(run_at, Column) else F.lit(run_at)
-    return _assemble(est, _stats_with_dates(scored, ["_run"]), ["_run"], run_at.cast("timestamp_ntz"))
+    return assemble(est, _stats_with_dates(scored, ["_run"]), ["_run"], run_at.cast("timestamp_ntz"))
 
 
 def _cells_with_dates(frame: DataFrame, confounders: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -82,35 +78,6 @@ def _stats_with_dates(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     return run_stats(cells, keys).join(dates, list(keys))
 
 
-def estimate_history(frame: DataFrame, methods: Sequence[str] = ALL_METHODS, model: str = "saturated",
-                     clip=DEFAULT_CLIP, confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
-    """Estimates of every daily run from the first to the last session date.
-
-    ``run_at`` of the run for day d is midnight after d (UTC wall clock).
-    """
-    return history_from_daily_cells(build_cells(frame, confounders, keys=["session_date"]),
-                                    methods, model, clip, confounders)
-
-
-def history_from_daily_cells(daily: DataFrame, methods: Sequence[str] = ALL_METHODS,
-                             model: str = "saturated", clip=DEFAULT_CLIP,
-                             confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
-    """``estimate_history`` from cells keyed by ``session_date`` (e.g. ``encoded_cells``),
-    so no per-session frame is needed at all."""
-    # global window over days x cells rows only (never sessions)
-    last = daily.withColumn("_last", F.max("session_date").over(Window.partitionBy()))
-    expanded = last.withColumn(
-        "run_date", F.explode(F.sequence(F.col("session_date"), F.col("_last"), F.expr("INTERVAL 1 DAY"))))
-    cells = expanded.groupBy("run_date", *confounders).agg(
-        *[F.sum(c).cast("bigint").alias(c) for c in ("n", "n1", "y", "y1")],
-        F.min("session_date").alias("d_min"), F.max("session_date").alias("d_max"))
-    scored = materialize(score_cells(cells, model=model, confounders=confounders, keys=["run_date"]))
-    est = method_estimates(scored, ["run_date"], methods, clip)
-    run_at = F.timestamp_add("DAY", F.lit(1), F.col("run_date").cast("timestamp_ntz"))
-    # runs x methods rows: written once, read by every report view
-    return materialize(_assemble(est, _stats_with_dates(scored, ["run_date"]), ["run_date"], run_at))
-
-
 def window_sensitivity(frame: DataFrame, unit: str = "week", methods: Sequence[str] = ALL_METHODS,
                        model: str = "saturated", clip=DEFAULT_CLIP,
                        confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
@@ -132,4 +99,4 @@ def sensitivity_from_window_cells(cells: DataFrame, methods: Sequence[str] = ALL
     est = method_estimates(scored, ["window_start"], methods, clip)
     sizes = scored.groupBy("window_start").agg(F.sum("n").alias("n_sessions"), F.sum("n1").alias("n_paid"))
     return est.join(sizes, "window_start").select(
-        "window_start", "method", F.round("ate", ESTIMATE_DIGITS).alias("ate"), "n_sessions", "n_paid")
+        "window_start", "method", "ate", "n_sessions", "n_paid")

@@ -71,13 +71,18 @@ def channel_detail(channel: DataFrame) -> DataFrame:
 
 # --- estimate views (R1-R4, W1, U1, F9-F11, A12) ---------------------------
 
+LOAD_SEQ = "load_seq"   # number of the load that wrote an estimate row
+
+
 def latest_estimates(estimates: DataFrame) -> DataFrame:
     """``fct_causal_estimates``: newest row per method plus derived columns.
 
     ``row_number() = 1`` per method is planned as a WindowGroupLimit (partial
     top-1 before the shuffle), the Spark form of QUALIFY.
     """
-    w = Window.partitionBy("method").orderBy(F.desc("run_at"))
+    # of two runs of one day the one loaded later wins
+    again = [F.desc(LOAD_SEQ)] if LOAD_SEQ in estimates.columns else []
+    w = Window.partitionBy("method").orderBy(F.desc("run_at"), *again)
     top = estimates.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     is_matching = F.col("method") == MATCHING
     return top.select(

@@ -331,17 +331,14 @@ def q_causal_estimates(spark, sf):
 # --- quality (Q1-Q4) ---------------------------------------------------------
 
 def _quality_models(spark, sf):
-    from liftlens.operators.causal.encode import encoded_cells
-    from liftlens.operators.causal.results import ALL_METHODS, history_from_daily_cells
     from liftlens.operators.metrics import spine_from
-    from liftlens.operators.reports import causal_summary, channel_performance, latest_estimates
+    from liftlens.operators.reports import causal_summary, channel_performance
     from liftlens.operators.sessions import sessionize
     from liftlens.session import materialize
     stg = M.staging(spark, sf)
     # the mart is read by four tests and three downstream models: write it once
     sessions = materialize(sessionize(stg))
-    daily = encoded_cells(sessions, keys=["session_date"], null_treatment=M.NULL_TREATMENT)
-    latest = latest_estimates(history_from_daily_cells(daily, methods=ALL_METHODS))
+    latest = M.latest(spark, sf)
     return {"stg_ga4__events": stg, "fct_sessions": sessions,
             "fct_causal_estimates": latest, "rpt_channel_performance": channel_performance(sessions),
             "rpt_causal_summary": causal_summary(latest),
@@ -682,8 +679,8 @@ def q_window_sensitivity(spark, sf):
     from liftlens.operators.causal.encode import encoded_cells
     from liftlens.operators.causal.results import sensitivity_from_window_cells
     weekly = M.sessions(spark, sf).withColumn("window_start", F.trunc("session_date", "week"))
-    return sensitivity_from_window_cells(
-        encoded_cells(weekly, keys=["window_start"], null_treatment=M.NULL_TREATMENT))
+    return M.rounded(sensitivity_from_window_cells(
+        encoded_cells(weekly, keys=["window_start"], null_treatment=M.NULL_TREATMENT)))
 
 
 @register("causal_estimates_saturated", O.single_run_sql())
@@ -692,7 +689,7 @@ def q_causal_estimates_saturated(spark, sf):
     from liftlens.operators.causal.results import ALL_METHODS, causal_estimates
     fr = M.frame(spark, sf)
     run_at = F.timestamp_add("DAY", F.lit(1), F.col("data_end").cast("timestamp_ntz"))
-    return causal_estimates(fr, run_at, methods=ALL_METHODS, model="saturated")
+    return M.rounded(causal_estimates(fr, run_at, methods=ALL_METHODS, model="saturated"))
 
 
 @register("matching_ate_seeded", O.with_(*O.SCORED_CHAIN, body=_sub(O.matching_sql(seed=42))))

@@ -1,8 +1,9 @@
 """The model chain as lazy DataFrames over a testdata folder.
 
-raw_events -> staging -> sessions -> channel / model frame / cells.  Each
-function returns a plan, nothing is computed here; Catalyst fuses the chain
-and prunes columns back to the parquet scan.
+raw_events -> staging -> sessions -> channel are plans only: Catalyst fuses the
+chain and prunes columns back to the parquet scan.  ``frame``, ``cells`` and
+``history`` read an intermediate several times and therefore write it (session
+columns, raw cells, estimates) below the shared folder while the plan is built.
 """
 
 from __future__ import annotations
@@ -67,10 +68,17 @@ def scored(spark: SparkSession, sf: str, model: str = "saturated") -> DataFrame:
     return score_cells(cells(spark, sf), model=model)
 
 
-def history(spark: SparkSession, sf: str, model: str = "saturated") -> DataFrame:
-    """Daily run history from per-day cells (one pass over the events, no mart write)."""
-    from liftlens.operators.causal.results import ALL_METHODS, history_from_daily_cells
-    return history_from_daily_cells(cells(spark, sf, keys=["session_date"]), methods=ALL_METHODS, model=model)
+def history(spark: SparkSession, sf: str, model: str = "saturated", digits: int = 9) -> DataFrame:
+    """Estimates of every daily run (one pass over the events, no mart write).
+
+    Rounded to ``digits`` here, where two engines are compared; the library stores them as computed.
+    """
+    from liftlens.operators.causal.history import estimate_history
+    return rounded(estimate_history(staging(spark, sf), model=model, null_treatment=NULL_TREATMENT), digits)
+
+
+def rounded(estimates: DataFrame, digits: int = 9) -> DataFrame:
+    return estimates.withColumns({c: F.round(c, digits) for c in ("ate", "naive_difference") if c in estimates.columns})
 
 
 def latest(spark: SparkSession, sf: str) -> DataFrame:

@@ -230,17 +230,41 @@ def stratified_sql(src: str = "scored", candidates=(12,), auto: bool = False, mi
 
 # --- estimate history and the report views over it -------------------------
 
+# The run of day d: sessions, top countries and frame from the events dated <= d.
 RUNS = """
 runs AS (
   SELECT CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS run_date
-  FROM (SELECT min(session_date) AS a, max(session_date) AS b FROM frame)
+  FROM (SELECT min(event_date) AS a, max(event_date) AS b FROM stg)
+)"""
+
+RSESSIONS = f"""
+rsessions AS (
+  SELECT r.run_date, session_key, user_pseudo_id, min(event_date) AS session_date,
+    CAST(coalesce(bool_or(traffic_medium IN {PAID_SQL}), false) AS INTEGER) AS treatment,
+    CAST(bool_or(event_name = 'purchase') AS INTEGER) AS outcome,
+    CAST(bool_or(event_name = 'first_visit') AS INTEGER) AS is_new_user,
+    coalesce(min(device_category), 'unknown') AS device, min(geo_country) AS geo_country
+  FROM runs r JOIN stg e ON e.event_date <= r.run_date GROUP BY r.run_date, session_key, user_pseudo_id
+)"""
+
+RTOP = """
+rtop AS (
+  SELECT run_date, geo_country FROM (
+    SELECT run_date, geo_country, row_number() OVER (PARTITION BY run_date ORDER BY count(*) DESC, geo_country) AS place
+    FROM rsessions WHERE geo_country IS NOT NULL GROUP BY run_date, geo_country) WHERE place <= 10
+)"""
+
+RFRAME = """
+rframe AS (
+  SELECT s.*, CASE WHEN t.geo_country IS NOT NULL THEN s.geo_country ELSE 'other_country' END AS geo
+  FROM rsessions s LEFT JOIN rtop t ON s.run_date = t.run_date AND s.geo_country = t.geo_country
 )"""
 
 RCELLS = """
 rcells AS (
-  SELECT r.run_date, f.is_new_user, f.device, f.geo, count(*) AS n, CAST(sum(f.treatment) AS BIGINT) AS n1,
-    CAST(sum(f.outcome) AS BIGINT) AS y, CAST(sum(f.treatment * f.outcome) AS BIGINT) AS y1
-  FROM runs r JOIN frame f ON f.session_date <= r.run_date GROUP BY ALL
+  SELECT run_date, is_new_user, device, geo, count(*) AS n, CAST(sum(treatment) AS BIGINT) AS n1,
+    CAST(sum(outcome) AS BIGINT) AS y, CAST(sum(treatment * outcome) AS BIGINT) AS y1
+  FROM rframe GROUP BY ALL
 )"""
 
 RSCORED = """
@@ -248,13 +272,13 @@ rscored AS (SELECT *, CAST(n1 AS DOUBLE) / n AS ps FROM rcells)"""
 
 RSTATS = """
 rstats AS (
-  SELECT r.run_date, count(*) AS n_sessions, CAST(sum(f.treatment) AS BIGINT) AS n_paid,
-    CAST(sum(f.outcome) AS BIGINT) AS n_converted,
-    round(CAST(sum(f.treatment * f.outcome) AS DOUBLE) / sum(f.treatment)
-      - CAST(sum(f.outcome) - sum(f.treatment * f.outcome) AS DOUBLE) / (count(*) - sum(f.treatment)), 9)
+  SELECT run_date, count(*) AS n_sessions, CAST(sum(treatment) AS BIGINT) AS n_paid,
+    CAST(sum(outcome) AS BIGINT) AS n_converted,
+    round(CAST(sum(treatment * outcome) AS DOUBLE) / nullif(sum(treatment), 0)
+      - CAST(sum(outcome) - sum(treatment * outcome) AS DOUBLE) / nullif(count(*) - sum(treatment), 0), 9)
       AS naive_difference,
-    min(f.session_date) AS data_start, max(f.session_date) AS data_end
-  FROM runs r JOIN frame f ON f.session_date <= r.run_date GROUP BY r.run_date
+    min(session_date) AS data_start, max(session_date) AS data_end
+  FROM rframe GROUP BY run_date
 )"""
 
 
@@ -308,7 +332,7 @@ summary AS (
 
 
 def history_chain() -> tuple:
-    return FRAMED + (RUNS, RCELLS, RSCORED, RSTATS, _ests_sql(), HISTORY)
+    return SESS + (RUNS, RSESSIONS, RTOP, RFRAME, RCELLS, RSCORED, RSTATS, _ests_sql(), HISTORY)
 
 
 def latest_chain() -> tuple:

@@ -64,6 +64,7 @@ ESTIMATES = T.StructType([
     T.StructField("n_converted", T.LongType()),
     T.StructField("data_start", T.DateType()),
     T.StructField("data_end", T.DateType()),
+    T.StructField("load_seq", T.LongType()),
 ])
 
 
