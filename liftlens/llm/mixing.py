@@ -130,4 +130,4 @@ def _reached(upto: Column, size: Column, need: Column) -> Column:
 def mix_report(docs: DataFrame) -> DataFrame:
     """Contract columns for every document."""
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return mix_sources(sized).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+    return mix_sources(sized).select("doc_id", "size", "source_size", "target", "taken", "source")

@@ -8,6 +8,7 @@ from ..sources.testdata import table
 from .decontaminate import contamination_report
 from .html_text import main_text_report
 from .mixing import mix_report
+from .oracle import ORACLE  # noqa: F401
 from .pii import pii_report
 from .quality import quality_report
 from .repeats import repeat_report
@@ -70,4 +71,3 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_topk, op3_secret_scan, op4_warc, op5_mix, op6_pii, op7_simhash, op8_html_text,
     op9_decontaminate, op10_repeats)}
-ORACLE: dict[str, str] = {}

@@ -36,10 +36,10 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
-# Weak candidates of the linking step; every pattern has a bounded or anchored start.
-USER = (r"""(?<![A-Za-z0-9_])(?i:user(?:name)?|login|account|client_?id|access_?key_?id)"""
+# Weak candidates of the linking step.  A name inside a longer word is dropped like any failing match.
+USER = (r"""(?i:user(?:name)?|login|account|client_?id|access_?key_?id)"""
         r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""")
-OPAQUE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}={0,2}"
+OPAQUE = r"[A-Za-z0-9+/_-]{32,}={0,2}"
 ENDPOINT = r"(?i:https?|ftp|s3|jdbc|postgres|postgresql|mysql|mongodb|redis|amqp)://[A-Za-z0-9][^\x00-\x20\"'<>]{3,}"
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -57,7 +57,8 @@ def _no_spans() -> Column:
 def find_spans(text: Column, pattern: str, kind: int, accept=None) -> Column:
     """Leftmost non-overlapping matches as (start, end, kind) in code points, end exclusive.
 
-    ``accept`` decides on a match text; refused matches are dropped, not retried.
+    ``accept`` decides on a match and the text between it and the match before; refused
+    matches are dropped, not retried.
     """
     rx = F.lit(pattern)
     matches = F.regexp_extract_all(text, rx, F.lit(0))
@@ -65,9 +66,10 @@ def find_spans(text: Column, pattern: str, kind: int, accept=None) -> Column:
     widths = F.zip_with(matches, F.slice(pieces, 1, F.size(matches)),
                         lambda m, p: (F.length(m) + F.length(p)).cast("bigint"))
     ends = scan(widths, lambda a, b: a + b, F.lit(0).cast("bigint"))
-    both = F.zip_with(ends, matches, lambda e, m: F.struct(e.alias("end"), m.alias("m")))
+    both = F.arrays_zip(ends.alias("end"), matches.alias("m"), pieces.alias("p"))
+    both = F.slice(both, 1, F.size(matches))
     if accept is not None:
-        both = F.filter(both, lambda x: accept(x["m"]))
+        both = F.filter(both, lambda x: accept(x["m"], x["p"]))
     spans = F.transform(both, lambda x: F.struct(
         (x["end"] - F.length(x["m"])).alias("start"), x["end"].alias("end"), F.lit(kind).alias("kind")))
     # most documents hold no match at all: one search decides
@@ -98,7 +100,7 @@ def in_scope(candidates: Column, parts: Column, scope: int) -> Column:
     return F.when((F.size(candidates) > 0) & (F.size(parts) > 0), linked.cast(_SPAN)).otherwise(_no_spans())
 
 
-def _mixed(m: Column) -> Column:
+def _mixed(m: Column, before: Column) -> Column:
     return m.rlike("[0-9]") & m.rlike("[A-Z]") & m.rlike("[a-z]")
 
 
@@ -109,11 +111,12 @@ def scan_secrets(df: DataFrame, text_col: str = "text", scope: int = SCOPE) -> D
     k = dict(zip((*KINDS, "ids", "keys"), mine))
     out = df.select(
         *[c for c in df.columns if c not in mine],
-        find_spans(text, ASSIGN, 0, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= MIN_VALUE).alias(k["assign"]),
+        find_spans(text, ASSIGN, 0, 
+                   lambda m, _: F.length(F.regexp_extract(m, ASSIGN, 2)) >= MIN_VALUE).alias(k["assign"]),
         # in a run of one class the minimal length can stand in the pattern itself
         find_spans(text, ACCESS[:-1] + f"{{{MIN_ACCESS - 4},}}", 1).alias(k["access"]),
         find_spans(text, HEX[:-1] + f"{{{MIN_HEX},}}", 2).alias(k["hex"]),
-        find_spans(text, USER, 3).alias(k["user"]),
+        find_spans(text, USER, 3, lambda _, before: ~before.rlike("[A-Za-z0-9_]$")).alias(k["user"]),
         find_spans(text, OPAQUE, 4, _mixed).alias(k["opaque"]),
         find_spans(text, ENDPOINT, 5).alias(k["endpoint"]))
     out = out.withColumns({k["ids"]: F.concat(k["access"], k["user"]),

@@ -279,4 +279,4 @@ def archive_report(pages: DataFrame) -> DataFrame:
     root = fresh_dir(spark, "warc")
     write_archive(pages.select("page_id", "url", "html"), root)
     return read_archive(spark, root, payloads=False).select(
-        "page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "file", "offset")
+        "page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to")
