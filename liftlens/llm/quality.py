@@ -38,7 +38,7 @@ GRAMS = (3, 4)
 DIM = 8
 EPOCHS = 6
 RATE = 0.5
-SAMPLE = 6000
+SAMPLE = 4000
 FOLDS = 5
 THRESHOLD = 0.3
 END = 0  # row of the end token
