@@ -17,7 +17,6 @@ equal to the row method (no SQL oracle).
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
 import numpy as np
@@ -27,10 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from liftlens.functions.hashing import DRAWS_PER_MD5, hash_key, hex32_uniform, poisson1
-from liftlens.operators.causal.cells import build_cells
+from liftlens.operators.causal.cells import CELL_STATS, build_cells
 from liftlens.operators.causal.encode import CONFOUNDERS
-from liftlens.operators.causal.estimators import DEFAULT_CLIP, ipw_ate
+from liftlens.operators.causal.estimators import DEFAULT_CLIP
 from liftlens.operators.causal.propensity import score_cells
+from liftlens.operators.causal.results import method_estimates
+from liftlens.operators.reports import WEIGHTING
 
 # Fixed values of the reference's bootstrap.
 REPLICATES = 200
@@ -64,51 +65,55 @@ def bootstrap_cells(frame: DataFrame, replicates: int = REPLICATES, seed: int =
     return build_cells(rows, confounders, keys=["replicate"], weight="_w").where(F.col("n") > 0)
 
 
-def grouped_bootstrap_cells(cells_ty: DataFrame, replicates: int = REPLICATES, seed: int = SEED,
+def grouped_bootstrap_cells(cells: DataFrame, replicates: int = REPLICATES, seed: int = SEED,
                             confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
-    """Cells per replicate from (confounders, treatment, outcome, m) groups.
+    """Cells per replicate from the observed cells.
 
-    One ``mapInPandas`` over the small group table; each output row is one
-    Poisson(m) draw seeded by (seed, replicate, md5 of the group values).
+    A cell's four (treatment, outcome) groups have m exchangeable units each, so
+    their total weight is Poisson(m).  One group of ``applyInPandas`` is one cell
+    table (bounded by the encoding); its draws are one vectorised call, seeded by
+    (seed, replicate) over the cells in sorted order.
     """
     from liftlens.session import ship_package
-    ship_package(cells_ty.sparkSession)
+    ship_package(cells.sparkSession)
     conf = list(confounders)
-    keyed = cells_ty.withColumn("replicate", replicate_ids(replicates))
-    keyed = keyed.withColumn("_rowkey", F.concat_ws("|", *[F.col(c).cast("string") for c in conf],
-                                                    F.col("treatment").cast("string"),
-                                                    F.col("outcome").cast("string")))
-    out_schema = T.StructType(keyed.schema.fields + [T.StructField("_w", T.LongType())])
-
-    def draw(batches):
-        for pdf in batches:
-            seeds = pdf["_rowkey"].map(lambda s: int.from_bytes(hashlib.md5(s.encode()).digest()[:8], "little"))
-            w = [np.random.default_rng([seed, int(r), int(h)]).poisson(float(m))
-                 for r, h, m in zip(pdf["replicate"], seeds, pdf["m"])]
-            pdf = pdf.copy()
-            pdf["_w"] = np.asarray(w, dtype=np.int64)
-            yield pdf
-    drawn = keyed.mapInPandas(draw, out_schema)
-    return build_cells(drawn, conf, keys=["replicate"], weight="_w")
-
-
-def treatment_outcome_groups(frame: DataFrame, confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
-    return frame.groupBy(*confounders, "treatment", "outcome").agg(F.count(F.lit(1)).alias("m"))
+    reps = cells.select(*conf, *CELL_STATS, replicate_ids(replicates))
+    schema = T.StructType([reps.schema["replicate"], *[reps.schema[c] for c in conf],
+                           *[T.StructField(c, T.LongType()) for c in CELL_STATS]])
+
+    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(conf, kind="mergesort").reset_index(drop=True)
+        n, n1, y, y1 = (pdf[c].to_numpy(dtype=np.float64) for c in CELL_STATS)
+        rng = np.random.default_rng([seed, int(pdf["replicate"].iloc[0])])
+        w11, w10, w01, w00 = rng.poisson(np.stack([y1, n1 - y1, y - y1, n - n1 - y + y1]))
+        out = pdf[["replicate", *conf]].copy()
+        out["n"], out["n1"], out["y"], out["y1"] = w11 + w10 + w01 + w00, w11 + w10, w11 + w01, w11
+        return out[out["n"] > 0]
+    return reps.groupBy("replicate").applyInPandas(draw, schema)
+
+
+def grouped_replicates(cells: DataFrame, replicates: int = REPLICATES, seed: int = SEED, model: str = "saturated",
+                       clip=DEFAULT_CLIP, estimator: str = WEIGHTING,
+                       confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
+    """(replicate, ate) from the observed cells alone: no pass over sessions, cost independent of their number."""
+    drawn = grouped_bootstrap_cells(cells, replicates, seed, confounders)
+    return _estimates(drawn, model, clip, estimator, confounders)
+
+
+def _estimates(cells: DataFrame, model: str, clip, estimator: str, confounders: Sequence[str]) -> DataFrame:
+    scored = score_cells(cells, model=model, confounders=confounders, keys=["replicate"])
+    return method_estimates(scored, ["replicate"], (estimator,), clip).drop("method")
 
 
 def replicate_estimates(frame: DataFrame, replicates: int = REPLICATES, seed: int = SEED,
                         model: str = "saturated", clip=DEFAULT_CLIP, method: str = "grouped",
-                        confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
-    """(replicate, ate) with the propensity refitted in every replicate."""
+                        confounders: Sequence[str] = CONFOUNDERS, estimator: str = WEIGHTING) -> DataFrame:
+    """(replicate, ate) with the propensity refitted in every replicate, for any estimator."""
     if method == "rows":
-        cells = bootstrap_cells(frame, replicates, seed, confounders)
-    elif method == "grouped":
-        cells = grouped_bootstrap_cells(treatment_outcome_groups(frame, confounders), replicates, seed,
-                                        confounders)
-    else:
-        raise ValueError("method must be 'rows' or 'grouped'")
-    scored = score_cells(cells, model=model, confounders=confounders, keys=["replicate"])
-    return ipw_ate(scored, keys=["replicate"], clip=clip)
+        return _estimates(bootstrap_cells(frame, replicates, seed, confounders), model, clip, estimator, confounders)
+    if method == "grouped":
+        return grouped_replicates(build_cells(frame, confounders), replicates, seed, model, clip, estimator, confounders)
+    raise ValueError("method must be 'rows' or 'grouped'")
 
 
 def bootstrap_ci(replicate_ates: DataFrame, point: DataFrame, alpha: float = ALPHA) -> DataFrame:

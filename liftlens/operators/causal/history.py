@@ -42,8 +42,9 @@ def session_versions(stg: DataFrame) -> DataFrame:
         F.min("p_device").over(upto).alias("device_category"), F.min("p_geo").over(upto).alias("geo_country"))
 
 
-def run_cells(stg: DataFrame, top_n: int = TOP_N_COUNTRIES, null_treatment: str = "error") -> DataFrame:
-    """Confounder cells of every run: ``run_date``, confounders, n, n1, y, y1, data_start, data_end."""
+def run_cells(stg: DataFrame, top_n: int = TOP_N_COUNTRIES, null_treatment: str = "error",
+              last_only: bool = False) -> DataFrame:
+    """Confounder cells of every run (or the last): ``run_date``, confounders, n, n1, y, y1, data_start, data_end."""
     versions = session_versions(stg)
     if null_treatment == "drop":
         versions = versions.where(F.col("is_paid").isNotNull())
@@ -75,6 +76,8 @@ def run_cells(stg: DataFrame, top_n: int = TOP_N_COUNTRIES, null_treatment: str
     sums = [F.sum(c).over(cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(c) for c in CELL_STATS]
     until = F.coalesce(F.date_sub(F.lead("day").over(cell), 1), F.lit(last).cast("date"))
     standing = daily.select(*RAW_KEYS, *sums, F.col("day").alias("since"), until.alias("until"))
+    if last_only:
+        standing = standing.where(F.col("until") == F.lit(last)).withColumn("since", F.col("until"))
     raw = standing.where(F.col("n") > 0).withColumn(
         "run_date", F.explode(F.sequence("since", "until", F.expr("INTERVAL 1 DAY")))).drop("since", "until")
     raw = materialize(raw, "run-cells")
@@ -88,12 +91,12 @@ def run_cells(stg: DataFrame, top_n: int = TOP_N_COUNTRIES, null_treatment: str
 
 
 def estimate_history(stg: DataFrame, methods: Sequence[str] = ALL_METHODS, model: str = "saturated", clip=DEFAULT_CLIP,
-                     top_n: int = TOP_N_COUNTRIES, null_treatment: str = "error") -> DataFrame:
-    """Estimate rows of every daily run from the first to the last event date.
+                     top_n: int = TOP_N_COUNTRIES, null_treatment: str = "error", last_only: bool = False) -> DataFrame:
+    """Estimate rows of every daily run from the first to the last event date, or of the last one.
 
     ``run_at`` of the run for day d is midnight after d (UTC wall clock).
     """
-    cells = run_cells(stg, top_n, null_treatment)
+    cells = run_cells(stg, top_n, null_treatment, last_only)
     scored = materialize(score_cells(cells, model=model, keys=["run_date"]), "run-scores")
     dates = scored.groupBy("run_date").agg(F.min("data_start").alias("data_start"), F.max("data_end").alias("data_end"))
     stats = run_stats(scored, ["run_date"]).join(dates, "run_date")

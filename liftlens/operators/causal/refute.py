@@ -22,6 +22,7 @@ encoding), so the cost does not grow with the number of sessions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -33,8 +34,10 @@ from pyspark.sql import types as T
 from liftlens.functions.hashing import uniform
 from liftlens.operators.causal.cells import build_cells
 from liftlens.operators.causal.encode import CONFOUNDERS
-from liftlens.operators.causal.estimators import DEFAULT_CLIP, ipw_ate
+from liftlens.operators.causal.estimators import DEFAULT_CLIP
 from liftlens.operators.causal.propensity import score_cells
+from liftlens.operators.causal.results import method_estimates
+from liftlens.operators.reports import WEIGHTING
 
 SIMULATIONS = 10
 SEED = 42
@@ -69,6 +72,32 @@ def placebo_frame(frame: DataFrame, simulations: int = SIMULATIONS, seed: int =
     return plain.unionByName(edge)
 
 
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    """Number of good units among ``draws`` without replacement, for any population size.
+
+    Ratio of uniforms with the log of the probabilities from ``lgamma`` (numpy's own
+    generator refuses populations of 10^9 and more).
+    """
+    total = good + bad
+    low, high = max(0, draws - bad), min(good, draws)
+    if low >= high:
+        return low
+    mean = draws * (good / total)
+    spread = math.sqrt(mean * (bad / total) * ((total - draws) / max(total - 1, 1)) + 0.5)
+    width = 2 * math.sqrt(2 / math.e) * spread + 3 - 2 * math.sqrt(3 / math.e)
+
+    def log_probability(k: int) -> float:
+        return -(math.lgamma(k + 1) + math.lgamma(good - k + 1) + math.lgamma(draws - k + 1)
+                 + math.lgamma(bad - draws + k + 1))
+    mode = (draws + 1) * (good + 1) // (total + 2)
+    top = log_probability(min(max(mode, low), high))
+    while True:
+        u, v = 1 - rng.random(), rng.random()
+        x = mean + 0.5 + width * (v - 0.5) / u
+        if low <= x < high + 1 and 2 * math.log(u) <= log_probability(int(x)) - top:
+            return int(x)
+
+
 def grouped_placebo_cells(cells: DataFrame, simulations: int = SIMULATIONS, seed: int = SEED,
                           confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
     """Placebo cell tables (keys ``sim``) drawn from the observed cells."""
@@ -83,34 +112,47 @@ def grouped_placebo_cells(cells: DataFrame, simulations: int = SIMULATIONS, seed
     def draw(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(conf, kind="mergesort").reset_index(drop=True)   # order-free draws
         rng = np.random.default_rng([seed, int(pdf["sim"].iloc[0])])
-        n = pdf["n"].to_numpy(dtype=np.int64)
-        n1 = rng.multivariate_hypergeometric(n, int(pdf["n1"].sum()))
-        y = pdf["y"].to_numpy(dtype=np.int64)
-        y1 = np.array([rng.hypergeometric(int(g), int(t - g), int(k)) if k > 0 else 0
-                       for g, t, k in zip(y, n, n1)], dtype=np.int64)
         out = pdf[["sim", *conf]].copy()
-        out["n"], out["n1"], out["y"], out["y1"] = n, n1, y, y1
+        left, treated = int(pdf["n"].sum()), int(pdf["n1"].sum())
+        n1, y1 = [], []
+        for n, y in zip(pdf["n"].astype(int), pdf["y"].astype(int)):
+            # labels that fall into this cell, then how many of its outcomes they meet
+            left -= n
+            n1.append(hypergeometric(rng, n, left, treated))
+            treated -= n1[-1]
+            y1.append(hypergeometric(rng, y, n - y, n1[-1]))
+        out["n"], out["n1"], out["y"], out["y1"] = pdf["n"], n1, pdf["y"], y1
         return out
     return reps.groupBy("sim").applyInPandas(draw, schema)
 
 
+def grouped_placebo(cells: DataFrame, simulations: int = SIMULATIONS, seed: int = SEED, model: str = "saturated",
+                    clip=DEFAULT_CLIP, estimator: str = WEIGHTING,
+                    confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
+    """(sim, ate) from the observed cells alone: no pass over sessions, cost independent of their number."""
+    return _estimates(grouped_placebo_cells(cells, simulations, seed, confounders), model, clip, estimator, confounders)
+
+
+def _estimates(cells: DataFrame, model: str, clip, estimator: str, confounders: Sequence[str]) -> DataFrame:
+    scored = score_cells(cells, model=model, confounders=confounders, keys=["sim"])
+    return method_estimates(scored, ["sim"], (estimator,), clip).drop("method")
+
+
 def placebo_estimates(frame: DataFrame, simulations: int = SIMULATIONS, seed: int = SEED,
                       model: str = "saturated", clip=DEFAULT_CLIP, buckets: int = BUCKETS,
-                      confounders: Sequence[str] = CONFOUNDERS, method: str = "rows") -> DataFrame:
-    """(sim, ate) under permuted treatment, propensity refitted per simulation.
+                      confounders: Sequence[str] = CONFOUNDERS, method: str = "rows",
+                      estimator: str = WEIGHTING) -> DataFrame:
+    """(sim, ate) under permuted treatment, propensity refitted per simulation, for any estimator.
 
     ``rows`` permutes unit by unit (hash order, SQL-checkable); ``grouped``
     draws the permuted cell tables directly (cost independent of units).
     """
     if method == "grouped":
-        cells = grouped_placebo_cells(build_cells(frame, confounders), simulations, seed, confounders)
-    elif method == "rows":
-        pf = placebo_frame(frame, simulations, seed, buckets, confounders)
-        cells = build_cells(pf, confounders, keys=["sim"])
-    else:
+        return grouped_placebo(build_cells(frame, confounders), simulations, seed, model, clip, estimator, confounders)
+    if method != "rows":
         raise ValueError("method must be 'rows' or 'grouped'")
-    scored = score_cells(cells, model=model, confounders=confounders, keys=["sim"])
-    return ipw_ate(scored, keys=["sim"], clip=clip)
+    permuted = placebo_frame(frame, simulations, seed, buckets, confounders)
+    return _estimates(build_cells(permuted, confounders, keys=["sim"]), model, clip, estimator, confounders)
 
 
 def placebo_effect(sim_estimates: DataFrame) -> DataFrame:

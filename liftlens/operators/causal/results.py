@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from liftlens.operators.causal.cells import build_cells, run_stats
 from liftlens.operators.causal.encode import CONFOUNDERS
-from liftlens.operators.causal.estimators import (DEFAULT_CLIP, ipw_ate, matching_ate,
+from liftlens.operators.causal.estimators import (DEFAULT_CLIP, clipped, ipw_ate, matching_ate,
                                                   stratified_ate)
 from liftlens.operators.causal.propensity import score_cells
 from liftlens.operators.reports import MATCHING, STRATIFICATION, WEIGHTING
@@ -100,3 +100,18 @@ def sensitivity_from_window_cells(cells: DataFrame, methods: Sequence[str] = ALL
     sizes = scored.groupBy("window_start").agg(F.sum("n").alias("n_sessions"), F.sum("n1").alias("n_paid"))
     return est.join(sizes, "window_start").select(
         "window_start", "method", "ate", "n_sessions", "n_paid")
+
+
+def window_clip_sensitivity(cells: DataFrame, clips: Sequence[tuple[float, float]], methods: Sequence[str] = ALL_METHODS,
+                            model: str = "saturated", confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
+    """C12, windows and clips together: every method on each window with each clip of the score.
+
+    ``cells`` are keyed by ``window_start``; the grid is a key of the small cell table, not a join.
+    """
+    grid = F.explode(F.array(*[F.struct(F.lit(float(lo)).alias("clip_lo"), F.lit(float(hi)).alias("clip_hi"))
+                               for lo, hi in clips]))
+    scored = score_cells(cells, model=model, confounders=confounders, keys=["window_start"])
+    keys = ["window_start", "clip_lo", "clip_hi"]
+    crossed = scored.withColumn("_clip", grid).select("*", "_clip.clip_lo", "_clip.clip_hi").drop("_clip")
+    crossed = materialize(crossed.withColumn("ps", clipped(F.col("ps"), F.col("clip_lo"), F.col("clip_hi"))), "clips")
+    return method_estimates(crossed, keys, methods, clip=(0.0, 1.0)).select(*keys, "method", "ate")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from liftlens.functions.money import money
 
 METRIC_TIME = "metric_time__day"
+GRAINS = ("day", "week", "month", "quarter", "year")
 
 
 @dataclass(frozen=True)
@@ -92,9 +93,24 @@ def _model_of(measure: str) -> SemanticModel:
     raise KeyError(f"no semantic model defines measure {measure!r}")
 
 
+def time_grain(name: str) -> str | None:
+    """Grain of a ``metric_time__<grain>`` name, None for other names."""
+    prefix, _, grain = name.partition("__")
+    if prefix != "metric_time":
+        return None
+    if grain not in GRAINS:
+        raise KeyError(f"{name!r}: the time grain is one of {GRAINS}")
+    return grain
+
+
+def at_grain(day: Column, grain: str) -> Column:
+    """First day of the week (Monday), month, quarter or year that holds ``day``."""
+    return day if grain == "day" else F.trunc(day, grain)
+
+
 def _dimension_column(model: SemanticModel, name: str) -> Column:
-    if name == METRIC_TIME:
-        return F.to_date(F.col(model.time_dimension)).alias(METRIC_TIME)
+    if (grain := time_grain(name)) is not None:
+        return at_grain(F.to_date(F.col(model.time_dimension)), grain).alias(name)
     dim = name.split("__", 1)[1] if "__" in name else name
     if "__" in name and name.split("__", 1)[0] != model.entity:
         raise KeyError(f"{name!r} is not a dimension of model {model.name!r}")
@@ -139,8 +155,8 @@ def query_metrics(tables: dict[str, DataFrame], metrics: Sequence[str], group_by
                   fill_nulls_with: int | None = None) -> DataFrame:
     """Metrics grouped by dimensions, one aggregation per semantic model.
 
-    ``spine`` (a ``date_day`` frame) left-joins the result on ``metric_time__day``
-    so missing days appear; ``fill_nulls_with`` then fills the metric NULLs.
+    ``metric_time__<grain>`` groups by day, week, month, quarter or year.  ``spine``
+    (a ``date_day`` frame) left-joins the result on it so missing periods appear; ``fill_nulls_with`` then fills the metric NULLs.
     """
     validate(tables, metrics)
     per_model: dict[str, list[tuple[str, Column]]] = {}
@@ -176,9 +192,11 @@ def query_metrics(tables: dict[str, DataFrame], metrics: Sequence[str], group_by
         raise ValueError("metrics of several models need a shared group-by")
     res = reduce(lambda a, b: a.join(b, keys, "full_outer"), results)
     if spine is not None:
-        if METRIC_TIME not in keys:
-            raise ValueError("a time spine needs metric_time__day in group_by")
-        res = spine.select(F.col("date_day").alias(METRIC_TIME)).join(res, METRIC_TIME, "left")
+        times = [k for k in keys if time_grain(k) is not None]
+        if len(times) != 1:
+            raise ValueError("a time spine needs one metric_time__<grain> in group_by")
+        periods = spine.select(at_grain(F.col("date_day"), time_grain(times[0])).alias(times[0])).distinct()
+        res = periods.join(res, times[0], "left")
         if fill_nulls_with is not None:
             res = res.fillna(fill_nulls_with, subset=list(metrics))
     return res.select(*keys, *metrics)

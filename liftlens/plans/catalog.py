@@ -295,7 +295,8 @@ def q_estimates_history(spark, sf):
 
 @register("estimates_latest", O.with_(*O.latest_chain(), body="SELECT * FROM latest"))
 def q_estimates_latest(spark, sf):
-    return M.latest(spark, sf)
+    """W1 over the rows of all daily runs."""
+    return M.latest(spark, sf, last_only=False)
 
 
 @register("causal_summary", O.with_(*O.summary_chain(), body="SELECT * FROM summary"))
@@ -506,40 +507,39 @@ def q_ipw_bootstrap_replicates(spark, sf):
 @register("ipw_bootstrap_ci", O.with_(*O.boot_chain(), O.CELLS, O.SCORED, body=O.bootstrap_ci_sql()))
 def q_ipw_bootstrap_ci(spark, sf):
     from liftlens.operators.causal.bootstrap import bootstrap_ci, replicate_estimates
-    from liftlens.operators.causal.estimators import ipw_ate
     fr = M.frame(spark, sf)
     reps = _r9(replicate_estimates(fr, method="rows"), "ate")
     point = _r9(_point(fr), "ate")
     return _r9(bootstrap_ci(reps, point), "ci_low", "ci_high", "sd")
 
 
-def _point(fr, model="saturated"):
+def _point(fr):
     """Full-data IPW estimate from the same frame the replicates use."""
     from liftlens.operators.causal.cells import build_cells
+    return _cell_point(build_cells(fr))
+
+
+def _cell_point(cells, model="saturated"):
     from liftlens.operators.causal.estimators import ipw_ate
     from liftlens.operators.causal.propensity import score_cells
-    return ipw_ate(score_cells(build_cells(fr), model=model))
+    return ipw_ate(score_cells(cells, model=model))
 
 
 @register("bootstrap_logit")
 def q_bootstrap_logit(spark, sf):
     """The reference's setting: logit score refitted in each of 200 replicates
     (grouped Poisson draws, cost independent of the number of sessions)."""
-    from liftlens.operators.causal.bootstrap import bootstrap_ci, replicate_estimates
-    from liftlens.operators.causal.estimators import ipw_ate
-    fr = M.frame(spark, sf)
-    reps = replicate_estimates(fr, model="logit", method="grouped")
-    return bootstrap_ci(reps, _point(fr, "logit"))
+    from liftlens.operators.causal.bootstrap import bootstrap_ci, grouped_replicates
+    cells = M.cells(spark, sf)
+    return bootstrap_ci(grouped_replicates(cells, model="logit"), _cell_point(cells, "logit"))
 
 
 @register("bootstrap_grouped_ci")
 def q_bootstrap_grouped_ci(spark, sf):
     """Poisson bootstrap drawn per (cell, treatment, outcome): cost independent of sessions."""
-    from liftlens.operators.causal.bootstrap import bootstrap_ci, replicate_estimates
-    from liftlens.operators.causal.estimators import ipw_ate
-    fr = M.frame(spark, sf)
-    reps = replicate_estimates(fr, method="grouped")
-    return bootstrap_ci(reps, _point(fr))
+    from liftlens.operators.causal.bootstrap import bootstrap_ci, grouped_replicates
+    cells = M.cells(spark, sf)
+    return bootstrap_ci(grouped_replicates(cells), _cell_point(cells))
 
 
 @register("placebo_replicates", O.with_(*O.placebo_chain(), body=O.ipw_sql("pscored", keys="sim")))
@@ -669,8 +669,8 @@ def q_orders_urgency_logit(spark, sf):
 @register("placebo_effect_grouped")
 def q_placebo_effect_grouped(spark, sf):
     """Placebo permutations drawn per cell (exact permutation distribution, cost independent of sessions)."""
-    from liftlens.operators.causal.refute import placebo_effect, placebo_estimates
-    return placebo_effect(placebo_estimates(M.frame(spark, sf), method="grouped"))
+    from liftlens.operators.causal.refute import grouped_placebo, placebo_effect
+    return placebo_effect(grouped_placebo(M.cells(spark, sf)))
 
 
 @register("window_sensitivity", O.window_sensitivity_sql())
@@ -697,3 +697,147 @@ def q_matching_ate_seeded(spark, sf):
     """C6 with the seeded tie policy: one arbitrary unit per tied score group (instability on show)."""
     from liftlens.operators.causal.estimators import matching_ate
     return _r9(matching_ate(M.scored(spark, sf), tie_policy="seeded", seed=42), "ate", "att", "atc")
+
+
+@register("window_clip_sensitivity", O.window_clip_sql(CLIP_GRID))
+def q_window_clip_sensitivity(spark, sf):
+    """Each estimator on each calendar week with each clip of the score."""
+    from liftlens.operators.causal.encode import encoded_cells
+    from liftlens.operators.causal.results import window_clip_sensitivity
+    weekly = M.sessions(spark, sf).withColumn("window_start", F.trunc("session_date", "week"))
+    cells = encoded_cells(weekly, keys=["window_start"], null_treatment=M.NULL_TREATMENT)
+    return _r9(window_clip_sensitivity(cells, CLIP_GRID), "ate")
+
+
+# --- metric grain (M7) ---------------------------------------------------------
+
+def _grain_sql(grain: str) -> str:
+    return O.with_(*O.SESS, body=(
+        f"SELECT CAST(date_trunc('{grain}', session_date) AS DATE) AS metric_time__{grain}, count(session_key) AS sessions, "
+        "CAST(sum(CAST(converted AS BIGINT)) AS DOUBLE) / count(session_key) AS conversion_rate FROM sessions GROUP BY 1"))
+
+
+@register("metric_sessions_by_week", _grain_sql("week"))
+def q_metric_sessions_by_week(spark, sf):
+    return _metric(spark, sf, ["sessions", "conversion_rate"], ["metric_time__week"])
+
+
+@register("metric_sessions_by_month_spine", O.with_(*O.SESS, O.SPINE, body=(
+    "SELECT s.m AS metric_time__month, coalesce(x.sessions, 0) AS sessions FROM "
+    "(SELECT DISTINCT CAST(date_trunc('month', date_day) AS DATE) AS m FROM spine) s LEFT JOIN "
+    "(SELECT CAST(date_trunc('month', session_date) AS DATE) AS m, count(session_key) AS sessions FROM sessions GROUP BY 1) x "
+    "ON s.m = x.m")))
+def q_metric_sessions_by_month_spine(spark, sf):
+    from liftlens.operators.metrics import spine_from
+    spine = spine_from(M.raw_events(spark, sf).select(F.to_date("event_date", "yyyyMMdd").alias("day")), "day")
+    return _metric(spark, sf, ["sessions"], ["metric_time__month"], spine=spine, fill_nulls_with=0)
+
+
+# --- nothing is dropped silently (A6 S3 S6 S7 F1), table writes (S8 S11), gates (Q5 M9) ------
+
+@register("sessions_subcent_revenue", SESSION_SQL.replace("coalesce(purchase_revenue_usd, 0)",
+                                                          "coalesce(purchase_revenue_usd / 1000, 0)"))
+def q_sessions_subcent_revenue(spark, sf):
+    """Amounts below a cent reach the session sum."""
+    from liftlens.operators.sessions import sessionize
+    stg = M.staging(spark, sf)
+    return sessionize(stg.withColumn("purchase_revenue_usd", F.col("purchase_revenue_usd") / 1000))
+
+
+@register("reload_emptied_day", O.with_(*O.BASE, body=(
+    f"SELECT {O.STG_COLS} FROM stg WHERE event_date_key <> {ONE_SHARD}")))
+def q_reload_emptied_day(spark, sf):
+    """A day whose source has become empty is empty after it is landed and loaded again."""
+    from liftlens.sources.shards import land_shards, load_staging, read_staging
+    root, raw_root = _land_all(spark, sf)
+    load_staging(spark, raw_root, f"{root}/stg")
+    without = M.raw_events(spark, sf).where(F.col("event_date") != ONE_SHARD)
+    land_shards(without, raw_root, days=[ONE_SHARD], files_per_day=1)
+    load_staging(spark, raw_root, f"{root}/stg", days=[ONE_SHARD])
+    return read_staging(spark, f"{root}/stg")
+
+
+@register("load_with_rejects", O.with_(*O.BASE, body=(
+    f"SELECT CASE WHEN event_date_key >= {DECLARED_RANGE[0]} AND event_date_key < {DECLARED_RANGE[1]} THEN 'staged' "
+    "ELSE 'rejected' END AS outcome, event_date_key, count(*) AS n FROM stg GROUP BY ALL")))
+def q_load_with_rejects(spark, sf):
+    """Rows outside the declared range are written beside staging, none is lost."""
+    from liftlens.sources.shards import load_staging, read_rejects, read_staging
+    root, raw_root = _land_all(spark, sf)
+    load_staging(spark, raw_root, f"{root}/stg", key_range=DECLARED_RANGE, rejects_root=f"{root}/rejects")
+    both = read_staging(spark, f"{root}/stg").withColumn("outcome", F.lit("staged")).unionByName(
+        read_rejects(spark, f"{root}/rejects").withColumn("outcome", F.lit("rejected")))
+    return both.groupBy("outcome", "event_date_key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _outcome(action) -> str:
+    try:
+        action()
+    except Exception as e:  # the kind of failure is the result
+        return type(e).__name__
+    return "done"
+
+
+@register("schema_drift_outcomes", O.with_(*O.BASE, body=(
+    "SELECT 'added column' AS change, 'SchemaDriftError' AS outcome, CAST(0 AS BIGINT) AS staged UNION ALL "
+    "SELECT 'missing column', 'SchemaDriftError', 0 UNION ALL SELECT 'none', 'done', (SELECT count(*) FROM stg)")))
+def q_schema_drift_outcomes(spark, sf):
+    """Shards whose files differ from the declared columns stop the load before it writes."""
+    from liftlens.session import fresh_dir
+    from liftlens.sources.shards import _exists, load_staging, read_staging
+    raw = M.raw_events(spark, sf).withColumn("shard", F.col("event_date"))
+    cases = {"added column": raw.withColumn("surprise", F.lit(1)), "missing column": raw.drop("geo"), "none": raw}
+    rows = []
+    for change, df in cases.items():
+        root = fresh_dir(spark, "drift")
+        df.repartition("shard").write.partitionBy("shard").parquet(f"{root}/raw")
+        outcome = _outcome(lambda root=root: load_staging(spark, f"{root}/raw", f"{root}/stg"))
+        staged = read_staging(spark, f"{root}/stg").count() if _exists(spark, f"{root}/stg") else 0
+        rows.append((change, outcome, staged))
+    return spark.createDataFrame(rows, "change string, outcome string, staged long")
+
+
+@register("session_mart_rebuild", SESSION_SQL)
+def q_session_mart_rebuild(spark, sf):
+    """The mart is replaced as a whole, here over an older and larger table."""
+    from liftlens.session import fresh_dir
+    from liftlens.sources.shards import write_table
+    path, sessions = fresh_dir(spark, "mart"), M.sessions(spark, sf)
+    write_table(sessions.unionByName(sessions), path)
+    write_table(sessions, path)
+    return spark.read.parquet(path)
+
+
+@register("estimate_sink", O.with_(*O.latest_chain(), body=(
+    "SELECT method, round(ate, 9) AS ate, round(naive_difference, 9) AS naive_difference, n_sessions, run_at, "
+    "mode, load_seq FROM latest, (VALUES ('append', CAST(1 AS BIGINT)), ('append', CAST(2 AS BIGINT)), "
+    "('truncate', CAST(1 AS BIGINT))) v(mode, load_seq)")))
+def q_estimate_sink(spark, sf):
+    """One run written twice in either mode; append keeps both loads apart, truncate the last."""
+    from liftlens.session import fresh_dir
+    from liftlens.sources.sinks import read_estimates, write_estimates
+    run = M.history(spark, sf, last_only=True)
+    tables = []
+    for mode in ("append", "truncate"):
+        path = fresh_dir(spark, "estimates")
+        write_estimates(run, path, mode)
+        write_estimates(run, path, mode)
+        tables.append(read_estimates(spark, path).withColumn("mode", F.lit(mode)))
+    both = tables[0].unionByName(tables[1])
+    return _r9(both.select("method", "ate", "naive_difference", "n_sessions", "run_at", "mode", "load_seq"),
+               "ate", "naive_difference")
+
+
+@register("gate_and_registry", O.with_(*O.SESS, body=(
+    "SELECT 'gate' AS step, CASE WHEN count(*) FILTER (WHERE is_paid IS NULL) > 0 THEN 'QualityGateError' ELSE 'done' END "
+    "AS outcome FROM sessions UNION ALL SELECT 'metrics', 'done' UNION ALL SELECT 'metrics without converted', 'KeyError'")))
+def q_gate_and_registry(spark, sf):
+    """Q5 and M9: the gate stops on a failing data test, the registry check on a missing column."""
+    from liftlens.operators.metrics import validate
+    from liftlens.operators.quality import DECLARED_TESTS, gate, run_tests
+    sessions, names = M.sessions(spark, sf), ("sessions", "conversions", "conversion_rate", "revenue")
+    tests = tuple(t for t in DECLARED_TESTS if (t.model, t.column, t.test) == ("fct_sessions", "is_paid", "not_null"))
+    rows = [("gate", _outcome(lambda: gate(run_tests({"fct_sessions": sessions}, tests)))),
+            ("metrics", _outcome(lambda: validate({"sessions": sessions}, names))),
+            ("metrics without converted", _outcome(lambda: validate({"sessions": sessions.drop("converted")}, names)))]
+    return spark.createDataFrame(rows, "step string, outcome string")

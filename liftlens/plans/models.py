@@ -68,22 +68,25 @@ def scored(spark: SparkSession, sf: str, model: str = "saturated") -> DataFrame:
     return score_cells(cells(spark, sf), model=model)
 
 
-def history(spark: SparkSession, sf: str, model: str = "saturated", digits: int = 9) -> DataFrame:
+def history(spark: SparkSession, sf: str, model: str = "saturated", digits: int = 9,
+            last_only: bool = False) -> DataFrame:
     """Estimates of every daily run (one pass over the events, no mart write).
 
     Rounded to ``digits`` here, where two engines are compared; the library stores them as computed.
     """
     from liftlens.operators.causal.history import estimate_history
-    return rounded(estimate_history(staging(spark, sf), model=model, null_treatment=NULL_TREATMENT), digits)
+    return rounded(estimate_history(staging(spark, sf), model=model, null_treatment=NULL_TREATMENT,
+                                    last_only=last_only), digits)
 
 
 def rounded(estimates: DataFrame, digits: int = 9) -> DataFrame:
     return estimates.withColumns({c: F.round(c, digits) for c in ("ate", "naive_difference") if c in estimates.columns})
 
 
-def latest(spark: SparkSession, sf: str) -> DataFrame:
+def latest(spark: SparkSession, sf: str, last_only: bool = True) -> DataFrame:
+    """Newest row per method; the views need no run but the last."""
     from liftlens.operators.reports import latest_estimates
-    return latest_estimates(history(spark, sf))
+    return latest_estimates(history(spark, sf, last_only=last_only))
 
 
 def summary(spark: SparkSession, sf: str) -> DataFrame:

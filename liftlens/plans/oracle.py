@@ -485,3 +485,26 @@ def single_run_sql() -> str:
             f"s.naive_difference, s.n_sessions, s.n_paid, s.n_converted, s.data_start, s.data_end "
             f"FROM ({ests}) e, ({stats}) s")
     return with_(*SCORED_CHAIN, body=body)
+
+
+def window_clip_sql(grid) -> str:
+    wcells = """
+wcells AS (
+  SELECT CAST(date_trunc('week', session_date) AS DATE) AS window_start, is_new_user, device, geo,
+    count(*) AS n, CAST(sum(treatment) AS BIGINT) AS n1, CAST(sum(outcome) AS BIGINT) AS y,
+    CAST(sum(treatment * outcome) AS BIGINT) AS y1
+  FROM frame GROUP BY ALL
+)"""
+    values = ", ".join(f"(CAST({lo} AS DOUBLE), CAST({hi} AS DOUBLE))" for lo, hi in grid)
+    wscored = f"""
+wscored AS (
+  SELECT w.*, clip_lo, clip_hi, least(greatest(CAST(n1 AS DOUBLE) / n, clip_lo), clip_hi) AS ps
+  FROM wcells w, (VALUES {values}) g(clip_lo, clip_hi)
+)"""
+    keys = "window_start, clip_lo, clip_hi"
+    ests = (
+        f"SELECT {keys}, 'propensity_score_matching' AS method, ate FROM ({matching_sql('wscored', keys)}) "
+        f"UNION ALL SELECT {keys}, 'propensity_score_weighting', ate FROM ({ipw_sql('wscored', '0', '1', keys)}) "
+        f"UNION ALL SELECT {keys}, 'propensity_score_stratification', ate FROM ("
+        + stratified_sql('wscored', candidates=(50, 25, 12, 6, 3, 1), auto=True, keys=keys) + ")")
+    return with_(*FRAMED, wcells, wscored, body=f"SELECT {keys}, method, round(ate, 9) AS ate FROM ({ests})")
