@@ -64,41 +64,44 @@ def model_frame(sessions: DataFrame, top_n: int = TOP_N_COUNTRIES,
     )
 
 
-def clean_level_name(prefix: str, level: str, strip_brackets: bool) -> str:
+MAX_LEVELS = 10_000   # levels per confounder that a wide frame may have
+
+
+def level_name(prefix: str, level: Column) -> Column:
     """Column name of a one-hot level; geo names drop '<', '>' and spaces."""
-    name = f"{prefix}_{level}"
-    if strip_brackets:
-        name = name.replace(" ", "_").replace("<", "").replace(">", "")
-    return name
+    name = F.concat(F.lit(f"{prefix}_"), level)
+    return F.translate(F.replace(name, F.lit(" "), F.lit("_")), "<>", "") if prefix == "geo" else name
 
 
-def confounder_levels(frame: DataFrame, columns=("device", "geo")) -> dict[str, list[str]]:
-    """Sorted distinct levels per categorical confounder.
+def confounder_levels(frame: DataFrame, columns=("device", "geo"),
+                      max_levels: int = MAX_LEVELS) -> dict[str, list[tuple[str, str]]]:
+    """Sorted (level, column name) pairs per categorical confounder.
 
-    Bounded: at most top_n + 1 countries and a handful of devices reach the
-    driver, never session rows.
+    At most ``max_levels`` of each reach the driver; more raise, as no wide frame can hold them.
     """
-    row = frame.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in columns]).first()
-    return {c: list(row[c]) for c in columns}
+    out = {}
+    for c in columns:
+        rows = frame.select(F.col(c).alias("v"), level_name(c, F.col(c)).alias("name")).distinct().limit(max_levels + 1).collect()
+        if len(rows) > max_levels:
+            raise ValueError(f"more than {max_levels} levels of {c!r}")
+        out[c] = sorted((r.v, r.name) for r in rows)
+    return out
 
 
-def confounder_names(levels: dict[str, list[str]]) -> list[str]:
+def confounder_names(levels: dict[str, list[tuple[str, str]]]) -> list[str]:
     """``is_new_user`` + device dummies + geo dummies, in the reference's order."""
-    names = ["is_new_user"]
-    names += [clean_level_name("device", v, False) for v in levels["device"]]
-    geo = [clean_level_name("geo", v, True) for v in levels["geo"]]
+    geo = [name for _, name in levels["geo"]]
     if len(set(geo)) != len(geo):
         raise ValueError(f"country columns collide after cleanup: {geo}")
-    return names + geo
+    return ["is_new_user", *[name for _, name in levels["device"]], *geo]
 
 
-def one_hot(frame: DataFrame, levels: dict[str, list[str]] | None = None) -> DataFrame:
+def one_hot(frame: DataFrame, levels: dict[str, list[tuple[str, str]]] | None = None) -> DataFrame:
     """The wide 0/1 frame (all levels kept, sorted) next to treatment/outcome."""
     levels = levels or confounder_levels(frame)
     names = confounder_names(levels)
     cols = [F.col("is_new_user")]
-    cols += [(F.col("device") == F.lit(v)).cast("int") for v in levels["device"]]
-    cols += [(F.col("geo") == F.lit(v)).cast("int") for v in levels["geo"]]
+    cols += [(F.col(c) == F.lit(v)).cast("int") for c in ("device", "geo") for v, _ in levels[c]]
     return frame.select("session_key", "treatment", "outcome",
                         *[c.alias(n) for c, n in zip(cols, names)])
 
@@ -106,13 +109,11 @@ def one_hot(frame: DataFrame, levels: dict[str, list[str]] | None = None) -> Dat
 def confounder_columns(frame: DataFrame) -> DataFrame:
     """Long summary of the one-hot encoding: per dummy column, sessions with 1 and
     treated sessions with 1 (checks names and counts without a wide collect)."""
-    dev = frame.groupBy(F.concat(F.lit("device_"), F.col("device")).alias("confounder"))
-    geo_name = F.regexp_replace(F.regexp_replace(F.concat(F.lit("geo_"), F.col("geo")), " ", "_"), "[<>]", "")
-    geo = frame.groupBy(geo_name.alias("confounder"))
     aggs = [F.count(F.lit(1)).alias("n_ones"), F.sum("treatment").cast("bigint").alias("n_treated")]
-    new = frame.where(F.col("is_new_user") == 1).agg(*aggs).select(
-        F.lit("is_new_user").alias("confounder"), "n_ones", "n_treated")
-    return dev.agg(*aggs).unionByName(geo.agg(*aggs)).unionByName(new)
+    dummies = F.explode(F.array(level_name("device", F.col("device")), level_name("geo", F.col("geo")),
+                                F.when(F.col("is_new_user") == 1, F.lit("is_new_user"))))
+    long = frame.select("treatment", dummies.alias("confounder")).where(F.col("confounder").isNotNull())
+    return long.groupBy("confounder").agg(*aggs)
 
 
 def encoded_cells(sessions: DataFrame, keys=(), top_n: int = TOP_N_COUNTRIES,

@@ -50,6 +50,7 @@ class Metric:
     filter: Callable[[], Column] | None = None   # applies to this metric's measures only
 
 
+# The declared semantic models.
 SESSIONS_MODEL = SemanticModel(
     name="sessions", entity="session", time_dimension="session_date",
     dimensions=("session_date", "device_category", "geo_country", "is_paid", "is_new_user",
@@ -76,6 +77,7 @@ def _weighting_only() -> Column:
     return F.col("method") == F.lit("propensity_score_weighting")
 
 
+# The declared metrics.
 METRICS: dict[str, Metric] = {m.name: m for m in (
     Metric("sessions", "simple", measure="sessions"),
     Metric("conversions", "simple", measure="conversions"),

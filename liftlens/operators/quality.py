@@ -30,6 +30,7 @@ class ColumnTest:
     values: tuple[str, ...] = ()
 
 
+# The declared column tests.
 DECLARED_TESTS: tuple[ColumnTest, ...] = (
     ColumnTest("stg_ga4__events", "event_date_key", "not_null"),
     ColumnTest("stg_ga4__events", "event_date", "not_null"),

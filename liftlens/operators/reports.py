@@ -74,9 +74,10 @@ def channel_detail(channel: DataFrame) -> DataFrame:
 LOAD_SEQ = "load_seq"   # number of the load that wrote an estimate row
 
 
-def latest_estimates(estimates: DataFrame) -> DataFrame:
+def latest_estimates(estimates: DataFrame, matching_caveat: str = MATCHING_CAVEAT) -> DataFrame:
     """``fct_causal_estimates``: newest row per method plus derived columns.
 
+    ``matching_caveat`` states facts about the data, so pass one's own for other data.
     ``row_number() = 1`` per method is planned as a WindowGroupLimit (partial
     top-1 before the shuffle), the Spark form of QUALIFY.
     """
@@ -89,7 +90,7 @@ def latest_estimates(estimates: DataFrame) -> DataFrame:
         "method", "ate", "naive_difference",
         (F.col("naive_difference") - F.col("ate")).alias("implied_selection_bias"),
         is_matching.alias("is_outlier"),
-        F.when(is_matching, F.lit(MATCHING_CAVEAT)).alias("method_caveat"),
+        F.when(is_matching, F.lit(matching_caveat)).alias("method_caveat"),
         "n_sessions", "n_paid", "n_converted", "data_start", "data_end", "run_at",
         F.to_date("run_at").alias("run_date"),
     )

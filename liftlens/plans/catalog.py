@@ -336,10 +336,10 @@ def _quality_models(spark, sf):
     from liftlens.operators.reports import causal_summary, channel_performance
     from liftlens.operators.sessions import sessionize
     from liftlens.session import materialize
-    stg = M.staging(spark, sf)
-    # the mart is read by four tests and three downstream models: write it once
-    sessions = materialize(sessionize(stg))
-    latest = M.latest(spark, sf)
+    # staging and the mart are read by several tests and models: each is written once, events are read once
+    stg = materialize(M.staging(spark, sf), "staging")
+    sessions = materialize(sessionize(stg), "sessions")
+    latest = M.latest(spark, sf, stg=stg)
     return {"stg_ga4__events": stg, "fct_sessions": sessions,
             "fct_causal_estimates": latest, "rpt_channel_performance": channel_performance(sessions),
             "rpt_causal_summary": causal_summary(latest),

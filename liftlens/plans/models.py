@@ -49,12 +49,14 @@ def frame(spark: SparkSession, sf: str, null_treatment: str = NULL_TREATMENT) ->
     """Per-session model frame over the *written* session mart.
 
     ``model_frame`` reads sessions twice (top-N countries, then the frame);
-    over a lazy plan each read would redo the event aggregation, so the mart
-    is written once (as the pipeline does) and both reads scan it.
+    over a lazy plan each read would redo the event aggregation, so its seven
+    columns are written once and both reads scan them.
     """
     from liftlens.operators.causal.encode import model_frame
     from liftlens.session import materialize
-    return model_frame(materialize(sessions(spark, sf), "sessions"), null_treatment=null_treatment)
+    mart = sessions(spark, sf).select("session_key", "session_date", "is_paid", "converted", "is_new_user",
+                                      "device_category", "geo_country")
+    return model_frame(materialize(mart, "sessions"), null_treatment=null_treatment)
 
 
 def cells(spark: SparkSession, sf: str, keys=(), null_treatment: str = NULL_TREATMENT) -> DataFrame:
@@ -69,13 +71,13 @@ def scored(spark: SparkSession, sf: str, model: str = "saturated") -> DataFrame:
 
 
 def history(spark: SparkSession, sf: str, model: str = "saturated", digits: int = 9,
-            last_only: bool = False) -> DataFrame:
+            last_only: bool = False, stg: DataFrame | None = None) -> DataFrame:
     """Estimates of every daily run (one pass over the events, no mart write).
 
     Rounded to ``digits`` here, where two engines are compared; the library stores them as computed.
     """
     from liftlens.operators.causal.history import estimate_history
-    return rounded(estimate_history(staging(spark, sf), model=model, null_treatment=NULL_TREATMENT,
+    return rounded(estimate_history(staging(spark, sf) if stg is None else stg, model=model, null_treatment=NULL_TREATMENT,
                                     last_only=last_only), digits)
 
 
@@ -83,10 +85,10 @@ def rounded(estimates: DataFrame, digits: int = 9) -> DataFrame:
     return estimates.withColumns({c: F.round(c, digits) for c in ("ate", "naive_difference") if c in estimates.columns})
 
 
-def latest(spark: SparkSession, sf: str, last_only: bool = True) -> DataFrame:
+def latest(spark: SparkSession, sf: str, last_only: bool = True, stg: DataFrame | None = None) -> DataFrame:
     """Newest row per method; the views need no run but the last."""
     from liftlens.operators.reports import latest_estimates
-    return latest_estimates(history(spark, sf, last_only=last_only))
+    return latest_estimates(history(spark, sf, last_only=last_only, stg=stg))
 
 
 def summary(spark: SparkSession, sf: str) -> DataFrame:

@@ -271,3 +271,59 @@ def test_grouped_bootstrap_matches_row_bootstrap_in_distribution(spark):
           for m in ("rows", "grouped")}
     assert sd["grouped"][0] == pytest.approx(sd["rows"][0], rel=0.25)     # same spread
     assert abs(sd["grouped"][1] - sd["rows"][1]) < 2 * sd["rows"][0] / np.sqrt(200) + 0.01
+
+
+def test_grouped_draws_hold_for_tiny_and_huge_cells(spark):
+    from liftlens.operators.causal.bootstrap import grouped_replicates
+    from liftlens.operators.causal.refute import grouped_placebo
+    from liftlens.operators.reports import MATCHING, STRATIFICATION, WEIGHTING
+    big = 2_000_000_000
+    rows = [(0, "a", "x", 1, 1, 1, 1), (0, "b", "x", 1, 0, 0, 0), (1, "a", "x", big, big // 5, big // 10, big // 40),
+            (1, "b", "y", 3 * big, big, big // 4, big // 8)]
+    cells = spark.createDataFrame(rows, "is_new_user int, device string, geo string, n long, n1 long, y long, y1 long")
+    for estimator in (WEIGHTING, MATCHING, STRATIFICATION):
+        reps = grouped_replicates(cells, replicates=20, estimator=estimator)
+        sims = grouped_placebo(cells, simulations=10, estimator=estimator)
+        assert reps.count() == 20 and reps.where("ate is null").count() == 0
+        assert abs(sims.agg(F.avg("ate")).first()[0]) < 1e-3
+
+
+def test_hypergeometric_draws():
+    from liftlens.operators.causal.refute import hypergeometric
+    rng = np.random.default_rng(0)
+    for good, bad, draws in ((5, 7, 4), (40, 60, 30), (1, 99, 50), (10 ** 10, 3 * 10 ** 10, 10 ** 6)):
+        x = np.array([hypergeometric(rng, good, bad, draws) for _ in range(3000)])
+        p, n = good / (good + bad), good + bad
+        sd = np.sqrt(draws * p * (1 - p) * (n - draws) / (n - 1))
+        assert abs(x.mean() - draws * p) < 5 * sd / np.sqrt(len(x)) and x.std() == pytest.approx(sd, rel=0.1)
+        assert x.min() >= max(0, draws - bad) and x.max() <= min(good, draws)
+    assert hypergeometric(rng, 0, 5, 3) == 0 and hypergeometric(rng, 5, 0, 3) == 3
+
+
+def test_ipw_without_a_clip(spark):
+    rows = [(0, "a", "x", 10, 0, 2, 0), (0, "b", "x", 10, 5, 4, 3), (1, "a", "x", 4, 4, 1, 1)]
+    cells = spark.createDataFrame(rows, "is_new_user int, device string, geo string, n long, n1 long, y long, y1 long")
+    got = ipw_ate(saturated_scores(cells), clip=(0.0, 1.0)).first().ate
+    treated = (3 / 0.5 + 1 / 1) / (5 / 0.5 + 4 / 1)
+    control = (2 / 1 + 1 / 0.5) / (10 / 1 + 5 / 0.5)
+    assert got == pytest.approx(treated - control)
+
+
+def test_history_equals_day_by_day_catchup(spark, workdir):
+    from liftlens.operators.causal.history import estimate_history
+    from liftlens.operators.reports import WEIGHTING
+    from liftlens.plans.pipeline import PipelineConfig, catchup
+    raw = M.raw_events(spark, "/root/testdata/sf0.001")
+    days = sorted(r[0] for r in raw.select("event_date").distinct().collect())[:4]
+    cfg = PipelineConfig(root=f"{workdir}/hist", null_treatment="control", estimates_mode="append", model="saturated",
+                         skip_tests=("fct_sessions.is_paid",), enforce_tests=False, methods=(WEIGHTING,))
+    catchup(spark, raw, days, cfg)
+    columns = ("run_at", "method", "ate", "naive_difference", "n_sessions", "n_paid", "n_converted", "data_start", "data_end")
+
+    def rows(df):
+        return {tuple(None if v is None else round(v, 9) if isinstance(v, float) else v for v in r)
+                for r in df.select(*columns).collect()}
+    from liftlens.operators.flatten import flatten_events
+    stg = flatten_events(raw.where(F.col("event_date").isin(days)))
+    history = estimate_history(stg, methods=(WEIGHTING,), null_treatment="control")
+    assert rows(history) == rows(spark.read.parquet(cfg.path("causal_estimates")))

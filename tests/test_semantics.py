@@ -111,11 +111,19 @@ def test_summary_of_empty_estimates_has_one_naive_row(spark):
     assert len(rows) == 1 and rows[0].estimate == "naive_correlation" and rows[0].conversion_lift is None
 
 
-def test_country_name_collision_detected():
-    from liftlens.operators.causal.encode import confounder_names
+def test_one_hot_names_and_collisions(spark):
+    from liftlens.operators.causal.encode import confounder_levels, confounder_names, one_hot
+
+    def frame(*geos):
+        return spark.createDataFrame([(f"s{i}", 1, 0, 0, "desktop", g) for i, g in enumerate(geos)],
+                                     "session_key string, treatment int, outcome int, is_new_user int, device string, geo string")
     with pytest.raises(ValueError, match="collide"):
-        confounder_names({"device": ["desktop"], "geo": ["<Other>", "Other"]})
-    assert confounder_names({"device": ["desktop"], "geo": ["New Zealand"]})[-1] == "geo_New_Zealand"
+        confounder_names(confounder_levels(frame("<Other>", "Other")))
+    wide = one_hot(frame("New Zealand", "C1"))
+    assert wide.columns[-3:] == ["device_desktop", "geo_C1", "geo_New_Zealand"]
+    assert {r.session_key: r.geo_New_Zealand for r in wide.collect()} == {"s0": 1, "s1": 0}
+    with pytest.raises(ValueError, match="more than 1 levels"):
+        confounder_levels(frame("a", "b"), max_levels=1)
 
 
 def test_top_levels_ties_broken_by_name(spark):
