@@ -9,19 +9,22 @@ not on what is left.
 
 The index is built in two steps, in blocks:
 
-1. Anchors.  Of every window the 8-word gram with the smallest hash is its anchor, so equal
-   windows have equal anchors, and about one gram in seven is an anchor at all.  Anchor
-   occurrences are counted (none, one, more) in ``SLOTS`` slots, one block of 65,536 slots
-   a reducer group.  The result is a filter of ``SLOTS`` bits: 32 MB, whatever the input.
-   A slot may be shared, which costs work and never a result.
-2. Reference blocks.  Windows whose anchor occurs more than once are sent to the block of
-   their 96-bit hash and sorted there with their place; the first of a hash is the
-   reference, the others are repeats of it.  Occurrences after the first within one slice
-   of a task are known repeats already: they travel as ranges and not under their hash, so
-   a passage that every document shares reaches its block once per slice, not once per
-   document.
-
-Repeats return to their document as ranges and are cut out.  Nothing but the filter
+1. Anchors.  Of every window the 8-word gram with the smallest hash (the leftmost of them)
+   is its anchor, so equal windows have equal anchors.  Consecutive windows with the same
+   anchor place form a group of about seven; its span are the words that they cover.  In
+   ``2^SLOT_BITS`` slots, one block of 65,536 slots a reducer group, two things are noted: does
+   an anchor occur more than once, and with more than one span.  The result are two
+   filters of ``2^SLOT_BITS`` bits, 64 MB whatever the input.  A slot may be shared, which
+   costs work and never a result.
+2. Reference blocks.  Groups whose anchor occurs once are no repeats.  Where an anchor
+   always has the same span, the group is looked up as a whole; otherwise each of its
+   windows is.  They are sent to the block of their 96-bit hash and sorted there with
+   their place: the first of a hash is the reference, the others are repeats of it.
+   Occurrences after the first within one slice of a task are known repeats already: they
+   travel as ranges and not under their hash, so a passage that every document shares
+   reaches its block once per slice, not once per document.
+
+Repeats return to their document as ranges and are cut out.  Nothing but the filters
 reaches the driver, and no partition holds more than sorted rows that it streams.
 
 Null and empty texts have no words; texts shorter than a window keep all of theirs.  Null
@@ -43,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import by_bytes, set_aside
-from .tokens import Words, mix, range_hash, sliding
+from .tokens import Words, mix, range_hash
 
 WINDOW = 20
 GRAM = 8
@@ -55,97 +58,132 @@ LAST = np.iinfo(np.int64).max
 
 
 class _Windows:
-    """All windows of a slice of documents: number of first word, document and anchor."""
+    """All windows of a slice of documents, and the groups of windows that share an anchor."""
 
     def __init__(self, texts: pa.Array, window: int, gram: int):
         self.words = Words(texts)
-        n = np.diff(self.words.first)
-        self.doc = np.repeat(np.arange(len(n)), np.maximum(n - window + 1, 0))
-        ahead = np.concatenate([[0], np.cumsum(np.maximum(n - window + 1, 0))])
-        self.pos = np.arange(len(self.doc)) - ahead[self.doc]
-        self.at = self.words.first[self.doc] + self.pos
-        self.hash = self.words.hashes()
-        self.window, width = window, window - gram + 1
-        at = np.arange(max(len(self.hash) - gram + 1, 0))
-        self.gram = range_hash(self.hash, at, at + gram, 1)
-        self.least = sliding(self.gram, width, np.minimum)
-        self.anchor = self.least[self.at]
-
-    def anchors(self) -> np.ndarray:
-        """Hashes of all grams that are the smallest of some window, one per place."""
-        if not len(self.at):
-            return self.gram[:0]
-        width = len(self.gram) - len(self.least) + 1
-        # the largest of the minima around a gram equals the gram if it is one of them; windows across texts don't count
-        valid = np.zeros(len(self.least), np.uint64)
-        valid[self.at] = self.anchor
-        padded = np.concatenate([np.zeros(width - 1, np.uint64), valid, np.zeros(width - 1, np.uint64)])
-        return self.gram[sliding(padded, width, np.maximum) == self.gram]
-
-    def keys(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = self.at[chosen]
-        return (range_hash(self.hash, at, at + self.window, 2).view(np.int64),
-                (range_hash(mix(self.hash), at, at + self.window, 3) >> np.uint64(32)).astype(np.int64))
+        n = np.maximum(np.diff(self.words.first) - window + 1, 0)
+        doc = np.repeat(np.arange(len(n)), n)
+        ahead = np.concatenate([[0], np.cumsum(n)])
+        pos = np.arange(len(doc)) - ahead[doc]
+        at = self.words.first[doc] + pos
+        self.hash, self.window = self.words.hashes(), window
+        grams = np.arange(max(len(self.hash) - gram + 1, 0))
+        value = range_hash(self.hash, grams, grams + gram, 1)
+        # leftmost smallest gram of every window
+        place, done, width = grams, 1, window - gram + 1
+        while done < width and len(value):
+            step = min(done, width - done)
+            right = value[step:] < value[:len(value) - step]
+            place = np.where(right, place[step:], place[:len(place) - step])
+            value = np.where(right, value[step:], value[:len(value) - step])
+            done += step
+        place = place[at] if len(at) else at
+        new = np.concatenate([[True], (np.diff(place) != 0) | (np.diff(doc) != 0)])[:len(at)]
+        lead = np.flatnonzero(new)
+        #: of every group: document, first window, first word, number of windows, anchor
+        self.doc, self.pos, self.at = doc[lead], pos[lead], at[lead]
+        self.size = np.diff(np.append(lead, len(at)))
+        self.anchor = value[self.at] if len(at) else value[:0]
+
+    def span_hash(self, start: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """96 bits for word ranges, as two longs."""
+        return (range_hash(self.hash, start, start + words, 2).view(np.int64),
+                (range_hash(mix(self.hash), start, start + words, 3) >> np.uint64(32)).astype(np.int64))
+
+    def spread(self, chosen: np.ndarray, single: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Rows to look up: chosen groups as a whole where ``single``, else window by window.
+
+        (document, first window, first word, windows) in page order.
+        """
+        times = np.where(single, 1, self.size[chosen])
+        group = np.repeat(chosen, times)
+        step = np.arange(len(group)) - np.repeat(np.cumsum(times) - times, times)
+        return (self.doc[group], self.pos[group] + step, self.at[group] + step,
+                np.where(np.repeat(single, times), self.size[group], 1))
 
 
 def _slot(anchor: np.ndarray, bits: int) -> np.ndarray:
-    return (anchor >> np.uint64(64 - bits)).astype(np.uint32) if bits <= 32 else anchor >> np.uint64(64 - bits)
+    # anchors are smallest hashes, hence crowded: mixed once more
+    return (mix(anchor ^ np.uint64(0x5BD1E995)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def repeated_anchors(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, slot_bits: int = SLOT_BITS) -> bytes:
-    """Bit filter of the slots in which anchors of a one-column DataFrame occur more than once."""
+def _is_set(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return ((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).astype(bool)
+
+
+def anchor_filters(texts: DataFrame, window: int = WINDOW, gram: int = GRAM,
+                   slot_bits: int = SLOT_BITS) -> tuple[bytes, bytes]:
+    """Bit filters of a one-column DataFrame's anchors: slots that occur again, slots with several spans."""
     block_bits = min(BLOCK_BITS, slot_bits)
     size = 1 << block_bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            slots, n = np.unique(np.concatenate(held), return_counts=True)
+            slot, span = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            block, low = slots >> block_bits, (slots & (size - 1)).astype(np.uint16)
+            order = np.lexsort((span, slot))
+            slot, span = slot[order], span[order]
+            lead = np.flatnonzero(np.concatenate([[True], (np.diff(slot) != 0) | (np.diff(span) != 0)]))
+            more = np.diff(np.append(lead, len(slot))) > 1
+            slot, span = slot[lead], span[lead]
+            block, low = slot >> block_bits, (slot & (size - 1)).astype(np.uint16)
             cuts = np.flatnonzero(np.diff(block, prepend=-1))
-            rows = [(int(block[a]), low[a:b][n[a:b] == 1].tobytes(), low[a:b][n[a:b] > 1].tobytes())
-                    for a, b in zip(cuts, [*cuts[1:], len(slots)])]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["block", "once", "more"])
+            rows = [(int(block[a]), low[a:b].tobytes(), span[a:b].tobytes(), low[a:b][more[a:b]].tobytes())
+                    for a, b in zip(cuts, [*cuts[1:], len(slot)])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["block", "slots", "spans", "more"])
 
         for batch in batches:
             for part in by_bytes(batch, batch.schema.names[0], SLICE_BYTES):
-                held.append(_slot(_Windows(part.column(0), window, gram).anchors(), slot_bits).astype(np.int64))
-                if sum(map(len, held)) >= FLUSH:
+                found = _Windows(part.column(0), window, gram)
+                held.append((_slot(found.anchor, slot_bits), found.span_hash(found.at, found.size + window - 1)[0]))
+                if sum(len(x) for x, _ in held) >= FLUSH:
                     yield from flush()
-        if sum(map(len, held)):
+        if sum(len(x) for x, _ in held):
             yield from flush()
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, seen = None, np.zeros(size, np.uint8)
+        current = None
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([current], pa.int64()),
-                                               pa.array([np.packbits(seen > 1).tobytes()], pa.binary())],
-                                              names=["block", "bits"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([current], pa.int64()), pa.array([np.packbits(again).tobytes()], pa.binary()),
+                 pa.array([np.packbits(several).tobytes()], pa.binary())], names=["block", "again", "several"])
 
         for batch in batches:
-            for block, once, more in zip(*(c.to_pylist() for c in batch.columns)):
+            for block, slots, spans, more in zip(*(c.to_pylist() for c in batch.columns)):
                 if block != current:
                     if current is not None:
                         yield out()
-                    current, seen = block, np.zeros(size, np.uint8)
-                low = np.frombuffer(once, np.uint16)
-                seen[low] = np.minimum(seen[low] + 1, 2)
-                seen[np.frombuffer(more, np.uint16)] = 2
+                    current = block
+                    seen, again, several = (np.zeros(size, bool) for _ in range(3))
+                    span_of = np.zeros(size, np.int64)
+                low, span = np.frombuffer(slots, np.uint16), np.frombuffer(spans, np.int64)
+                first = np.concatenate([[True], np.diff(low.astype(np.int32)) != 0])
+                several[low[~first]] = again[low[~first]] = True
+                low, span = low[first], span[first]
+                old = seen[low]
+                again[low[old]] = True
+                several[low[old & (span_of[low] != span)]] = True
+                span_of[low[~old]] = span[~old]
+                seen[low] = True
+                again[np.frombuffer(more, np.uint16)] = True
         if current is not None:
             yield out()
 
-    counted = texts.mapInArrow(count, "block long, once binary, more binary")
-    blocks = counted.repartition("block").sortWithinPartitions("block").mapInArrow(total, "block long, bits binary")
-    bits = bytearray((1 << slot_bits) // 8 or 1)
-    for row in blocks.toLocalIterator():  # at most 2^slot_bits bits in all
-        bits[row.block * (size // 8):(row.block + 1) * (size // 8)] = row.bits
-    return bytes(bits)
+    counted = texts.mapInArrow(count, "block long, slots binary, spans binary, more binary")
+    blocks = counted.repartition("block").sortWithinPartitions("block").mapInArrow(
+        total, "block long, again binary, several binary")
+    again, several = (bytearray(max(1 << slot_bits >> 3, 1)) for _ in range(2))
+    for row in blocks.toLocalIterator():  # at most two times 2^slot_bits bits in all
+        at = slice(row.block * (size // 8), (row.block + 1) * (size // 8))
+        again[at], several[at] = row.again, row.several
+    return bytes(again), bytes(several)
 
 
-_SENT = "h1 long, h2 long, doc long, place long, known boolean"
+_SENT = "h1 long, h2 long, doc long, place long, width int, known boolean"
 _FOUND = "doc long, tag int, start int, end int"
 
 
@@ -159,19 +197,19 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sl
     ``doc`` is the id (null: the largest long), ``tag`` a hash of the text.
     """
     spark = docs.sparkSession
-    filter_bits = spark.sparkContext.broadcast(repeated_anchors(docs.select("text"), window, gram, slot_bits))
+    filters = spark.sparkContext.broadcast(anchor_filters(docs.select("text"), window, gram, slot_bits))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(filter_bits.value, np.uint8)
+        again, several = (np.frombuffer(x, np.uint8) for x in filters.value)
         for batch in batches:
             for part in by_bytes(batch, "text", SLICE_BYTES):
                 found = _Windows(part.column(2), window, gram)
                 slot = _slot(found.anchor, slot_bits)
-                chosen = np.flatnonzero((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1)
+                chosen = np.flatnonzero(_is_set(again, slot))
                 if not len(chosen):
                     continue
-                h1, h2 = found.keys(chosen)
-                row, pos = found.doc[chosen], found.pos[chosen]
+                row, pos, at, width = found.spread(chosen, ~_is_set(several, slot[chosen]))
+                h1, h2 = found.span_hash(at, width + window - 1)
                 doc, tag = _ids(part.column(0))[row], part.column(1).to_numpy(zero_copy_only=False)[row].astype(np.int64)
                 order = np.lexsort((pos, doc, h2, h1))
                 new = np.concatenate([[True], (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0)])
@@ -180,20 +218,20 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sl
                 repeat[order] = (doc[order] != doc[lead]) | (pos[order] != pos[lead])
                 place = (tag << 32) | pos
                 first = ~repeat
-                yield _rows(h1[first], h2[first], doc[first], place[first], False)
+                yield _rows(h1[first], h2[first], doc[first], place[first], width[first], False)
                 # known repeats: runs of consecutive windows of one row
-                r, p = row[repeat], pos[repeat]
+                r, p, end = row[repeat], pos[repeat], pos[repeat] + width[repeat]
                 if len(r):
-                    begins = np.flatnonzero(np.concatenate([[True], (np.diff(r) != 0) | (np.diff(p) != 1)]))
-                    ends = p[np.concatenate([begins[1:], [len(p)]]) - 1] + 1
+                    begins = np.flatnonzero(np.concatenate([[True], (np.diff(r) != 0) | (p[1:] != end[:-1])]))
+                    ends = end[np.append(begins[1:], len(p)) - 1]
                     d, pl = doc[repeat][begins], place[repeat][begins]
                     spread = mix((d ^ pl).view(np.uint64)).view(np.int64)
-                    yield _rows(spread, ends.astype(np.int64), d, pl, True)
+                    yield _rows(spread, np.zeros(len(d), np.int64), d, pl, ends - p[begins], True)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = None
         for batch in batches:
-            h1, h2, doc, place, known = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            h1, h2, doc, place, width, known = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             if not len(h1):
                 continue
             pos = place & 0xFFFFFFFF
@@ -207,10 +245,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sl
                 carry = (h1[-1], h2[-1], doc0[-1], pos0[-1])
             out = known | (doc != doc0) | (pos != pos0)
             start = pos[out]
-            end = np.where(known[out], h2[out], start + 1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc[out]), pa.array((place[out] >> 32).astype(np.int32)),
-                 pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], names=["doc", "tag", "start", "end"])
+                 pa.array(start.astype(np.int32)), pa.array((start + width[out]).astype(np.int32))],
+                names=["doc", "tag", "start", "end"])
 
     sent = docs.select("doc", "tag", "text").mapInArrow(send, _SENT)
     blocks = sent.repartition("h1").sortWithinPartitions("known", "h1", "h2", "doc", (F.col("place").bitwiseAND(
@@ -218,11 +256,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sl
     return blocks.mapInArrow(find, _FOUND)
 
 
-def _rows(h1, h2, doc, place, known: bool) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (h1, h2, doc, place)] + [pa.array(np.full(len(h1), known))],
-                                      names=["h1", "h2", "doc", "place", "known"])
-
-
+def _rows(h1, h2, doc, place, width, known: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x) for x in (h1, h2, doc, place, width.astype(np.int32), np.full(len(h1), known))],
+        names=["h1", "h2", "doc", "place", "width", "known"])
 
 
 def with_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,

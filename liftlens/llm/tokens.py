@@ -96,15 +96,3 @@ class Words:
         for a, b in zip(self.first[:-1].tolist(), self.first[1:].tolist()):
             out.append(b" ".join([raw[s:e] for (s, e), k in zip(spans[a:b], flags[a:b]) if k]))
         return out
-
-
-def sliding(values: np.ndarray, width: int, combine) -> np.ndarray:
-    """combine over every ``width`` consecutive values, by doubling."""
-    if len(values) < width:
-        return values[:0]
-    out, done = values, 1
-    while done * 2 <= width:
-        out = combine(out[:-done], out[done:])
-        done *= 2
-    rest = width - done
-    return combine(out[:len(out) - rest], out[rest:]) if rest else out
