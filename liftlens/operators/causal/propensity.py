@@ -3,12 +3,12 @@
 * ``saturated`` – P(t=1 | cell) = n1 / n, pure column arithmetic.
 * ``logit`` – L2-regularised logistic regression with a free intercept on
   the one-hot confounders (scikit-learn's default: C=1, intercept not
-  penalised), weighted by cell counts.  The fit runs per key group with
-  ``applyInPandas`` – one group is one cell table (at most prod(levels) rows),
-  so groups are small and spread over executors when there are many
-  (bootstrap replicates, placebo simulations, run dates).
-* ``spark_ml`` – the same model through ``pyspark.ml`` (one fit, no keys);
-  agrees with ``logit`` to 1e-6 or better (tested) and is kept as the library-native path.
+  penalised), weighted by cell counts.  A single model is fitted by
+  ``pyspark.ml``, whatever the number of levels.  With keys there is one model per
+  key (bootstrap replicates, placebo simulations, run dates), each on one cell
+  table (at most prod(levels) rows), fitted in a group of ``applyInPandas``.
+* ``spark_ml`` – the single model by name; agrees with the keyed fit to 1e-6 or
+  better (tested).
 """
 
 from __future__ import annotations
@@ -86,7 +86,12 @@ def fit_logit(X: np.ndarray, w1: np.ndarray, w0: np.ndarray, C: float = 1.0,
 
 def logit_scores(cells: DataFrame, confounders: Sequence[str] = CONFOUNDERS,
                  keys: Sequence[str] = (), C: float = 1.0) -> DataFrame:
-    """Logistic propensity per key group, fitted on the group's cells."""
+    """Logistic propensity per key group, fitted on the group's cells (bounded by the encoding).
+
+    Without keys Spark ML fits the one model.
+    """
+    if not keys:
+        return spark_ml_scores(cells, confounders, C)
     from liftlens.session import ship_package
     ship_package(cells.sparkSession)
     confounders = list(confounders)
@@ -101,17 +106,7 @@ def logit_scores(cells: DataFrame, confounders: Sequence[str] = CONFOUNDERS,
         pdf["ps"] = _sigmoid(X @ beta)
         return pdf
 
-    if keys:
-        return cells.groupBy(*keys).applyInPandas(fit, out_schema)
-    grouped = cells.withColumn("_g", F.lit(0))
-    schema_g = T.StructType(out_schema.fields + [T.StructField("_g", T.IntegerType(), False)])
-
-    def fit_g(pdf: pd.DataFrame) -> pd.DataFrame:
-        g = pdf.pop("_g")
-        out = fit(pdf)
-        out["_g"] = g.to_numpy()
-        return out
-    return grouped.groupBy("_g").applyInPandas(fit_g, schema_g).drop("_g")
+    return cells.groupBy(*keys).applyInPandas(fit, out_schema)
 
 
 def spark_ml_scores(cells: DataFrame, confounders: Sequence[str] = CONFOUNDERS,
@@ -151,7 +146,8 @@ def score_cells(cells: DataFrame, model: str = "saturated", confounders: Sequenc
     if model == "saturated":
         return saturated_scores(cells)
     if model == "logit":
-        return logit_scores(cells, confounders, keys, C)
+        # one model of any size: Spark ML; many small ones, one per key: a group each
+        return logit_scores(cells, confounders, keys, C) if keys else spark_ml_scores(cells, confounders, C)
     if model == "spark_ml":
         if keys:
             raise ValueError("spark_ml fits one model; use 'logit' for keyed fits")

@@ -56,10 +56,9 @@ def causal_estimates(frame: DataFrame, run_at, methods: Sequence[str] = REFERENC
                      model: str = "logit", clip=DEFAULT_CLIP,
                      confounders: Sequence[str] = CONFOUNDERS) -> DataFrame:
     """Rows of the estimates table for one run (``run_at``: a timestamp literal/column)."""
-    keyed = frame.withColumn("_run", F.lit(0))
-    cells = _cells_with_dates(keyed, confounders, ["_run"])
-    # scored cells feed every estimator and the run statistics: write them once
-    scored = materialize(score_cells(cells, model=model, confounders=confounders, keys=["_run"]))
+    # one model for the run; scored cells feed every estimator and the statistics: write them once
+    scored = score_cells(_cells_with_dates(frame, confounders, []), model=model, confounders=confounders)
+    scored = materialize(scored.withColumn("_run", F.lit(0)))
     est = method_estimates(scored, ["_run"], methods, clip)
     run_at = run_at if isinstance(run_at, Column) else F.lit(run_at)
     return assemble(est, _stats_with_dates(scored, ["_run"]), ["_run"], run_at.cast("timestamp_ntz"))
