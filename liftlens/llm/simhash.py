@@ -250,11 +250,16 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """
     found = _grouped(df, id_col, text_col, shingle, radius)
     first = found.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull(), id_col, "text_hash")).alias("first"))
-    first = first.select(F.col(f"first.{id_col}").alias("__id"), F.col("first.text_hash").alias("__hash")).distinct()
-    hashed = df.withColumn("__text_hash", F.xxhash64(text_col))
-    kept = hashed.join(first, hashed[id_col].eqNullSafe(F.col("__id")) & (hashed["__text_hash"] == F.col("__hash")),
-                       "left_semi")
-    return kept.dropDuplicates([id_col, "__text_hash"]).select(*df.columns)
+
+    def keyed(out: DataFrame, id_: Column, text_hash: Column) -> DataFrame:
+        # plain equality on these lets the join's partitioning serve the last step too
+        return out.withColumns({"__no_id": id_.isNull(), "__id": F.coalesce(id_.cast("string"), F.lit("")),
+                                "__hash": text_hash})
+
+    keys = ["__no_id", "__id", "__hash"]
+    first = keyed(first, F.col(f"first.{id_col}"), F.col("first.text_hash")).select(*keys).distinct()
+    kept = keyed(df, F.col(id_col), F.xxhash64(text_col)).join(first, keys, "left_semi")
+    return kept.dropDuplicates(keys).select(*df.columns)
 
 
 def near_duplicate_report(df: DataFrame) -> DataFrame:
