@@ -69,7 +69,7 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array):
-        texts = pc.fill_null(texts, "")
+        texts = pc.fill_null(texts, "").cast(pa.string())
         offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
         raw = texts.buffers()[2]
         data = np.frombuffer(raw, np.uint8) if raw is not None else np.empty(0, np.uint8)
