@@ -448,9 +448,17 @@ def q_metric_mixed_models(spark, sf):
     "(SELECT session_date AS d, count(session_key) AS sessions, CAST(sum(CAST(converted AS BIGINT)) AS BIGINT) "
     "AS conversions FROM sessions GROUP BY 1) m ON s.date_day = m.d")))
 def q_metric_sessions_spine(spark, sf):
-    from liftlens.operators.metrics import spine_from
-    spine = spine_from(M.staging(spark, sf), "event_date")
-    return _metric(spark, sf, ["sessions", "conversions"], ["metric_time__day"], spine=spine, fill_nulls_with=0)
+    return _with_spine(spark, sf, ["sessions", "conversions"], "metric_time__day")
+
+
+def _with_spine(spark, sf, metrics, time):
+    """Metrics on a spine over the event dates; events are read once, staging is written for both."""
+    from liftlens.operators.metrics import query_metrics, spine_from
+    from liftlens.operators.sessions import sessionize
+    from liftlens.session import materialize
+    stg = materialize(M.staging(spark, sf), "staging")
+    return query_metrics({"sessions": sessionize(stg)}, metrics, [time], spine=spine_from(stg, "event_date"),
+                         fill_nulls_with=0)
 
 
 # --- exploration (E1-E4, A13-A15, K4) ----------------------------------------
@@ -728,9 +736,7 @@ def q_metric_sessions_by_week(spark, sf):
     "(SELECT CAST(date_trunc('month', session_date) AS DATE) AS m, count(session_key) AS sessions FROM sessions GROUP BY 1) x "
     "ON s.m = x.m")))
 def q_metric_sessions_by_month_spine(spark, sf):
-    from liftlens.operators.metrics import spine_from
-    spine = spine_from(M.raw_events(spark, sf).select(F.to_date("event_date", "yyyyMMdd").alias("day")), "day")
-    return _metric(spark, sf, ["sessions"], ["metric_time__month"], spine=spine, fill_nulls_with=0)
+    return _with_spine(spark, sf, ["sessions"], "metric_time__month")
 
 
 # --- nothing is dropped silently (A6 S3 S6 S7 F1), table writes (S8 S11), gates (Q5 M9) ------
