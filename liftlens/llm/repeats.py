@@ -74,9 +74,10 @@ class _Windows:
         place, done, width = grams, 1, window - gram + 1
         while done < width and len(value):
             step = min(done, width - done)
-            right = value[step:] < value[:len(value) - step]
-            place = np.where(right, place[step:], place[:len(place) - step])
-            value = np.where(right, value[step:], value[:len(value) - step])
+            left = max(len(value) - step, 0)  # nothing is left where no window fits
+            right = value[step:] < value[:left]
+            place = np.where(right, place[step:], place[:left])
+            value = np.where(right, value[step:], value[:left])
             done += step
         place = place[at] if len(at) else at
         new = np.concatenate([[True], (np.diff(place) != 0) | (np.diff(doc) != 0)])[:len(at)]

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_MID
 from pyspark.sql import functions as F
@@ -141,3 +142,17 @@ def test_remove_repeats_keeps_other_columns(spark):
     assert out[1].text == PASSAGE and out[2].text == "head tail" and out[3].text is None
     assert out[2].repeat_starts == "mine"
     assert repeats.repeat_report(df.limit(0)).count() == 0
+
+
+def test_slices_of_few_words():
+    for n in range(26):
+        text = " ".join(f"v{i}" for i in range(n))
+        found = repeats._Windows(pa.array([text]), repeats.WINDOW, repeats.GRAM)
+        assert found.size.sum() == max(n - repeats.WINDOW + 1, 0), n
+
+
+@pytest.mark.parametrize("n", [13, 18, 20])
+def test_tables_of_one_short_document(spark, n):
+    text = " ".join(f"v{i}" for i in range(n))
+    got = repeats.repeat_report(docs(spark, [(1, text)]).coalesce(1)).collect()
+    assert [(r.n_words, r.n_removed, r.kept_sha256) for r in got] == [(n, 0, brute.sha(text))]
