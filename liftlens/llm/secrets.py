@@ -36,7 +36,8 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
-# Weak candidates of the linking step.  A name inside a longer word is dropped like any failing match.
+# Weak candidates of the linking step.  A name inside a longer word is dropped like any failing match;
+# what an underscore joins to it (DB_USER) is part of the name.
 USER = (r"""(?i:user(?:name)?|login|account|client_?id|access_?key_?id)"""
         r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""")
 OPAQUE = r"[A-Za-z0-9+/_-]{32,}={0,2}"
@@ -54,11 +55,12 @@ def _no_spans() -> Column:
     return F.array().cast(_SPAN)
 
 
-def find_spans(text: Column, pattern: str, kind: int, accept=None) -> Column:
+def find_spans(text: Column, pattern: str, kind: int, accept=None, ahead=None) -> Column:
     """Leftmost non-overlapping matches as (start, end, kind) in code points, end exclusive.
 
     ``accept`` decides on a match and the text between it and the match before; refused
-    matches are dropped, not retried.
+    matches are dropped, not retried.  ``ahead`` tells how many code points at the end of
+    that text belong to the span.
     """
     rx = F.lit(pattern)
     matches = F.regexp_extract_all(text, rx, F.lit(0))
@@ -71,7 +73,8 @@ def find_spans(text: Column, pattern: str, kind: int, accept=None) -> Column:
     if accept is not None:
         both = F.filter(both, lambda x: accept(x["m"], x["p"]))
     spans = F.transform(both, lambda x: F.struct(
-        (x["end"] - F.length(x["m"])).alias("start"), x["end"].alias("end"), F.lit(kind).alias("kind")))
+        (x["end"] - F.length(x["m"]) - (ahead(x["p"]) if ahead else 0)).alias("start"), x["end"].alias("end"),
+        F.lit(kind).alias("kind")))
     # most documents hold no match at all: one search decides
     return F.when(text.rlike(pattern), spans.cast(_SPAN)).otherwise(_no_spans())
 
@@ -104,6 +107,11 @@ def _mixed(m: Column, before: Column) -> Column:
     return m.rlike("[0-9]") & m.rlike("[A-Z]") & m.rlike("[a-z]")
 
 
+def _prefix(before: Column) -> Column:
+    """Length of the part of a name that an underscore joins to what follows."""
+    return F.length(F.regexp_extract(F.reverse(before), "^(?:_[A-Za-z0-9_]*)?", 0))
+
+
 def scan_secrets(df: DataFrame, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """``df`` with ``secret_spans``: array of (start, end, kind), by start, then kind as in ``KINDS``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -116,7 +124,8 @@ def scan_secrets(df: DataFrame, text_col: str = "text", scope: int = SCOPE) -> D
         # in a run of one class the minimal length can stand in the pattern itself
         find_spans(text, ACCESS[:-1] + f"{{{MIN_ACCESS - 4},}}", 1).alias(k["access"]),
         find_spans(text, HEX[:-1] + f"{{{MIN_HEX},}}", 2).alias(k["hex"]),
-        find_spans(text, USER, 3, lambda _, before: ~before.rlike("[A-Za-z0-9_]$")).alias(k["user"]),
+        find_spans(text, USER, 3, lambda _, before: ~F.right(before, F.lit(1)).rlike("[A-Za-z0-9]"),
+                   _prefix).alias(k["user"]),
         find_spans(text, OPAQUE, 4, _mixed).alias(k["opaque"]),
         find_spans(text, ENDPOINT, 5).alias(k["endpoint"]))
     out = out.withColumns({k["ids"]: F.concat(k["access"], k["user"]),

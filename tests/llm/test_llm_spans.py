@@ -48,6 +48,26 @@ def test_weak_parts_need_their_complement(spark):
     assert [k.split(":")[0] for k in got[6].split(",")] == ["user", "assign"]
 
 
+def test_names_at_line_starts_and_with_prefix(spark):
+    cases = {1: ("host=db1\nusername=alice\npassword=hunter22", "username=alice"),
+             2: ("host=db1\r\nlogin: alice\r\npassword=hunter22", "login: alice"),
+             3: ("end_\u2028user=alice token=secret12345", "user=alice"),
+             4: ("DB_USER=alice\nDB_PASSWORD=hunter22", "DB_USER=alice"),
+             5: ("é=x\nMY_APP_2_client_id=alice token=secret12345", "MY_APP_2_client_id=alice"),
+             6: ("x-_user=alice token=secret12345", "_user=alice"),
+             7: ("superuser=alice token=secret12345", None), 8: ("db_superuser=alice token=secret12345", None),
+             9: ("user=bob token=secret12345 a_user=eve", "user=bob|a_user=eve")}
+    df = docs(spark, [(i, t) for i, (t, _) in cases.items()])
+    got = {r.doc_id: r.spans for r in secrets.secret_report(df).collect()}
+    for i, (text, want) in cases.items():
+        found = [x.split(":") for x in got[i].split(",")]
+        assert [text[int(s):int(e)] for k, s, e in found if k == "user"] == (want.split("|") if want else []), text
+    url = "https://db.example.com/x"
+    df = docs(spark, [(1, f"host=db1\nusername=alice\npassword=hunter22\n{url}\nend")])
+    assert [x.split(":")[0] for x in secrets.secret_report(df).first().spans.split(",")] == ["user", "assign", "endpoint"]
+    assert secrets.redact_secrets(df).first().text == "host=db1\n[SECRET]\n[SECRET]\n[SECRET]\nend"
+
+
 def test_interval_join_against_all_pairs(spark):
     rng = random.Random(5)
     span = "array<struct<start:bigint,end:bigint,kind:int>>"
