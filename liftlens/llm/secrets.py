@@ -13,6 +13,10 @@ in their scope (same document, at most ``scope`` code points away):
 * ``opaque``    a mixed-case token of 32+ characters: needs an identifier or endpoint
 * ``endpoint``  a service URL: needs an identifier and a secret
 
+The same text is never both parts: what overlaps an ``opaque`` token does not complete it,
+nor does such a token complete the ``user`` whose value it is.  A token inside a URL (the
+path of a link) needs an identifier; further links around it do not count.
+
 Spans are found by ``split``: the pieces between matches and the matches
 themselves give every offset through one prefix sum.  The interval join of
 candidates with parts is a sort and a running maximum inside the row, so it
@@ -79,28 +83,69 @@ def find_spans(text: Column, pattern: str, kind: int, accept=None, ahead=None) -
     return F.when(text.rlike(pattern), spans.cast(_SPAN)).otherwise(_no_spans())
 
 
-def in_scope(candidates: Column, parts: Column, scope: int) -> Column:
-    """Candidates that have a part at most ``scope`` code points away.
+_MARKED = "array<struct<start:bigint,end:bigint,kind:int,hit:boolean>>"
+
+
+def _marked(spans: Column, hit: bool = False) -> Column:
+    return F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), F.lit(hit).alias("hit"))).cast(_MARKED)
+
 
-    A part meets a candidate when part.start <= candidate.end + scope and
-    part.end >= candidate.start - scope: with both sorted by that left side, the
-    largest part end so far decides.
+def _hits(marked: Column, hit: bool = True) -> Column:
+    chosen = F.filter(marked, lambda x: x["hit"] if hit else ~x["hit"])
+    return F.transform(chosen, lambda x: F.struct(
+        x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))).cast(_SPAN)
+
+
+def _meet(marked: Column, parts: Column, at, need, part_at, reach) -> Column:
+    """Marks candidates for which a part with ``part_at(part) <= at(c)`` has ``reach(part) >= need(c)``.
+
+    With both sorted by that left side, the largest reach so far decides.
     """
-    side = "array<struct<at:bigint,query:int,reach:bigint,start:bigint,end:bigint,kind:int>>"
-    right = F.transform(parts, lambda p: F.struct(
-        p["start"].alias("at"), F.lit(0).alias("query"), p["end"].alias("reach"),
-        p["start"].alias("start"), p["end"].alias("end"), p["kind"].alias("kind"))).cast(side)
-    left = F.transform(candidates, lambda c: F.struct(
-        (c["end"] + scope).alias("at"), F.lit(1).alias("query"), F.lit(-1 - 2 * scope).cast("bigint").alias("reach"),
-        c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"))).cast(side)
+    side = "array<struct<at:bigint,query:int,reach:bigint,start:bigint,end:bigint,kind:int,hit:boolean>>"
+    none = F.lit(-2 ** 62).cast("bigint")
+
+    def event(x: Column, at: Column, query: int, reach: Column, hit: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(query).alias("query"), reach.alias("reach"), x["start"].alias("start"),
+                        x["end"].alias("end"), x["kind"].alias("kind"), hit.alias("hit"))
+    right = F.transform(parts, lambda p: event(p, part_at(p), 0, reach(p), F.lit(False))).cast(side)
+    left = F.transform(marked, lambda c: event(c, at(c), 1, none, c["hit"])).cast(side)
     events = F.array_sort(F.concat(right, left))
-    reach = scan(F.transform(events, lambda e: e["reach"]), lambda a, b: F.greatest(a, b),
-                 F.lit(-1 - 2 * scope).cast("bigint"))
-    joined = F.zip_with(events, reach, lambda e, r: F.struct(e.alias("e"), r.alias("r")))
-    hit = F.filter(joined, lambda x: (x["e"]["query"] == 1) & (x["r"] >= x["e"]["start"] - scope))
-    linked = F.transform(hit, lambda x: F.struct(
-        x["e"]["start"].alias("start"), x["e"]["end"].alias("end"), x["e"]["kind"].alias("kind")))
-    return F.when((F.size(candidates) > 0) & (F.size(parts) > 0), linked.cast(_SPAN)).otherwise(_no_spans())
+    best = scan(F.transform(events, lambda e: e["reach"]), lambda a, b: F.greatest(a, b), none)
+    joined = F.filter(F.zip_with(events, best, lambda e, r: F.struct(e.alias("e"), r.alias("r"))),
+                      lambda x: x["e"]["query"] == 1)
+    out = F.transform(joined, lambda x: F.struct(
+        x["e"]["start"].alias("start"), x["e"]["end"].alias("end"), x["e"]["kind"].alias("kind"),
+        (x["e"]["hit"] | (x["r"] >= need(x["e"]))).alias("hit")))
+    return F.when((F.size(marked) > 0) & (F.size(parts) > 0), out.cast(_MARKED)).otherwise(marked)
+
+
+def _near(marked: Column, parts: Column, scope: int) -> Column:
+    """Marks candidates that have a part at most ``scope`` code points away."""
+    return _meet(marked, parts, lambda c: c["end"] + scope, lambda c: c["start"] - scope,
+                 lambda p: p["start"], lambda p: p["end"])
+
+
+def _overlapped(marked: Column, parts: Column) -> Column:
+    """Marks candidates that share text with a part."""
+    return _near(marked, parts, -1)
+
+
+def _after(marked: Column, parts: Column, scope: int) -> Column:
+    """Marks candidates that stand at most ``scope`` code points after the end of a part."""
+    return _meet(marked, parts, lambda c: c["start"], lambda c: c["start"] - scope,
+                 lambda p: p["end"], lambda p: p["end"])
+
+
+def _before(marked: Column, parts: Column, scope: int) -> Column:
+    """Marks candidates that end at most ``scope`` code points before a part."""
+    return _meet(marked, parts, lambda c: -c["end"], lambda c: -c["end"] - scope,
+                 lambda p: -p["start"], lambda p: -p["start"])
+
+
+def in_scope(candidates: Column, parts: Column, scope: int) -> Column:
+    """Candidates that have a part at most ``scope`` code points away."""
+    return _hits(_near(_marked(candidates), parts, scope))
 
 
 def _mixed(m: Column, before: Column) -> Column:
@@ -115,8 +160,9 @@ def _prefix(before: Column) -> Column:
 def scan_secrets(df: DataFrame, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """``df`` with ``secret_spans``: array of (start, end, kind), by start, then kind as in ``KINDS``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    mine = [f"__secret_{k}" for k in (*KINDS, "ids", "keys")]
-    k = dict(zip((*KINDS, "ids", "keys"), mine))
+    steps = ("ids", "keys", "u", "o", "e", "e2")
+    mine = [f"__secret_{k}" for k in (*KINDS, *steps)]
+    k = dict(zip((*KINDS, *steps), mine))
     out = df.select(
         *[c for c in df.columns if c not in mine],
         find_spans(text, ASSIGN, 0, 
@@ -130,10 +176,18 @@ def scan_secrets(df: DataFrame, text_col: str = "text", scope: int = SCOPE) -> D
         find_spans(text, ENDPOINT, 5).alias(k["endpoint"]))
     out = out.withColumns({k["ids"]: F.concat(k["access"], k["user"]),
                            k["keys"]: F.concat(k["assign"], k["hex"], k["opaque"])})
-    linked = F.concat(
-        in_scope(F.col(k["user"]), F.col(k["keys"]), scope),
-        in_scope(F.col(k["opaque"]), F.concat(k["ids"], k["endpoint"]), scope),
-        in_scope(in_scope(F.col(k["endpoint"]), F.col(k["ids"]), scope), F.col(k["keys"]), scope))
+    c = {x: F.col(name) for x, name in k.items()}
+    out = out.withColumns({k["u"]: _near(_marked(c["user"]), F.concat(c["assign"], c["hex"]), scope),
+                           k["o"]: _overlapped(_marked(c["opaque"]), c["endpoint"]),
+                           k["e"]: in_scope(c["endpoint"], c["ids"], scope)})
+    # a token outside every URL overlaps no endpoint
+    out = out.withColumns({k["u"]: _after(c["u"], c["opaque"], scope),
+                           k["o"]: F.concat(_marked(_hits(c["o"])),
+                                            _near(_marked(_hits(c["o"], False)), c["endpoint"], scope)),
+                           k["e2"]: in_scope(c["e"], c["keys"], scope)})
+    out = out.withColumns({k["u"]: _before(c["u"], c["opaque"], scope), k["o"]: _after(c["o"], c["ids"], scope)})
+    out = out.withColumn(k["o"], _before(c["o"], c["ids"], scope))
+    linked = F.concat(_hits(c["u"]), _hits(c["o"]), c["e2"])
     spans = F.array_sort(F.concat(k["assign"], k["access"], k["hex"], linked),
                          lambda a, b: F.when(a["start"] != b["start"], F.signum(a["start"] - b["start"]).cast("int"))
                          .otherwise(a["kind"] - b["kind"]))

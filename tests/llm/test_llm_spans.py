@@ -68,6 +68,56 @@ def test_names_at_line_starts_and_with_prefix(spark):
     assert secrets.redact_secrets(df).first().text == "host=db1\n[SECRET]\n[SECRET]\n[SECRET]\nend"
 
 
+def test_links_are_no_complement_of_their_own_path(spark):
+    link = "https://www.example.com/2024/01/15/World/some-long-article-title"
+    other = link.replace("some", "another").replace("15", "16")
+    opaque = "Ab1" + "xY9" * 12
+    clean = [link, f"Read {link} and\n{other}, both.", f"{link} {link}", f"see https://a.example.com and {other}",
+             f"account={opaque}"]
+    df = docs(spark, list(enumerate(clean)))
+    assert [r.spans for r in secrets.secret_report(df).orderBy("doc_id").collect()] == [""] * len(clean)
+    assert [r.text for r in secrets.redact_secrets(df).orderBy("doc_id").collect()] == clean
+    linked = [(f"{opaque} at https://db.example.com", ["opaque"]), (f"https://db.example.com {opaque}", ["opaque"]),
+              (f"user=alice https://db.example.com/{opaque}", ["user", "endpoint", "opaque"]),
+              (f"https://db.example.com/{opaque} user=alice", ["endpoint", "opaque", "user"]),
+              (f"https://db.example.com/?user=alice&sig={opaque}", ["endpoint", "user", "opaque"]),
+              (f"{link} {opaque}", ["opaque"]), (f"account={opaque} user=alice", ["opaque", "user"])]
+    got = secrets.secret_report(docs(spark, [(i, t) for i, (t, _) in enumerate(linked)])).orderBy("doc_id").collect()
+    assert [[x.split(":")[0] for x in r.spans.split(",")] for r in got] == [k for _, k in linked]
+
+
+def test_linking_against_all_pairs(spark):
+    rng = random.Random(8)
+    opaque = "Ab1" + "xY9" * 12
+    pieces = ["user=alice", "account=" + opaque, opaque, "https://db.example.com/x", "https://a.example.com/v1/" + opaque,
+              "token=secret12345", "deadbeef" * 3, "AKIA" + "B" * 20, "z" * 60, "z" * 150, "DB_USER=bob"]
+    rows = [(i, " ".join(rng.choice(pieces) for _ in range(rng.randint(1, 9)))) for i in range(200)]
+    names = [f"k{i}" for i in range(6)]
+    raw = docs(spark, rows).select("doc_id", secrets.find_spans(F.col("text"), secrets.ENDPOINT, 5).alias("k5"),
+                                   secrets.find_spans(F.col("text"), secrets.OPAQUE, 4, secrets._mixed).alias("k4"),
+                                   secrets.find_spans(F.col("text"), secrets.USER, 3, None, secrets._prefix).alias("k3"),
+                                   secrets.find_spans(F.col("text"), secrets.HEX[:-1] + "{24,}", 2).alias("k2"),
+                                   secrets.find_spans(F.col("text"), secrets.ACCESS[:-1] + "{16,}", 1).alias("k1"),
+                                   secrets.find_spans(F.col("text"), secrets.ASSIGN, 0).alias("k0"))
+    want = {}
+    for r in raw.collect():
+        spans = [tuple(s) for n in names for s in r[n]]
+
+        def near(c, *kinds, apart=False):
+            return any(p[2] in kinds and p[0] <= c[1] + 200 and p[1] >= c[0] - 200
+                       and not (apart and p[0] < c[1] and p[1] > c[0]) for p in spans)
+
+        def keep(c):
+            inside = any(p[2] == 5 and p[0] < c[1] and p[1] > c[0] for p in spans)
+            return [True, True, True, near(c, 0, 2) or near(c, 4, apart=True),
+                    near(c, 1, 3, apart=True) or not inside and near(c, 5),
+                    near(c, 1, 3) and near(c, 0, 2, 4)][c[2]]
+        want[r.doc_id] = sorted((s, k, e) for s, e, k in spans if keep((s, e, k)))
+    got = {r.doc_id: [(int(s), secrets.KINDS.index(k), int(e)) for k, s, e in (x.split(":") for x in r.spans.split(",") if x)]
+           for r in secrets.secret_report(docs(spark, rows)).collect()}
+    assert got == want
+
+
 def test_interval_join_against_all_pairs(spark):
     rng = random.Random(5)
     span = "array<struct<start:bigint,end:bigint,kind:int>>"
