@@ -270,8 +270,9 @@ def with_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tag = F.hash(F.coalesce(F.col(text_col), F.lit("")))
     found = repeated_windows(df.select(doc.alias("doc"), tag.alias("tag"), F.col(text_col).alias("text")),
                              window, gram, slot_bits)
+    # rows that repeat id and text send the same ranges: each counts once, also before the shuffle
     ranges = found.groupBy(F.col("doc").alias("__doc"), F.col("tag").alias("__tag")).agg(
-        F.collect_list(F.struct("start", "end")).alias("repeat_starts"))
+        F.collect_set(F.struct("start", "end")).alias("repeat_starts"))
     keyed = df.drop("repeat_starts").withColumns({"__d": doc, "__t": tag})
     joined = keyed.join(ranges, (F.col("__d") == F.col("__doc")) & (F.col("__t") == F.col("__tag")), "left")
     return joined.drop("__d", "__t", "__doc", "__tag")

@@ -156,3 +156,13 @@ def test_tables_of_one_short_document(spark, n):
     text = " ".join(f"v{i}" for i in range(n))
     got = repeats.repeat_report(docs(spark, [(1, text)]).coalesce(1)).collect()
     assert [(r.n_words, r.n_removed, r.kept_sha256) for r in got] == [(n, 0, brute.sha(text))]
+
+
+def test_ranges_of_repeated_rows_count_once(spark):
+    rows = [(1, PASSAGE)] + [(None, "head " + PASSAGE)] * 60
+    found = repeats.with_repeats(docs(spark, rows).repartition(5)).where("doc_id is null").collect()
+    for r in found:
+        ranges = [(x.start, x.end) for x in r.repeat_starts]
+        assert len(ranges) == len(set(ranges)) <= len(PASSAGE.split())
+    got = repeats.repeat_report(docs(spark, rows).repartition(5)).collect()
+    assert sorted((r.n_words, r.n_removed) for r in got) == [(45, 0)] + [(46, 45)] * 60
