@@ -1,11 +1,15 @@
-"""Repeated passages by relative Lempel-Ziv parsing against an index of the whole corpus.
+"""Repeated passages by looking up every window of words, by hash, in the whole corpus.
 
 The reference of a document is everything before it: all windows of ``WINDOW`` words that
-start earlier, in order of (doc_id, start).  The parse copies from the reference as long
-as it can: a factor is a maximal run of windows that start earlier there.  Every window is
-looked up itself, also those across the boundary of two factors, so words are removed if
-and only if a window that covers them starts earlier.  Windows are judged on the input,
-not on what is left.
+start earlier, in order of (doc_id, start).  This stands in for a greedy relative Lempel-Ziv
+parse: no factors are copied from one place of the reference; runs of windows that start
+earlier, each anywhere, are what is cut.  Every window is looked up itself, so none across
+the boundary of two factors has to be checked afterwards, and words are removed if and only
+if a window that covers them starts earlier.  Windows are judged on the input, not on what
+is left.
+
+Words are compared by a 64-bit hash, windows by 96 bits made from the hashes of their words.
+Neither is checked on the words themselves: two words of equal hash count as equal.
 
 The index is built in two steps, in blocks:
 
@@ -18,7 +22,7 @@ The index is built in two steps, in blocks:
    costs work and never a result.
 2. Reference blocks.  Groups whose anchor occurs once are no repeats.  Where an anchor
    always has the same span, the group is looked up as a whole; otherwise each of its
-   windows is.  They are sent to the block of their 96-bit hash and sorted there with
+   windows is.  They are sent to the block of their hash and sorted there with
    their place: the first of a hash is the reference, the others are repeats of it.
    Occurrences after the first within one slice of a task are known repeats already: they
    travel as ranges and not under their hash, so a passage that every document shares
@@ -88,7 +92,7 @@ class _Windows:
         self.anchor = value[self.at] if len(at) else value[:0]
 
     def span_hash(self, start: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """96 bits for word ranges, as two longs."""
+        """96 bits for word ranges, as two longs; both are made from the same 64-bit word hashes."""
         return (range_hash(self.hash, start, start + words, 2).view(np.int64),
                 (range_hash(mix(self.hash), start, start + words, 3) >> np.uint64(32)).astype(np.int64))
 
