@@ -96,7 +96,8 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", win
               block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with ``n_words``, ``hit_ranges`` (merged word ranges) and ``hit_items`` (sorted ids)."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    # copies of a row have one hash, so only distinct rows keep a block to its size
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     # a word and its separator take two characters at least
     n_words = items.agg(F.sum(F.length("text") / 2)).first()[0] or 0
     n_blocks = int(n_words // block_words) + 1

@@ -210,6 +210,18 @@ def test_contamination(spark, block_words):
     assert brute.key(map(repr, got)) == brute.key(map(repr, brute.contamination(rows, items)))
 
 
+def test_copies_of_an_item_are_broadcast_once(spark, monkeypatch):
+    benchmark, items, words = bench(spark)
+    many = spark.createDataFrame(items + [items[0]] * 300, benchmark.schema).repartition(4)
+    sent, send = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x: sent.append(x) or send(x))
+    rows = [(20, "x " + " ".join(words) + " y"), (21, "one two"), (22, "clean")]
+    found = decontaminate.find_hits(docs(spark, rows), many, block_words=100).collect()
+    assert {r.doc_id: list(r.hit_items) for r in found} == {20: ["1"], 21: ["2"], 22: []}
+    assert sorted(map(repr, sum((x for x in sent if isinstance(x, list)), []))) == sorted(
+        {repr((None if i is None else str(i), t)) for i, t in items})
+
+
 def test_contamination_report_on_testdata(spark):
     table = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
     benchmark = spark.read.parquet(f"{SF_MID}/benchmark.parquet")
