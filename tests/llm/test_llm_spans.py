@@ -216,7 +216,7 @@ def test_copies_of_an_item_are_broadcast_once(spark, monkeypatch):
     sent, send = [], spark.sparkContext.broadcast
     monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x: sent.append(x) or send(x))
     rows = [(20, "x " + " ".join(words) + " y"), (21, "one two"), (22, "clean")]
-    found = decontaminate.find_hits(docs(spark, rows), many, block_words=100).collect()
+    found = decontaminate.find_hits(docs(spark, rows), many, block_words=2000).collect()
     assert {r.doc_id: list(r.hit_items) for r in found} == {20: ["1"], 21: ["2"], 22: []}
     assert sorted(map(repr, sum((x for x in sent if isinstance(x, list)), []))) == sorted(
         {repr((None if i is None else str(i), t)) for i, t in items})
