@@ -1,13 +1,14 @@
 """DuckDB SQL for the registered queries that SQL can express (used only for checking).
 
 Missing: the classifier and the page text (learned), the fingerprints (XXH64), personal
-data (checksums and context scores) and the pipeline, which starts with the classifier.
+data (checksums and context scores), whitening (eigenvectors) and the pipeline, which starts
+with the classifier.
 Those are tested against brute-force versions.
 """
 
 from __future__ import annotations
 
-from . import mixing, secrets
+from . import lexical, mixing, secrets, url_filter
 
 
 def _q(text: str) -> str:
@@ -163,5 +164,59 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_re
   sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (rid) LEFT JOIN counts USING (rid)"""
 
+def _terms(text: str) -> str:
+    term = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), {term})"
+
+
+OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_terms('text')} AS w FROM documents),
+tf AS (
+  SELECT rid, doc_id, n, term, count(*) AS tf
+  FROM (SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+st AS (SELECT count(*) AS nn, CAST(sum(len(w)) AS BIGINT) AS ll FROM d WHERE len(w) > 0),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+i AS (
+  SELECT iid, item_id, unnest(list_distinct({_terms('text')})) AS term
+  FROM (SELECT row_number() OVER () AS iid, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark))),
+g AS (
+  SELECT iid, item_id, rid, doc_id,
+    CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nn) // ll))) AS gain
+  FROM i JOIN df USING (term) JOIN tf USING (term), st),
+s AS (SELECT iid, item_id, rid, doc_id, CAST(sum(gain) AS BIGINT) AS score FROM g GROUP BY ALL HAVING sum(gain) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+  doc_id, score
+FROM s QUALIFY rank <= {lexical.K}"""
+
+
+def op12() -> str:
+    rules = ", ".join(f"({_q(r.host)}, {_q(r.path)}, {_q(r.verdict)})" for r in url_filter.RULES)
+    terms = ", ".join(f"({_q(t)}, {int(strict)})" for strict, ts in ((True, url_filter.STRICT), (False, url_filter.SOFT))
+                      for t in ts)
+    return f"""
+WITH rules(rhost, rpath, rverdict) AS (VALUES {rules}), terms(term, strict) AS (VALUES {terms}),
+p AS (
+  SELECT row_number() OVER () AS rid, page_id, translate(coalesce(url, ''), '{_UPPER}', '{_LOWER}') AS low,
+    CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+u AS (
+  SELECT rid, page_id, low, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM p),
+fits AS (
+  SELECT rid, rhost || rpath AS rule, rverdict FROM u JOIN rules
+    ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length(rhost || rpath) DESC, length(rhost) DESC) = 1),
+hits AS (
+  SELECT rid, count(*) FILTER (WHERE strict = 1) AS n_strict, count(*) FILTER (WHERE strict = 0) AS n_soft
+  FROM u JOIN terms ON regexp_matches(low, '(^|[^a-z0-9])' || term || '($|[^a-z0-9])') GROUP BY rid),
+j AS (
+  SELECT u.*, rule, rverdict, coalesce(n_strict, 0) AS n_strict, coalesce(n_soft, 0) AS n_soft,
+    {url_filter.LIMIT} * coalesce(n_strict, 0) + coalesce(n_soft, 0) AS weight
+  FROM u LEFT JOIN fits USING (rid) LEFT JOIN hits USING (rid))
+SELECT page_id, host, path, rule,
+  coalesce(rverdict, CASE WHEN weight >= {url_filter.LIMIT} THEN 'block' ELSE 'allow' END) AS verdict, n_strict, n_soft, weight
+FROM j"""
+
+
 ORACLE = {"op2_topk": OP2, "op3_secret_scan": op3(), "op4_warc": OP4, "op5_mix": op5(), "op9_decontaminate": OP9,
-          "op10_repeats": OP10}
+          "op10_repeats": OP10, "op11_lexical": OP11, "op12_url_filter": op12()}

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.testdata import table
 from .decontaminate import contamination_report
 from .html_text import main_text_report
+from .lexical import search_report
 from .mixing import mix_report
 from .oracle import ORACLE  # noqa: F401
 from .pii import pii_report
@@ -15,7 +16,9 @@ from .repeats import repeat_report
 from .secrets import secret_report
 from .simhash import near_duplicate_report
 from .topk import top_k_report
+from .url_filter import url_report
 from .warc import archive_report
+from .whitening import whitening_report
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +71,21 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_report(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return search_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    return url_report(table(spark, sf_dir, "pages"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on up to 32 whitened components."""
+    return whitening_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_topk, op3_secret_scan, op4_warc, op5_mix, op6_pii, op7_simhash, op8_html_text,
-    op9_decontaminate, op10_repeats)}
+    op9_decontaminate, op10_repeats, op11_lexical, op12_url_filter, op13_whitening)}
