@@ -107,6 +107,21 @@ def q_sessions_from_partials(spark, sf):
     return merge_partials(session_partials(M.staging(spark, sf)))
 
 
+@register("sessions_incremental", SESSION_SQL)
+def q_sessions_incremental(spark, sf):
+    """The mart after loads of some days each, and of days that were delivered short before."""
+    from liftlens.plans.incremental import read_sessions, update_sessions
+    from liftlens.session import fresh_dir
+    root, stg, buckets = fresh_dir(spark, "mart"), M.staging(spark, sf), 4      # testdata days are small
+    key = F.col("event_date_key")
+    days = sorted(r[0] for r in stg.select(key).distinct().collect())      # one row per day
+    early, late = days[: len(days) // 2 + 1], days[len(days) // 2:]
+    update_sessions(stg.where(key.isin(early) & (F.col("event_id") % 3 > 0)), f"{root}/partials", f"{root}/mart", early, buckets)
+    update_sessions(stg.where(key.isin(late)), f"{root}/partials", f"{root}/mart", late, buckets)
+    update_sessions(stg.where(key.isin(early)), f"{root}/partials", f"{root}/mart", early, buckets)
+    return read_sessions(spark, f"{root}/mart")
+
+
 @register("sessions_first_touch", O.with_(*O.BASE, body=(
     "SELECT session_key, "
     "arg_min(event_id, (event_at, event_id)) FILTER (WHERE traffic_medium IS NOT NULL) AS medium_event_id, "
@@ -623,9 +638,14 @@ def q_stream_sessions_equals_batch(spark, sf):
     from liftlens.operators.sessions import sessionize
     from liftlens.sources.shards import read_staging
     from liftlens.streaming.shard_stream import stream_shards_to_staging
-    root, raw_root = _land_all(spark, sf)
-    stg_root = f"{root}/stg"
-    stream_shards_to_staging(spark, raw_root, stg_root, f"{root}/stream-checkpoint", max_files_per_trigger=7)
+    from liftlens.session import fresh_dir
+    from liftlens.sources.shards import land_shards
+    root, raw = fresh_dir(spark, "shards"), M.raw_events(spark, sf)
+    raw_root, stg_root = f"{root}/raw", f"{root}/stg"
+    # sessions cross midnight, so days of one session arrive in different micro-batches
+    for parity in (0, 1):
+        land_shards(raw.where(F.col("event_date").cast("int") % 2 == parity), raw_root, files_per_day=1)
+    stream_shards_to_staging(spark, raw_root, stg_root, f"{root}/stream-checkpoint", max_files_per_trigger=1)
     return sessionize(read_staging(spark, stg_root))
 
 
@@ -786,23 +806,48 @@ def _outcome(action) -> str:
 
 @register("schema_drift_outcomes", O.with_(*O.BASE, body=(
     "SELECT 'added column' AS change, 'SchemaDriftError' AS outcome, CAST(0 AS BIGINT) AS staged UNION ALL "
-    "SELECT 'missing column', 'SchemaDriftError', 0 UNION ALL SELECT 'none', 'done', (SELECT count(*) FROM stg)")))
+    "SELECT 'missing column', 'SchemaDriftError', 0 UNION ALL SELECT 'one file of a day', 'SchemaDriftError', 0 UNION ALL "
+    "SELECT 'none', 'done', (SELECT count(*) FROM stg)")))
 def q_schema_drift_outcomes(spark, sf):
-    """Shards whose files differ from the declared columns stop the load before it writes."""
+    """Shards of which any file differs from the declared columns stop the load before it writes."""
     from liftlens.session import fresh_dir
-    from liftlens.sources.shards import _exists, load_staging, read_staging
+    from liftlens.sources.shards import load_staging, read_staging
+    from liftlens.sources.versions import table_exists
     raw = M.raw_events(spark, sf).withColumn("shard", F.col("event_date"))
-    cases = {"added column": raw.withColumn("surprise", F.lit(1)), "missing column": raw.drop("geo"), "none": raw}
+    cases = {"added column": (raw.withColumn("surprise", F.lit(1)), None), "missing column": (raw.drop("geo"), None),
+             "one file of a day": (raw, raw.where(F.col("shard") == ONE_SHARD).drop("geo")), "none": (raw, None)}
     rows = []
-    for change, df in cases.items():
+    for change, (df, late) in cases.items():
         root = fresh_dir(spark, "drift")
-        df.repartition("shard").write.partitionBy("shard").parquet(f"{root}/raw")
+        # plain folders of another writer; each day has its rows in several files
+        df.repartition("shard", F.col("event_id") % (8 if late is not None else 1)).write.partitionBy("shard").parquet(f"{root}/raw")
+        if late is not None:
+            late.limit(1).write.mode("append").partitionBy("shard").parquet(f"{root}/raw")
         outcome = _outcome(lambda root=root: load_staging(spark, f"{root}/raw", f"{root}/stg"))
-        staged = read_staging(spark, f"{root}/stg").count() if _exists(spark, f"{root}/stg") else 0
+        staged = read_staging(spark, f"{root}/stg").count() if table_exists(spark, f"{root}/stg") else 0
         rows.append((change, outcome, staged))
     return spark.createDataFrame(rows, "change string, outcome string, staged long")
 
 
+@register("reload_in_one_step", O.with_(*O.BASE, body=(
+    "SELECT step, event_date_key, count(*) AS n FROM stg, (VALUES ('before', 1), ('written', 1), ('published', 2)) v(step, f) "
+    f"WHERE f = 1 OR event_date_key <> {ONE_SHARD} GROUP BY ALL")))
+def q_reload_in_one_step(spark, sf):
+    """A reload of all days, one of them emptied, shows nothing until it is published, and then all of it."""
+    from liftlens.session import fresh_dir
+    from liftlens.sources.shards import read_staging
+    from liftlens.sources.versions import publish, stage
+    root, stg = f"{fresh_dir(spark, 'one-step')}/stg", M.staging(spark, sf)
+    publish(spark, stage(stg, root, "event_date_key"))
+    steps = [read_staging(spark, root).withColumn("step", F.lit("before"))]
+    load = stage(stg.where(F.col("event_date_key") != int(ONE_SHARD)), root, "event_date_key")
+    steps.append(read_staging(spark, root).withColumn("step", F.lit("written")))
+    publish(spark, load, [ONE_SHARD])
+    steps.append(read_staging(spark, root).withColumn("step", F.lit("published")))
+    both = steps[0].unionByName(steps[1]).unionByName(steps[2])
+    return both.groupBy("step", "event_date_key").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("session_mart_rebuild", SESSION_SQL)
 def q_session_mart_rebuild(spark, sf):
     """The mart is replaced as a whole, here over an older and larger table."""

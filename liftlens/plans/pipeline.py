@@ -24,9 +24,9 @@ from liftlens.operators.causal.results import REFERENCE_METHODS, causal_estimate
 from liftlens.operators.metrics import spine_from, validate
 from liftlens.operators.quality import DECLARED_TESTS, gate, run_tests
 from liftlens.operators.reports import causal_summary, channel_performance, latest_estimates
-from liftlens.operators.sessions import merge_partials, session_partials, sessionize
-from liftlens.sources.shards import (land_shards, load_staging, read_rejects, read_staging,
-                                     replace_partitions, write_table)
+from liftlens.operators.sessions import sessionize
+from liftlens.plans.incremental import read_sessions, update_sessions
+from liftlens.sources.shards import land_shards, load_staging, read_rejects, read_staging, write_table
 from liftlens.sources.sinks import read_estimates, write_estimates
 
 PRE_CAUSAL = ("stg_ga4__events", "fct_sessions", "rpt_channel_performance", "metricflow_time_spine")
@@ -59,19 +59,18 @@ def rebuild_marts(spark: SparkSession, cfg: PipelineConfig, days: list[str] | No
 
     Full rebuild re-aggregates all staged events.  With
     ``incremental_sessions`` only the loaded days' per-day partials are
-    recomputed (their partitions replaced); the mart is then the merge of all
-    partials, one row per (day, session) instead of one per event.
+    recomputed, and only the buckets of the mart that they touch are merged and
+    replaced (``incremental.py``).
     """
     stg = read_staging(spark, cfg.path("stg"))
     if cfg.incremental_sessions:
-        todo = stg if days is None else stg.where(F.col("event_date_key").isin([int(d) for d in days]))
-        replace_partitions(session_partials(todo), cfg.path("session_partials"), "event_date_key",
-                           None if days is None else [int(d) for d in days])
-        mart = merge_partials(spark.read.parquet(cfg.path("session_partials")))
+        keys = None if days is None else [int(d) for d in days]
+        update_sessions(read_staging(spark, cfg.path("stg"), keys), cfg.path("session_partials"),
+                        cfg.path("fct_sessions"), keys)
+        sessions = read_sessions(spark, cfg.path("fct_sessions"))
     else:
-        mart = sessionize(stg)
-    write_table(mart, cfg.path("fct_sessions"))
-    sessions = spark.read.parquet(cfg.path("fct_sessions"))
+        write_table(sessionize(stg), cfg.path("fct_sessions"))
+        sessions = spark.read.parquet(cfg.path("fct_sessions"))
     return {"stg_ga4__events": stg, "fct_sessions": sessions,
             "rpt_channel_performance": channel_performance(sessions),
             "metricflow_time_spine": spine_from(stg, "event_date")}

@@ -83,19 +83,24 @@ def check_schema(df: DataFrame, declared: T.StructType) -> DataFrame:
     nullable).  Returns ``df`` so it can sit inside a chain.
     """
     if _shape(df.schema) != _shape(declared):
-        _drift(df.schema, declared, "")
+        _drift(_shape(df.schema), declared, "")
         raise SchemaDriftError("schema drift: the order of the columns differs")
     return df
 
 
 def check_columns(found: T.StructType, declared: T.StructType, what: str = "") -> None:
     """Raise if two schemas differ in names or types of columns, whatever their order."""
-    if sorted(_shape(found)) != sorted(_shape(declared)):
+    check_fields(_shape(found), declared, what)
+
+
+def check_fields(found: list[tuple[str, str]], declared: T.StructType, what: str = "") -> None:
+    """``check_columns`` for (name, type) pairs."""
+    if sorted(found) != sorted(_shape(declared)):
         _drift(found, declared, what)
 
 
-def _drift(found: T.StructType, declared: T.StructType, what: str) -> None:
-    got, want = _shape(found), _shape(declared)
+def _drift(got: list[tuple[str, str]], declared: T.StructType, what: str) -> None:
+    want = _shape(declared)
     extra = [c for c in got if c not in want]
     missing = [c for c in want if c not in got]
     if extra or missing:
