@@ -180,6 +180,11 @@ def _sub(sql: str) -> str:
     return f"SELECT * FROM ({sql})"
 
 
+def _r6(df: DataFrame, *cols: str) -> DataFrame:
+    """Logit results: two engines' sums agree to about 1e-12, compared at 6 digits (after the 9 of all estimates)."""
+    return _r9(df, *cols).withColumns({c: F.round(c, 6) for c in cols})
+
+
 def _r9(df: DataFrame, *cols: str) -> DataFrame:
     """ATE-like outputs at 9 decimals (1e-7 percentage points), both engines."""
     return df.select(*[F.round(c, 9).alias(c) if c in cols else c for c in df.columns])
@@ -256,11 +261,14 @@ def q_stratified_ate_auto(spark, sf):
     return _r9(stratified_ate(M.scored(spark, sf), num_strata="auto"), "ate")
 
 
-@register("propensity_summary", O.with_(*O.SCORED_CHAIN, body=(
+SUMMARY_SQL = (
     "SELECT min(ps) AS ps_min, max(ps) AS ps_max, count(DISTINCT ps) AS n_distinct_scores, count(*) AS n_cells, "
     "CAST(sum(CASE WHEN ps < 0.05 THEN n ELSE 0 END) AS DOUBLE) / sum(n) AS share_below_floor, "
     "CAST(sum(n1) AS DOUBLE) / sum(n) AS treated_share, count(*) FILTER (WHERE n1 = 0) AS cells_without_treated "
-    "FROM scored")))
+    "FROM scored")
+
+
+@register("propensity_summary", O.with_(*O.SCORED_CHAIN, body=SUMMARY_SQL))
 def q_propensity_summary(spark, sf):
     from liftlens.operators.causal.propensity import propensity_summary
     return propensity_summary(M.scored(spark, sf))
@@ -277,28 +285,29 @@ def q_clip_sensitivity(spark, sf):
     return _r9(clip_sensitivity(M.scored(spark, sf), CLIP_GRID), "ate")
 
 
-@register("ipw_ate_logit")
+@register("ipw_ate_logit", O.with_(*O.LOGIT_CHAIN, body=O.rounded_sql(O.ipw_sql(), "ate")))
 def q_ipw_ate_logit(spark, sf):
     from liftlens.operators.causal.estimators import ipw_ate
-    return ipw_ate(M.scored(spark, sf, model="logit"))
+    return _r6(ipw_ate(M.scored(spark, sf, model="logit")), "ate")
 
 
-@register("matching_ate_logit")
+@register("matching_ate_logit", O.with_(*O.LOGIT_CHAIN, body=O.rounded_sql(O.matching_sql(), "ate", "att", "atc")))
 def q_matching_ate_logit(spark, sf):
     from liftlens.operators.causal.estimators import matching_ate
-    return matching_ate(M.scored(spark, sf, model="logit"))
+    return _r6(matching_ate(M.scored(spark, sf, model="logit")), "ate", "att", "atc")
 
 
-@register("stratified_ate_logit")
+@register("stratified_ate_logit", O.with_(*O.LOGIT_CHAIN, body=O.rounded_sql(
+    O.stratified_sql(candidates=(50, 25, 12, 6, 3, 1), auto=True), "ate")))
 def q_stratified_ate_logit(spark, sf):
     from liftlens.operators.causal.estimators import stratified_ate
-    return stratified_ate(M.scored(spark, sf, model="logit"), num_strata="auto")
+    return _r6(stratified_ate(M.scored(spark, sf, model="logit"), num_strata="auto"), "ate")
 
 
-@register("propensity_summary_logit")
+@register("propensity_summary_logit", O.with_(*O.LOGIT_CHAIN, body=O.rounded_sql(SUMMARY_SQL, "ps_min", "ps_max")))
 def q_propensity_summary_logit(spark, sf):
     from liftlens.operators.causal.propensity import propensity_summary
-    return propensity_summary(M.scored(spark, sf, model="logit"))
+    return _r6(propensity_summary(M.scored(spark, sf, model="logit")), "ps_min", "ps_max")
 
 
 # --- estimates table and report views (C13 W1 F9-F11 U1 A12 R1-R4) ----------
@@ -335,13 +344,13 @@ def q_estimator_comparison(spark, sf):
     return estimator_comparison(M.summary(spark, sf))
 
 
-@register("causal_estimates")
+@register("causal_estimates", O.rounded_sql(O.single_run_sql(O.LOGIT_CHAIN), "ate", "naive_difference"))
 def q_causal_estimates(spark, sf):
     """One run of the causal step with the logit score (the reference's model)."""
     from liftlens.operators.causal.results import ALL_METHODS, causal_estimates
     fr = M.frame(spark, sf)
     run_at = F.timestamp_add("DAY", F.lit(1), F.col("data_end").cast("timestamp_ntz"))
-    return causal_estimates(fr, run_at, methods=ALL_METHODS, model="logit")
+    return _r6(causal_estimates(fr, run_at, methods=ALL_METHODS, model="logit"), "ate", "naive_difference")
 
 
 # --- quality (Q1-Q4) ---------------------------------------------------------
@@ -579,10 +588,12 @@ def q_placebo_effect(spark, sf):
     return _r9(placebo_effect(_r9(placebo_estimates(M.frame(spark, sf)), "ate")), "placebo_effect", "placebo_sd")
 
 
-@register("placebo_effect_logit")
+@register("placebo_effect_logit", O.with_(*O.placebo_logit_chain(), body=(
+    "SELECT round(avg(ate), 6) AS placebo_effect, round(stddev_samp(ate), 6) AS placebo_sd, "
+    f"count(*) AS simulations FROM ({O.ipw_sql('pscored', keys='sim')})")))
 def q_placebo_effect_logit(spark, sf):
     from liftlens.operators.causal.refute import placebo_effect, placebo_estimates
-    return placebo_effect(placebo_estimates(M.frame(spark, sf), model="logit"))
+    return _r6(placebo_effect(_r9(placebo_estimates(M.frame(spark, sf), model="logit"), "ate")), "placebo_effect", "placebo_sd")
 
 
 # --- incremental loads and streaming (S3 S5 S7 S12 S13 X1) -------------------
@@ -686,12 +697,12 @@ def q_orders_urgency_stratified(spark, sf):
     return _r9(stratified_ate(saturated_scores(M.order_cells(spark, sf))), "ate")
 
 
-@register("orders_urgency_logit")
+@register("orders_urgency_logit", O.with_(*O.ORDER_LOGIT_CHAIN, body=O.rounded_sql(O.ipw_sql("oscored"), "ate")))
 def q_orders_urgency_logit(spark, sf):
     from liftlens.operators.causal.star import ORDER_CONFOUNDERS
     from liftlens.operators.causal.estimators import ipw_ate
     from liftlens.operators.causal.propensity import logit_scores
-    return ipw_ate(logit_scores(M.order_cells(spark, sf), ORDER_CONFOUNDERS))
+    return _r6(ipw_ate(logit_scores(M.order_cells(spark, sf), ORDER_CONFOUNDERS)), "ate")
 
 
 @register("placebo_effect_grouped")

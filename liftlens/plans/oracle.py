@@ -470,7 +470,7 @@ wscored AS (SELECT *, CAST(n1 AS DOUBLE) / n AS ps FROM wcells)"""
     return with_(*FRAMED, wcells, wscored, body=body)
 
 
-def single_run_sql() -> str:
+def single_run_sql(chain: tuple = SCORED_CHAIN) -> str:
     ests = (
         f"SELECT 'propensity_score_matching' AS method, ate FROM ({matching_sql('scored')}) "
         f"UNION ALL SELECT 'propensity_score_weighting', ate FROM ({ipw_sql('scored')}) "
@@ -484,7 +484,7 @@ def single_run_sql() -> str:
     body = (f"SELECT e.method, e.ate, CAST(s.data_end + INTERVAL 1 DAY AS TIMESTAMP) AS run_at, "
             f"s.naive_difference, s.n_sessions, s.n_paid, s.n_converted, s.data_start, s.data_end "
             f"FROM ({ests}) e, ({stats}) s")
-    return with_(*SCORED_CHAIN, body=body)
+    return with_(*chain, body=body)
 
 
 def window_clip_sql(grid) -> str:
@@ -508,3 +508,62 @@ wscored AS (
         f"UNION ALL SELECT {keys}, 'propensity_score_stratification', ate FROM ("
         + stratified_sql('wscored', candidates=(50, 25, 12, 6, 3, 1), auto=True, keys=keys) + ")")
     return with_(*FRAMED, wcells, wscored, body=f"SELECT {keys}, method, round(ate, 9) AS ate FROM ({ests})")
+
+
+# --- logit scores (C4): the same fixed number of Newton steps, relational ------------------
+
+def logit_ctes(src: str, out: str, cats: tuple[str, ...], nums: tuple[str, ...], key: str = "") -> str:
+    """CTEs from a cell table ``src`` to ``out``, the same cells with the logit score ``ps``."""
+    from liftlens.operators.causal.propensity import DIGITS, MAX_MOVE, STEPS
+    p, k = f"{out}_", key or "0"
+    long = " UNION ALL ".join(
+        [f"SELECT k, rid, 'a' AS c, CAST(1 AS DOUBLE) AS x FROM {p}base"]
+        + [f"SELECT k, rid, 'b{i}', CAST({c} AS DOUBLE) FROM {p}base" for i, c in enumerate(nums)]
+        + [f"SELECT k, rid, 'c{i}:' || {c}, CAST(1 AS DOUBLE) FROM {p}base WHERE {c} IS NOT NULL" for i, c in enumerate(cats)])
+    ctes = [
+        f"{p}base AS MATERIALIZED (SELECT {k} AS k, row_number() OVER () AS rid, * FROM {src})",
+        f"{p}d AS MATERIALIZED (SELECT k, rid, dense_rank() OVER (PARTITION BY k ORDER BY c) - 1 AS j, x FROM ({long}))",
+        f"{p}j AS MATERIALIZED (SELECT DISTINCT k, j FROM {p}d)",
+        f"{p}pairs AS MATERIALIZED (SELECT d.k, d.rid, d.j AS a, e.j AS c, d.x * e.x AS xx FROM {p}d d JOIN {p}d e USING (k, rid))",
+        f"{p}b0 AS MATERIALIZED (SELECT k, j, CASE WHEN j = 0 THEN ln((n1 + CAST(0.5 AS DOUBLE)) / (n - n1 + CAST(0.5 AS DOUBLE))) "
+        f"ELSE 0 END AS b FROM {p}j JOIN (SELECT k, sum(n) AS n, sum(n1) AS n1 FROM {p}base GROUP BY k) USING (k))"]
+    # elimination of the rows (matrix | right side): state and steps are structs of one type
+    solve = ("list_reduce([{'j': i, 'm': CAST([] AS DOUBLE[][])} for i in range(1, len(m) + 1)], lambda acc, s: "
+             "{'j': s.j, 'm': list_transform(acc.m, lambda r, i: CASE WHEN i = s.j THEN r ELSE list_transform(r, "
+             "lambda v, q: v - acc.m[s.j][q] * (r[s.j] / acc.m[s.j][s.j])) END)}, {'j': CAST(0 AS BIGINT), 'm': m}).m")
+    for s in range(STEPS):
+        ctes += [
+            f"{p}w{s} AS MATERIALIZED (SELECT k, rid, n * pr * (1 - pr) AS w, n1 - n * pr AS r FROM (SELECT d.k, d.rid, "
+            f"1 / (1 + exp(-sum(d.x * b.b))) AS pr FROM {p}d d JOIN {p}b{s} b USING (k, j) GROUP BY ALL) JOIN {p}base USING (k, rid))",
+            f"{p}h{s} AS (SELECT q.k, q.a, q.c, sum(w.w * q.xx) AS h FROM {p}pairs q JOIN {p}w{s} w USING (k, rid) GROUP BY ALL)",
+            f"{p}g{s} AS (SELECT d.k, d.j, sum(w.r * d.x) AS g FROM {p}d d JOIN {p}w{s} w USING (k, rid) GROUP BY ALL)",
+            f"{p}r{s} AS (SELECT u.k, u.j AS a, list(coalesce(h, 0) + CASE WHEN u.j = v.j AND u.j > 0 THEN 1 ELSE 0 END ORDER BY v.j) "
+            f"AS h FROM {p}j u JOIN {p}j v USING (k) LEFT JOIN {p}h{s} q ON q.k = u.k AND q.a = u.j AND q.c = v.j GROUP BY ALL)",
+            f"{p}m{s} AS (SELECT r.k, list(list_append(h, g - CASE WHEN a > 0 THEN b ELSE 0 END) ORDER BY a) AS m FROM {p}r{s} r "
+            f"JOIN {p}g{s} g ON g.k = r.k AND g.j = a JOIN {p}b{s} b ON b.k = r.k AND b.j = a GROUP BY r.k)",
+            f"{p}s{s} AS MATERIALIZED (SELECT k, generate_subscripts(m, 1) - 1 AS j, unnest(list_transform(m, lambda r, i: "
+            f"r[-1] / r[i])) AS step FROM (SELECT k, {solve} AS m FROM {p}m{s}))",
+            f"{p}b{s + 1} AS MATERIALIZED (SELECT k, j, b + step * least(1, {MAX_MOVE} / greatest(max(abs(step)) OVER (PARTITION BY k), "
+            f"1e-300)) AS b FROM {p}b{s} JOIN {p}s{s} USING (k, j))"]
+    ctes.append(
+        f"{out} AS MATERIALIZED (SELECT base.* EXCLUDE (k, rid), ps FROM {p}base base JOIN (SELECT d.k, d.rid, "
+        f"round(1 / (1 + exp(-sum(d.x * b.b))), {DIGITS}) AS ps FROM {p}d d JOIN {p}b{STEPS} b USING (k, j) GROUP BY ALL) USING (k, rid))")
+    return "\n" + ",\n".join(ctes)
+
+
+SESSION_LOGIT = (("device", "geo"), ("is_new_user",))
+LOGIT_SCORED = logit_ctes("cells", "scored", *SESSION_LOGIT)
+LOGIT_CHAIN = CELLED + (LOGIT_SCORED,)
+
+
+def rounded_sql(sql: str, *cols: str, digits: int = 6) -> str:
+    """``sql`` with columns rounded once more: sums of two engines agree to about 1e-12."""
+    return f"SELECT * REPLACE ({', '.join(f'round({c}, {digits}) AS {c}' for c in cols)}) FROM ({sql})"
+
+
+def placebo_logit_chain() -> tuple:
+    *chain, _ = placebo_chain()
+    return (*chain, logit_ctes("pcells", "pscored", *SESSION_LOGIT, key="sim"))
+
+
+ORDER_LOGIT_CHAIN = ORDER_CHAIN[:3] + (logit_ctes("ocells", "oscored", ("c_mktsegment", "n_regionkey", "o_orderstatus"), ()),)

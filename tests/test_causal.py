@@ -11,8 +11,7 @@ from liftlens.operators.causal.cells import build_cells
 from liftlens.operators.causal.encode import model_frame, one_hot
 from liftlens.operators.causal.estimators import (ipw_ate, matching_ate, naive_difference,
                                                   row_level_ipw, stratified_ate)
-from liftlens.operators.causal.propensity import (fit_logit, logit_scores, saturated_scores,
-                                                  spark_ml_scores)
+from liftlens.operators.causal.propensity import logit_scores, saturated_scores, spark_ml_scores
 from liftlens.operators.causal.refute import placebo_frame
 from liftlens.plans import models as M
 
@@ -68,15 +67,50 @@ def test_newton_matches_spark_ml(mid_cells):
     assert len(m) == 62 and np.max(np.abs(m.ps_x - m.ps_y)) < 1e-6
 
 
-def test_newton_optimality():
+def plain_logit(pdf, cats, nums=()):
+    """Scores by damped Newton steps in numpy until nothing moves."""
+    X = np.column_stack([np.ones(len(pdf)), *[pdf[c].astype(float) for c in nums],
+                         *[(pdf[c] == v).astype(float) for c in cats for v in sorted(pdf[c].dropna().unique())]])
+    n1, n = pdf.n1.to_numpy(float), pdf.n.to_numpy(float)
+    reg = np.eye(X.shape[1])
+    reg[0, 0] = 0
+    beta = np.zeros(X.shape[1])
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-X @ beta))
+        step = np.linalg.solve((X * (n * p * (1 - p))[:, None]).T @ X + reg, X.T @ (n1 - n * p) - reg @ beta)
+        beta = beta + step * min(1.0, 2 / max(np.abs(step).max(), 1e-300))
+    assert np.abs(step).max() < 1e-9
+    return 1 / (1 + np.exp(-X @ beta))
+
+
+def test_keyed_logit_matches_a_plain_fit(spark):
     rng = np.random.default_rng(0)
-    X = np.column_stack([np.ones(40), rng.integers(0, 2, (40, 5))]).astype(float)
-    w1, w0 = rng.integers(0, 20, 40).astype(float), rng.integers(1, 50, 40).astype(float)
-    beta = fit_logit(X, w1, w0)
-    p = 1 / (1 + np.exp(-X @ beta))
-    reg = np.eye(6); reg[0, 0] = 0
-    grad = X.T @ ((w1 + w0) * p - w1) + reg @ beta
-    assert np.max(np.abs(grad)) < 1e-8
+    rows = []
+    for key in range(12):
+        scale = 10 ** (key % 6)                       # 20 to two million units a cell
+        for a in range(2):
+            for d in ["x", "y", None, "z"][: 2 + key % 3]:
+                for g in [f"g{i}" for i in range(1 + key)]:
+                    n = int(rng.integers(1, 20) * scale)
+                    share = 0.0 if (key % 4 == 3 and g == "g1") else rng.random() ** 2     # a level without treated units
+                    rows.append((key, a, d, g, n, int(n * share), 0, 0))
+    cells = spark.createDataFrame(rows, "key int, a int, d string, g string, n long, n1 long, y long, y1 long")
+    got = logit_scores(cells, ("a", "d", "g"), ["key"])
+    assert got.columns == [*cells.columns, "ps"]
+    got = got.toPandas()
+    assert len(got) == len(rows)
+    for key, part in got.groupby("key"):
+        want = plain_logit(part, ["d", "g"], ["a"])
+        assert np.abs(part.ps - want).max() < 1e-9, key
+
+
+def test_logit_of_one_arm_and_of_nothing(spark, mid_cells):
+    one = logit_scores(mid_cells.withColumn("n1", F.lit(0).cast("long"))).agg(F.max("ps")).first()[0]
+    assert 0 <= one < 1e-3
+    assert logit_scores(mid_cells.limit(0)).count() == 0
+    assert logit_scores(mid_cells.limit(0).withColumn("run", F.lit(1)), keys=["run"]).count() == 0
+    short, long = (logit_scores(mid_cells, steps=k).select("ps").toPandas().ps for k in (8, 24))
+    assert np.abs(short - long).max() < 1e-12
 
 
 def test_one_hot_names(spark):
@@ -208,7 +242,7 @@ def test_logit_ipw_against_row_level_brute_force(spark):
             break
     p = np.clip(1 / (1 + np.exp(-X @ beta)), 0.001, 0.999)
     want = (t * y / p).sum() / (t / p).sum() - ((1 - t) * y / (1 - p)).sum() / ((1 - t) / (1 - p)).sum()
-    got = QUERIES["ipw_ate_logit"](spark, sf).first().ate
+    got = ipw_ate(M.scored(spark, sf, model="logit")).first().ate
     assert got == pytest.approx(want, abs=1e-9)
 
 
