@@ -188,8 +188,8 @@ def anchor_filters(texts: DataFrame, window: int = WINDOW, gram: int = GRAM,
     return bytes(again), bytes(several)
 
 
-_SENT = "h1 long, h2 long, doc long, place long, width int, known boolean"
-_FOUND = "doc long, tag int, start int, end int"
+_SENT = "h1 long, h2 long, doc long, tag long, pos int, width int, known boolean"
+_FOUND = "doc long, tag long, start int, end int"
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -199,7 +199,7 @@ def _ids(column: pa.Array) -> np.ndarray:
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, slot_bits: int = SLOT_BITS) -> DataFrame:
     """(doc, tag, start, end): ranges of window starts in ``docs`` (doc, tag, text) that occur earlier.
 
-    ``doc`` is the id (null: the largest long), ``tag`` a hash of the text.
+    ``doc`` is the id (null: the largest long), ``tag`` a 64-bit hash of the text.
     """
     spark = docs.sparkSession
     filters = spark.sparkContext.broadcast(anchor_filters(docs.select("text"), window, gram, slot_bits))
@@ -215,31 +215,29 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sl
                     continue
                 row, pos, at, width = found.spread(chosen, ~_is_set(several, slot[chosen]))
                 h1, h2 = found.span_hash(at, width + window - 1)
-                doc, tag = _ids(part.column(0))[row], part.column(1).to_numpy(zero_copy_only=False)[row].astype(np.int64)
+                doc, tag = _ids(part.column(0))[row], part.column(1).to_numpy(zero_copy_only=False)[row]
                 order = np.lexsort((pos, doc, h2, h1))
                 new = np.concatenate([[True], (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0)])
                 lead = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
                 repeat = np.zeros(len(order), bool)
                 repeat[order] = (doc[order] != doc[lead]) | (pos[order] != pos[lead])
-                place = (tag << 32) | pos
                 first = ~repeat
-                yield _rows(h1[first], h2[first], doc[first], place[first], width[first], False)
+                yield _rows(h1[first], h2[first], doc[first], tag[first], pos[first], width[first], False)
                 # known repeats: runs of consecutive windows of one row
                 r, p, end = row[repeat], pos[repeat], pos[repeat] + width[repeat]
                 if len(r):
                     begins = np.flatnonzero(np.concatenate([[True], (np.diff(r) != 0) | (p[1:] != end[:-1])]))
                     ends = end[np.append(begins[1:], len(p)) - 1]
-                    d, pl = doc[repeat][begins], place[repeat][begins]
-                    spread = mix((d ^ pl).view(np.uint64)).view(np.int64)
-                    yield _rows(spread, np.zeros(len(d), np.int64), d, pl, ends - p[begins], True)
+                    d, t = doc[repeat][begins], tag[repeat][begins]
+                    spread = mix((d ^ t ^ p[begins]).view(np.uint64)).view(np.int64)
+                    yield _rows(spread, np.zeros(len(d), np.int64), d, t, p[begins], ends - p[begins], True)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = None
         for batch in batches:
-            h1, h2, doc, place, width, known = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            h1, h2, doc, tag, pos, width, known = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             if not len(h1):
                 continue
-            pos = place & 0xFFFFFFFF
             new = np.concatenate([[True], (np.diff(h1) != 0) | (np.diff(h2) != 0) | (known[1:] != known[:-1])])
             lead = np.flatnonzero(new)[np.cumsum(new) - 1]
             doc0, pos0 = doc[lead], pos[lead]
@@ -251,27 +249,27 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sl
             out = known | (doc != doc0) | (pos != pos0)
             start = pos[out]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[out]), pa.array((place[out] >> 32).astype(np.int32)),
-                 pa.array(start.astype(np.int32)), pa.array((start + width[out]).astype(np.int32))],
+                [pa.array(doc[out]), pa.array(tag[out]), pa.array(start), pa.array(start + width[out])],
                 names=["doc", "tag", "start", "end"])
 
     sent = docs.select("doc", "tag", "text").mapInArrow(send, _SENT)
-    blocks = sent.repartition("h1").sortWithinPartitions("known", "h1", "h2", "doc", (F.col("place").bitwiseAND(
-        F.lit(0xFFFFFFFF))))
+    blocks = sent.repartition("h1").sortWithinPartitions("known", "h1", "h2", "doc", "pos")
     return blocks.mapInArrow(find, _FOUND)
 
 
-def _rows(h1, h2, doc, place, width, known: bool) -> pa.RecordBatch:
+def _rows(h1, h2, doc, tag, pos, width, known: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(x) for x in (h1, h2, doc, place, width.astype(np.int32), np.full(len(h1), known))],
-        names=["h1", "h2", "doc", "place", "width", "known"])
+        [pa.array(x) for x in (h1, h2, doc, tag, pos.astype(np.int32), width.astype(np.int32), np.full(len(h1), known))],
+        names=["h1", "h2", "doc", "tag", "pos", "width", "known"])
 
 
 def with_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                  gram: int = GRAM, slot_bits: int = SLOT_BITS) -> DataFrame:
     """``df`` with ``repeat_starts``: ranges [start, end) of word numbers at which a repeated window starts."""
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(int(LAST)))
-    tag = F.hash(F.coalesce(F.col(text_col), F.lit("")))
+    # rows without ids, or with one id, are told apart by 64 bits of text and length
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    tag = F.xxhash64(text, F.length(text))
     found = repeated_windows(df.select(doc.alias("doc"), tag.alias("tag"), F.col(text_col).alias("text")),
                              window, gram, slot_bits)
     # rows that repeat id and text send the same ranges: each counts once, also before the shuffle
@@ -290,9 +288,10 @@ def _kept(part: pa.RecordBatch, text_col: str, window: int) -> tuple[Words, np.n
     inner = lists.flatten()
     if len(inner):
         n = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
-        base = np.repeat(words.first[:-1], n)
-        np.add.at(edge, base + inner.field("start").to_numpy(), 1)
-        np.add.at(edge, base + inner.field("end").to_numpy() + window - 1, -1)
+        base, last = np.repeat(words.first[:-1], n), np.repeat(words.first[1:], n)
+        # a range never reaches into the next document
+        np.add.at(edge, np.minimum(base + inner.field("start").to_numpy(), last), 1)
+        np.add.at(edge, np.minimum(base + inner.field("end").to_numpy() + window - 1, last), -1)
     return words, np.cumsum(edge)[:-1] == 0
 
 
