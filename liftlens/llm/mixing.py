@@ -6,8 +6,8 @@ excess goes to the others by weight.  That fixed point is min(cap, weight * leve
 with one common level, found from running sums over the sources sorted by cap/weight.
 
 Documents: a source's expected copies are c = target / size.  floor(c) copies of every
-document are certain.  For the rest each document draws u from a hash of its id, and
-documents are ranked by random odds u/(1-u) over inclusion odds f/(1-f), f = c - floor(c)
+document are certain.  For the rest each document draws u from a hash of its id, its text and
+its number among rows that repeat both (and the source), and documents are ranked by random odds u/(1-u) over inclusion odds f/(1-f), f = c - floor(c)
 (Pareto order sampling).  The sample is of fixed size in words: documents are taken in
 rank order until the words still missing are reached, the last one if it brings the
 total nearer.  Documents of over 1/``LARGE`` of their source (at most ``LARGE`` of them)
@@ -18,9 +18,10 @@ summed before the shuffle) finds the bucket where the sample ends, and only that
 bucket's documents are ranked.  Sources are one row each in a small table; documents
 meet it in a join that Spark broadcasts by its size or splits where a source is hot.
 
-Draws are hashes, so reruns agree.  Null text counts 0 words, a null source is a source
-of its own, a null id draws like the empty one.  Rows that repeat id and size tie, and
-any of them may be taken.  A source without words has target 0; empty tables give empty
+Draws are hashes, so reruns agree.  Null text counts 0 words and a null source is a source
+of its own.  A null id draws like the empty one, together with the text, so rows without ids
+draw apart; rows that repeat everything are numbered 1, 2, ... and draw apart too (which of
+them bears which number makes no difference).  A source without words has target 0; empty tables give empty
 results.  Input columns named like output columns are replaced.
 """
 
@@ -61,14 +62,42 @@ def source_targets(sized: DataFrame, source_col: str = "source", size_col: str =
     return per.select("__source", "source_size", F.least("cap", F.col("weight") * F.col("level")).alias("target"))
 
 
+def numbered(rows: DataFrame, keys: list[str], at: str = "__at", number: str = "__number") -> DataFrame:
+    """``rows`` with 1, 2, ... among rows that agree in ``keys`` (null agrees with null).
+
+    ``at`` is the task that wrote the row.  Counts per key and task give each task its first
+    number, so rows of one key are numbered in many tasks; only rows that repeat are ranked.
+    """
+    counts = rows.groupBy(*keys, at).agg(F.count(F.lit(1)).alias("__n"))
+    per = Window.partitionBy(*keys)
+    ahead = per.orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumns({"__before": F.coalesce(F.sum("__n").over(ahead), F.lit(0)),
+                                 "__total": F.sum("__n").over(per)}).where("__total > 1")
+    names = [*keys, at]
+    counts = counts.select("__before", *[F.col(c).alias(f"__same_{i}") for i, c in enumerate(names)])
+    same = [F.col(c).eqNullSafe(F.col(f"__same_{i}")) for i, c in enumerate(names)]
+    found = rows.join(counts, same, "left").drop(*[f"__same_{i}" for i in range(len(names))])
+    rank = F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(1)))
+    once = found.where(F.col("__before").isNull()).withColumn(number, F.lit(1).cast("bigint"))
+    again = found.where(F.col("__before").isNotNull()).withColumn(number, F.col("__before") + rank)
+    return once.unionByName(again).drop("__before")
+
+
 def mix_sources(sized: DataFrame, id_col: str = "doc_id", source_col: str = "source", size_col: str = "size",
-                weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = SEED) -> DataFrame:
-    """``sized`` with source_size, target, copies and taken (= copies * size) for every row."""
+                weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = SEED,
+                text_hash: Column | None = None) -> DataFrame:
+    """``sized`` with source_size, target, copies and taken (= copies * size) for every row.
+
+    ``text_hash`` tells texts apart (default: md5 of ``text``, or of the size without one).
+    """
     added = ("source_size", "target", "copies", "taken")
     kept = [c for c in sized.columns if c.lower() not in added]
-    draw = hex32_uniform(F.substring(F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")),
-                                                       F.lit(seed))), 1, 8))
-    rows = materialize(sized.select(*kept, draw.alias("__u")), "mix-rows")
+    if text_hash is None:
+        text_hash = F.md5(F.coalesce(F.col("text" if "text" in sized.columns else size_col).cast("string"), F.lit("")))
+    first = materialize(sized.select(*kept, text_hash.alias("__text"), F.spark_partition_id().alias("__at")), "mix-input")
+    draw = hex32_uniform(F.substring(F.md5(F.concat_ws(
+        "|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), "__text", F.col("__number").cast("string"), F.lit(seed))), 1, 8))
+    rows = numbered(first, [id_col, source_col, "__text"]).select(*kept, draw.alias("__u"))
     copies = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))
                     ).otherwise(0.0)
     sources = source_targets(rows, source_col, size_col, weights, share, most).withColumn("__whole", F.floor(copies))
@@ -129,5 +158,6 @@ def _reached(upto: Column, size: Column, need: Column) -> Column:
 
 def mix_report(docs: DataFrame) -> DataFrame:
     """Contract columns for every document."""
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return mix_sources(sized).select("doc_id", "size", "source_size", "target", "taken", "source")
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
+                        F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("__md5"))
+    return mix_sources(sized, text_hash=F.col("__md5")).select("doc_id", "size", "source_size", "target", "taken", "source")
