@@ -18,7 +18,8 @@ Vectors that are null or hold a null or non-finite component take no part, nor d
 without ``vec_id``.  Vectors are compared with those of their own length only.  Rows
 with the query's ``vec_id`` are its own.  Repeated candidate rows count each, repeated
 query rows once.  Fewer than k candidates are all returned; empty tables give no rows.
-Further columns are ignored.
+Scores are exact whatever the size of the components; one that passes a long (components
+beyond about 10^8 for 64 dimensions) is refused with an error.  Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -68,6 +69,18 @@ def statistics(x: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _exact_products(q: np.ndarray, x: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Inner products of integer-valued doubles too large for exact sums of doubles, of the ``wanted`` pairs."""
+    if not (np.isfinite(q).all() and np.isfinite(x).all()):
+        raise OverflowError("a component is too large for an exact score")
+    score = np.array([[int(c) for c in row] for row in q], object).reshape(q.shape) @ np.array(
+        [[int(c) for c in row] for row in x], object).reshape(x.shape).T
+    score = np.where(wanted, score, 0)
+    if any(abs(v) >= 2 ** 63 - 1 for v in score.flat):
+        raise OverflowError("a score passes the range of a long")
+    return score.astype(np.int64)
+
+
 class _Best:
     """The k best candidates so far of the queries of one length."""
 
@@ -76,12 +89,12 @@ class _Best:
         self.q = np.array(vectors, np.float64).reshape(len(ids), -1)
         self.score = np.full((len(ids), k), NONE)
         self.vec = np.full((len(ids), k), np.iinfo(np.int64).max)
-        self.stats = statistics(self.q) if self.q.shape[1] else []
+        self.stats = statistics(self.q) if self.q.shape[1] and np.abs(self.q).max(initial=0) < EXACT else []
 
     def add(self, ids: np.ndarray, x: np.ndarray) -> None:
-        stats = statistics(x) if x.shape[1] else []
         large = max(np.abs(self.q).max(initial=0), 1) * max(np.abs(x).max(initial=0), 1) * max(x.shape[1], 1)
         # bounds are rounded to about 1e-16 of the largest product; scores below 2^53 are exact
+        stats = statistics(x) if x.shape[1] and large < EXACT else []
         slack = large * max(x.shape[1], 1) * 1e-12
         for a in range(0, len(self.ids), QUERY_STEP):
             b = min(a + QUERY_STEP, len(self.ids))
@@ -99,10 +112,7 @@ class _Best:
                 self._merge(a, b, ids[cols], alive, x[cols], large < EXACT)
 
     def _merge(self, a, b, ids, alive, x, exact):
-        if exact:
-            score = (self.q[a:b] @ x.T).astype(np.int64)
-        else:
-            score = self.q[a:b].astype(np.int64) @ x.T.astype(np.int64)
+        score = (self.q[a:b] @ x.T).astype(np.int64) if exact else _exact_products(self.q[a:b], x, alive)
         score = np.where(alive, score, NONE)
         vec = np.where(alive, ids[None, :], np.iinfo(np.int64).max)
         score, vec = np.hstack([self.score[a:b], score]), np.hstack([self.vec[a:b], vec])
@@ -129,7 +139,8 @@ def _matrices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def scaled(x: np.ndarray, scale: float) -> np.ndarray:
-    return np.clip(np.floor(scale * x), -2.0 ** 62, 2.0 ** 62)
+    with np.errstate(over="ignore"):
+        return np.floor(scale * x)
 
 
 def top_k(df: DataFrame, is_query, k: int = K, scale: float = SCALE, id_col: str = "vec_id",
