@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as htmllib
 import math
 import re
+from collections import Counter
 
 TAG = re.compile(
     r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>]*)(?:((?:[^>"']|"[^"]*"|'[^']*')*+)>|([^>]*)(?:>|\Z)))""",
@@ -12,13 +13,15 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"""([A-Za-z_:][-A-Za-z0-9_:.]*)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s "
+# formulas stand in the line
+MATH = "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle semantics"
+INLINE = frozenset(MATH.split()) | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s "
                    "samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
 # never text of an article
-NEVER = frozenset("head script style title textarea xmp iframe noembed noframes noscript template svg math object applet "
-                  "audio video canvas select option button input datalist dialog menu".split())
+NEVER = frozenset("head script style title textarea xmp iframe noembed noframes template svg annotation "
+                  "annotation-xml audio video canvas select option button input datalist menu".split())
 # an open element that a new one ends
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"},
@@ -50,7 +53,7 @@ def _attributes(text: str) -> tuple[tuple[str, ...], bool]:
         name = name.lower()
         if name in ("class", "id", "role", "itemprop", "aria-label", "data-component"):
             tokens += [t.lower() for t in TOKEN.findall(value)]
-        elif name == "hidden" or name == "aria-hidden" and "true" in value.lower():
+        elif name == "hidden":
             hidden = True
         elif name == "style" and "display" in value.lower() and re.search(r"display\s*:\s*none", value.lower()):
             hidden = True
@@ -69,6 +72,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     root = Node("#root", None)
     nodes, texts = [root], []
     stack: list[Node] = [root]      # block elements
+    open_at: dict[str, list[int]] = {}  # of every tag, where on the stack it is open
     links = 0                       # open <a>
     never = 0                       # open elements of NEVER
     parts: list[str] = []           # text since the last break
@@ -90,7 +94,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     def pop_to(k: int) -> None:
         nonlocal never
         flush()
-        for node in stack[k:]:
+        for node in reversed(stack[k:]):
+            open_at[node.tag].pop()
             never -= node.tag in NEVER or node.hidden
         del stack[k:]
 
@@ -118,10 +123,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             if name == "br":
                 flush()
                 continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == name:
-                    pop_to(k)
-                    break
+            if open_at.get(name):
+                pop_to(open_at[name][-1])
             continue
         stack[-1].tags += 1
         if name == "a":
@@ -147,17 +150,16 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         if name in CLOSES_P and stack[-1].tag == "p":
             pop_to(len(stack) - 1)
         if name in ENDS:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in SCOPES.get(name, ()):
-                    break
-                if stack[k].tag in ENDS[name]:
-                    pop_to(k)
-                    break
+            def last(tags) -> int:
+                return max((open_at[t][-1] for t in tags if open_at.get(t)), default=0)
+            if (k := last(ENDS[name])) > last(SCOPES.get(name, ())):
+                pop_to(k)
         tokens, hidden = _attributes(attributes) if attributes.strip(" /") else ((), False)
         node = Node(name, stack[-1], tokens, hidden)
         if name in NEVER or hidden:
             never += 1
         stack[-1].children.append(node)
+        open_at.setdefault(name, []).append(len(stack))
         stack.append(node)
         nodes.append(node)
     flush()
@@ -224,6 +226,7 @@ def describe(nodes: list[Node], texts: list[tuple[Node, str]]) -> list[list[floa
     page = max(total, 1)
     out: list[list[float]] = []
     numbers: dict[int, int] = {}
+    kinds_below: dict[int, Counter] = {}
     for i, node in enumerate(nodes):
         numbers[id(node)] = i
         up = node.parent
@@ -245,7 +248,9 @@ def describe(nodes: list[Node], texts: list[tuple[Node, str]]) -> list[list[floa
             kinds = [max(a, b) for a, b in zip(above[first:first + 6], above[:6])]
             siblings = up.children
             count = len(siblings)
-            same = sum(s.tag == node.tag for s in siblings) if count < 64 else count
+            if id(up) not in kinds_below:
+                kinds_below[id(up)] = Counter(s.tag for s in siblings)
+            same = kinds_below[id(up)][node.tag]
             index = (place.get(id(node), 0) - place.get(id(up), 0)) / max(up.chars, 1)
             parent = [up.chars / page, up.link_chars / max(up.chars, 1), math.log1p(up.paragraphs),
                       up.words / max(len(siblings), 1), up.stops / max(up.words, 1)]
