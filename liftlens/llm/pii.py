@@ -61,6 +61,10 @@ _SEPARATORS = str.maketrans("", "", " ().+-")
 _LOCAL_PART = string.ascii_letters + string.digits + "._%+-"
 
 
+# context words count at word ends only: neither "hotel" nor "recall" speaks of a telephone
+_WORDS = {kind: re.compile("(?<![^\\W_])(?:" + "|".join(map(re.escape, words)) + ")(?![^\\W_])") for kind, words in WORDS.items()}
+
+
 def luhn(digits: str) -> bool:
     total = sum(map(int, digits[-1::-2]))
     return (total + sum(sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])) % 10 == 0
@@ -89,7 +93,7 @@ def _digits(span: str) -> str:
 
 def _near(lower: str, start: int, end: int, kind: str) -> bool:
     around = lower[max(0, start - WINDOW):start] + " " + lower[end:end + WINDOW]
-    return any(w in around for w in WORDS[kind])
+    return _WORDS[kind].search(around) is not None
 
 
 def find_pii(text: str) -> list[tuple[int, int, int, float]]:
