@@ -34,13 +34,21 @@ def op3() -> str:
         for i, p in enumerate(patterns))
     keep = (f"CASE kind WHEN 0 THEN length(regexp_extract(m, {_q(secrets.ASSIGN)}, 2)) >= {secrets.MIN_VALUE} "
             f"WHEN 1 THEN length(m) >= {secrets.MIN_ACCESS} WHEN 2 THEN length(m) >= {secrets.MIN_HEX} "
-            "WHEN 3 THEN NOT regexp_matches(p, '[A-Za-z0-9_]$') "
+            "WHEN 3 THEN NOT regexp_matches(right(p, 1), '[A-Za-z0-9]') "
             "WHEN 4 THEN regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') "
             "ELSE true END")
+    # what an underscore joins to a name belongs to it
+    ahead = "CASE kind WHEN 3 THEN length(regexp_extract(p, '[A-Za-z0-9_]*_$')) ELSE 0 END"
+
+    def some(kinds: str, where: str) -> str:
+        return f"EXISTS (SELECT 1 FROM spans p WHERE p.rid = c.rid AND p.kind IN ({kinds}) AND ({where}))"
 
     def near(kinds: str) -> str:
-        return (f"EXISTS (SELECT 1 FROM spans p WHERE p.rid = c.rid AND p.kind IN ({kinds}) "
-                f"AND p.s <= c.e + {secrets.SCOPE} AND p.e >= c.s - {secrets.SCOPE})")
+        return some(kinds, f"p.s <= c.e + {secrets.SCOPE} AND p.e >= c.s - {secrets.SCOPE}")
+
+    def beside(kinds: str) -> str:
+        return some(kinds, f"p.e BETWEEN c.s - {secrets.SCOPE} AND c.s OR p.s BETWEEN c.e AND c.e + {secrets.SCOPE}")
+    inside = some("5", "p.s < c.e AND p.e > c.s")
     names = ", ".join(_q(k) for k in secrets.KINDS)
     counts = ", ".join(f"count(*) FILTER (WHERE kind = {i}) AS n_{k}" for i, k in enumerate(secrets.BASE_KINDS))
     return f"""
@@ -50,9 +58,10 @@ parts AS (
   SELECT rid, kind, unnest(ms) AS m, unnest(ps[1:len(ms)]) AS p, generate_subscripts(ms, 1) AS i FROM found),
 placed AS (
   SELECT *, CAST(sum(length(m) + length(p)) OVER (PARTITION BY rid, kind ORDER BY i) AS BIGINT) AS e FROM parts),
-spans AS (SELECT rid, kind, e - length(m) AS s, e FROM placed WHERE {keep}),
+spans AS (SELECT rid, kind, e - length(m) - {ahead} AS s, e FROM placed WHERE {keep}),
 kept AS (
-  SELECT * FROM spans c WHERE kind < 3 OR (kind = 3 AND {near('0, 2, 4')}) OR (kind = 4 AND {near('1, 3, 5')})
+  SELECT * FROM spans c WHERE kind < 3 OR (kind = 3 AND ({near('0, 2')} OR {beside('4')}))
+    OR (kind = 4 AND (({near('5')} AND NOT {inside}) OR {beside('1, 3')}))
     OR (kind = 5 AND {near('1, 3')} AND {near('0, 2, 4')})),
 shown AS (SELECT *, [{names}][kind + 1] || ':' || s || ':' || e AS x FROM kept),
 per AS (
@@ -81,9 +90,11 @@ def op5() -> str:
     upto = "sum(size) OVER (PARTITION BY source, big ORDER BY rank_key, doc_id NULLS FIRST, size)"
     return f"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {word})) AS size,
-    CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|{mixing.SEED}'), 1, 8) AS BIGINT) AS DOUBLE)
-      / CAST(4294967296 AS DOUBLE) AS u FROM documents),
+  SELECT doc_id, source, size, CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || text_md5 || '|'
+      || row_number() OVER (PARTITION BY doc_id, source, text_md5) || '|{mixing.SEED}'), 1, 8) AS BIGINT) AS DOUBLE)
+      / CAST(4294967296 AS DOUBLE) AS u
+  FROM (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {word})) AS size,
+    md5(coalesce(text, '')) AS text_md5 FROM documents)),
 per AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
     [{weights}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1] AS weight

@@ -166,3 +166,26 @@ def test_ranges_of_repeated_rows_count_once(spark):
         assert len(ranges) == len(set(ranges)) <= len(PASSAGE.split())
     got = repeats.repeat_report(docs(spark, rows).repartition(5)).collect()
     assert sorted((r.n_words, r.n_removed) for r in got) == [(45, 0)] + [(46, 45)] * 60
+
+
+def test_top_k_of_large_components(spark):
+    """Exact beyond 2^53, refused beyond a long."""
+    schema = "vec_id long, embedding array<double>"
+    rows = [(0, [1e6, 1e6]), (1, [1e6, 1e6 + 1 / 256]), (2, [1e6, -1e6]), (3, [3e6, 0.5]), (50, [-1e6, 1e6])]
+    assert brute.key(map(tuple, topk.top_k_report(spark.createDataFrame(rows, schema)).collect())) == brute.key(brute.top_k(rows))
+    for bad in ([1e17, 1e17], [1e300, 0.0], [1e308, 1e308]):
+        with pytest.raises(Exception, match="too large|range of a long"):
+            topk.top_k_report(spark.createDataFrame([(0, bad), (1, bad)], schema)).collect()
+
+
+def test_repeats_of_rows_without_ids_whose_tags_agree(spark, monkeypatch):
+    """Even if the hash tells no two texts apart, no range reaches into another document."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long), (None, long), (None, "two words"), (5, " ".join(f"v{i}" for i in range(82))), (None, None)]
+    monkeypatch.setattr(repeats.F, "xxhash64", lambda *c: F.lit(7).cast("long"))
+    got = repeats.repeat_report(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    removed = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in got)
+    assert (1, 60, 0) in removed and (5, 82, 0) in removed and (0, 60, 60) in removed
+    monkeypatch.undo()
+    got = repeats.repeat_report(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert sorted(r.n_removed for r in got) == [0, 0, 0, 0, 60]
