@@ -56,8 +56,8 @@ def sessionize(stg: DataFrame) -> DataFrame:
 
 # --- X2: per-day partials that merge into the same sessions ----------------
 
-def session_partials(stg: DataFrame) -> DataFrame:
-    """Per (event_date_key, session) partial state; every field is mergeable.
+def session_partials(stg: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Per (event_date_key, session) partial state; every field is mergeable.  ``keys`` go with the day.
 
     Stored per day, so a late or re-delivered day only rewrites its own
     partials; the merge then never rescans raw events of other days.
@@ -65,7 +65,7 @@ def session_partials(stg: DataFrame) -> DataFrame:
     def touch(src: str) -> Column:
         return F.min(F.when(F.col(src).isNotNull(),
                             F.struct("event_at", "event_id", F.col(src).alias("v"))))
-    return stg.groupBy("event_date_key", *SESSION_KEYS).agg(
+    return stg.groupBy(*keys, "event_date_key", *SESSION_KEYS).agg(
         F.min("event_date").alias("p_date"),
         F.min("event_at").alias("p_start"),
         F.bool_or(is_paid_medium("traffic_medium")).alias("p_paid"),

@@ -660,6 +660,22 @@ def q_stream_sessions_equals_batch(spark, sf):
     return sessionize(read_staging(spark, stg_root))
 
 
+@register("stream_sessions_stateful", SESSION_SQL)
+def q_stream_sessions_stateful(spark, sf):
+    """X1 + X2: sessions from the state of an event stream, stopped and started again, its parts folded between."""
+    from liftlens.session import fresh_dir
+    from liftlens.streaming.session_stream import compact, read_event_files, read_sessions, stream_sessions
+    root, raw = fresh_dir(spark, "sessions"), M.raw_events(spark, sf)
+    # arrivals in order of events, not of days: one session's events come in several micro-batches
+    for run in (0, 1):
+        some = raw.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == run)
+        some.repartition(2, "event_id").write.mode("append").parquet(f"{root}/arrived")
+        stream_sessions(read_event_files(spark, f"{root}/arrived", 1), f"{root}/partials", f"{root}/state")
+        if run == 0:
+            compact(spark, f"{root}/partials")
+    return read_sessions(spark, f"{root}/partials")
+
+
 # --- the same estimators on the order star schema ----------------------------
 
 @register("orders_urgency_cells", O.with_(*O.ORDER_CHAIN, body="SELECT * FROM ocells"))
