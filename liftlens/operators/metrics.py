@@ -215,6 +215,11 @@ def spine_from(df: DataFrame, date_col: str) -> DataFrame:
     return bounds.select(time_spine(F.col("_a"), F.col("_b")).alias("date_day"))
 
 
+def spine_from_statistics(statistics: DataFrame, date_col: str) -> DataFrame:
+    """The same spine from a written table's statistics (``table_statistics``): no row is read."""
+    return statistics.select(time_spine(F.col(f"min_{date_col}"), F.col(f"max_{date_col}")).alias("date_day"))
+
+
 # The day window of the reference's time spine.
 REFERENCE_SPINE = ("2020-11-01", "2021-01-31")
 

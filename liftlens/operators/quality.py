@@ -61,12 +61,26 @@ def _row(t: ColumnTest, failures) -> list:
             F.lit(t.test).alias("test"), failures.cast("bigint").alias("failures")]
 
 
-def run_tests(models: dict[str, DataFrame], tests=DECLARED_TESTS) -> DataFrame:
+def not_null_columns(model: str, tests=DECLARED_TESTS) -> list[str]:
+    """Columns of a model that have a ``not_null`` test."""
+    return [t.column for t in tests if t.model == model and t.test == "not_null"]
+
+
+def run_tests(models: dict[str, DataFrame], tests=DECLARED_TESTS, statistics: dict[str, DataFrame] | None = None) -> DataFrame:
     """Evaluate column tests; one scan per model for the row-wise tests plus
-    one aggregation per ``unique`` column."""
+    one aggregation per ``unique`` column.
+
+    ``statistics`` holds, for models that are written tables, their ``table_statistics`` with the
+    NULLs of ``not_null_columns``: their ``not_null`` tests are answered from the footers."""
     parts = []
     for name, df in models.items():
         mine = [t for t in tests if t.model == name]
+        if statistics and name in statistics:
+            counted = [t for t in mine if t.test == "not_null"]
+            mine = [t for t in mine if t.test != "not_null"]
+            if counted:
+                rows = F.explode(F.array(*[F.struct(*_row(t, F.col(f"nulls_{t.column}"))) for t in counted]))
+                parts.append(statistics[name].select(rows.alias("r")).select("r.*"))
         rowwise = [t for t in mine if t.test in ("not_null", "accepted_values")]
         if rowwise:
             aggs = []

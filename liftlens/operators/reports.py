@@ -157,6 +157,18 @@ def table_shape(sessions: DataFrame) -> DataFrame:
                         F.max("session_date").alias("date_end"))
 
 
+def table_shape_from_statistics(statistics: DataFrame) -> DataFrame:
+    """E1 from a written mart's statistics (``table_statistics`` with the range of ``session_date``)."""
+    return statistics.select(F.col("num_rows").alias("n_rows"), F.lit(len(MODEL_COLUMNS)).cast("bigint").alias("n_columns"),
+                             F.col("min_session_date").alias("date_start"), F.col("max_session_date").alias("date_end"))
+
+
+def null_profile_from_statistics(statistics: DataFrame, columns=MODEL_COLUMNS) -> DataFrame:
+    """E2 from a written mart's statistics (``table_statistics`` with the NULLs of ``columns``)."""
+    pairs = ", ".join(f"'{c}', `nulls_{c}`" for c in columns)
+    return statistics.selectExpr(f"stack({len(columns)}, {pairs}) as (column_name, null_count)")
+
+
 def null_profile(sessions: DataFrame, columns=MODEL_COLUMNS) -> DataFrame:
     """NULL count per column, one pass, long form (column_name, null_count)."""
     counts = sessions.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

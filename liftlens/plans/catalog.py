@@ -79,6 +79,14 @@ def q_shard_counts(spark, sf):
     return shard_row_counts(read_shards(spark, raw_root))
 
 
+@register("shard_counts_from_footers", ORACLE["shard_counts"])
+def q_shard_counts_from_footers(spark, sf):
+    """Rows per landed shard as the files' footers say, no row is read."""
+    from liftlens.sources.statistics import partition_row_counts
+    _, raw_root = _land_all(spark, sf)
+    return partition_row_counts(spark, raw_root, "shard")
+
+
 DECLARED_RANGE = (20240101, 20240129)
 
 
@@ -376,6 +384,17 @@ def q_quality_report(spark, sf):
     return run_tests(_quality_models(spark, sf))
 
 
+@register("quality_report_from_footers", ORACLE["quality_report"])
+def q_quality_report_from_footers(spark, sf):
+    """Q1-Q3 where the footers of the written staging and mart answer their not_null tests."""
+    from liftlens.operators.quality import not_null_columns, run_tests
+    from liftlens.sources.statistics import table_statistics
+    models = _quality_models(spark, sf)
+    written = {m: table_statistics(spark, models[m].inputFiles(), models[m].schema, nulls=not_null_columns(m))
+               for m in ("stg_ga4__events", "fct_sessions")}
+    return run_tests(models, statistics=written)
+
+
 @register("quality_relationships", O.with_(*O.SESS, body=(
     "SELECT 'fct_sessions' AS child, 'session_key' AS child_column, 'stg_ga4__events' AS parent, "
     "'session_key' AS parent_column, (SELECT count(*) FROM (SELECT DISTINCT session_key FROM sessions "
@@ -399,6 +418,19 @@ def q_time_spine(spark, sf):
     return spine_from(M.staging(spark, sf), "event_date")
 
 
+@register("time_spine_from_footers", ORACLE["time_spine"])
+def q_time_spine_from_footers(spark, sf):
+    """M8: the spine over the dates of the loaded staging table, from its footers."""
+    from liftlens.operators.metrics import spine_from_statistics
+    from liftlens.schema import STAGING
+    from liftlens.sources.shards import load_staging
+    from liftlens.sources.statistics import partition_files, table_statistics
+    root, raw_root = _land_all(spark, sf)
+    load_staging(spark, raw_root, f"{root}/stg")
+    files = partition_files(spark, f"{root}/stg", "event_date_key")
+    return spine_from_statistics(table_statistics(spark, files, STAGING, ranges=("event_date",)), "event_date")
+
+
 def _metric_tables(spark, sf, estimates: bool = False):
     t = {"sessions": M.sessions(spark, sf)}
     if estimates:
@@ -503,6 +535,27 @@ def q_null_profile(spark, sf):
     return null_profile(M.sessions(spark, sf))
 
 
+def _mart_statistics(spark, sf, **kw):
+    from liftlens.session import materialize
+    from liftlens.sources.statistics import table_statistics
+    mart = materialize(M.sessions(spark, sf), "sessions")
+    return table_statistics(spark, mart.inputFiles(), mart.schema, **kw)
+
+
+@register("table_shape_from_footers", ORACLE["table_shape"])
+def q_table_shape_from_footers(spark, sf):
+    """E1 of the written mart: rows and dates from its footers."""
+    from liftlens.operators.reports import table_shape_from_statistics
+    return table_shape_from_statistics(_mart_statistics(spark, sf, ranges=("session_date",)))
+
+
+@register("null_profile_from_footers", ORACLE["null_profile"])
+def q_null_profile_from_footers(spark, sf):
+    """E2 of the written mart: NULLs per column from its footers."""
+    from liftlens.operators.reports import MODEL_COLUMNS, null_profile_from_statistics
+    return null_profile_from_statistics(_mart_statistics(spark, sf, nulls=MODEL_COLUMNS))
+
+
 @register("treatment_distribution", O.with_(*O.SESS, body=(
     "SELECT count(*) AS n_sessions, CAST(count_if(NOT is_paid) AS BIGINT) AS n_control, "
     "CAST(count_if(is_paid) AS BIGINT) AS n_paid, CAST(count_if(is_paid) AS DOUBLE) / count(*) AS share_paid, "

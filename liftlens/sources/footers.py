@@ -2,8 +2,8 @@
 
 A folder's schema as Spark reports it is that of one file; a file that lacks a column reads
 as NULL and a further column is passed over.  So every file is asked: paths are rows, tasks
-read the footers, and one row per distinct schema comes back.  The same job gives row counts
-and bounds of columns (``file_statistics``) from the row groups' statistics.
+read the footers, and one row per distinct schema comes back.  The same job gives row counts,
+bounds and null counts of columns from the row groups' statistics (``statistics.py``).
 """
 
 from __future__ import annotations
@@ -51,19 +51,25 @@ def _describe(path: str, file: pq.ParquetFile, columns: tuple[str, ...]) -> tupl
     names = [file.metadata.schema.column(i).path for i in range(file.metadata.num_columns)]
     bounds = {}
     for c in columns:
-        at = names.index(c) if c in names else None
-        stats = [file.metadata.row_group(g).column(at).statistics for g in range(file.metadata.num_row_groups)
-                 ] if at is not None else [None]
-        if all(s is not None and (s.has_min_max or s.null_count == s.num_values + s.null_count) for s in stats):
-            held = [s for s in stats if s.has_min_max]
-            bounds[c] = [str(min(s.min for s in held)), str(max(s.max for s in held))] if held else [None, None]
+        if c not in names:
+            bounds[c] = {"stored": False}
+            continue
+        at = names.index(c)
+        stats = [file.metadata.row_group(g).column(at).statistics for g in range(file.metadata.num_row_groups)]
+        if all(s is not None and s.has_null_count for s in stats):
+            bounds[c] = {"stored": True, "nulls": sum(s.null_count for s in stats)}
+            if all(s.has_min_max or s.num_values == 0 for s in stats):
+                held = [s for s in stats if s.num_values]
+                bounds[c] |= {"ranged": True, "min": str(min(s.min for s in held)) if held else None,
+                              "max": str(max(s.max for s in held)) if held else None}
     return (path, json.dumps(sorted((f.name, f.dataType.simpleString()) for f in found.fields)), file.metadata.num_rows,
             json.dumps(bounds))
 
 
 def footers(spark: SparkSession, files: list[str], columns: tuple[str, ...] = (), by_content: list[str] = ()) -> DataFrame:
     """(path, fields, num_rows, bounds) per file: ``fields`` is a JSON list of (name, type) in order of
-    names, ``bounds`` a JSON object column -> [min, max] for ``columns`` whose row groups all have statistics.
+    names, ``bounds`` a JSON object column -> {stored, nulls, ranged, min, max} for ``columns``: ``nulls``
+    where all row groups count them, ``ranged`` where all have bounds (null ones: no value but NULL).
 
     Files whose store the tasks cannot open have null ``fields``; named in ``by_content`` they
     are read through Spark's own ``binaryFile`` source.
