@@ -106,6 +106,39 @@ def one_hot(frame: DataFrame, levels: dict[str, list[tuple[str, str]]] | None =
                         *[c.alias(n) for c, n in zip(cols, names)])
 
 
+def sparse_frame(frame: DataFrame, levels: dict[str, list[tuple[str, str]]] | None = None,
+                 vector: str = "features") -> DataFrame:
+    """U2 for any number of levels: the wide frame's confounders as one sparse ``ml`` vector column.
+
+    Component i is column i of ``confounder_names(levels)``.  The plan has one index lookup and
+    one encoding per confounder, whatever the number of levels, and a row holds its ones only.
+    The index comes from ``levels``, so nothing is fitted on the frame's rows.  A value that is
+    not among ``levels`` fails the task; in ``one_hot`` it would have a row of zeros.
+    """
+    from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+    levels = levels or confounder_levels(frame)
+    confounder_names(levels)      # colliding names raise here as in the wide frame
+    kept = frame.select("session_key", "treatment", "outcome", "is_new_user", "device", "geo")
+    # an encoder of no level at all does not exist; without levels there are no rows either
+    cols = [c for c in ("device", "geo") if levels[c]]
+    at, ones = [f"__{c}_at" for c in cols], [f"__{c}_ones" for c in cols]
+    for c, to in zip(cols, at):
+        kept = StringIndexerModel.from_labels([v for v, _ in levels[c]], c, to, handleInvalid="error").transform(kept)
+    if cols:
+        # the encoder's size is in the index's column metadata: fitting reads no rows
+        kept = OneHotEncoder(inputCols=at, outputCols=ones, dropLast=False).fit(kept).transform(kept)
+    wide = VectorAssembler(inputCols=["is_new_user", *ones], outputCol=vector).transform(kept)
+    return wide.select("session_key", "treatment", "outcome", vector)
+
+
+def vector_ones(vector: str = "features") -> Column:
+    """Positions of a 0/1 vector's ones, ascending, from its stored form."""
+    v = F.unwrap_udt(F.col(vector))
+    places = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    pairs = F.arrays_zip(places.alias("at"), v["values"].alias("value"))
+    return F.transform(F.filter(pairs, lambda p: p["value"] != 0), lambda p: p["at"])
+
+
 def confounder_columns(frame: DataFrame) -> DataFrame:
     """Long summary of the one-hot encoding: per dummy column, sessions with 1 and
     treated sessions with 1 (checks names and counts without a wide collect)."""

@@ -217,6 +217,34 @@ def q_encoded_confounders(spark, sf):
     return confounder_columns(M.frame(spark, sf))
 
 
+_DUMMIES = ("long AS (SELECT session_key, treatment, outcome, is_new_user, unnest(['device_' || device, "
+            "regexp_replace(replace('geo_' || geo, ' ', '_'), '[<>]', '', 'g')]) AS name FROM frame)")
+
+
+@register("one_hot_frame", O.with_(*O.FRAMED, _DUMMIES, body=(
+    "SELECT * FROM (PIVOT long ON name USING CAST(count(*) AS INTEGER) GROUP BY session_key, treatment, outcome, is_new_user)")))
+def q_one_hot_frame(spark, sf):
+    """The wide 0/1 frame, one column per level (the pivot has no session_date, so sessions are its rows)."""
+    from liftlens.operators.causal.encode import one_hot
+    return one_hot(M.frame(spark, sf))
+
+
+@register("sparse_frame", O.with_(*O.FRAMED, body=(
+    "SELECT f.session_key, f.treatment, f.outcome, CAST(1 + d.n + g.n AS INTEGER) AS n_columns, "
+    "CASE WHEN f.is_new_user = 1 THEN '0,' ELSE '' END || d.at || ',' || (d.n + g.at) AS ones FROM frame f "
+    "JOIN (SELECT v, row_number() OVER (ORDER BY v) AS at, count(*) OVER () AS n FROM (SELECT DISTINCT device AS v FROM frame)) d "
+    "ON d.v = f.device "
+    "JOIN (SELECT v, row_number() OVER (ORDER BY v) AS at, count(*) OVER () AS n FROM (SELECT DISTINCT geo AS v FROM frame)) g "
+    "ON g.v = f.geo")))
+def q_sparse_frame(spark, sf):
+    """U2 as one sparse vector per session: its length and the positions of its ones."""
+    from liftlens.operators.causal.encode import sparse_frame, vector_ones
+    wide = sparse_frame(M.frame(spark, sf))
+    v = F.unwrap_udt("features")
+    return wide.select("session_key", "treatment", "outcome", F.coalesce(v["size"], F.size(v["values"])).alias("n_columns"),
+                       F.concat_ws(",", vector_ones().cast("array<string>")).alias("ones"))
+
+
 @register("confounder_cells", O.with_(*O.CELLED, body="SELECT * FROM cells"))
 def q_confounder_cells(spark, sf):
     return M.cells(spark, sf)
