@@ -22,7 +22,7 @@ STG_COLUMNS = (
 )
 
 
-def _typed(raw: DataFrame, strict: bool) -> DataFrame:
+def _typed(raw: DataFrame, strict: bool, keep: tuple[str, ...] = ()) -> DataFrame:
     tie = F.col("event_id") if "event_id" in raw.columns else F.col("event_timestamp")
     return raw.select(
         F.col("event_date").cast("bigint").alias("event_date_key"),
@@ -38,19 +38,22 @@ def _typed(raw: DataFrame, strict: bool) -> DataFrame:
         F.col("geo.country").alias("geo_country"),
         F.col("ecommerce.purchase_revenue_in_usd").alias("purchase_revenue_usd"),
         tie.cast("bigint").alias("event_id"),
+        *keep,
     )
 
 
-def flatten_events(raw: DataFrame, strict: bool = True) -> DataFrame:
+def flatten_events(raw: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Staging events: typed, flattened, with ``session_key``; sessionless rows dropped.
 
+    ``keep`` names raw columns that are carried along unchanged.
+
     ``session_key`` uses ``concat`` (NULL in, NULL out), so a NULL user gives a
     NULL key exactly as in the reference; such rows surface in the quality
     report rather than being silently merged.
     """
-    typed = _typed(raw, strict).where(F.col("ga_session_id").isNotNull())
+    typed = _typed(raw, strict, keep).where(F.col("ga_session_id").isNotNull())
     key = F.concat(F.col("user_pseudo_id"), F.lit("-"), F.col("ga_session_id").cast("string"))
-    return typed.select(*[c for c in STG_COLUMNS if c != "session_key"], key.alias("session_key"))
+    return typed.select(*[c for c in STG_COLUMNS if c != "session_key"], key.alias("session_key"), *keep)
 
 
 def events_without_session(raw: DataFrame, strict: bool = True) -> DataFrame:

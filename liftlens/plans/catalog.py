@@ -99,6 +99,46 @@ def q_partition_rejects(spark, sf):
     return rejects
 
 
+# --- items of events (G5) ----------------------------------------------------
+
+def _r6_money(df, *cols):
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
+@register("event_items", O.with_(*O.BASE, O.ITEMS, body=(
+    "SELECT s.event_id, s.event_date, s.event_name, s.session_key, s.user_pseudo_id, i.item_pos, i.item_id, i.item_name, "
+    "i.price_in_usd, i.quantity, i.item_revenue_usd "
+    "FROM stg s LEFT JOIN items i ON i.event_id = s.event_id")))
+def q_event_items(spark, sf):
+    from liftlens.operators.items import flatten_items
+    return flatten_items(M.raw_items(spark, sf))
+
+
+@register("revenue_by_item", O.with_(*O.BASE, O.ITEMS, body=(
+    "SELECT item_id, count(DISTINCT event_id) AS n_events, CAST(sum(quantity) AS BIGINT) AS quantity, "
+    "round(CAST(sum(CAST(item_revenue_usd AS DECIMAL(38,12))) AS DOUBLE), 6) AS revenue_usd, "
+    "count(*) FILTER (WHERE item_revenue_usd IS NULL) AS n_unpriced FROM items GROUP BY item_id")))
+def q_revenue_by_item(spark, sf):
+    from liftlens.operators.items import flatten_items, revenue_by_item
+    return _r6_money(revenue_by_item(flatten_items(M.raw_items(spark, sf))), "revenue_usd")
+
+
+@register("items_against_sessions", O.with_(*O.BASE, O.ITEMS, body=(
+    "SELECT a.session_key, a.user_pseudo_id, a.n_purchases, coalesce(b.n_events, 0) AS n_events_with_items, "
+    "coalesce(b.n, 0) AS n_items, round(CAST(a.r AS DOUBLE), 6) AS session_revenue_usd, "
+    "round(CAST(coalesce(b.r, 0) AS DOUBLE), 6) AS item_revenue_usd, "
+    "round(CAST(a.r - coalesce(b.r, 0) AS DOUBLE), 6) AS difference_usd FROM "
+    "(SELECT session_key, user_pseudo_id, count(*) FILTER (WHERE event_name = 'purchase') AS n_purchases, "
+    "sum(CAST(coalesce(purchase_revenue_usd, 0) AS DECIMAL(38,12))) AS r FROM stg GROUP BY ALL) a LEFT JOIN "
+    "(SELECT session_key, user_pseudo_id, count(DISTINCT event_id) AS n_events, count(*) AS n, "
+    "sum(CAST(coalesce(item_revenue_usd, 0) AS DECIMAL(38,12))) AS r FROM items GROUP BY ALL) b "
+    "ON a.session_key IS NOT DISTINCT FROM b.session_key AND a.user_pseudo_id IS NOT DISTINCT FROM b.user_pseudo_id")))
+def q_items_against_sessions(spark, sf):
+    """The items' revenue of every session beside its revenue by A6."""
+    from liftlens.operators.items import reconcile_items
+    return _r6_money(reconcile_items(M.raw_items(spark, sf)), "session_revenue_usd", "item_revenue_usd", "difference_usd")
+
+
 # --- sessions (A1-A7, X2, T2, T3) ------------------------------------------
 
 SESSION_SQL = O.with_(*O.SESS, body="SELECT * FROM sessions")
@@ -391,14 +431,14 @@ def q_causal_estimates(spark, sf):
 
 # --- quality (Q1-Q4) ---------------------------------------------------------
 
-def _quality_models(spark, sf):
+def _quality_models(spark, sf, before_write=lambda df, model: df):
     from liftlens.operators.metrics import spine_from
     from liftlens.operators.reports import causal_summary, channel_performance
     from liftlens.operators.sessions import sessionize
     from liftlens.session import materialize
     # staging and the mart are read by several tests and models: each is written once, events are read once
-    stg = materialize(M.staging(spark, sf), "staging")
-    sessions = materialize(sessionize(stg), "sessions")
+    stg = materialize(before_write(M.staging(spark, sf), "stg_ga4__events"), "staging")
+    sessions = materialize(before_write(sessionize(stg), "fct_sessions"), "sessions")
     latest = M.latest(spark, sf, stg=stg)
     return {"stg_ga4__events": stg, "fct_sessions": sessions,
             "fct_causal_estimates": latest, "rpt_channel_performance": channel_performance(sessions),
@@ -423,6 +463,18 @@ def q_quality_report_from_footers(spark, sf):
     return run_tests(models, statistics=written)
 
 
+@register("quality_report_watched", ORACLE["quality_report"])
+def q_quality_report_watched(spark, sf):
+    """Q1-Q3 where the row-wise tests of staging and mart ride on the jobs that write them."""
+    from liftlens.operators.quality import run_watched_tests, watch
+    seen = {}
+
+    def watched(df, model):
+        df, seen[model] = watch(df, model)
+        return df
+    return run_watched_tests(_quality_models(spark, sf, watched), seen)
+
+
 @register("quality_relationships", O.with_(*O.SESS, body=(
     "SELECT 'fct_sessions' AS child, 'session_key' AS child_column, 'stg_ga4__events' AS parent, "
     "'session_key' AS parent_column, (SELECT count(*) FROM (SELECT DISTINCT session_key FROM sessions "

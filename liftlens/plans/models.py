@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from liftlens.operators.flatten import flatten_events
 from liftlens.operators.reports import channel_performance
 from liftlens.operators.sessions import sessionize
-from liftlens.sources.ga4_adapter import ga4_events
+from liftlens.sources.ga4_adapter import ga4_events, with_items
 from liftlens.sources.testdata import table
 
 
@@ -40,6 +40,11 @@ def channel(spark: SparkSession, sf: str) -> DataFrame:
     return channel_performance(sessions(spark, sf))
 
 
+def raw_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw events with their items."""
+    return with_items(raw_events(spark, sf), table(spark, sf, "lineitem"))
+
+
 # --- causal chain: model frame -> confounder cells -> scores ---------------
 
 NULL_TREATMENT = "control"   # testdata has NULL is_paid sessions (T1)

@@ -110,6 +110,20 @@ def with_(*ctes: str, body: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + body
 
 
+# one row per item of an event with a session; events without items have none here
+ITEMS = """
+items AS (
+  SELECT s.event_id, s.event_date, s.event_name, s.session_key, s.user_pseudo_id,
+    CAST(row_number() OVER (PARTITION BY s.event_id ORDER BY l.l_linenumber, CAST(l.l_partkey AS VARCHAR),
+      l.l_extendedprice / l.l_quantity, CAST(l.l_quantity AS BIGINT), l.l_returnflag <> 'R', l.l_extendedprice) - 1 AS INTEGER)
+      AS item_pos,
+    CAST(l.l_partkey AS VARCHAR) AS item_id, CAST(NULL AS VARCHAR) AS item_name,
+    l.l_extendedprice / l.l_quantity AS price_in_usd, CAST(l.l_quantity AS BIGINT) AS quantity,
+    CASE WHEN l.l_returnflag <> 'R' THEN l.l_extendedprice
+         ELSE l.l_extendedprice / l.l_quantity * CAST(l.l_quantity AS BIGINT) END AS item_revenue_usd
+  FROM stg s JOIN lineitem l ON l.l_orderkey = s.event_id AND s.event_name = 'purchase'
+)"""
+
 BASE = (RAW_EVENTS, TYPED_EVENTS, STG)
 SESS = BASE + (SESSIONS,)
 CHAN = SESS + (CHANNEL,)

@@ -88,3 +88,19 @@ def ga4_events(events: DataFrame) -> DataFrame:
         F.struct(F.when(F.col("event_type") == "purchase", F.col("value"))
                  .alias("purchase_revenue_in_usd")).alias("ecommerce"),
     )
+
+
+def with_items(raw: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """``raw`` with an ``items`` array: a purchase lists the lines of the order of its number, other events none."""
+    line = F.struct(
+        F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").cast("string").alias("item_id"),
+        F.lit(None).cast("string").alias("item_name"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price_in_usd"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_extendedprice")).alias("item_revenue_in_usd"))
+    lists = lineitem.groupBy(F.col("l_orderkey").alias("_order")).agg(F.array_sort(F.collect_list(line)).alias("_lines"))
+    joined = raw.join(lists, (F.col("event_id") == F.col("_order")) & (F.col("event_name") == "purchase"), "left")
+    items = F.transform("_lines", lambda x: F.struct(
+        *[x[f].alias(f) for f in ("item_id", "item_name", "price_in_usd", "quantity", "item_revenue_in_usd")]))
+    return joined.select(*raw.columns, items.alias("items"))
