@@ -490,6 +490,31 @@ def q_quality_relationships(spark, sf):
         relationships(stg, "session_key", ses, "session_key", "stg_ga4__events", "fct_sessions"))
 
 
+def _bucketed(spark, sf, buckets=8):
+    """Staging and the mart built from it, both bucketed by the session key."""
+    from liftlens.operators.sessions import sessionize
+    from liftlens.sources.bucketed import write_bucketed
+    stg = write_bucketed(M.staging(spark, sf), "staging", buckets)
+    return stg, write_bucketed(sessionize(stg), "sessions", buckets)
+
+
+@register("sessions_bucketed", SESSION_SQL)
+def q_sessions_bucketed(spark, sf):
+    """A1 over staging bucketed by the session key: no exchange."""
+    from liftlens.operators.sessions import sessionize
+    from liftlens.sources.bucketed import write_bucketed
+    return sessionize(write_bucketed(M.staging(spark, sf), "staging", 8))
+
+
+@register("relationships_bucketed", ORACLE["quality_relationships"])
+def q_relationships_bucketed(spark, sf):
+    """Q4 between bucketed tables: both directions without an exchange on the key."""
+    from liftlens.operators.quality import relationships
+    stg, ses = _bucketed(spark, sf)
+    return relationships(ses, "session_key", stg, "session_key", "fct_sessions", "stg_ga4__events").unionByName(
+        relationships(stg, "session_key", ses, "session_key", "stg_ga4__events", "fct_sessions"))
+
+
 # --- time spine and governed metrics (M1-M9) ---------------------------------
 
 @register("time_spine", O.with_(*O.BASE, O.SPINE, body="SELECT date_day FROM spine"))
