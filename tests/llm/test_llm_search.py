@@ -103,14 +103,14 @@ def test_segment_bounds_hold_and_prune():
 PASSAGE = " ".join(f"w{i}" for i in range(45))
 
 
-@pytest.mark.parametrize("slot_bits", [28, 4])
-def test_repeats_odd_rows(spark, slot_bits):
+@pytest.mark.parametrize("hot", [repeats.HOT, 0])  # 0: no anchor counts as frequent
+def test_repeats_odd_rows(spark, hot):
     rng = random.Random(2)
     rows = [(5, PASSAGE + " x " + PASSAGE), (3, "q " + PASSAGE), (None, PASSAGE), (None, "zz " + PASSAGE), (9, "a " * 100),
             (9, "a " * 100), (1, None), (2, ""), (2, " \n"), (10, " ".join(rng.choice("ab") for _ in range(3000))),
             (11, " ".join(rng.choice("ab") for _ in range(3000))), (12, "é𝒳 " + " ".join(f"w{i}" for i in range(19))),
             (-4, "one\ntwo\t" + PASSAGE), (13, "w1 " * 19), (14, " ".join(f"w{i}" for i in range(10, 40)) + " end")]
-    found = repeats.with_repeats(docs(spark, rows).repartition(3), slot_bits=slot_bits)
+    found = repeats.with_repeats(docs(spark, rows).repartition(3), hot=hot)
     got = []
     for r in found.collect():
         gone = {i for a in r.repeat_starts or [] for i in range(a.start, a.end + 19)}
@@ -119,6 +119,56 @@ def test_repeats_odd_rows(spark, slot_bits):
     assert brute.key(got) == brute.key(brute.repeats(rows))
 
 
+@pytest.mark.parametrize("hot,batch", [(repeats.HOT, 10_000), (0, 2), (40, 3)])
+def test_repeats_of_groups_that_meet_in_blocks(spark, hot, batch):
+    # texts of pieces that recur in many contexts; small batches cut the groups of an anchor
+    rng = random.Random(hot + batch)
+    pieces = [" ".join(f"p{i}_{j}" for j in range(rng.randint(8, 40))) for i in range(6)]
+    rows = [(rng.choice([None, *range(60)]), " ".join(rng.choice([*pieces, f"u{rng.random()}"]) for _ in range(rng.randint(1, 7))))
+            for _ in range(90)]
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(size)
+    spark.conf.set(size, batch)
+    try:
+        got = repeats.repeat_report(docs(spark, rows).repartition(4)) if hot == repeats.HOT else None
+        found = repeats.with_repeats(docs(spark, rows).repartition(4), hot=hot).collect()
+        report = got.collect() if got is not None else []
+    finally:
+        spark.conf.set(size, old)
+    cut = []
+    for r in found:
+        gone = {i for a in r.repeat_starts or [] for i in range(a.start, a.end + 19)}
+        words = brute.WORD.findall(r.text or "")
+        cut.append((r.doc_id, len(words), len(gone), " ".join(x for i, x in enumerate(words) if i not in gone)))
+    want = brute.repeats(rows)
+    assert brute.key(cut) == brute.key(want)
+    assert not report or brute.key((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in report) == brute.key(
+        (d, n, g, brute.sha(k)) for d, n, g, k in want)
+
+
+def test_frequent_anchors_are_few_and_rows_follow_the_input(spark):
+    line = " ".join(f"l{i}" for i in range(12))
+    rng = random.Random(5)
+
+    def texts(n):
+        return [(i, " ".join(f"{rng.random()}" for _ in range(30)) + f" {line} " + " ".join(
+            f"{rng.random()}" for _ in range(30))) for i in range(n)]
+
+    few, many = texts(150), texts(1500)
+    for rows in (few, many):
+        frequent = repeats.frequent_anchors(docs(spark, rows).select("text").coalesce(1), hot=100)
+        assert 0 < len(frequent) <= 100
+        assert list(frequent) == sorted(frequent)
+
+    def rows_sent(rows):
+        part = pa.RecordBatch.from_arrays(
+            [pa.array([i for i, _ in rows]), pa.array([0] * len(rows)), pa.array([t for _, t in rows])],
+            names=["doc", "tag", "text"])
+        return sum(b.num_rows for b in repeats._send(part, repeats.WINDOW, repeats.GRAM, np.empty(0, np.int64)))
+    assert rows_sent(many) / rows_sent(few) < 10.5
+    assert repeats.frequent_anchors(docs(spark, many).select("text").limit(0)).size == 0
+
+
 def test_repeats_across_factor_boundaries(spark):
     # the last text is two copied factors; windows across their boundary occur nowhere else
     a, b = [f"a{i}" for i in range(30)], [f"b{i}" for i in range(30)]
