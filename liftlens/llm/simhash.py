@@ -12,9 +12,11 @@ Comparison is exact and covers all pairs of distinct fingerprints:
    fingerprints differ in at least the sum over disjoint segments of the differences
    of their counts, so tile pairs whose counts differ beyond the radius are skipped:
    first between tiles, then between the small blocks inside a tile pair.
-3. Surviving blocks are compared with exclusive-or and bit counts.  A tile pair returns
+3. ``GROUP`` neighbouring tiles form a square's side: a tile travels once to each square in
+   which it has a partner, not once per pair.
+4. Surviving blocks are compared with exclusive-or and bit counts.  A square returns
    a spanning forest of its links, never all pairs of a group.
-4. Links become components (``components.connected_components``).
+5. Links become components (``components.connected_components``).
 
 Nothing but counts reaches the driver.  The largest group, and the largest number of
 copies of a fingerprint, only add rows to plain joins that Spark can split.
@@ -41,6 +43,7 @@ from .components import connected_components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 TILE = 8192
+GROUP = 4
 BLOCK = 256
 
 
@@ -117,21 +120,30 @@ class _Tile:
         self.high = np.maximum.reduceat(counts, self.cuts[:-1], axis=0)
 
 
-def tile_links(raw_a: bytes, raw_b: bytes, same: bool, radius: int) -> list[tuple[int, int]]:
-    """Spanning forest of the links between two tiles (or inside one)."""
-    a = _Tile(raw_a)
-    b = a if same else _Tile(raw_b)
-    near = _gap(a.low[:, None], a.high[:, None], b.low[None], b.high[None]) <= radius
-    if same:
-        near = np.triu(near)
-    parent: dict[int, int] = {}
+class _Forest:
+    """Keeps the links that join two trees, drops the others."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+        self.links: list[tuple[int, int]] = []
 
-    def root(x: int) -> int:
-        while (up := parent.setdefault(x, x)) != x:
-            parent[x] = x = parent[up]
+    def root(self, x: int) -> int:
+        while (up := self.parent.setdefault(x, x)) != x:
+            self.parent[x] = x = self.parent[up]
         return x
 
-    links = []
+    def add(self, u: int, v: int) -> None:
+        ru, rv = self.root(u), self.root(v)
+        if ru != rv:
+            self.parent[ru] = rv
+            self.links.append((u, v))
+
+
+def _compare(a: _Tile, b: _Tile, radius: int, forest: _Forest) -> None:
+    same = a is b
+    near = _gap(a.low[:, None], a.high[:, None], b.low[None], b.high[None]) <= radius
+    if same:
+        near = np.triu(near)
     for i, j in zip(*np.nonzero(near)):
         x, y = a.fps[a.cuts[i]:a.cuts[i + 1]], b.fps[b.cuts[j]:b.cuts[j + 1]]
         close = np.bitwise_count(x[:, None] ^ y[None, :]) <= radius
@@ -140,40 +152,62 @@ def tile_links(raw_a: bytes, raw_b: bytes, same: bool, radius: int) -> list[tupl
         if close.any():
             p, q = np.nonzero(close)
             for u, v in zip(x[p].tolist(), y[q].tolist()):
-                ru, rv = root(u), root(v)
-                if ru != rv:
-                    parent[ru] = rv
-                    links.append((u, v))
-    return links
+                forest.add(u, v)
 
 
-_TILES = T.StructType([T.StructField("tile", T.LongType()), T.StructField("fps", T.BinaryType())]
+def tile_links(raw_a: bytes, raw_b: bytes, same: bool, radius: int) -> list[tuple[int, int]]:
+    """Spanning forest of the links between two tiles (or inside one)."""
+    forest, a = _Forest(), _Tile(raw_a)
+    _compare(a, a if same else _Tile(raw_b), radius, forest)
+    return forest.links
+
+
+def square_links(left: list[bytes], right: list[bytes] | None, radius: int) -> list[tuple[int, int]]:
+    """Spanning forest of the links between two sides of tiles (``right`` None: among the tiles of one side)."""
+    forest, tiles = _Forest(), [_Tile(raw) for raw in left]
+    others = tiles if right is None else [_Tile(raw) for raw in right]
+    for i, a in enumerate(tiles):
+        for b in others[i:] if right is None else others:
+            if _gap(a.low.min(axis=0), a.high.max(axis=0), b.low.min(axis=0), b.high.max(axis=0)) <= radius:
+                _compare(a, b, radius, forest)
+    return forest.links
+
+
+_TILES = T.StructType([T.StructField("tile", T.LongType()), T.StructField("side", T.LongType()),
+                       T.StructField("fps", T.BinaryType())]
                       + [T.StructField(x, T.ArrayType(T.IntegerType())) for x in ("low", "high")])
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted fingerprints to tiles of at most TILE; a tile is named by its first fingerprint."""
-    held = np.empty(0, np.int64)
+def _pack(size: int, group: int):
+    """Sorted fingerprints to tiles of at most ``size``, ``group`` tiles to a side; the first fingerprint names both."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, made, side = np.empty(0, np.int64), 0, 0
 
-    def tile(fps: np.ndarray) -> pa.RecordBatch:
-        counts = segment_counts(fps.view(np.uint64))
-        return pa.RecordBatch.from_arrays([
-            pa.array([int(fps[0])], pa.int64()), pa.array([fps.tobytes()], pa.binary()),
-            pa.array([counts.min(axis=0).tolist()], pa.list_(pa.int32())),
-            pa.array([counts.max(axis=0).tolist()], pa.list_(pa.int32()))], names=["tile", "fps", "low", "high"])
+        def tile(fps: np.ndarray) -> pa.RecordBatch:
+            nonlocal made, side
+            if made % group == 0:
+                side = int(fps[0])
+            made += 1
+            counts = segment_counts(fps.view(np.uint64))
+            return pa.RecordBatch.from_arrays([
+                pa.array([int(fps[0])], pa.int64()), pa.array([side], pa.int64()), pa.array([fps.tobytes()], pa.binary()),
+                pa.array([counts.min(axis=0).tolist()], pa.list_(pa.int32())),
+                pa.array([counts.max(axis=0).tolist()], pa.list_(pa.int32()))], names=_TILES.names)
 
-    for batch in batches:
-        held = np.concatenate([held, batch.column(0).to_numpy(zero_copy_only=False)])
-        while len(held) >= TILE:
-            yield tile(held[:TILE])
-            held = held[TILE:]
-    if len(held):
-        yield tile(held)
+        for batch in batches:
+            held = np.concatenate([held, batch.column(0).to_numpy(zero_copy_only=False)])
+            while len(held) >= size:
+                yield tile(held[:size])
+                held = held[size:]
+        if len(held):
+            yield tile(held)
+    return run
 
 
-def fingerprint_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, tile: int | None = None,
+                      group: int | None = None) -> DataFrame:
     """Links (u, v) that connect all fingerprints of ``distinct`` (one column) within ``radius``."""
-    spark = distinct.sparkSession
+    spark, tile, group = distinct.sparkSession, tile or TILE, group or GROUP
     fp = F.col(distinct.columns[0])
     n = distinct.count()
     if n < 2:
@@ -181,36 +215,62 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     counts = [_count(fp, *s) for level in LEVELS[:3] for s in level]
     keys = [c.alias(f"c{i}") for i, c in enumerate(counts)]
     names = [f"c{i}" for i in range(len(keys))]
-    ranged = distinct.select(fp.alias("fp"), *keys).repartitionByRange(-(-n // TILE), *names, "fp").sortWithinPartitions(
-        *names, "fp").select("fp")
-    tiles = materialize(ranged.mapInArrow(_pack, _TILES), "tiles")
-    meta = tiles.select("tile", "low", "high")
-    # tile pairs meet at the population count where both reach first: an equi-join, one row per pair
-    left = meta.select("tile", "low", "high", F.explode(F.sequence(F.col("low")[0], F.col("high")[0])).alias("at"))
-    right = meta.select(
-        F.col("tile").alias("tile_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"),
-        F.explode(F.sequence(F.col("low")[0] - radius, F.col("high")[0] + radius)).alias("at"))
-    once = F.col("at") == F.greatest(F.col("low")[0], F.col("low_b")[0] - radius)
-    pairs = left.join(right, "at").where(
-        (F.col("tile") <= F.col("tile_b")) & once & _near_boxes(radius)).select("tile", "tile_b")
-    pairs = materialize(pairs, "tile-pairs")
-    n_pairs = pairs.count()
-    blobs = tiles.select("tile", "fps")
-    work = pairs.join(blobs, "tile").join(
-        blobs.select(F.col("tile").alias("tile_b"), F.col("fps").alias("fps_b")), "tile_b")
-    # about 16 pairs, hence 2 MB, a task
-    work = work.repartition(max(spark.sparkContext.defaultParallelism, -(-n_pairs // 16)), "tile", "tile_b")
+    ranged = distinct.select(fp.alias("fp"), *keys).repartitionByRange(
+        -(-n // (tile * group)), *names, "fp").sortWithinPartitions(*names, "fp").select("fp")
+    tiles = materialize(ranged.mapInArrow(_pack(tile, group), _TILES), "tiles")
+    pairs = tile_pairs(tiles, radius)
+    # a square is a pair of sides; a tile goes once to each square where it has a partner
+    squares = pairs.select(
+        F.least("side", "side_b").alias("p"), F.greatest("side", "side_b").alias("q"),
+        F.explode(F.array(F.struct("tile", "side"), F.struct(F.col("tile_b").alias("tile"),
+                                                                F.col("side_b").alias("side")))).alias("t"))
+    squares = materialize(squares.select("p", "q", "t.tile", "t.side").distinct(), "tile-squares")
+    work = squares.join(tiles.select("tile", "fps"), "tile").select("p", "q", "side", "tile", "fps")
+    # about one square, hence at most 2 * group tiles of 64 KB, a task
+    tasks = max(spark.sparkContext.defaultParallelism, -(-squares.count() // (2 * group)))
+    work = work.repartition(tasks, "p", "q").sortWithinPartitions("p", "q", "tile")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(square, held) -> pa.RecordBatch:
+            p, q = square
+            right = None if p == q else [raw for side, raw in held if side == q]
+            found = square_links([raw for side, raw in held if side == p], right, radius)
+            ends = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["u", "v"])
+
+        square, held = None, []
         for batch in batches:
-            for row in batch.select(["tile", "tile_b", "fps", "fps_b"]).to_pylist():
-                found = tile_links(row["fps"], row["fps_b"], row["tile"] == row["tile_b"], radius)
-                ends = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["u", "v"])
+            for p, q, side, raw in zip(*(batch.column(c).to_pylist() for c in ("p", "q", "side", "fps"))):
+                if (p, q) != square and held:
+                    yield links(square, held)
+                    held = []
+                square = (p, q)
+                held.append((side, raw))
+        if held:
+            yield links(square, held)
 
     return work.mapInArrow(compare, "u long, v long")
 
 
+def tile_pairs(tiles: DataFrame, radius: int) -> DataFrame:
+    """(tile, side, tile_b, side_b): each pair of tiles, equal ones too, whose population counts come within ``radius``."""
+    meta = tiles.select("tile", "side", "low", "high")
+
+    def counts(half: int, margin: int) -> Column:
+        return F.explode(F.sequence(F.col("low")[half] - margin, F.col("high")[half] + margin))
+
+    # pairs meet where both reach first, at one count of the left and one of the right half: an
+    # equi-join on up to 33 x 33 keys, one row per pair
+    left, right = (meta.withColumn("at_1", counts(1, margin)).withColumn("at_2", counts(2, margin))
+                   for margin in (0, radius))
+    right = right.withColumnsRenamed({c: f"{c}_b" for c in ("tile", "side", "low", "high")})
+    once = F.lit(True)
+    for half in (1, 2):
+        once = once & (F.col(f"at_{half}") == F.greatest(F.col("low")[half], F.col("low_b")[half] - radius))
+    return left.join(right, ["at_1", "at_2"]).where(
+        (F.col("tile") <= F.col("tile_b")) & once & _near_boxes(radius)).select("tile", "side", "tile_b", "side_b")
+
+
 def _near_boxes(radius: int) -> Column:
     apart = F.zip_with(
         F.zip_with("low", "high_b", lambda x, y: x - y), F.zip_with("low_b", "high", lambda x, y: x - y),

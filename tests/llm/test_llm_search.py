@@ -37,6 +37,41 @@ def test_simhash_small_tiles(spark, monkeypatch):
     assert brute.key(map(tuple, got)) == brute.key(brute.near_duplicates(rows))
 
 
+def test_squares_of_tiles_find_every_link_and_move_tiles_once(spark):
+    rng = np.random.default_rng(8)
+    seeds = rng.integers(0, 2 ** 63, 300, dtype=np.uint64)
+    near = [s ^ np.uint64((1 << int(a)) | (1 << int(b))) for s in seeds for a, b in rng.integers(0, 64, (4, 2))]
+    fps = np.unique(np.array([*near, 0, 2 ** 64 - 1, *rng.integers(0, 2 ** 63, 500, dtype=np.uint64)], np.uint64))
+    distinct = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    bits = np.bitwise_count(fps[:, None] ^ fps[None])
+    want = {}
+    for i in range(len(fps)):  # smallest member of each group by plain search
+        if i not in want:
+            stack, group = [i], {i}
+            while stack:
+                new = set(np.flatnonzero(bits[stack.pop()] <= 4).tolist()) - group
+                group |= new
+                stack += new
+            want.update(dict.fromkeys(group, min(int(fps.view(np.int64)[x]) for x in group)))
+    for tile, group in ((64, 4), (50, 1), (16, 100), (5000, 2)):
+        links = simhash.fingerprint_links(distinct, 4, tile, group)
+        roots = {r.node: r.root for r in components.connected_components(links).collect()}
+        assert all(roots.get(int(f), int(f)) == want[i] for i, f in enumerate(fps.view(np.int64))), (tile, group)
+
+
+def test_tile_pairs_are_those_of_the_plain_bound(spark):
+    rng = np.random.default_rng(9)
+    boxes = []
+    for i in range(40):
+        counts = simhash.segment_counts(rng.integers(0, 2 ** 63, rng.integers(1, 4), dtype=np.uint64))
+        boxes.append((i, i // 3, counts.min(axis=0).tolist(), counts.max(axis=0).tolist()))
+    tiles = spark.createDataFrame(boxes, "tile long, side long, low array<int>, high array<int>")
+    got = [tuple(r) for r in simhash.tile_pairs(tiles, 4).select("tile", "tile_b").collect()]
+    want = [(a[0], b[0]) for a in boxes for b in boxes if a[0] <= b[0] and simhash._gap(
+        *(np.array(x) for x in (a[2], a[3], b[2], b[3]))) <= 4]
+    assert sorted(got) == want and len(want) > 40
+
+
 def test_tile_links_span_the_groups(monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 8)
     rng = np.random.default_rng(4)
