@@ -25,6 +25,13 @@ def test_adapter_prunes_unused_event_columns(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz>" in scan
 
 
+def test_filter_on_a_looked_up_parameter_derives_the_parameters_once(spark):
+    p = plan(M.staging(spark, SF_SMALL))
+    below = [l for l in p.splitlines() if " Filter " in l][0]
+    # the adapter builds the array in one of two branches, each with one engagement value
+    assert below.count("get_json_object") == 2
+
+
 def test_session_rollup_is_one_shuffle_with_partial_aggregation(spark):
     p = plan(M.sessions(spark, SF_SMALL))
     assert len(re.findall(r"Exchange hashpartitioning", p)) == 1

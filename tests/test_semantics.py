@@ -45,6 +45,15 @@ def test_param_lookup_strict_raises_on_duplicate(spark):
         flatten_events(raw(spark, rows)).collect()
 
 
+def test_param_lookup_of_null_entries_keys_and_arrays(spark):
+    from liftlens.functions.params import param_value
+    lists = [None, [], [None, _p(None, 1), _p("k", 2, "x")], [{"key": "k", "value": None}], [_p("k"), _p("j", 1), _p("j", 2)]]
+    df = spark.createDataFrame(list(enumerate(lists)), "n int, p " + RAW_EVENT["event_params"].dataType.simpleString())
+    got = df.select("n", param_value("p", "k").alias("i"), param_value("p", "k", "string_value").alias("s")).orderBy("n")
+    assert [tuple(r) for r in got.collect()] == [(0, None, None), (1, None, None), (2, 2, "x"), (3, None, None), (4, None, None)]
+    assert dict(got.dtypes) == {"n": "int", "i": "bigint", "s": "string"}
+
+
 def test_null_user_gives_null_session_key(spark):
     stg = flatten_events(raw(spark, [_ev(1, T0, user=None)]))
     assert stg.first().session_key is None
