@@ -226,8 +226,10 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, tile: int | Non
                                                                 F.col("side_b").alias("side")))).alias("t"))
     squares = materialize(squares.select("p", "q", "t.tile", "t.side").distinct(), "tile-squares")
     work = squares.join(tiles.select("tile", "fps"), "tile").select("p", "q", "side", "tile", "fps")
-    # about one square, hence at most 2 * group tiles of 64 KB, a task
-    tasks = max(spark.sparkContext.defaultParallelism, -(-squares.count() // (2 * group)))
+    # about the fingerprints of one square of full tiles (64 KB each) a task, however small the tiles are
+    sent = squares.join(tiles.select("tile", (F.octet_length("fps") / 8).cast("long").alias("n")), "tile").agg(
+        F.sum("n")).first()[0]
+    tasks = max(spark.sparkContext.defaultParallelism, -(-sent // (2 * group * tile)))
     work = work.repartition(tasks, "p", "q").sortWithinPartitions("p", "q", "tile")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

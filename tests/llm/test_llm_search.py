@@ -59,6 +59,26 @@ def test_squares_of_tiles_find_every_link_and_move_tiles_once(spark):
         assert all(roots.get(int(f), int(f)) == want[i] for i, f in enumerate(fps.view(np.int64))), (tile, group)
 
 
+def test_small_tiles_and_few_links_leave_few_tasks_and_files(spark, monkeypatch):
+    kind, cores = type(spark.range(0)), spark.sparkContext.defaultParallelism
+    parts, ranged = 4 * cores + 32, kind.repartitionByRange
+    monkeypatch.setattr(kind, "repartitionByRange", lambda self, n, *cols: ranged(self, max(n, parts), *cols))
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    rng = np.random.default_rng(10)
+    fps = np.unique(np.array([1 << int(a) | 1 << int(b) for a, b in rng.integers(0, 62, (2000, 2))], np.int64))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+        links = simhash.fingerprint_links(spark.createDataFrame([(int(x),) for x in fps], "fp long"))
+        assert links.rdd.getNumPartitions() <= cores
+        roots = components.connected_components(links)
+        assert len(set(roots.inputFiles())) <= cores
+        assert {tuple(r) for r in roots.collect()} == {(int(x), int(fps[0])) for x in fps}
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
 def test_tile_pairs_are_those_of_the_plain_bound(spark):
     rng = np.random.default_rng(9)
     boxes = []
